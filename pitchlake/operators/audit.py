@@ -36,7 +36,8 @@ def _stack(df: DataFrame, names: Sequence[str], value_cols: Sequence[Sequence[st
     for n, cols in zip(names, value_cols):
         parts.append(f"'{n}'")
         parts += [f"`{c}`" for c in cols]
-    expr = f"stack({len(names)}, {', '.join(parts)}) as ({key}, {', '.join(out_cols)})"
+    aliases = ", ".join(f"`{c}`" for c in [key, *out_cols])
+    expr = f"stack({len(names)}, {', '.join(parts)}) as ({aliases})"
     keep = [c for c in df.columns if all(c not in cs for cs in value_cols)]
     return df.selectExpr(*[f"`{c}`" for c in keep], expr)
 
