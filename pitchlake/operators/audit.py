@@ -115,8 +115,9 @@ def missing_children(schedules: DataFrame, stats: DataFrame, leagues=None, seaso
         stats.select("fixture_id"), "fixture_id", "left_anti")
     out = _names(fx.select("fixture_id", "league_id", "season_id", "home_team_id", "away_team_id",
                            "start_time", "status"), leagues, seasons, teams)
-    return out.select("fixture_id", "league_id", "league_name", "season_id", "season_name",
-                      "home_team_id", "home_team", "away_team_id", "away_team", "start_time", "status")
+    cols = ["fixture_id", "league_id", "league_name", "season_id", "season_name",
+            "home_team_id", "home_team", "away_team_id", "away_team", "start_time", "status"]
+    return out.select(*[c for c in cols if c in out.columns])
 
 
 def _fixture_flags(stats: DataFrame) -> DataFrame:
