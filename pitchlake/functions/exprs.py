@@ -130,8 +130,12 @@ def coerce_variant(v, target: str) -> Column:
         txt = F.try_variant_get(v, "$", "string")
         return F.coalesce(num, coerce(txt, "double"))
     if target == "boolean":
-        b = F.try_variant_get(v, "$", "boolean")
-        return F.coalesce(b, coerce(F.try_variant_get(v, "$", "string"), "boolean"))
+        kind = F.schema_of_variant(v)
+        n = F.try_variant_get(v, "$", "long")
+        return (F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+                .when(kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT"),
+                      F.when(n == 1, F.lit(True)).when(n == 0, F.lit(False)))
+                .when(kind == "STRING", coerce(F.try_variant_get(v, "$", "string"), "boolean")))
     return F.try_variant_get(v, "$", target)
 
 

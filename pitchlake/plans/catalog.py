@@ -443,3 +443,110 @@ def _(t):
 @register("f50_incomplete_fixtures")
 def _(t):
     return A.incomplete_fixtures(t.stats)
+
+
+# ------------------------------------------------------------------ ingest
+from pitchlake.operators import normalize as B  # noqa: E402
+from pitchlake.plans import landing as LD  # noqa: E402
+from pitchlake.sources import raw as R  # noqa: E402
+from pitchlake.sources import sinks as K  # noqa: E402
+
+CURATED_STATS = ["fixture_id", "team_id", "period", *S.STAT_COLUMNS, "timestamp"]
+CURATED_ODDS = [f.name for f in S.FIXTURE_ODDS.fields]
+CURATED_TIMELINE = [f.name for f in S.FIXTURE_TIMELINE.fields]
+
+
+def _leagues_raw(t):
+    return R.parse_documents(LD.league_documents(t), "leagues")
+
+
+@register("b01_normalize_leagues")
+def _(t):
+    return B.normalize_leagues(_leagues_raw(t))[0]
+
+
+@register("b01_rejected_leagues")
+def _(t):
+    return B.normalize_leagues(_leagues_raw(t))[1].select("league_id", "name", "reject_reason")
+
+
+@register("b02_normalize_seasons")
+def _(t):
+    return B.normalize_seasons(_leagues_raw(t))[0]
+
+
+@register("b03_normalize_teams")
+def _(t):
+    return B.normalize_teams(R.parse_documents(LD.team_documents(t), "teams"))[0]
+
+
+def _schedules(t):
+    return B.normalize_schedules(R.parse_documents(LD.schedule_documents(t), "schedules"))[0]
+
+
+@register("b04_normalize_schedules")
+def _(t):
+    return _schedules(t).drop("fetch_timestamp")
+
+
+@register("a06_upsert_schedules")
+def _(t):
+    v1 = _schedules(t)
+    batch = (v1.filter(F.col("status") == "NS")
+             .withColumn("status", F.lit("FT")).withColumn("home_score", F.lit(1))
+             .withColumn("away_score", F.lit(0)).withColumn("result", F.lit("H"))
+             .withColumn("fetch_timestamp", F.lit("2099-01-01 00:00:00")))
+    return K.upsert(v1, batch, ["fixture_id"], order="fetch_timestamp", audit=False).drop("fetch_timestamp")
+
+
+def _stats_raw(t):
+    return R.parse_documents(LD.stats_documents(t), "stats")
+
+
+def _load_stats(t):
+    rows, _ = B.normalize_stats(_stats_raw(t))
+    order = ["fetch_timestamp", *[c for c in rows.columns if c not in ("fetch_timestamp", "fixture_id", "team_id",
+                                                                      "period")]]
+    return K.insert_ignore(None, rows, ["fixture_id", "team_id", "period"], order=order)
+
+
+@register("b10_normalize_load_stats")
+def _(t):
+    return _load_stats(t).select(*CURATED_STATS)
+
+
+@register("b11_coercion_failures")
+def _(t):
+    return B.coercion_failures(_stats_raw(t))
+
+
+@register("b12_normalize_load_odds")
+def _(t):
+    ok, _, _ = B.normalize_odds(R.parse_documents(LD.odds_documents(t), "odds"))
+    return K.insert_ignore(None, ok, S.KEYS["fixture_odds"], order=["fetch_timestamp", "value"]).select(*CURATED_ODDS)
+
+
+@register("b12_filtered_odds")
+def _(t):
+    _, _, filtered = B.normalize_odds(R.parse_documents(LD.odds_documents(t), "odds"))
+    return filtered.groupBy(F.col("bookmaker_id")).agg(F.count(F.lit(1)).alias("filtered"))
+
+
+@register("b13_normalize_load_pressure")
+def _(t):
+    ok, _ = B.normalize_pressure(R.parse_documents(LD.pressure_documents(t), "pressure"))
+    return K.insert_ignore(None, ok, S.KEYS["fixture_timeline"],
+                           order=["fetch_timestamp", "api_event_id"]).select(*CURATED_TIMELINE)
+
+
+@register("a09_load_report_stats")
+def _(t):
+    docs = _stats_raw(t)
+    rows, bad_periods = B.normalize_stats(docs)
+    stored = K.insert_ignore(None, rows, ["fixture_id", "team_id", "period"], order=["fetch_timestamp"])
+    return K.load_report(docs, stored, bad_periods)
+
+
+@register("a08_with_audit")
+def _(t):
+    return K.with_audit(t.teams, key=["team_id"], defaults={"country_id": -1}, ts="2024-01-01 00:00:00")

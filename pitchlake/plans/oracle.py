@@ -194,3 +194,101 @@ oracle("c04_pending_pressure", """
  where s.status in ('FT','AET','FT_PEN') and pt.fixture_id is null""")
 oracle("c05_pending_without_done", """
  select fixture_id, start_time from fx_schedules where status in ('FT','AET','FT_PEN')""")
+
+
+# ----------------------------------------------------------------- ingest
+oracle("b01_normalize_leagues", """
+ select cast(n_nationkey as bigint) as league_id, cast(1 as bigint) as sport_id, cast(n_regionkey as bigint) as country_id,
+   n_name as name, true as active, substr(n_name, 1, 3) as short_code, cast(null as varchar) as image_path,
+   'league' as type, 'domestic' as sub_type, cast(null as varchar) as last_played_at, cast(1 as bigint) as category,
+   cast(n_nationkey as bigint) * 10000 + (select max(year(o_orderdate)) from orders) as current_season_id
+ from nation where n_nationkey <> 0 and n_name is not null and n_name <> ''""")
+oracle("b01_rejected_leagues", """
+ select cast(n_nationkey as bigint) as league_id, n_name as name,
+   concat_ws(',', case when n_nationkey = 0 then 'missing:league_id' end,
+             case when n_name is null or n_name = '' then 'missing:name' end) as reject_reason
+ from nation where n_nationkey = 0 or n_name is null or n_name = ''""")
+oracle("b02_normalize_seasons", """
+ select cast(n_nationkey as bigint) * 10000 + (select max(year(o_orderdate)) from orders) as season_id,
+   cast(n_nationkey as bigint) as league_id, n_name as league_name, cast(1 as bigint) as sport_id,
+   cast((select max(year(o_orderdate)) from orders) as varchar) as name, true as is_current, false as finished,
+   false as pending, cast(null as varchar) as starting_at, cast(null as varchar) as ending_at,
+   cast(null as varchar) as standings_recalculated_at
+ from nation where n_nationkey <> 0""")
+oracle("b03_normalize_teams", """
+ select c_custkey as team_id, c_name as name, cast(null as varchar) as short_code, cast(c_nationkey as bigint) as country_id,
+   'teams/' || cast(c_custkey as varchar) || '.png' as logo_url, cast(null as bigint) as venue_id,
+   cast(null as bigint) as founded, 'domestic' as type, coalesce(c_mktsegment = 'AUTOMOBILE', false) as national_team
+ from customer where c_custkey <> 0 and c_name is not null and c_name <> ''""")
+
+SCHED_NORM = """
+sched_norm AS (
+  select fixture_id, cast(season_id as bigint) as season_id, cast(league_id as bigint) as league_id,
+    cast(season_id * 100 + month(start_time) as bigint) as round_id, home_team_id, away_team_id, start_time, status,
+    case when status in ('FT', 'FT_PEN') then cast(home_score as bigint) when status = 'NS' then null else cast(0 as bigint) end as home_score,
+    case when status in ('FT', 'FT_PEN') then cast(away_score as bigint) when status = 'NS' then null else cast(0 as bigint) end as away_score,
+    cast(null as varchar) as result_info, status = 'FT' as round_finished
+  from fx_schedules where fixture_id <> 0 and home_team_id <> 0 and away_team_id <> 0),
+sched_res AS (
+  select *, case when home_score is null or away_score is null then null when home_score > away_score then 'H'
+                 when away_score > home_score then 'A' else 'D' end as result
+  from sched_norm)"""
+oracle("b04_normalize_schedules", f", {SCHED_NORM} select * from sched_res")
+oracle("a06_upsert_schedules", f""", {SCHED_NORM}
+ select fixture_id, season_id, league_id, round_id, home_team_id, away_team_id, start_time,
+   case when status = 'NS' then 'FT' else status end as status,
+   case when status = 'NS' then cast(1 as bigint) else home_score end as home_score,
+   case when status = 'NS' then cast(0 as bigint) else away_score end as away_score,
+   case when status = 'NS' then 'H' else result end as result, result_info, round_finished
+ from sched_res""")
+
+PRESENT = ["goals", "fouls", "red_cards", "tackles", "shots_blocked", "successful_passes_percentage",
+           "ball_possession", "saves", "attacks", "shots_total", "shots_insidebox", "shots_on_target"]
+STAT_ORDER = [c for c in S.STAT_COLUMNS if c in PRESENT]
+
+
+def _stat_out(c: str) -> str:
+    if c in PRESENT:
+        return (f"cast({c} as double) as {c}" if c in S.FLOAT_STATS else f"cast({c} as bigint) as {c}")
+    return f"cast(null as {'double' if c in S.FLOAT_STATS else 'bigint'}) as {c}"
+
+
+oracle("b10_normalize_load_stats", f"""
+, docs AS (select fixture_id, team_id, period, strftime(api_ts, '%Y-%m-%d %H:%M:%S') as fetch_timestamp,
+             {', '.join(PRESENT)} from fx_stats_raw where fixture_id <> 0 and team_id <> 0),
+ranked AS (select *, row_number() over (partition by fixture_id, team_id, period
+             order by fetch_timestamp nulls first, {', '.join(c + ' nulls first' for c in STAT_ORDER)}) as rn from docs)
+ select fixture_id, team_id, period, {', '.join(_stat_out(c) for c in S.STAT_COLUMNS)},
+   cast(fetch_timestamp as timestamp) as timestamp
+ from ranked where rn = 1""")
+oracle("b11_coercion_failures", "\n union all\n ".join(
+    f"select '{c}' as \"column\", count({c}) as values, cast(0 as bigint) as failed from fx_stats_raw"
+    for c in PRESENT if c != "shots_on_target") + "\n union all\n select 'shots_on_target', count(shots_on_target), "
+    "cast(0 as bigint) from fx_stats_raw")
+oracle("b12_normalize_load_odds", """
+, ranked AS (select *, row_number() over (partition by fixture_id, market_id, bookmaker_id, label
+               order by strftime(latest_bookmaker_update, '%Y-%m-%d %H:%M:%S') nulls first, value nulls first) as rn
+             from fx_odds where fixture_id <> 0)
+ select fixture_id, cast(market_id as bigint) as market_id, cast(bookmaker_id as bigint) as bookmaker_id, label, value,
+   label as name, case when market_id = 1 then 'Match Winner' else 'Other' end as market_description,
+   round(100.0e0 / value, 2) as probability, cast(null as varchar) as dp3, cast(null as varchar) as fractional,
+   cast(null as varchar) as american, label = 'Home' as winning, false as stopped, cast(null as double) as total,
+   cast(null as double) as handicap, cast(null as varchar) as participants,
+   strftime(latest_bookmaker_update, '%Y-%m-%d %H:%M:%S') as api_created_at, label as original_label,
+   strftime(latest_bookmaker_update, '%Y-%m-%d %H:%M:%S') as latest_bookmaker_update
+ from ranked where rn = 1""")
+oracle("b12_filtered_odds", "select cast(99 as bigint) as bookmaker_id, count(*) as filtered from fx_odds")
+oracle("b13_normalize_load_pressure", """
+, p AS (select l_orderkey as fixture_id, cast(cast(l_quantity as int) * 2 as bigint) as minute,
+          cast(l_linenumber % 2 as bigint) as participant_id, l_extendedprice / 1000 as pressure_index,
+          'pressure' as event_type, l_orderkey * 8 + l_linenumber as api_event_id,
+          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as fetch_timestamp
+        from lineitem where l_orderkey % 4 <> 0),
+ranked AS (select *, row_number() over (partition by fixture_id, minute, participant_id, event_type
+             order by fetch_timestamp nulls first, api_event_id nulls first) as rn from p)
+ select fixture_id, minute, participant_id, event_type, pressure_index, api_event_id,
+   cast(null as timestamp) as timestamp from ranked where rn = 1""")
+oracle("a09_load_report_stats", """
+ select (select count(*) from fx_stats_raw) as items,
+   (select count(*) from (select distinct fixture_id, team_id, period from fx_stats_raw where fixture_id <> 0 and team_id <> 0) d) as rows_stored,
+   cast(0 as bigint) as rows_rejected, cast(0 as bigint) as empty_items""")
