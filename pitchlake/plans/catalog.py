@@ -550,3 +550,98 @@ def _(t):
 @register("a08_with_audit")
 def _(t):
     return K.with_audit(t.teams, key=["team_id"], defaults={"country_id": -1}, ts="2024-01-01 00:00:00")
+
+
+# ------------------------------------------------------------------- model
+from pitchlake.operators import model as E  # noqa: E402
+
+
+def _baseline_scored(t):
+    """Dataset 1 scored by a fixed rule: the favourite's share of the
+    implied probabilities is the probability that it covers."""
+    ds = D.dataset_one(t.schedules, t.stats, t.odds)
+    p = F.try_divide(F.try_divide(F.lit(1.0), F.col("odds_fav")),
+                     F.col("implied_prob_home") + F.col("implied_prob_draw") + F.col("implied_prob_away"))
+    return ds.select("fixture_id", F.col(D.target_name()).alias("label"), p.alias("p1")).withColumn(
+        "prediction", (F.col("p1") >= 0.5).cast("int"))
+
+
+@register("e01_clean_features_report")
+def _(t):
+    ds = D.dataset_one(t.schedules, t.stats, t.odds)
+    return E.clean_features(ds, D.ds1_feature_names())[1]
+
+
+@register("e02_class_share")
+def _(t):
+    return E.class_share(D.dataset_one(t.schedules, t.stats, t.odds), D.target_name())
+
+
+@register("e03_stratified_split_sizes")
+def _(t):
+    ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline)
+    return E.stratified_split(ds, "target").groupBy("target", "is_train").count()
+
+
+@register("e07_baseline_metrics", noisy=["log_loss"])
+def _(t):
+    return E.binary_metrics(_baseline_scored(t))
+
+
+@register("e10_baseline_confusion")
+def _(t):
+    return E.confusion(_baseline_scored(t))
+
+
+@register("e11_baseline_class_report", noisy=["precision", "recall", "f1"])
+def _(t):
+    return E.class_report(_baseline_scored(t))
+
+
+@register("e04_train_gbt_dataset_two")
+def _(t):
+    ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline).withColumnRenamed("target", "label")
+    res = E.train_and_evaluate(ds, D.DS2_FEATURES, "label", E.PRESSURE_PARAMS, early_stopping=False)
+    spark = ds.sparkSession
+    if res["model"] is None:
+        return spark.createDataFrame([], "section string, name string, value double")
+    m = res["metrics"].first().asDict()
+    rows = [("metric", k, float(v)) for k, v in m.items() if v is not None]
+    rows.append(("metric", "roc_auc", float(res["auc"])))
+    imp = E.importance(spark, res["model"], D.DS2_FEATURES).collect()
+    rows += [("importance", r.feature, r.importance) for r in imp]
+    return spark.createDataFrame(rows, "section string, name string, value double")
+
+
+# --------------------------------------------------------------- streaming
+from pitchlake.streaming import jobs as H  # noqa: E402
+
+
+def _events_stream(t):
+    return H.file_stream(t.spark, t.dir, "events")
+
+
+@register("h1_stream_dedupe_events")
+def _(t):
+    s = H.dedupe_stream(_events_stream(t), ["event_id"], "ts", "1 day")
+    return H.run_available_now(s.select("event_id", "ts", "user_id", "event_type", "value"), "h1")
+
+
+@register("h2_stream_window_mean", noisy=["avg_value"])
+def _(t):
+    return H.run_available_now(H.windowed_mean(_events_stream(t), "ts", "event_type", "value"), "h2")
+
+
+@register("h3_stream_first_wins_sink")
+def _(t):
+    spark = t.spark
+    path = H.stream_dir(spark, "h3") + "/table"
+    s = _events_stream(t).select("user_id", "event_type", "ts", "event_id", "value")
+    H.run_available_now(s, "h3", foreach_batch=H.first_wins_sink(path, ["user_id", "event_type"], ["ts", "event_id"]),
+                        out_path=path)
+    return spark.read.parquet(path)
+
+
+@register("h4_stream_quality_monitor", noisy=["max_null_rate"])
+def _(t):
+    return H.run_available_now(H.quality_monitor(_events_stream(t), "ts", ["user_id", "value", "props"]), "h4")

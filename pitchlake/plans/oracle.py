@@ -292,3 +292,71 @@ oracle("a09_load_report_stats", """
  select (select count(*) from fx_stats_raw) as items,
    (select count(*) from (select distinct fixture_id, team_id, period from fx_stats_raw where fixture_id <> 0 and team_id <> 0) d) as rows_stored,
    cast(0 as bigint) as rows_rejected, cast(0 as bigint) as empty_items""")
+
+
+# ------------------------------------------------------------------ model
+from pitchlake.operators.features import ds1_feature_names  # noqa: E402
+
+oracle("e01_clean_features_report", DS1 + "\n " + "\n union all\n ".join(
+    f"select '{c}' as feature, cast(sum(case when {c} is null or isnan({c}) or isinf({c}) then 1 else 0 end) as bigint) "
+    f"as replaced from ds1" for c in ds1_feature_names()))
+oracle("e02_class_share", DS1 + f"""
+ select cast({TARGET} as bigint) as {TARGET}, count(*) as n, count(*) / (select count(*) from ds1) as share
+ from ds1 group by {TARGET}""")
+BASE_SCORED = DS1 + f""",
+scored AS (select fixture_id, {TARGET} as label,
+             (1 / odds_fav) / (implied_prob_home + implied_prob_draw + implied_prob_away) as p1 from ds1),
+pred AS (select *, case when p1 >= 0.5 then 1 else 0 end as prediction from scored)"""
+oracle("e07_baseline_metrics", BASE_SCORED + """
+ select count(*) as n, sum(case when label = prediction then 1 else 0 end) / count(*) as accuracy,
+   coalesce(sum(case when label = 1 and prediction = 1 then 1 else 0 end)
+     / nullif(sum(case when prediction = 1 then 1 else 0 end), 0), 0.0) as precision,
+   coalesce(sum(case when label = 1 and prediction = 1 then 1 else 0 end)
+     / nullif(sum(case when label = 1 then 1 else 0 end), 0), 0.0) as recall,
+   round(avg(-(label * ln(least(greatest(p1, 1e-15), 1 - 1e-15))
+               + (1 - label) * ln(1 - least(greatest(p1, 1e-15), 1 - 1e-15)))), 9) as log_loss
+ from pred""")
+oracle("e10_baseline_confusion", BASE_SCORED + """
+ select cast(label as bigint) as actual, cast(sum(case when prediction = 0 then 1 else 0 end) as bigint) as pred_0,
+   cast(sum(case when prediction = 1 then 1 else 0 end) as bigint) as pred_1 from pred group by label""")
+oracle("e11_baseline_class_report", BASE_SCORED + """,
+per AS (
+  select c.name as class,
+    coalesce(sum(case when p.label = c.k and p.prediction = c.k then 1 else 0 end)
+      / nullif(sum(case when p.prediction = c.k then 1 else 0 end), 0), 0.0) as precision,
+    coalesce(sum(case when p.label = c.k and p.prediction = c.k then 1 else 0 end)
+      / nullif(sum(case when p.label = c.k then 1 else 0 end), 0), 0.0) as recall,
+    cast(sum(case when p.label = c.k then 1 else 0 end) as bigint) as support
+  from pred p, (select 0 as k, 'Did not cover' as name union all select 1, 'Covered') c group by c.name),
+per2 AS (select *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) as f1 from per),
+allr AS (
+  select class, precision, recall, f1, support from per2
+  union all select 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) from per2
+  union all select 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+    sum(f1 * support) / sum(support), sum(support) from per2)
+ select class, round(precision, 9) as precision, round(recall, 9) as recall, round(f1, 9) as f1,
+   cast(support as bigint) as support from allr""")
+
+# -------------------------------------------------------------- streaming
+oracle("h1_stream_dedupe_events", """
+ select event_id, ts, user_id, event_type, value from (
+   select *, row_number() over (partition by event_id order by ts) as rn from events) t where rn = 1""")
+oracle("h2_stream_window_mean", """
+, w AS (select time_bucket(interval '15 minutes', ts) as window_start, event_type, count(*) as n, avg(value) as avg_value
+        from events group by 1, 2)
+ select window_start, window_start + interval '15 minutes' as window_end, event_type, n, round(avg_value, 9) as avg_value
+ from w where window_start + interval '15 minutes' <= (select max(ts) from events) - interval '1 hour'""")
+oracle("h3_stream_first_wins_sink", """
+ select user_id, event_type, ts, event_id, value from (
+   select *, row_number() over (partition by user_id, event_type order by ts, event_id) as rn from events) t
+ where rn = 1""")
+oracle("h4_stream_quality_monitor", """
+, w AS (select time_bucket(interval '1 day', ts) as window_start, count(*) as rows,
+          cast(sum(case when user_id is null then 1 else 0 end) as bigint) as null_user_id,
+          cast(sum(case when value is null then 1 else 0 end) as bigint) as null_value,
+          cast(sum(case when props is null then 1 else 0 end) as bigint) as null_props
+        from events group by 1)
+ select window_start, window_start + interval '1 day' as window_end, rows, null_user_id, null_value, null_props,
+   round(greatest(null_user_id / rows, null_value / rows, null_props / rows), 9) as max_null_rate,
+   greatest(null_user_id / rows, null_value / rows, null_props / rows) > 0 as breach
+ from w where window_start + interval '1 day' <= (select max(ts) from events) - interval '1 day'""")
