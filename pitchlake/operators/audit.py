@@ -880,3 +880,57 @@ def incomplete_fixtures(stats: DataFrame, cols: Sequence[str] = tuple(S.REQUIRED
     per = stats.filter(F.col("period") == period).groupBy("fixture_id").agg(
         F.max(all_null(cols)).alias("_all_null"), F.countDistinct("team_id").alias("_teams"))
     return per.filter(F.col("_all_null") | (F.col("_teams") < 2)).select("fixture_id")
+
+
+# FIXED VALUES: recommendation texts of the validation summary.
+RECOMMENDATIONS = {
+    "stats_coverage": "Focus on improving stats coverage for finished fixtures, especially for more recent matches",
+    "team_coverage": "Investigate fixtures with incomplete team coverage; both teams' stats are essential for modeling",
+    "null_rates": "Address high NULL rates for key stats",
+    "score_consistency": "Resolve score inconsistencies between fixture_stats and schedules tables",
+    "monitoring": "Implement regular automated quality monitoring focusing on stats completeness and consistency",
+    "modeling_filter": "For Asian handicap modeling, filter fixtures to include only those with quality scores above 80%",
+    "league_registry": "Create and maintain a league quality registry to inform modeling decisions",
+}
+
+
+def validation_summary(quality: DataFrame, leagues_q: DataFrame, missing: DataFrame, team_rate: DataFrame,
+                       nulls: DataFrame, member: DataFrame, dup_keys: DataFrame, mismatch: DataFrame) -> DataFrame:
+    """headline metrics, triggered recommendations and data gaps as
+    ``(section, metric, value, detail)`` rows, assembled from the other
+    audit results (each a one-row aggregate; no printing, no driver state)."""
+    def row(df, section, metric, value, detail=None, cond=None):
+        d = df.filter(cond) if cond is not None else df
+        return d.select(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
+                        value.cast("double").alias("value"),
+                        (detail if detail is not None else F.lit(None)).cast("string").alias("detail"))
+    cat = F.col("quality_category")
+    q1 = quality.agg(F.count(F.lit(1)).alias("n"), F.avg("quality_score").alias("avg"),
+                     count_if(cat.isin(S.Q_EXCELLENT, S.Q_GOOD)).alias("good"))
+    worst = nulls.orderBy(F.desc("null_percent"), "statistic").limit(1)
+    poor = leagues_q.agg(count_if(F.col("avg_quality_score") < 50).alias("poor"))
+    dups = dup_keys.agg(F.count(F.lit(1)).alias("n"))
+    rec = RECOMMENDATIONS
+    parts = [
+        row(q1, "overall", "total_fixtures", F.col("n")),
+        row(q1, "overall", "avg_quality_score", F.col("avg")),
+        row(q1, "overall", "good_or_better_pct", pct("good", "n")),
+        row(missing, "findings", "missing_stats_pct", F.col("missing_pct")),
+        row(team_rate, "findings", "incomplete_team_pct", F.col("incomplete_pct")),
+        row(worst, "findings", "worst_null_stat_pct", F.col("null_percent"), F.col("statistic")),
+        row(member, "findings", "team_id_inconsistency_pct", F.col("inconsistent_percent")),
+        row(dups, "findings", "duplicate_keys", F.col("n")),
+        row(mismatch, "findings", "score_inconsistency_pct", F.col("mismatch_pct")),
+        row(poor, "gaps", "poor_leagues", F.col("poor")),
+        row(missing, "recommendation", "stats_coverage", F.lit(1), F.lit(rec["stats_coverage"]),
+            F.col("missing_stats") > 0),
+        row(team_rate, "recommendation", "team_coverage", F.lit(1), F.lit(rec["team_coverage"]),
+            F.col("incomplete") > 0),
+        row(worst, "recommendation", "null_rates", F.lit(1), F.lit(rec["null_rates"]), F.col("null_percent") > 20),
+        row(mismatch, "recommendation", "score_consistency", F.lit(1), F.lit(rec["score_consistency"]),
+            F.col("mismatches") > 0),
+        row(q1, "recommendation", "monitoring", F.lit(1), F.lit(rec["monitoring"])),
+        row(q1, "recommendation", "modeling_filter", F.lit(1), F.lit(rec["modeling_filter"])),
+        row(q1, "recommendation", "league_registry", F.lit(1), F.lit(rec["league_registry"])),
+    ]
+    return reduce(DataFrame.unionByName, parts)

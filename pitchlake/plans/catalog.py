@@ -645,3 +645,104 @@ def _(t):
 @register("h4_stream_quality_monitor", noisy=["max_null_rate"])
 def _(t):
     return H.run_available_now(H.quality_monitor(_events_stream(t), "ts", ["user_id", "value", "props"]), "h4")
+
+
+@register("f49_validation_summary", noisy=["value"])
+def _(t):
+    q = _quality(t)
+    return A.validation_summary(
+        q, A.league_quality(q), A.missing_rate(t.schedules, t.stats), A.member_count_rate(t.stats),
+        A.null_profile(t.stats.filter(F.col("period") == S.FIRST_HALF), HT11), A.non_member(t.stats, t.schedules),
+        A.duplicates(t.stats, ["fixture_id", "team_id", "period"]), A.mismatch_summary(t.stats, t.schedules))
+
+
+# ------------------------------------------------------------ plan-only ops
+from pitchlake.operators import planned as PL  # noqa: E402
+
+
+def _ds1_with_season(t):
+    ds = D.dataset_one(t.schedules, t.stats, t.odds)
+    return ds.join(t.schedules.select("fixture_id", "league_id", "start_time"), "fixture_id")
+
+
+@register("p01_period_monotonic")
+def _(t):
+    return PL.period_monotonic(t.stats, ["goals", "shots_total", "attacks"])
+
+
+@register("p02_league_zscore", noisy=["z_ht_diff_goals", "z_odds_fav"])
+def _(t):
+    return PL.league_zscore(_ds1_with_season(t), "league_id", ["ht_diff_goals", "odds_fav"]).select(
+        "fixture_id", "league_id", "z_ht_diff_goals", "z_odds_fav")
+
+
+def _fav_margin(t):
+    df = D.base_rows(t.schedules, t.stats, t.odds)
+    df = D.favourite_three_way(D.require_numeric(df, ["odds_home", "odds_draw", "odds_away"]))
+    df = D.second_half_goals(df).filter(F.col("favorite_location").isNotNull())
+    return df.select("fixture_id", D.favourite_margin(F.col("favorite_location"), F.col("sh_home_goals"),
+                                                      F.col("sh_away_goals")).alias("fav_margin_2h"))
+
+
+@register("p03_handicap_settlement")
+def _(t):
+    return PL.handicap_settlement(_fav_margin(t), "fav_margin_2h")
+
+
+@register("p04_walk_forward_folds")
+def _(t):
+    f = PL.walk_forward_folds(_ds1_with_season(t), "start_time", [1997, 1998, 1999, 2000])
+    return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("p05_calibration", noisy=["mean_prob", "observed_rate"])
+def _(t):
+    return PL.calibration(_baseline_scored(t))
+
+
+@register("p05_brier", noisy=["brier"])
+def _(t):
+    return PL.brier(_baseline_scored(t))
+
+
+def _bets(t):
+    ds = D.dataset_one(t.schedules, t.stats, t.odds)
+    p = F.try_divide(F.try_divide(F.lit(1.0), F.col("odds_fav")),
+                     F.col("implied_prob_home") + F.col("implied_prob_draw") + F.col("implied_prob_away"))
+    scored = ds.select("fixture_id", "odds_fav", F.col(D.target_name()).alias("won"), (p * 1.1).alias("p_model"))
+    return PL.value_bets(scored, "p_model", "odds_fav", 0.05, 0.25, 0.05)
+
+
+@register("p06_value_bets", noisy=["edge", "stake", "p_model"])
+def _(t):
+    return _bets(t)
+
+
+@register("p07_backtest", noisy=["staked", "profit", "roi", "sharpe"])
+def _(t):
+    return PL.backtest(_bets(t), "odds_fav", "won")
+
+
+@register("p08_correlation_matrix", noisy=["corr"])
+def _(t):
+    return PL.correlation_matrix(D.dataset_two(t.schedules, t.stats, t.odds, t.timeline), D.DS2_FEATURES)
+
+
+@register("p09_population_stability", noisy=["ref_share", "cur_share", "psi"])
+def _(t):
+    ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline).join(
+        t.schedules.select("fixture_id", "start_time"), "fixture_id")
+    return PL.population_stability(ds, "avg_pressure_index_1st_half", F.year("start_time") <= 1997, 10)
+
+
+@register("p10_ratio_anomalies", noisy=["ratio", "z"])
+def _(t):
+    rows = t.stats.filter(F.col("period") == S.FIRST_HALF).join(t.schedules.select("fixture_id", "league_id"),
+                                                                "fixture_id")
+    return PL.ratio_anomalies(rows.select("fixture_id", "team_id", "league_id", "shots_insidebox", "shots_total"),
+                              "league_id", "shots_insidebox", "shots_total", 2.0)
+
+
+@register("p11_totals_mismatch")
+def _(t):
+    return PL.totals_mismatch(t.timeline, t.stats_raw, "fixture_id", F.lit(1), F.lit(1), 0.0)
