@@ -79,9 +79,22 @@ def parse_documents(docs: DataFrame, kind: str, text_col: str = "doc") -> DataFr
     return parsed.select("_d.*", *[c for c in docs.columns if c != text_col])
 
 
+def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows, rows the reader could not parse).
+
+    Spark refuses a query on a raw JSON scan that needs only the corrupt
+    record column, so the parsed frame is persisted once (memory and disk;
+    recomputed from the files if an executor is lost) and both outputs are
+    read from it."""
+    from pyspark import StorageLevel
+    p = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    bad = F.col("_corrupt_record").isNotNull()
+    return p.filter(~bad), p.filter(bad)
+
+
 def corrupt_records(raw: DataFrame) -> DataFrame:
     """Rows the reader could not parse (kept aside, not dropped silently)."""
-    return raw.filter(F.col("_corrupt_record").isNotNull())
+    return split_corrupt(raw)[1]
 
 
 def latest_snapshot(raw: DataFrame, key: str, ts: str = "fetch_timestamp") -> DataFrame:
