@@ -39,6 +39,16 @@ def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
+def distinct_count_small(c) -> Column:
+    """COUNT(DISTINCT c) for groups whose distinct values are few (teams of
+    a fixture).  ``size(collect_set)`` is a hash aggregate with map-side
+    combine and keeps the input's partitioning; ``countDistinct`` mixed with
+    other aggregates adds an Expand that discards it and costs two extra
+    shuffles.  A hot group with many rows still holds only a few distinct
+    values, so the set stays small.  Do not use for unbounded sets."""
+    return F.size(F.collect_set(col(c))).cast("long")
+
+
 def all_null(cols: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
-from pitchlake.functions.exprs import all_null, count_if, non_null_count, pct, ratio
+from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct
 
 FH = S.FIRST_HALF
 
@@ -174,14 +174,14 @@ def member_count_violations(stats: DataFrame, expected: int = 2, period: str = F
                             key: str = "fixture_id", member: str = "team_id") -> DataFrame:
     """keys whose ``period`` rows cover a member count other than ``expected``."""
     return (stats.filter(F.col("period") == period).groupBy(key)
-            .agg(F.countDistinct(member).alias("team_count"))
+            .agg(distinct_count_small(member).alias("team_count"))
             .filter(F.col("team_count") != expected))
 
 
 def member_count_rate(stats: DataFrame, expected: int = 2, period: str = FH) -> DataFrame:
     """F11 rate: offenders over fixtures with ``period`` rows."""
     per = (stats.filter(F.col("period") == period).groupBy("fixture_id")
-           .agg(F.countDistinct("team_id").alias("team_count")))
+           .agg(distinct_count_small("team_id").alias("team_count")))
     return (per.agg(F.count(F.lit(1)).alias("fixtures_with_period"),
                     count_if(F.col("team_count") != expected).alias("incomplete"))
             .withColumn("incomplete_pct", pct("incomplete", "fixtures_with_period")))
@@ -303,8 +303,9 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def duplicate_drill(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """F19 drill-down: all rows of the most repeated key (ties by key)."""
-    top = duplicates(df, keys).orderBy(F.desc("duplicate_count"), *keys).limit(1).drop("duplicate_count")
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(top[k]) for k in keys])
+    top = (duplicates(df, keys).orderBy(F.desc("duplicate_count"), *keys).limit(1)
+           .select(*[F.col(k).alias(f"_top_{k}") for k in keys]))
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(top[f"_top_{k}"]) for k in keys])
     return df.join(F.broadcast(top), cond, "left_semi")
 
 
@@ -511,7 +512,7 @@ def pair_sum(stats: DataFrame, c: str = "ball_possession", period: str = FH) ->
     many rows can never fan out into all of its pairs."""
     rows = stats.filter((F.col("period") == period) & F.col(c).isNotNull())
     per = rows.groupBy("fixture_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.countDistinct("team_id").alias("_t"),
+        F.count(F.lit(1)).alias("_n"), distinct_count_small("team_id").alias("_t"),
         F.min("team_id").alias("team1_id"), F.max("team_id").alias("team2_id"),
         F.min_by(c, "team_id").alias("team1_value"), F.max_by(c, "team_id").alias("team2_value"))
     return (per.filter((F.col("_n") == 2) & (F.col("_t") == 2)).drop("_n", "_t")
@@ -749,7 +750,7 @@ def quality_score(stats: DataFrame, schedules: DataFrame, leagues: DataFrame, se
 
     Aggregated per fixture first; dimension names are joined afterwards."""
     per = stats.filter(F.col("period") == period).groupBy("fixture_id").agg(
-        F.countDistinct("team_id").alias("team_count"),
+        distinct_count_small("team_id").alias("team_count"),
         F.sum(non_null_count(cols)).cast("long").alias("non_null_counts"))
     per = per.withColumn("total_possible", (F.col("team_count") * len(cols)).cast("long"))
     j = per.join(schedules.select("fixture_id", "league_id", "season_id", "start_time"), "fixture_id")
@@ -849,14 +850,14 @@ def error_register(stats: DataFrame, schedules: DataFrame) -> DataFrame:
                    "fixture_id", "left")
     per = j.groupBy("fixture_id", "home_score", "away_score").agg(
         F.max(fh).alias("has_fh"),
-        F.countDistinct(F.when(fh, F.col("team_id"))).alias("fh_teams"),
+        distinct_count_small(F.when(fh, F.col("team_id"))).alias("fh_teams"),
         count_if(fh & poss.isNull()).alias("fh_no_poss"),
         count_if(imp).alias("impossible"),
         F.max(sh & F.col("home_team_id").isNotNull()).alias("has_sh"),
         F.sum(F.when(sh & (F.col("team_id") == F.col("home_team_id")), F.col("goals")).otherwise(0)).alias("sh_home"),
         F.sum(F.when(sh & (F.col("team_id") == F.col("away_team_id")), F.col("goals")).otherwise(0)).alias("sh_away"),
         count_if(fh & poss.isNotNull()).alias("poss_n"),
-        F.countDistinct(F.when(fh & poss.isNotNull(), F.col("team_id"))).alias("poss_t"),
+        distinct_count_small(F.when(fh & poss.isNotNull(), F.col("team_id"))).alias("poss_t"),
         F.sum(F.when(fh, poss)).alias("poss_sum"))
     score_bad = (F.col("has_sh") & F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
                  & ((F.col("home_score") != F.col("sh_home")) | (F.col("away_score") != F.col("sh_away"))))
@@ -878,7 +879,7 @@ def incomplete_fixtures(stats: DataFrame, cols: Sequence[str] = tuple(S.REQUIRED
     """fixtures with an all-NULL ``period`` row OR fewer than two teams
     in ``period`` (one aggregation replaces UNION of two scans)."""
     per = stats.filter(F.col("period") == period).groupBy("fixture_id").agg(
-        F.max(all_null(cols)).alias("_all_null"), F.countDistinct("team_id").alias("_teams"))
+        F.max(all_null(cols)).alias("_all_null"), distinct_count_small("team_id").alias("_teams"))
     return per.filter(F.col("_all_null") | (F.col("_teams") < 2)).select("fixture_id")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
-from pitchlake.functions.exprs import all_not_null, count_if
+from pitchlake.functions.exprs import all_not_null, count_if, distinct_count_small
 
 TARGET_LINE = -0.5
 
@@ -34,7 +34,7 @@ def target_name(line: float = TARGET_LINE) -> str:
 def valid_fixtures(stats: DataFrame, period: str = S.FIRST_HALF, n_teams: int = 2) -> DataFrame:
     """Fixtures whose ``period`` rows cover exactly ``n_teams`` distinct teams."""
     return (stats.filter(F.col("period") == period).groupBy("fixture_id")
-            .agg(F.countDistinct("team_id").alias("team_count"))
+            .agg(distinct_count_small("team_id").alias("team_count"))
             .filter(F.col("team_count") == n_teams).select("fixture_id"))
 
 
@@ -89,7 +89,7 @@ def attach_sides(fixtures: DataFrame, team_rows: DataFrame, cols: Sequence[str],
                 e = F.coalesce(e, F.lit(fill))
             aggs.append(e.alias(prefix + c))
     if team_count:
-        aggs.append(F.countDistinct("_team").alias("team_count"))
+        aggs.append(distinct_count_small("_team").alias("team_count"))
     return j.groupBy(*keys).agg(*aggs)
 
 

@@ -19,7 +19,7 @@ from pitchlake.functions.exprs import normalize_types
 from pitchlake.operators import audit as A
 from pitchlake.operators import features as D
 from pitchlake.operators import worklist as C
-from pitchlake.sources.tables import Testbed
+from pitchlake.sources.tables import stored_testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -40,7 +40,7 @@ def _finish(df: DataFrame, noisy: Sequence[str] = ()) -> DataFrame:
 def register(name: str, noisy: Sequence[str] = ()):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _finish(fn(Testbed(spark, sf_dir)), noisy)
+            return _finish(fn(stored_testbed(spark, sf_dir)), noisy)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
