@@ -746,3 +746,21 @@ def _(t):
 @register("p11_totals_mismatch")
 def _(t):
     return PL.totals_mismatch(t.timeline, t.stats_raw, "fixture_id", F.lit(1), F.lit(1), 0.0)
+
+
+# ------------------------------------------------- landed files (A1 path)
+@register("a01_read_landed_pressure_files")
+def _(t):
+    """Pressure documents landed as JSON-lines files in the shared folder,
+    read back with the fixed schema, normalised and loaded first-wins."""
+    import hashlib
+
+    from pitchlake.session import checkpoint_dir
+    spark = t.spark
+    tag = hashlib.sha1(t.dir.encode()).hexdigest()[:12]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landing/{spark.sparkContext.applicationId}/{tag}/pressure"
+    LD.pressure_documents(t).write.mode("overwrite").text(path)
+    raw = R.read_raw(spark, path, "pressure", multiline=False)
+    ok, _ = B.normalize_pressure(raw)
+    return K.insert_ignore(None, ok, S.KEYS["fixture_timeline"],
+                           order=["fetch_timestamp", "api_event_id"]).select(*CURATED_TIMELINE)

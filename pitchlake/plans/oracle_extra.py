@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pitchlake import schema as S
 from pitchlake.operators.audit import RECOMMENDATIONS
-from pitchlake.plans.oracle import AVG_P, DS1, P, PIVOT_MEAN, SIDED, TARGET, oracle
+from pitchlake.plans.oracle import AVG_P, DS1, ORACLE, P, PIVOT_MEAN, SIDED, TARGET, oracle
 from pitchlake.plans.oracle_audit import F43, F45, SG
 
 HT11 = list(S.REQUIRED_HT_STATS)
@@ -151,3 +151,7 @@ rt AS (select fixture_id, count(*) as right_total from fx_stats_raw group by fix
  select coalesce(lt.fixture_id, rt.fixture_id) as fixture_id, lt.left_total, rt.right_total
  from lt full outer join rt on lt.fixture_id = rt.fixture_id
  where lt.left_total is null or rt.right_total is null or abs(lt.left_total - rt.right_total) > 0""")
+
+
+# A1: landed files hold the same pressure documents as b13
+ORACLE["a01_read_landed_pressure_files"] = ORACLE["b13_normalize_load_pressure"]

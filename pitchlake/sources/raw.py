@@ -60,15 +60,17 @@ KINDS = {"leagues": LEAGUE_ITEM, "teams": TEAM_ITEM, "schedules": SCHEDULE_ENVEL
          "odds": ODDS_ENVELOPE, "pressure": PRESSURE_ENVELOPE}
 
 
-def read_raw(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, kind: str, multiline: bool = True) -> DataFrame:
     """A1: read landed files of one ``kind`` with its fixed schema.
 
-    Files are indented JSON (``multiLine``); a list file yields one row per
-    item.  Malformed documents keep their text in ``_corrupt_record``
-    (route them with ``corrupt_records``); ``_source_file`` records where
-    each row came from."""
+    Files are indented JSON, one document (or one list) per file
+    (``multiline=True``, a file is not split); batched landings may be JSON
+    lines (``multiline=False``, files are split across tasks).  A list
+    file yields one row per item.  Malformed documents keep their text in
+    ``_corrupt_record`` (route them with ``split_corrupt``);
+    ``_source_file`` records where each row came from."""
     schema = T.StructType(KINDS[kind].fields + [T.StructField("_corrupt_record", S, True)])
-    return (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+    return (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
             .withColumn("_source_file", F.col("_metadata.file_path")))
 

@@ -54,6 +54,15 @@ def test_no_python_udf_in_any_registered_query(spark):
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
+def test_filters_pushed_and_columns_pruned(spark):
+    df = queries()["f13_null_profile"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the period predicate prunes partitions of the stored statistics
+    assert "PartitionFilters: [isnotnull(period" in plan and "= first_half)" in plan
+    scan_schema = [line for line in plan.split("\n") if "fixture_stats" in line or "ReadSchema" in line]
+    assert all("src_a" not in s and "api_ts" not in s for s in scan_schema)
+
+
 def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(x),) for x in range(11)], "v double")
     out = {r.bin: r.n for r in A.histogram(df, "v", 5).collect()}
