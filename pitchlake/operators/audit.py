@@ -112,7 +112,7 @@ def missing_children(schedules: DataFrame, stats: DataFrame, leagues=None, seaso
                      statuses: Sequence[str] = tuple(S.FINISHED_STATS)) -> DataFrame:
     """finished fixtures with no statistics rows, with names."""
     fx = schedules.filter(F.col("status").isin(*statuses)).join(
-        stats.select("fixture_id"), "fixture_id", "left_anti")
+        stats.select("fixture_id").distinct(), "fixture_id", "left_anti")
     out = _names(fx.select("fixture_id", "league_id", "season_id", "home_team_id", "away_team_id",
                            "start_time", "status"), leagues, seasons, teams)
     cols = ["fixture_id", "league_id", "league_name", "season_id", "season_name",

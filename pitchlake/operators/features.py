@@ -76,15 +76,17 @@ def attach_sides(fixtures: DataFrame, team_rows: DataFrame, cols: Sequence[str],
     the number of distinct teams in ``team_rows`` per fixture (D1).
     """
     keys = fixtures.columns
-    j = fixtures.join(team_rows.withColumnRenamed("team_id", "_team"), "fixture_id", "left")
+    # one row per (fixture, team) before the join: combined map-side, so a
+    # fixture with a huge number of rows shrinks to its few teams before it
+    # meets the left join (whose right side AQE cannot split)
+    per_team = team_rows.groupBy("fixture_id", "team_id").agg(
+        *[(F.sum(c) if how == "sum" else F.max(c)).alias(c) for c in cols])
+    j = fixtures.join(per_team.withColumnRenamed("team_id", "_team"), "fixture_id", "left")
     aggs = []
     for side, prefix in (("home_team_id", home_prefix), ("away_team_id", away_prefix)):
         mine = F.col("_team") == F.col(side)
         for c in cols:
-            if how == "sum":
-                e = F.sum(F.when(mine, F.col(c)))
-            else:
-                e = F.max(F.when(mine, F.col(c)))
+            e = F.max(F.when(mine, F.col(c)))
             if fill is not None:
                 e = F.coalesce(e, F.lit(fill))
             aggs.append(e.alias(prefix + c))
@@ -245,7 +247,8 @@ DS2_FEATURES = ["odds_ratio", "avg_pressure_index_1st_half", "ht_goals_diff", "h
 def with_timeline(df: DataFrame, timeline: DataFrame) -> DataFrame:
     """Keep rows whose fixture has timeline rows (a semi join, not an
     id list shipped through the driver)."""
-    return df.join(timeline.select("fixture_id"), "fixture_id", "left_semi")
+    # distinct first: duplicates of a hot fixture are combined map-side
+    return df.join(timeline.select("fixture_id").distinct(), "fixture_id", "left_semi")
 
 
 def ft_scores(schedules: DataFrame, statuses: Sequence[str] = tuple(S.FINISHED_STATS)) -> DataFrame:
