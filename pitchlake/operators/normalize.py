@@ -172,16 +172,20 @@ def normalize_stats(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     # coerce each item once (as int and as double); the pivot below only
     # picks the already-coerced value
     usable = F.col("code").isNotNull() & F.col("v").isNotNull() & ~F.is_variant_null(F.col("v"))
+    is_float = F.col("code").isin(*[k for k, v in S.STAT_CODE_TO_COLUMN.items() if v in S.FLOAT_STATS])
     items = items.select("_doc", "_ppos", "fetch_timestamp", "fixture_id", "period", "team_id",
                          F.when(usable, F.col("code")).alias("code"), "pos",
-                         coerce_variant(F.col("v"), "int").alias("iv"), coerce_variant(F.col("v"), "double").alias("dv"))
+                         F.when(~is_float, coerce_variant(F.col("v"), "int")).alias("iv"),
+                         F.when(is_float, coerce_variant(F.col("v"), "double")).alias("dv"))
     aggs = []
     for code, column in S.STAT_CODE_TO_COLUMN.items():
         hit = F.col("code") == code
         val = F.col("dv") if column in S.FLOAT_STATS else F.col("iv")
         aggs.append(F.max_by(F.when(hit, val), F.when(hit, F.col("pos"))).alias(column))
     rows = items.groupBy("_doc", "_ppos", "fetch_timestamp", "fixture_id", "period", "team_id").agg(*aggs)
-    rows = rows.withColumn("timestamp", F.try_to_timestamp("fetch_timestamp")).drop("_doc", "_ppos")
+    # wall-clock fetch time (independent of the session time zone)
+    rows = rows.withColumn("timestamp", F.try_to_timestamp("fetch_timestamp").cast("timestamp_ntz")) \
+        .drop("_doc", "_ppos")
     return rows, bad_p.drop("st", "_doc", "_ppos")
 
 

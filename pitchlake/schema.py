@@ -147,7 +147,7 @@ SCHEDULES = T.StructType([
 
 FIXTURE_STATS = T.StructType(
     [_f("fixture_id", L, False), _f("team_id", L, False), _f("period", S, False)]
-    + [_f(c, stat_type(c)) for c in STAT_COLUMNS] + [_f("timestamp", TS)])
+    + [_f(c, stat_type(c)) for c in STAT_COLUMNS] + [_f("timestamp", TS_NTZ)])
 
 FIXTURE_ODDS = T.StructType([
     _f("fixture_id", L, False), _f("market_id", I, False), _f("bookmaker_id", I, False),

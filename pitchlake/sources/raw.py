@@ -70,15 +70,21 @@ def read_raw(spark: SparkSession, path: str, kind: str, multiline: bool = True)
     ``_corrupt_record`` (route them with ``split_corrupt``);
     ``_source_file`` records where each row came from."""
     schema = T.StructType(KINDS[kind].fields + [T.StructField("_corrupt_record", S, True)])
-    return (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    df = (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
             .withColumn("_source_file", F.col("_metadata.file_path")))
+    if multiline and kind not in ("leagues", "teams"):
+        # one envelope per file: the file identifies the document
+        df = df.withColumn("_doc_id", F.xxhash64("_source_file"))
+    return df
 
 
 def parse_documents(docs: DataFrame, kind: str, text_col: str = "doc") -> DataFrame:
     """Parse JSON text documents already in a DataFrame (same schema as A1)."""
-    parsed = docs.select(F.from_json(text_col, KINDS[kind]).alias("_d"), *[c for c in docs.columns if c != text_col])
-    return parsed.select("_d.*", *[c for c in docs.columns if c != text_col])
+    rest = [c for c in docs.columns if c != text_col]
+    parsed = docs.select(F.from_json(text_col, KINDS[kind]).alias("_d"),
+                         F.xxhash64(text_col).alias("_doc_id"), *rest)
+    return parsed.select("_d.*", "_doc_id", *rest)
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -46,6 +46,11 @@ def test_train_gbt_small(spark):
     assert res["auc"] > 0.9
     imp = E.importance(spark, res["model"], ["x"]).collect()
     assert imp[0].feature == "x"
+    from pitchlake.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/models/unit_gbt"
+    E.save_model(res["model"], path)
+    again = E.score(E.load_model(path), df.limit(20))
+    assert again.count() == 20 and "p1" in again.columns
 
 
 def test_first_wins_sink_replay_is_noop(spark, tmp_path):
