@@ -9,6 +9,8 @@ both engines read identical inputs.
 
 from __future__ import annotations
 
+import hashlib
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,6 +160,7 @@ class Testbed:
 
 STORED_TABLES = ("schedules", "stats_raw", "stats", "odds", "timeline")
 _LOADED: dict[tuple, dict] = {}
+_LOCK = threading.Lock()
 
 
 def stored_testbed(spark: SparkSession, directory: str) -> Testbed:
@@ -169,31 +172,33 @@ def stored_testbed(spark: SparkSession, directory: str) -> Testbed:
     ``spark.checkpoint.dir`` — never a machine-local folder on a cluster —
     and every later query reads those files (column pruning and filter
     pushdown apply as for any scan)."""
-    import hashlib
+    key = (spark.sparkContext.applicationId, directory)
+    with _LOCK:  # concurrent callers load once
+        if key not in _LOADED:
+            _LOADED[key] = _load(spark, directory)
+    return Testbed(spark, directory, stored=_LOADED[key])
+
 
+def _load(spark: SparkSession, directory: str) -> dict:
     from pitchlake.session import checkpoint_dir
-    app = spark.sparkContext.applicationId
-    key = (app, directory)
-    if key not in _LOADED:
-        bed = Testbed(spark, directory)
-        tag = hashlib.sha1(directory.encode()).hexdigest()[:12]
-        base = f"{checkpoint_dir(spark).rstrip('/')}/testbed/{app}/{tag}"
-        paths = {}
-        for name in STORED_TABLES:
-            paths[name] = f"{base}/{name}"
-            if name == "stats":
-                # de-duplicate from the stored raw rows, not from a re-join
-                df = Testbed(spark, directory, stored={"stats_raw": paths["stats_raw"]}).stats
-            else:
-                df = getattr(bed, name)
-            w = df.write.mode("overwrite")
-            if name == "stats":
-                # most jobs read one period: period = ... becomes partition pruning
-                # (the raw rows are only read whole, so they stay unpartitioned)
-                w = w.partitionBy("period")
-            w.parquet(paths[name])
-        _LOADED[key] = paths
-    return Testbed(spark, directory, stored=_LOADED[key])
+    bed = Testbed(spark, directory)
+    tag = hashlib.sha1(directory.encode()).hexdigest()[:12]
+    base = f"{checkpoint_dir(spark).rstrip('/')}/testbed/{spark.sparkContext.applicationId}/{tag}"
+    paths = {}
+    for name in STORED_TABLES:
+        paths[name] = f"{base}/{name}"
+        if name == "stats":
+            # de-duplicate from the stored raw rows, not from a re-join
+            df = Testbed(spark, directory, stored={"stats_raw": paths["stats_raw"]}).stats
+        else:
+            df = getattr(bed, name)
+        w = df.write.mode("overwrite")
+        if name == "stats":
+            # most jobs read one period: period = ... becomes partition pruning
+            # (the raw rows are only read whole, so they stay unpartitioned)
+            w = w.partitionBy("period")
+        w.parquet(paths[name])
+    return paths
 
 
 # The same test bed as SQL common table expressions (valid in DuckDB and
