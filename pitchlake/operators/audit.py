@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
-from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct
+from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct, small_side
 
 FH = S.FIRST_HALF
 
@@ -95,12 +95,15 @@ def small_groups(counts: DataFrame, min_n: int = 30, count_col: str = "fixture_c
 # ---------------------------------------------------------------- F5–F10
 def _names(df: DataFrame, leagues: DataFrame | None, seasons: DataFrame | None,
            teams: DataFrame | None) -> DataFrame:
+    # dimensions are broadcast only when their estimated size is small
     if leagues is not None:
-        df = df.join(leagues.select("league_id", F.col("name").alias("league_name")), "league_id", "left")
+        df = df.join(small_side(leagues.select("league_id", F.col("name").alias("league_name"))),
+                     "league_id", "left")
     if seasons is not None:
-        df = df.join(seasons.select("season_id", F.col("name").alias("season_name")), "season_id", "left")
+        df = df.join(small_side(seasons.select("season_id", F.col("name").alias("season_name"))),
+                     "season_id", "left")
     if teams is not None:
-        t = teams.select("team_id", "name")
+        t = small_side(teams.select("team_id", "name"))
         df = (df.join(t.select(F.col("team_id").alias("home_team_id"), F.col("name").alias("home_team")),
                       "home_team_id", "left")
               .join(t.select(F.col("team_id").alias("away_team_id"), F.col("name").alias("away_team")),
