@@ -160,9 +160,10 @@ top AS (select fixture_id, team_id, period from f19 order by duplicate_count des
  from fx_stats_raw r where exists (select 1 from top where top.fixture_id is not distinct from r.fixture_id
    and top.team_id is not distinct from r.team_id and top.period is not distinct from r.period)""")
 oracle("f20_duplicate_odds", """
+, o AS (select *, cast(null as double) as handicap, cast(null as double) as total from fx_odds)
  select fixture_id, cast(market_id as bigint) as market_id, cast(bookmaker_id as bigint) as bookmaker_id, label,
-   count(*) as duplicate_count
- from fx_odds group by fixture_id, market_id, bookmaker_id, label having count(*) > 1""")
+   handicap, total, count(*) as duplicate_count
+ from o group by fixture_id, market_id, bookmaker_id, label, handicap, total having count(*) > 1""")
 
 EXPECTED = [("o_orderkey", "bigint", "bigint", "BIGINT"), ("o_custkey", "bigint", "bigint", "BIGINT"),
             ("o_orderstatus", "int", "string", "INTEGER"), ("o_totalprice", "double", "double", "DOUBLE"),

@@ -151,6 +151,12 @@ def test_write_read_csv_and_checkpoint(spark, tmp_path):
     assert cut.count() == 2 and spark.sparkContext.getCheckpointDir()
 
 
+def test_observe_counts_during_write(spark, tmp_path):
+    df, obs = K.observe_counts(spark.range(10), "load", {"even": F.col("id") % 2 == 0})
+    df.write.mode("overwrite").parquet(str(tmp_path / "o"))
+    assert obs.get == {"rows": 10, "even": 5}
+
+
 def test_load_report_and_audit(spark):
     items = spark.range(5)
     rep = K.load_report(items, items.filter("id > 1"), items.filter("id = 0")).first()
