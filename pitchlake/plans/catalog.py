@@ -630,6 +630,18 @@ def _(t):
     return H.run_available_now(s.select("event_id", "ts", "user_id", "event_type", "value"), "h1")
 
 
+@register("h1_stream_normalize_pressure_docs")
+def _(t):
+    """Landed pressure documents streamed, normalised and de-duplicated;
+    the key set equals the batch first-wins load (b13)."""
+    spark = t.spark
+    landing = H.stream_dir(spark, "h1-landing")
+    LD.pressure_documents(t).write.mode("overwrite").text(landing)
+    s = H.normalized_pressure_stream(spark, landing)
+    out = H.run_available_now(s.select("fixture_id", "minute", "participant_id", "event_type"), "h1p")
+    return out
+
+
 @register("h2_stream_window_mean", noisy=["avg_value"])
 def _(t):
     return H.run_available_now(H.windowed_mean(_events_stream(t), "ts", "event_type", "value"), "h2")

@@ -155,3 +155,7 @@ rt AS (select fixture_id, count(*) as right_total from fx_stats_raw group by fix
 
 # A1: landed files hold the same pressure documents as b13
 ORACLE["a01_read_landed_pressure_files"] = ORACLE["b13_normalize_load_pressure"]
+oracle("h1_stream_normalize_pressure_docs", """
+ select distinct l_orderkey as fixture_id, cast(cast(l_quantity as int) * 2 as bigint) as minute,
+   cast(l_linenumber % 2 as bigint) as participant_id, 'pressure' as event_type
+ from lineitem where l_orderkey % 4 <> 0""")

@@ -50,6 +50,25 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, watermark: st
     return s.withWatermark(et, watermark).dropDuplicatesWithinWatermark(list(keys)).select(*cols)
 
 
+def normalized_pressure_stream(spark: SparkSession, landing_dir: str, watermark: str = "3650 days",
+                               max_files: int | None = None) -> DataFrame:
+    """H1 over landed documents: JSON-lines pressure envelopes streamed
+    from ``landing_dir``, normalised with the batch expressions (B13) and
+    de-duplicated on the timeline natural key within the watermark (event
+    time = fetch time).  The delay must cover how late a re-fetch can land;
+    replaying years of history needs a long one."""
+    from pitchlake.operators.normalize import normalize_pressure
+    from pitchlake.sources.raw import parse_documents
+    r = spark.readStream.format("text")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    docs = r.load(landing_dir).withColumnRenamed("value", "doc")
+    ok, _ = normalize_pressure(parse_documents(docs, "pressure"))
+    ok = ok.withColumn("fetch_ts", F.try_to_timestamp("fetch_timestamp"))
+    keys = ["fixture_id", "minute", "participant_id", "event_type"]
+    return ok.withWatermark("fetch_ts", watermark).dropDuplicatesWithinWatermark(keys)
+
+
 # ----------------------------------------------------------------- H2
 def windowed_mean(stream: DataFrame, ts: str, key: str, value: str, window: str = "15 minutes",
                   watermark: str = "1 hour") -> DataFrame:
