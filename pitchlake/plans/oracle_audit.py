@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pitchlake import schema as S
 from pitchlake.operators.audit import ERROR_PATTERNS
-from pitchlake.plans.oracle import INT_STATS, B, P, oracle
+from pitchlake.plans.oracle import INT_STATS, P, oracle
 
 HT11 = list(S.REQUIRED_HT_STATS)
 KEYS = S.KEYS
