@@ -215,6 +215,11 @@ DS1_ODDS_FEATURES = ["odds_home", "odds_draw", "odds_away", "implied_prob_home",
                      "odds_fav", "odds_und"]
 
 
+# the training job uses the 11 differentials plus the home/away price ratio
+DS1_TRAIN_FEATURES = [f"ht_diff_{s}" for s in S.REQUIRED_HT_STATS if s != "goals"] + ["ht_diff_goals",
+                                                                                     "odds_ratio_hw"]
+
+
 def ds1_feature_names() -> list[str]:
     stats = [s for s in S.REQUIRED_HT_STATS if s != "goals"]
     return [f"ht_diff_{s}" for s in stats] + ["ht_diff_goals"] + DS1_ODDS_FEATURES

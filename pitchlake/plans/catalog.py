@@ -616,6 +616,23 @@ def _(t):
     return spark.createDataFrame(rows, "section string, name string, value double")
 
 
+@register("e05_train_gbt_dataset_one")
+def _(t):
+    """Dataset 1, training subset of features, baseline parameters, early
+    stopping on a validation slice of the training rows."""
+    ds = D.dataset_one(t.schedules, t.stats, t.odds).withColumnRenamed(D.target_name(), "label")
+    res = E.train_and_evaluate(ds, D.DS1_TRAIN_FEATURES, "label", E.BASELINE_PARAMS, early_stopping=True)
+    spark = ds.sparkSession
+    if res["model"] is None:
+        return spark.createDataFrame([], "section string, name string, value double")
+    rows = [("metric", k, float(v)) for k, v in res["metrics"].first().asDict().items() if v is not None]
+    rows += [("metric", "roc_auc", float(res["auc"])),
+             ("model", "trees", float(res["model"].stages[-1].getNumTrees))]
+    rows += [("importance", r.feature, r.importance)
+             for r in E.importance(spark, res["model"], D.DS1_TRAIN_FEATURES).collect()]
+    return spark.createDataFrame(rows, "section string, name string, value double")
+
+
 # --------------------------------------------------------------- streaming
 from pitchlake.streaming import jobs as H  # noqa: E402
 

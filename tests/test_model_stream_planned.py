@@ -39,6 +39,13 @@ def test_clean_features_and_guard(spark):
     assert E.train_gbt(df.withColumn("y", F.lit(1)), ["a", "b"], "y") is None
 
 
+def test_best_iteration_patience():
+    losses = [0.9, 0.8, 0.7, 0.71, 0.72, 0.69, 0.75, 0.76, 0.77, 0.6]
+    assert E.best_iteration(losses, 3) == 5      # 0.6 comes after 3 rounds without a new minimum
+    assert E.best_iteration(losses, 10) == 9
+    assert E.best_iteration([0.5], 50) == 0
+
+
 def test_train_gbt_small(spark):
     df = spark.range(400).select(F.col("id").alias("fixture_id"), (F.col("id") % 7).cast("double").alias("x"),
                                  ((F.col("id") % 7) > 3).cast("int").alias("label"))
