@@ -780,6 +780,17 @@ def _(t):
     return PL.totals_mismatch(t.timeline, t.stats_raw, "fixture_id", F.lit(1), F.lit(1), 0.0)
 
 
+@register("a02_latest_stats_snapshot")
+def _(t):
+    """Newest landed statistics document per fixture (ties: larger period
+    description, then more statistics)."""
+    docs = _stats_raw(t).select(
+        "fixture_id", "fetch_timestamp",
+        F.get(F.col("fixture_data_with_stats.data.periods"), 0)["description"].alias("description"),
+        F.size(F.get(F.col("fixture_data_with_stats.data.periods"), 0)["statistics"]).alias("n_statistics"))
+    return R.latest_snapshot(docs, "fixture_id")
+
+
 # ------------------------------------------------- landed files (A1 path)
 @register("a01_read_landed_pressure_files")
 def _(t):
