@@ -189,7 +189,9 @@ def _load(spark: SparkSession, directory: str) -> dict:
     bed = Testbed(spark, directory)
     tag = hashlib.sha1(directory.encode()).hexdigest()[:12]
     base = f"{checkpoint_dir(spark).rstrip('/')}/testbed/{spark.sparkContext.applicationId}/{tag}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # buckets: ``pitchlake.testbed.buckets`` if set, else the shuffle width
+    buckets = int(spark.conf.get("pitchlake.testbed.buckets", None)
+                  or spark.conf.get("spark.sql.shuffle.partitions"))
     tables = {}
     for name in STORED_TABLES:
         tables[name] = f"pitchlake_{tag}_{name}"
