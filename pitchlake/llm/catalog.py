@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pitchlake.llm import exact_dedup
+from pitchlake.llm import decontaminate, exact_dedup, line_dedup, ngram_join, url_filter
 
 QUERIES = {
+    "op2_ngram_join": ngram_join.op2_ngram_join,
+    "op3_url_filter": url_filter.op3_url_filter,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 SQL = {
+    "op2_ngram_join": ngram_join.OP2_SQL,
+    "op6_line_dedup": line_dedup.OP6_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "op10_decontaminate": decontaminate.OP10_SQL,
 }
