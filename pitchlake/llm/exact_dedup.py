@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import ascii_lower, cut, id_key, in_slices, session_conf, table, utf8_values
+from pitchlake.llm.common import NO_ID, ascii_lower, cut, id_key, in_slices, session_conf, table, utf8_values
 
 PRIMES = (2 ** 31 - 1, 2 ** 31 - 19)
 BASES = (1_000_003, 1_073_741_789)
@@ -144,10 +144,9 @@ def _differing(docs: DataFrame, members: DataFrame, groups: DataFrame) -> DataFr
             .select("id", "text_key").distinct())
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
-    text_sha256 (see the module docstring for ties and nulls)."""
-    # rows that agree in id and text are one member with a count
+def _resolved(docs: DataFrame) -> DataFrame:
+    """Members (rows that agree in id and text, with their number ``copies``)
+    and the verified group each belongs to."""
     members = cut(fingerprints(docs).groupBy("doc_id", "text_key", "n_bytes", "fp", "sha")
                   .agg(F.count("*").alias("copies")).withColumn("round", F.lit(0)), "members")
     groups = cut(_group(members), "groups")
@@ -160,9 +159,14 @@ def exact_groups(docs: DataFrame) -> DataFrame:
             F.when(F.col("id").isNotNull(), F.lit(step)).otherwise(F.col("round")).alias("round")), "members")
         groups = cut(_group(members), "groups")
         todo, current = members.where(F.col("round") == step), groups.where(F.col("round") == step)
-    rows = (members.join(groups, GROUP)
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
-    keep = F.when(F.col("rep_id") != F.lit(-(2 ** 63)), F.col("rep_id"))
+    return members.join(groups, GROUP)
+
+
+def exact_groups(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
+    text_sha256 (see the module docstring for ties and nulls)."""
+    rows = _resolved(docs).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    keep = F.when(F.col("rep_id") != F.lit(NO_ID), F.col("rep_id"))
     return rows.select(
         "doc_id", keep.alias("keep_id"), F.col("size").alias("group_size"),
         ((id_key() == F.col("rep_id")) & (F.col("copy") == 1)).alias("kept"),
@@ -172,12 +176,16 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row left of every group of equal texts (the one with
     the largest doc_id); columns unchanged."""
-    keep = cut(exact_groups(docs).where("kept").select(id_key().alias("keep_key"), "text_sha256"), "kept_ids")
-    columns = docs.columns
-    # rows of one id and one text are copies: the first is enough
-    normal = F.sha2(F.encode(ascii_lower(F.coalesce("text", F.lit(""))), "UTF-8"), 256)
-    out = docs.join(keep.hint("shuffle_hash"), (id_key() == F.col("keep_key")), "inner")
-    return out.where(normal == F.col("text_sha256")).dropDuplicates(["keep_key", "text_sha256"]).select(*columns)
+    stay = cut(_resolved(docs).where(id_key() == F.col("rep_id")).select(
+        F.col("rep_id").alias("keep_key"), F.col("text_key").alias("keep_text"), *GROUP, "copies"), "stay")
+    # one text under one id may be spelt in several ways that differ in case
+    spelt = stay.groupBy("keep_key", *GROUP).agg(F.min("keep_text").alias("keep_text"), F.sum("copies").alias("copies"))
+    stay = cut(spelt, "stay")
+    out = docs.join(stay.select("keep_key", "keep_text").hint("shuffle_hash"),
+                    (id_key() == F.col("keep_key")) & (F.xxhash64("text") == F.col("keep_text")), "left_semi")
+    if stay.where("copies > 1").isEmpty():
+        return out
+    return out.withColumns({"k": id_key(), "t": F.xxhash64("text")}).dropDuplicates(["k", "t"]).select(*docs.columns)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
