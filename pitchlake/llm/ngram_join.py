@@ -16,8 +16,9 @@ when ``100 * |x and y| >= 80 * |x or y|``.
    ``n - ceil(0.8 n) + 1`` are its prefix; linked sets share a prefix token.
    A class whose prefix is all unshared links with nothing.
 4. *Candidates.*  A token's list of classes is compared as a star: every
-   member with the smallest, after the length filter and the positional
-   filter (what can still follow the shared position must suffice).  A pair
+   member with the one that has the fewest unshared tokens (among near copies
+   that is the text they were made from), after the length filter and the
+   positional filter (what follows the pair's first shared token must suffice).  A pair
    met under several tokens is verified once.  Verification cuts both sets
    at common pivots (suffix filter: the parts bound the overlap) and then
    counts the overlap exactly.
@@ -320,11 +321,15 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                .select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b").mapInArrow(_verify, "a bigint, b bigint"), "ngram-links")
 
 
-def _may_link(n1: str, p1: str, n2: str, p2: str) -> F.Column:
-    """Length filter and positional filter for a shared token at p1 and p2."""
-    least = f"ceil({NEED} * ({n1} + {n2}) / {100 + NEED})"
-    return F.expr(f"100 * least({n1}, {n2}) >= {NEED} * greatest({n1}, {n2}) "
-                  f"and least({n1} - {p1}, {n2} - {p2}) + least({p1}, {p2}) >= {least}")
+def _may_link(x: str, y: str) -> F.Column:
+    """Length filter and positional filter for a token that two sets share.
+
+    A linked pair is met at the first token that it shares: none comes
+    before it in either set, so the overlap is at most what follows there."""
+    nx, ny, px, py = f"n_{x}", f"n_{y}", f"place_{x}", f"place_{y}"
+    least = f"ceil({NEED} * ({nx} + {ny}) / {100 + NEED})"
+    return F.expr(f"100 * least({nx}, {ny}) >= {NEED} * greatest({nx}, {ny}) "
+                  f"and least({nx} - {px}, {ny} - {py}) >= {least}")
 
 
 def ngram_groups(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -340,32 +345,33 @@ def ngram_groups(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     sets = found.where("tokens is not null").select("class", "n", "tokens")
     index = (found.where("prefix is not null")
              .select("class", "n", "unshared", F.posexplode("prefix").alias("k", "token"))
-             .select("token", "class", "n", (F.col("unshared") + F.col("k")).alias("place"), F.col("class").alias("root")))
+             .select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("unshared").alias("unshared_b"),
+                     (F.col("unshared") + F.col("k")).alias("place_b"), F.col("class").alias("root_b")))
     links, roots = None, None
     for _ in range(STARS):
-        stars = cut(index.groupBy("token").agg(F.min(F.struct("root", "class", "n", "place")).alias("head"),
-                                               F.max("root").alias("last"))
-                    .where("head.root < last")
-                    .select("token", F.col("head.root").alias("root_a"), F.col("head.class").alias("a"),
-                            F.col("head.n").alias("n_a"), F.col("head.place").alias("place_a")), "ngram-stars")
+        stars = cut(index.groupBy("token").agg(
+            F.min(F.struct("unshared_b", "b", "n_b", "place_b", "root_b")).alias("head"),
+            F.min("root_b").alias("least"), F.max("root_b").alias("last")).where("least < last")
+            .select("token", *[F.col(f"head.{c}_b").alias(f"{c}_a") for c in ("unshared", "n", "place", "root")],
+                    F.col("head.b").alias("a")), "ngram-stars")
         if stars.isEmpty():
             index = None
             break
-        index = cut(index.join(stars, "token").where("class <> a"), "ngram-open")
-        pairs = cut(index.where("root <> root_a").where(_may_link("n_a", "place_a", "n", "place"))
-                    .select("a", F.col("class").alias("b"), "n_a", F.col("n").alias("n_b")).distinct(), "ngram-pairs")
+        index = cut(index.join(stars, "token").where("b <> a"), "ngram-open")
+        pairs = cut(index.where("root_b <> root_a").where(_may_link("a", "b"))
+                    .select("a", "b", "n_a", "n_b").distinct(), "ngram-pairs")
         more = _links(pairs, sets)
         links = more if links is None else links.unionByName(more)
         roots = components(links, "ngram-roots")
-        index = (index.select("token", "class", "n", "place")
-                 .join(roots.withColumnRenamed("node", "class"), "class", "left")
-                 .select("token", "class", "n", "place", F.coalesce("root", "class").alias("root")))
+        index = (index.select("token", "b", "n_b", "unshared_b", "place_b")
+                 .join(roots.withColumnRenamed("node", "b"), "b", "left")
+                 .select("token", "b", "n_b", "unshared_b", "place_b", F.coalesce("root", "b").alias("root_b")))
     if index is not None:  # what is still open, all pairs of different components
-        ends = index.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("last")).where("least < last")
-        left = cut(index.join(ends, "token").select("token", "class", "n", "place", "root"), "ngram-rest")
-        x, y = (left.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "place", "root")]) for s in "ab")
-        pairs = cut(x.join(y, "token").where("root_a < root_b").where(_may_link("n_a", "place_a", "n_b", "place_b"))
-                    .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b").distinct(), "ngram-pairs")
+        ends = index.groupBy("token").agg(F.min("root_b").alias("least"), F.max("root_b").alias("last")).where("least < last")
+        left = cut(index.join(ends, "token").select("token", "b", "n_b", "unshared_b", "place_b", "root_b"), "ngram-rest")
+        other = left.select("token", F.col("b").alias("a"), *[F.col(f"{c}_b").alias(f"{c}_a") for c in ("n", "unshared", "place", "root")])
+        pairs = cut(other.join(left, "token").where("root_a < root_b").where(_may_link("a", "b"))
+                    .select("a", "b", "n_a", "n_b").distinct(), "ngram-pairs")
         if not pairs.isEmpty():
             links = links.unionByName(_links(pairs, sets))
             roots = components(links, "ngram-roots")
