@@ -42,8 +42,9 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The selected documents, one row per epoch in which a document is read."""
     chosen = cut(mixing.mix(docs).select(id_key().alias("key"), "domain", "tokens", "epoch").distinct(), "mix-chosen")
-    return docs.join(chosen, id_key() == F.col("key")).select(*[docs[c] for c in docs.columns if c not in chosen.columns],
-                                                              "domain", "tokens", "epoch")
+    added = ["domain", "tokens", "epoch"]
+    return docs.join(chosen, id_key() == chosen["key"]).select(
+        *[docs[c] for c in docs.columns if c.lower() not in added], *[chosen[c] for c in added])
 
 
 STAGES = [

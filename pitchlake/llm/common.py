@@ -58,6 +58,14 @@ def id_key(c: str = "doc_id") -> Column:
     return F.coalesce(F.col(c), F.lit(NO_ID))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def utf8_values(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without building Python strings."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

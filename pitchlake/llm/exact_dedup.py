@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import NO_ID, ascii_lower, cut, id_key, in_slices, session_conf, table, utf8_values
+from pitchlake.llm.common import NO_ID, ascii_lower, cut, id_key, in_slices, session_conf, table, unused, utf8_values
 
 PRIMES = (2 ** 31 - 1, 2 ** 31 - 19)
 BASES = (1_000_003, 1_073_741_789)
@@ -181,11 +181,12 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     # one text under one id may be spelt in several ways that differ in case
     spelt = stay.groupBy("keep_key", *GROUP).agg(F.min("keep_text").alias("keep_text"), F.sum("copies").alias("copies"))
     stay = cut(spelt, "stay")
-    out = docs.join(stay.select("keep_key", "keep_text").hint("shuffle_hash"),
-                    (id_key() == F.col("keep_key")) & (F.xxhash64("text") == F.col("keep_text")), "left_semi")
+    same = (id_key() == stay["keep_key"]) & (F.xxhash64("text") == stay["keep_text"])
+    out = docs.join(stay.hint("shuffle_hash"), same, "left_semi")
     if stay.where("copies > 1").isEmpty():
         return out
-    return out.withColumns({"k": id_key(), "t": F.xxhash64("text")}).dropDuplicates(["k", "t"]).select(*docs.columns)
+    key, text = unused(docs, "key"), unused(docs, "text_hash")
+    return out.withColumns({key: id_key(), text: F.xxhash64("text")}).dropDuplicates([key, text]).select(*docs.columns)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

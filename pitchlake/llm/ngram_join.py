@@ -395,7 +395,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     groups = ngram_groups(docs)
     keep = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key().alias("keep_key")).distinct(),
                "ngram-kept")
-    return docs.join(keep.hint("shuffle_hash"), id_key() == F.col("keep_key"), "left_semi").select(*docs.columns)
+    return docs.join(keep.hint("shuffle_hash"), id_key() == keep["keep_key"], "left_semi")
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
