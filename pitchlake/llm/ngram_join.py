@@ -55,7 +55,7 @@ from pitchlake.llm.components import components
 
 WORDS, NEED = 5, 80          # words of a shingle; percent of the union
 TOKEN_BITS, INDEX_BITS = 48, 16
-SLICE_DOCS = 8192            # fits INDEX_BITS
+SLICE_DOCS, SLICE_BYTES = 8192, 12 << 20  # places of documents fit INDEX_BITS
 STARS = 3
 _MASK = np.uint64((1 << INDEX_BITS) - 1)
 _WORD = b" \t\n\x0b\x0c\r"   # bytes.split() parts words at exactly these
@@ -68,7 +68,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) < 1 << 20:
+        if len(self) < 1 << 18:
             self[word] = value
         return value
 
@@ -159,8 +159,8 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(list(c), k) for n, c, k in zip(("bucket", "kind", "a", "b", "c"), cols, kinds)})
 
 
-def _dest(classes: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(classes.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+def _home(classes: np.ndarray, homes: int) -> np.ndarray:
+    return (_mix(classes.astype(np.uint64)) % np.uint64(homes)).astype(np.int64)
 
 
 def _split(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -169,23 +169,24 @@ def _split(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     return ((d, order[i:j]) for d, (i, j) in enumerate(zip(at, at[1:])) if j > i)
 
 
-def _deal(buckets: int):
-    """Map side: a slice of documents becomes packed rows."""
+def _deal(buckets: int, homes: int):
+    """Map side: a slice of documents becomes packed rows, dealt to token
+    ranges; what belongs to documents and classes is passed on to its home."""
     bounds = [(i << TOKEN_BITS) // buckets for i in range(buckets + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for b in in_slices(batches, "text", max_rows=SLICE_DOCS):
+        for b in in_slices(batches, "text", SLICE_BYTES, SLICE_DOCS):
             pairs, size, classes = shingle_pairs(utf8_values(b.column("text")), hashes)
             ids = b.column("doc_id").to_pylist()
             known = np.array([x is not None for x in ids])
             ids = np.array([x or 0 for x in ids], dtype=np.int64)
-            turn = int(classes[0] % buckets)  # rows of documents are only passed on: any bucket does
+            turn = int(classes[0] % homes)  # rows of documents are only passed on: any home does
             rows = [(turn, META, _i64(ids), _i64(classes), _i64(size * 2 + known))]
             unique, start, inverse = np.unique(classes, return_index=True, return_inverse=True)
             smallest = np.full(len(unique), 2 ** 63 - 1)
             np.minimum.at(smallest, inverse[known], ids[known])
-            for d, k in _split(_dest(unique, buckets), buckets):
+            for d, k in _split(_home(unique, homes), homes):
                 rows.append((d, CLASS, _i64(unique[k]), _i64(size[start[k]]), _i64(smallest[k])))
             token, place = pairs >> np.uint64(INDEX_BITS), (pairs & _MASK).astype(np.int64)
             at = np.searchsorted(token, np.array(bounds, dtype=np.uint64))
@@ -202,7 +203,7 @@ def _deal(buckets: int):
     return run
 
 
-def _count(buckets: int):
+def _count(buckets: int, homes: int):
     """One token range: the tokens of two or more classes go back to them."""
     def run(t: pa.Table) -> pa.Table:
         kind = np.array(t.column("kind").to_pylist())
@@ -231,8 +232,7 @@ def _count(buckets: int):
             shared = np.repeat(df > 1, df)
             token, who, df = token[shared], who[shared], np.repeat(df, df)[shared]
             token = token + np.uint64((bucket << TOKEN_BITS) // buckets)
-            dest = _dest(classes, buckets)[who]
-            for d, k in _split(dest, buckets):
+            for d, k in _split(_home(classes, homes)[who], homes):
                 k = k[np.argsort(who[k], kind="stable")]
                 owner, n = np.unique(who[k], return_counts=True)
                 out.append((d, TOKENS, _i64(classes[owner]) + _i64(n), _pack(token[k]), _pack(df[k].astype(np.uint64))))
@@ -249,7 +249,7 @@ def needed(n: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(t: pa.Table) -> pa.Table:
-    """One bucket of classes: their rows, and the prefixes of their sets."""
+    """One home of classes: their rows, and the prefixes of their sets."""
     kind = np.array(t.column("kind").to_pylist())
     a, b, c = (t.column(x).to_pylist() for x in "abc")
     pick = lambda k: np.flatnonzero(kind == k)
@@ -332,13 +332,18 @@ def _may_link(x: str, y: str) -> F.Column:
                   f"and least({nx} - {px}, {ny} - {py}) >= {least}")
 
 
-def ngram_groups(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``."""
+def ngram_groups(docs: DataFrame, homes: int | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``.
+
+    ``homes`` (default: one per shuffle partition) parts the classes, four
+    times as many ranges part the tokens; a range sends one packed row to
+    each home at most."""
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    homes = homes or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * homes
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = cut(rows.mapInArrow(_deal(buckets), _PACKED)
-                .groupBy("bucket").applyInArrow(_count(buckets), _PACKED)
+    found = cut(rows.mapInArrow(_deal(buckets, homes), _PACKED)
+                .groupBy("bucket").applyInArrow(_count(buckets, homes), _PACKED)
                 .groupBy("bucket").applyInArrow(_prefixes, _SETS), "ngram-sets")
     members = found.where("rep is null").select("doc_id", "class", "n")
     classes = found.where("rep is not null").select("class", "n", "rep")

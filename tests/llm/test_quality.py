@@ -29,7 +29,8 @@ def test_em_finds_the_better_labellers():
 
 
 def test_edge_rows(spark, documents):
-    prose = "The quick brown fox went over to the lazy dog, and then it slept. It was a good day."
+    prose = ("The quick brown fox went over to the lazy dog, and then it slept. It was a good day. Nobody else in that village "
+             "knew about the animals, but a few children had seen them by the river on their way home from school.")
     rows = [(i, f"{prose} Number {i}.") for i in range(60)] + [(100 + i, "BUY!! NOW!! " * 30 + str(i)) for i in range(20)]
     rows += [(200 + i, f"word{i} " * (40 + i)) for i in range(20)]
     odd = [(500, None), (501, ""), (502, " \n"), (503, prose * 2000), (504, "w " * 50_000), (None, prose), (1, rows[1][1])]
