@@ -23,7 +23,7 @@ def union(parts) -> str:
 
 
 # F0 -- column counts are schema facts of the test bed (Spark derives them from df.schema)
-COLS = {"leagues": 2, "seasons": 2, "teams": 3, "schedules": 9, "fixture_stats": 19, "fixture_odds": 6,
+COLS = {"leagues": 2, "seasons": 2, "teams": 3, "schedules": 9, "fixture_stats": 24, "fixture_odds": 6,
         "fixture_timeline": 5}
 SRC = {"leagues": "fx_leagues", "seasons": "fx_seasons", "teams": "fx_teams", "schedules": "fx_schedules",
        "fixture_stats": "fx_stats", "fixture_odds": "fx_odds", "fixture_timeline": "fx_timeline"}
@@ -47,7 +47,7 @@ h AS (select case when b.hi = b.lo then 1 else least(floor((l_extendedprice - b.
       from lineitem, b where l_extendedprice is not null group by 1)
  select cast(h.bin as bigint) as bin, b.lo + (h.bin - 1) * ((b.hi - b.lo) / 20) as bin_lo,
    b.lo + h.bin * ((b.hi - b.lo) / 20) as bin_hi, h.n from h, b""")
-oracle("f04_small_groups", f",{F1} select * from f1 where fixture_count < 30 and league_name is not null")
+oracle("f04_small_groups", f",{F1} select * from f1 where fixture_count < 80 and league_name is not null")
 
 F5 = """
 f5 AS (select s.fixture_id, cast(s.league_id as bigint) as league_id, l.name as league_name, s.season_id,
@@ -95,10 +95,10 @@ oracle("f12_drill_down", f""",{F11}
  from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id left join fx_teams t on fs.team_id = t.team_id
  where fs.fixture_id in (select fixture_id from f11 order by team_count, fixture_id limit 5)""")
 
-oracle("f13_null_profile", ", fh AS (select * from fx_stats where period = 'first_half')\n " + union(
+oracle("f13_null_profile", ", fh AS (select * from fx_stats where period = 'first_half'), n AS (" + union(
     f"select '{c}' as statistic, cast(sum(case when {c} is null then 1 else 0 end) as bigint) as null_count, "
     f"{P(f'sum(case when {c} is null then 1 else 0 end)', 'count(*)')} as null_percent, count(*) as total_records from fh"
-    for c in HT11))
+    for c in HT11) + ") select *, row_number() over (order by null_percent desc, statistic) as rank from n")
 oracle("f14_all_null_rows", f"""
  select fs.fixture_id, s.home_team_id, ht.name as home_team, s.away_team_id, awt.name as away_team, s.start_time, s.status,
    fs.team_id, t.name as team_name
@@ -153,7 +153,7 @@ f19 AS (select fixture_id, team_id, period, count(*) as duplicate_count from fx_
 oracle("f19_duplicate_keys", f",{F19} select * from f19")
 RAW_COLS = ["fixture_id", "team_id", "period", "goals", "fouls", "red_cards", "tackles", "shots_blocked",
             "successful_passes_percentage", "ball_possession", "saves", "attacks", "shots_total", "shots_insidebox",
-            "shots_on_target", "api_ts", "src_a", "src_b", "src_c"]
+            "shots_on_target", "shots_off_target", "passes", "corners", "yellow_cards", "challenges", "api_ts", "src_a", "src_b", "src_c"]
 oracle("f19_duplicate_drill", f""",{F19},
 top AS (select fixture_id, team_id, period from f19 order by duplicate_count desc, fixture_id, team_id, period limit 1)
  select {', '.join(num(c, 'r.') + ' as ' + c for c in RAW_COLS)}
@@ -193,7 +193,7 @@ oracle("f23_time_range", """
 oracle("f24_per_day", "select cast(ts as date) as date, count(*) as records_count from events where ts is not null group by 1")
 
 DESCRIBE = ["goals", "shots_on_target", "shots_total", "ball_possession", "fouls", "red_cards", "attacks",
-            "shots_insidebox", "saves"]
+            "shots_insidebox", "saves", "shots_off_target", "passes", "corners", "yellow_cards", "challenges"]
 FHG = "fhg AS (select * from fx_stats where period = 'first_half' and goals is not null)"
 oracle("f25_describe", f", {FHG}\n " + union(
     f"select '{c}' as \"column\", count({c}) as count, min(cast({c} as double)) as min, max(cast({c} as double)) as max, "
@@ -218,106 +218,128 @@ oracle("f27_box_stats", f""", {FHG}, {Q}, {LNG}
    q.q3 - q.q1 as iqr
  from lng join q on lng.col = q.col group by q.col, q.q1, q.q3""")
 
-RULES = [("ball_possession", 0, 100), ("shots_on_target", 0, None), ("shots_total", 0, None), ("goals", 0, None),
-         ("red_cards", 0, 11)]
-
-
-def _cond(c, lo, hi):
-    parts = []
-    if lo is not None:
-        parts.append(f"fs.{c} < {lo}")
-    if hi is not None:
-        parts.append(f"fs.{c} > {hi}")
-    return " or ".join(parts)
-
-
-oracle("f28_range_violations", union(
-    f"select fs.fixture_id, fs.team_id, t.name as team_name, fs.period, '{c}' as stat, cast(fs.{c} as double) as value "
-    f"from fx_stats fs left join fx_teams t on fs.team_id = t.team_id where fs.period = 'first_half' and ({_cond(c, lo, hi)})"
-    for c, lo, hi in RULES))
-
-LRULES = [("shots_total >= shots_on_target", "shots_total < shots_on_target"),
-          ("goals <= shots_on_target", "goals > shots_on_target"),
-          ("shots_total >= shots_insidebox", "shots_total < shots_insidebox")]
-COMPLETE = ("period = 'first_half' and shots_total is not null and shots_on_target is not null "
-            "and shots_insidebox is not null and goals is not null")
-oracle("f29_rule_violations", union(
-    f"select '{n}' as rule, cast(sum(case when {p} then 1 else 0 end) as bigint) as violations from fx_stats where {COMPLETE}"
-    for n, p in LRULES))
-EXCOLS = "fixture_id, team_id, period, " + ", ".join(
-    num(c) + " as " + c for c in ["shots_total", "shots_on_target", "shots_blocked", "shots_insidebox", "goals"])
-oracle("f29_rule_examples", union(
-    f"(select '{n}' as rule, {EXCOLS} from fx_stats where {COMPLETE} and {p} order by fixture_id, team_id limit 10)"
-    for n, p in LRULES))
-
-PAIRS = """
-fhp AS (select fixture_id, team_id, ball_possession from fx_stats where period = 'first_half' and ball_possession is not null),
-two AS (select fixture_id from fhp group by fixture_id having count(*) = 2 and count(distinct team_id) = 2),
-pairs AS (select t1.fixture_id, t1.team_id as team1_id, t1.ball_possession as team1_value, t2.team_id as team2_id,
-            t2.ball_possession as team2_value, t1.ball_possession + t2.ball_possession as value_sum
-          from fhp t1 join fhp t2 on t1.fixture_id = t2.fixture_id and t1.team_id < t2.team_id
-          where t1.fixture_id in (select fixture_id from two))"""
-oracle("f30_possession_pairs", f""", {PAIRS},
-top AS (select *, abs(value_sum - 100) as diff_from_target from pairs order by diff_from_target desc, fixture_id limit 20)
- select top.fixture_id, top.team1_id, tm1.name as team1_name, top.team1_value, top.team2_id, tm2.name as team2_name,
-   top.team2_value, top.value_sum, top.diff_from_target
- from top left join fx_teams tm1 on top.team1_id = tm1.team_id left join fx_teams tm2 on top.team2_id = tm2.team_id""")
-
+# ------------------------------------------------------------ F28-F30
+# Limits and rules are stated here on their own, as one table of rules per check.
+oracle("f28_range_violations", """
+, limits AS (select * from (values ('ball_possession', 0, 100), ('shots_on_target', 0, null), ('shots_total', 0, null),
+    ('goals', 0, null), ('red_cards', 0, 11), ('passes', 0, null)) v(stat, low, high)),
+readings AS (
+  unpivot (select fixture_id, team_id, period, cast(ball_possession as double) as ball_possession,
+             cast(shots_on_target as double) as shots_on_target, cast(shots_total as double) as shots_total,
+             cast(goals as double) as goals, cast(red_cards as double) as red_cards, cast(passes as double) as passes
+           from fx_stats where period = 'first_half')
+  on ball_possession, shots_on_target, shots_total, goals, red_cards, passes into name stat value value)
+ select r.fixture_id, r.team_id, tm.name as team_name, r.period, r.stat, r.value
+ from readings r join limits using (stat) left join fx_teams tm using (team_id)
+ where not (r.value >= low and (high is null or r.value <= high))""")
+
+JUDGED = """
+judged AS (
+  select fixture_id, team_id, period, shots_total, shots_on_target, shots_off_target, shots_blocked, shots_insidebox, goals,
+    unnest([{'rule': 'shots_total >= shots_on_target', 'broken': shots_total < shots_on_target},
+            {'rule': 'goals <= shots_on_target', 'broken': goals > shots_on_target},
+            {'rule': 'shots_total >= shots_insidebox', 'broken': shots_total < shots_insidebox},
+            {'rule': 'shots_on_target + shots_off_target + shots_blocked <= shots_total',
+             'broken': shots_on_target + shots_off_target + shots_blocked > shots_total}], recursive := true)
+  from fx_stats
+  where period = 'first_half' and list_count([shots_total, shots_on_target, shots_insidebox, goals]) = 4)"""
+oracle("f29_rule_violations", f", {JUDGED} select rule, count(*) filter (broken) as violations from judged group by rule")
+oracle("f29_rule_examples", f""", {JUDGED}
+ select rule, fixture_id, team_id, tm.name as team_name, period, shots_total, shots_on_target, shots_off_target, shots_blocked,
+   shots_insidebox, goals
+ from (select *, row_number() over (partition by rule order by fixture_id, team_id) as place from judged where broken) j
+ left join fx_teams tm using (team_id) where place <= 10""")
+
+SHARES = """
+shares AS (
+  select fixture_id, count(distinct team_id) as team_count, sum(ball_possession) as value_sum,
+    list(struct_pack(id := team_id, v := ball_possession) order by team_id) as reports
+  from fx_stats where period = 'first_half' and ball_possession is not null group by fixture_id)"""
+oracle("f30_possession_pairs", f""", {SHARES}
+ select p.fixture_id, p.team_count, p.reports[1].id as team1_id, one.name as team1_name, p.reports[1].v as team1_value,
+   p.reports[-1].id as team2_id, two.name as team2_name, p.reports[-1].v as team2_value, p.value_sum,
+   abs(p.value_sum - 100) as diff_from_target
+ from shares p left join fx_teams one on one.team_id = p.reports[1].id left join fx_teams two on two.team_id = p.reports[-1].id
+ where p.team_count >= 2 order by diff_from_target desc, p.fixture_id limit 20""")
+
+# ------------------------------------------------------------ F31-F32
+# Second-half goals that each side's own rows report, one row per fixture that has any.
 SG = """
-stat_goals AS (
-  select fs.fixture_id, s.home_team_id, s.away_team_id,
-    sum(case when fs.team_id = s.home_team_id then fs.goals else 0 end) as home_goals_from_stats,
-    sum(case when fs.team_id = s.away_team_id then fs.goals else 0 end) as away_goals_from_stats
-  from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id
-  where fs.period = 'second_half' and fs.goals is not null
-  group by fs.fixture_id, s.home_team_id, s.away_team_id),
-sgj AS (select sg.fixture_id, s.home_score, cast(sg.home_goals_from_stats as bigint) as home_goals_from_stats,
-          s.away_score, cast(sg.away_goals_from_stats as bigint) as away_goals_from_stats
-        from stat_goals sg join fx_schedules s on sg.fixture_id = s.fixture_id),
-bad AS (select * from sgj where home_score is not null and away_score is not null
-        and (home_score != home_goals_from_stats or away_score != away_goals_from_stats))"""
+reported AS (
+  select fixture_id, map_from_entries(list((team_id, scored))) as by_team
+  from (select fixture_id, team_id, sum(goals)::bigint as scored from fx_stats
+        where period = 'second_half' and goals is not null and team_id is not null group by all) t group by fixture_id),
+scores AS (
+  select s.fixture_id, s.home_score as home_said, s.away_score as away_said,
+    coalesce(by_team[s.home_team_id], 0) as home_seen, coalesce(by_team[s.away_team_id], 0) as away_seen
+  from fx_schedules s join reported r using (fixture_id)),
+gaps AS (
+  select *, home_said - home_seen as home_gap, away_said - away_seen as away_gap from scores),
+wrong AS (select * from gaps where abs(home_gap) + abs(away_gap) > 0)"""
 oracle("f31_score_mismatch", f""", {SG}
- select fixture_id, home_score as home_goals_schedules, home_goals_from_stats, home_score - home_goals_from_stats as home_diff,
-   away_score as away_goals_schedules, away_goals_from_stats, away_score - away_goals_from_stats as away_diff from bad""")
+ select fixture_id, home_said as home_goals_schedules, home_seen as home_goals_from_stats, home_gap as home_diff,
+   away_said as away_goals_schedules, away_seen as away_goals_from_stats, away_gap as away_diff from wrong""")
 oracle("f32_mismatch_summary", f""", {SG}
- select (select count(*) from sgj) as fixtures_with_period_goals, count(*) as mismatches,
-   round(avg(home_score - home_goals_from_stats), 9) as avg_home_diff, round(avg(away_score - away_goals_from_stats), 9) as avg_away_diff,
-   cast(sum(case when home_score - home_goals_from_stats > 0 then 1 else 0 end) as bigint) as home_positive,
-   cast(sum(case when home_score - home_goals_from_stats < 0 then 1 else 0 end) as bigint) as home_negative,
-   cast(sum(case when away_score - away_goals_from_stats > 0 then 1 else 0 end) as bigint) as away_positive,
-   cast(sum(case when away_score - away_goals_from_stats < 0 then 1 else 0 end) as bigint) as away_negative,
-   {P('count(*)', '(select count(*) from sgj)')} as mismatch_pct
- from bad""")
-
-F33 = f"""
-league_fixtures AS (
-  select l.league_id, l.name as league_name, count(distinct s.fixture_id) as total_fixtures,
-    sum(case when s.status = 'FT' then 1 else 0 end) as finished_fixtures
-  from fx_schedules s join fx_leagues l on s.league_id = l.league_id group by l.league_id, l.name),
-league_stats AS (
-  select l.league_id, count(distinct fs.fixture_id) as fixtures_with_stats,
-    count(distinct case when fs.period = 'first_half' then fs.fixture_id else null end) as fixtures_with_first_half
-  from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id join fx_leagues l on s.league_id = l.league_id
-  group by l.league_id),
+ select count(*) as fixtures_with_period_goals, count(*) filter (w) as mismatches,
+   round(avg(home_gap) filter (w), 9) as avg_home_diff, round(avg(away_gap) filter (w), 9) as avg_away_diff,
+   count(*) filter (w and home_gap > 0) as home_positive, count(*) filter (w and home_gap < 0) as home_negative,
+   count(*) filter (w and away_gap > 0) as away_positive, count(*) filter (w and away_gap < 0) as away_negative,
+   {P('count(*) filter (w)', 'count(*)')} as mismatch_pct
+ from (select *, coalesce(abs(home_gap) + abs(away_gap) > 0, false) as w from gaps) g""")
+
+# ------------------------------------------------------------ F33, F38, F41, F42
+# One row per fixture with what is known of its statistics.
+MARKS = """
+marks AS (
+  select s.*, k.fixture_id is not null as seen, coalesce(k.early, false) as early, coalesce(k.red, false) as red
+  from fx_schedules s left join (
+    select fixture_id, bool_or(period = 'first_half') as early, bool_or(coalesce(red_cards > 0, false)) as red
+    from fx_stats group by fixture_id) k using (fixture_id))"""
+COVER = f"""count(*) as total_fixtures, count(*) filter (status = 'FT') as finished_fixtures,
+  count(*) filter (seen) as fixtures_with_stats, count(*) filter (early) as fixtures_with_first_half,
+  {P('count(*) filter (seen)', "count(*) filter (status = 'FT')")} as stats_coverage_pct,
+  {P('count(*) filter (early)', "count(*) filter (status = 'FT')")} as first_half_coverage_pct"""
+F33 = f"""{MARKS},
 f33 AS (
-  select cast(lf.league_id as bigint) as league_id, lf.league_name, lf.total_fixtures,
-    cast(lf.finished_fixtures as bigint) as finished_fixtures,
-    coalesce(ls.fixtures_with_stats, 0) as fixtures_with_stats, coalesce(ls.fixtures_with_first_half, 0) as fixtures_with_first_half,
-    {P('coalesce(ls.fixtures_with_stats, 0)', 'lf.finished_fixtures')} as stats_coverage_pct,
-    {P('coalesce(ls.fixtures_with_first_half, 0)', 'lf.finished_fixtures')} as first_half_coverage_pct
-  from league_fixtures lf left join league_stats ls on lf.league_id = ls.league_id where lf.finished_fixtures > 0)"""
+  select g.league_id, lg.name as league_name, g.* exclude (league_id)
+  from (select league_id, {COVER} from marks group by league_id) g join fx_leagues lg using (league_id)
+  where g.finished_fixtures > 0)"""
 oracle("f33_coverage_by_league", f", {F33} select * from f33")
 oracle("f33_coverage_overall", f""", {F33}
  select round({P('sum(fixtures_with_first_half)', 'sum(finished_fixtures)', None)}, 9) as weighted_first_half_coverage_pct from f33""")
+oracle("f38_coverage_by_month", f""", {MARKS}
+ select strftime(start_time, '%Y-%m') as month, {COVER} from marks where start_time is not null
+ group by month having count(*) filter (status = 'FT') > 0""")
+oracle("f41_scenario_coverage", f""", {MARKS},
+cases AS (
+  select seen, unnest([
+    {{'scenario': 'High-scoring (5+ goals)', 'fits': status = 'FT' and home_score + away_score >= 5}},
+    {{'scenario': 'Red Card Issued', 'fits': status = 'FT' and red}},
+    {{'scenario': 'Abandoned/Cancelled', 'fits': status in ('ABD', 'CANC', 'INT')}},
+    {{'scenario': 'Penalty Shootout', 'fits': status = 'FT_PEN'}},
+    {{'scenario': 'Extra Time', 'fits': status = 'AET'}},
+    {{'scenario': 'Regular Match', 'fits': status = 'FT' and home_score + away_score < 5 and not red}}], recursive := true)
+  from marks)
+ select scenario, count(*) filter (fits) as fixture_count, count(*) filter (fits and seen) as fixtures_with_stats,
+   {P('count(*) filter (fits and seen)', 'count(*) filter (fits)')} as stats_coverage_pct
+ from cases group by scenario""")
+oracle("f42_unplayed_with_stats", """
+ select x.fixture_id, x.status, x.start_time, (select name from fx_teams where team_id = x.home_team_id) as home_team,
+   (select name from fx_teams where team_id = x.away_team_id) as away_team, n as stat_records,
+   array_to_string(list_sort(kinds), ',') as periods
+ from fx_schedules x
+ join (select fixture_id, count(*) as n, list(distinct period) as kinds from fx_stats group by fixture_id) k using (fixture_id)
+ where list_contains(['POST', 'CANC', 'INT', 'ABD'], x.status)""")
 
 F34 = """
 f34 AS (
-  select cast(l.league_id as bigint) as league_id, l.name as league_name, count(distinct fs.fixture_id) as fixtures_counted,
-    round(avg(fs.goals), 2) as avg_goals, round(avg(fs.shots_total), 2) as avg_shots,
-    round(avg(fs.ball_possession), 2) as avg_possession
-  from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id join fx_leagues l on s.league_id = l.league_id
-  where fs.period = 'first_half' and fs.goals is not null and fs.shots_total is not null and fs.ball_possession is not null
-  group by l.league_id, l.name having count(distinct fs.fixture_id) >= 20)"""
+  select g.league_id, lg.name as league_name, g.* exclude (league_id)
+  from (select s.league_id, count(distinct fixture_id) as fixtures_counted, round(avg(goals), 2) as avg_goals,
+          round(avg(shots_total), 2) as avg_shots, round(avg(ball_possession), 2) as avg_possession, round(avg(passes), 2) as avg_passes
+        from fx_stats f join fx_schedules s using (fixture_id)
+        where f.period = 'first_half' and list_count([goals::double, shots_total::double, ball_possession::double]) = 3
+        group by s.league_id) g join fx_leagues lg using (league_id)
+  where g.fixtures_counted >= 20)"""
 oracle("f34_means_by_league", f", {F34} select * from f34")
 oracle("f35_trend", f""", {F34}
  select round(regr_slope(avg_goals, fixtures_counted), 9) as slope, round(regr_intercept(avg_goals, fixtures_counted), 9) as intercept,
@@ -325,110 +347,72 @@ oracle("f35_trend", f""", {F34}
 oracle("f35_above_mean_sd", f""", {F34}
  select * from f34 where avg_goals > (select avg(avg_goals) + stddev_samp(avg_goals) from f34)""")
 
-F36 = """
+MEANS = ["goals", "shots_total", "shots_on_target", "ball_possession", "fouls", "corners", "passes"]
+SHARE = {"goals": "goals_availability", "shots_total": "shots_availability", "ball_possession": "possession_availability"}
+F36 = f"""
+sided AS (
+  select f.*, case f.team_id when s.home_team_id then 'Home' when s.away_team_id then 'Away' else 'Unknown' end as location
+  from fx_stats f join fx_schedules s using (fixture_id) where f.period = 'first_half'),
 f36 AS (
   select location, count(*) as records,
-    round(avg(case when goals is not null then 1.0e0 else 0.0e0 end) * 100, 2) as goals_availability,
-    round(avg(case when shots_total is not null then 1.0e0 else 0.0e0 end) * 100, 2) as shots_availability,
-    round(avg(case when ball_possession is not null then 1.0e0 else 0.0e0 end) * 100, 2) as possession_availability,
-    round(avg(goals), 2) as avg_goals, round(avg(shots_total), 2) as avg_shots_total,
-    round(avg(shots_on_target), 2) as avg_shots_on_target, round(avg(ball_possession), 2) as avg_ball_possession,
-    round(avg(fouls), 2) as avg_fouls
-  from (select fs.*, case when fs.team_id = s.home_team_id then 'Home' when fs.team_id = s.away_team_id then 'Away'
-               else 'Unknown' end as location
-        from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id where fs.period = 'first_half') x
-  group by location)"""
+    {', '.join(f'round(count({c}) / count(*) * 100, 2) as {n}' for c, n in SHARE.items())},
+    {', '.join(f'round(avg({c}), 2) as avg_{c}' for c in MEANS)}
+  from sided group by location)"""
 oracle("f36_side_bias", f", {F36} select * from f36")
-METRICS = ["goals_availability", "shots_availability", "possession_availability", "avg_goals", "avg_shots_total",
-           "avg_shots_on_target", "avg_ball_possession", "avg_fouls"]
-oracle("f37_side_comparison", f", {F36}, cmp AS (" + union(
-    f"select '{m}' as metric, max(case when location = 'Home' then {m} end) as home, "
-    f"max(case when location = 'Away' then {m} end) as away from f36" for m in METRICS) + """)
+METRICS = [*SHARE.values(), *[f"avg_{c}" for c in MEANS]]
+oracle("f37_side_comparison", f""", {F36},
+tall AS (unpivot (select * exclude (records) from f36) on {', '.join(METRICS)} into name metric value v),
+both_sides AS (
+  select metric, any_value(v) filter (location = 'Home') as home, any_value(v) filter (location = 'Away') as away
+  from tall group by metric)
  select metric, round(home, 9) as home, round(away, 9) as away, round(home - away, 9) as difference,
-   round((home - away) / nullif(away, 0) * 100, 2) as relative_difference_pct from cmp""")
-
-oracle("f38_coverage_by_month", f"""
-, monthly AS (
-  select strftime(s.start_time, '%Y-%m') as month, count(distinct s.fixture_id) as total_fixtures,
-    count(distinct case when s.status = 'FT' then s.fixture_id else null end) as finished_fixtures,
-    count(distinct case when fs.fixture_id is not null then fs.fixture_id else null end) as fixtures_with_stats,
-    count(distinct case when fs.period = 'first_half' then fs.fixture_id else null end) as fixtures_with_first_half
-  from fx_schedules s left join fx_stats fs on s.fixture_id = fs.fixture_id
-  where s.start_time is not null group by 1)
- select month, total_fixtures, finished_fixtures, fixtures_with_stats, fixtures_with_first_half,
-   {P('fixtures_with_stats', 'finished_fixtures')} as stats_coverage_pct,
-   {P('fixtures_with_first_half', 'finished_fixtures')} as first_half_coverage_pct
- from monthly where finished_fixtures > 0""")
-
-
-def _bucketed(expr: str, name: str, avgs) -> str:
-    cols = ", ".join(f"round(avg(fs.{c}), 2) as {n}" for c, n in avgs)
+   round((home - away) / nullif(away, 0) * 100, 2) as relative_difference_pct from both_sides""")
+
+
+def _kickoff(bucket: str, time: str, avgs) -> str:
+    """Finished fixtures by a part of their kick-off; means over their first-half rows."""
+    sums = ", ".join(f"sum({c}::double) as s_{c}, count({c}) as n_{c}" for c, _ in avgs)
+    means = ", ".join(f"round(sum(s_{c}) / nullif(sum(n_{c}), 0), 2) as {n}" for c, n in avgs)
     return f"""
- select {expr} as {name}, count(distinct s.fixture_id) as finished_fixtures,
-   count(distinct case when fs.period = 'first_half' then fs.fixture_id else null end) as fixtures_with_first_half,
-   {P("count(distinct case when fs.period = 'first_half' then fs.fixture_id else null end)", 'count(distinct s.fixture_id)')} as coverage_pct,
-   {cols}
- from fx_schedules s left join fx_stats fs on s.fixture_id = fs.fixture_id and fs.period = 'first_half'
- where s.status = 'FT' and s.start_time is not null group by 1"""
-
-
-oracle("f39_coverage_by_weekday", _bucketed("dayname(s.start_time)", "day_of_week",
-                                            [("goals", "avg_goals"), ("shots_total", "avg_shots"),
-                                             ("ball_possession", "avg_possession")]))
-oracle("f40_coverage_by_hour", _bucketed("strftime(s.start_time, '%H')", "hour_of_day",
-                                         [("goals", "avg_goals"), ("shots_total", "avg_shots")]))
-
-SCEN = [("High-scoring (5+ goals)", "s.status = 'FT' and (s.home_score + s.away_score) >= 5"),
-        ("Red Card Issued", "s.status = 'FT' and exists (select 1 from fx_stats fi where fi.fixture_id = s.fixture_id and fi.red_cards > 0)"),
-        ("Abandoned/Cancelled", "s.status in ('ABD', 'CANC', 'INT')"),
-        ("Penalty Shootout", "s.status = 'FT_PEN'"),
-        ("Extra Time", "s.status = 'AET'"),
-        ("Regular Match", "s.status = 'FT' and (s.home_score + s.away_score) < 5 and not exists "
-                          "(select 1 from fx_stats fi where fi.fixture_id = s.fixture_id and fi.red_cards > 0)")]
-oracle("f41_scenario_coverage", union(
-    f"select '{n}' as scenario, count(distinct s.fixture_id) as fixture_count, "
-    f"count(distinct case when fs.fixture_id is not null then fs.fixture_id else null end) as fixtures_with_stats, "
-    f"{P('count(distinct case when fs.fixture_id is not null then fs.fixture_id else null end)', 'count(distinct s.fixture_id)')} as stats_coverage_pct "
-    f"from fx_schedules s left join fx_stats fs on s.fixture_id = fs.fixture_id where {w}" for n, w in SCEN))
-oracle("f42_unplayed_with_stats", """
- select s.fixture_id, s.status, s.start_time, t_home.name as home_team, t_away.name as away_team,
-   count(*) as stat_records, string_agg(distinct fs.period, ',' order by fs.period) as periods
- from fx_schedules s left join fx_stats fs on s.fixture_id = fs.fixture_id
- left join fx_teams t_home on s.home_team_id = t_home.team_id left join fx_teams t_away on s.away_team_id = t_away.team_id
- where s.status in ('POST', 'CANC', 'INT', 'ABD') and fs.fixture_id is not null
- group by s.fixture_id, s.status, s.start_time, t_home.name, t_away.name""")
-
-NN = " + ".join(f"sum(case when fs.{c} is not null then 1 else 0 end)" for c in HT11)
-RATIO = "non_null_counts * 100.0 / total_possible"
+, early AS (select fixture_id, {sums} from fx_stats where period = 'first_half' group by fixture_id),
+played AS (select fixture_id, {time} as kick from fx_schedules where status = 'FT' and start_time is not null)
+ select {bucket}, count(*) as finished_fixtures, count(e.fixture_id) as fixtures_with_first_half,
+   {P('count(e.fixture_id)', 'count(*)')} as coverage_pct, {means}
+ from played left join early e using (fixture_id) group by all"""
+
+
+oracle("f39_coverage_by_weekday", _kickoff("isodow(kick) - 1 as day_of_week_index, dayname(kick) as day_of_week", "start_time",
+                                           [("goals", "avg_goals"), ("shots_total", "avg_shots"),
+                                            ("ball_possession", "avg_possession")]))
+# kick-off hours: the bound table spreads fixtures over the day by their id
+oracle("f40_coverage_by_hour", _kickoff("strftime(kick, '%H') as hour_of_day", "start_time + to_hours((fixture_id % 24)::int)",
+                                        [("goals", "avg_goals"), ("shots_total", "avg_shots")]))
+
+# ------------------------------------------------------------ F43-F47
+FILLED = "list_count([" + ", ".join(f"{c}::double" for c in HT11) + "])"
 F43 = f"""
-fq AS (
-  select fs.fixture_id, cast(s.league_id as bigint) as league_id, l.name as league_name, s.season_id, se.name as season_name,
-    s.start_time, count(distinct fs.team_id) as team_count, cast({NN} as bigint) as non_null_counts,
-    cast(11 * count(distinct fs.team_id) as bigint) as total_possible
-  from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id
-  left join fx_leagues l on s.league_id = l.league_id left join fx_seasons se on s.season_id = se.season_id
-  where fs.period = 'first_half'
-  group by fs.fixture_id, s.league_id, l.name, s.season_id, se.name, s.start_time),
+filled AS (
+  select fixture_id, count(distinct team_id) as team_count, sum({FILLED})::bigint as non_null_counts
+  from fx_stats where period = 'first_half' group by fixture_id),
 f43 AS (
-  select *, round(non_null_counts * 100.0 / nullif(total_possible, 0), 2) as quality_score,
-    case when team_count < 2 then '{S.Q_CRIT_TEAM}' when non_null_counts = 0 then '{S.Q_CRIT_NULL}'
-         when {RATIO} < 50 then '{S.Q_POOR}' when {RATIO} < 80 then '{S.Q_FAIR}'
-         when {RATIO} < 100 then '{S.Q_GOOD}' else '{S.Q_EXCELLENT}' end as quality_category
-  from fq)"""
+  select f.fixture_id, s.league_id, lg.name as league_name, s.season_id, sn.name as season_name, s.start_time, f.team_count,
+    f.non_null_counts, {len(HT11)} * f.team_count as total_possible, round(share, 2) as quality_score,
+    case when f.team_count < 2 then '{S.Q_CRIT_TEAM}' when f.non_null_counts = 0 then '{S.Q_CRIT_NULL}'
+      else ['{S.Q_POOR}', '{S.Q_FAIR}', '{S.Q_GOOD}', '{S.Q_EXCELLENT}'][1 + (share >= 50)::int + (share >= 80)::int + (share >= 100)::int]
+    end as quality_category
+  from (select *, 100.0 * non_null_counts / nullif({len(HT11)} * team_count, 0) as share from filled) f
+  join fx_schedules s using (fixture_id) left join fx_leagues lg using (league_id) left join fx_seasons sn using (season_id))"""
 oracle("f43_quality_score", f", {F43} select * from f43")
 oracle("f44_category_share", f""", {F43}
- select quality_category, count(*) as fixture_count,
-   round(cast(count(*) as double) * 100.0 / (select count(*) from f43), 2) as percentage
- from f43 where quality_category is not null group by quality_category""")
+ select quality_category, count(*) as fixture_count, round(100.0 * count(*) / sum(count(*)) over (), 2) as percentage
+ from f43 group by quality_category""")
+KINDS = {"excellent": S.Q_EXCELLENT, "good": S.Q_GOOD, "fair": S.Q_FAIR, "poor": S.Q_POOR}
 F45 = f"""
 f45 AS (
   select league_id, league_name, count(*) as fixture_count, avg(quality_score) as avg_quality_score,
-    cast(sum(case when quality_category = '{S.Q_EXCELLENT}' then 1 else 0 end) as bigint) as excellent_fixture_count,
-    cast(sum(case when quality_category = '{S.Q_GOOD}' then 1 else 0 end) as bigint) as good_fixture_count,
-    cast(sum(case when quality_category = '{S.Q_FAIR}' then 1 else 0 end) as bigint) as fair_fixture_count,
-    cast(sum(case when quality_category = '{S.Q_POOR}' then 1 else 0 end) as bigint) as poor_fixture_count,
-    cast(sum(case when quality_category like 'CRITICAL%' then 1 else 0 end) as bigint) as critical_fixture_count
-  from f43 where league_id is not null and league_name is not null group by league_id, league_name),
+    {', '.join(f"count(*) filter (quality_category = '{v}') as {k}_fixture_count" for k, v in KINDS.items())},
+    count(*) filter (starts_with(quality_category, 'CRITICAL')) as critical_fixture_count
+  from f43 where league_name is not null and league_id is not null group by all),
 f45p AS (
   select *, {P('excellent_fixture_count', 'fixture_count')} as excellent_pct,
     {P('excellent_fixture_count + good_fixture_count', 'fixture_count')} as good_or_better_pct from f45)"""
@@ -437,45 +421,45 @@ oracle("f45_league_quality", f""", {F43}, {F45}
 GOOD = f"quality_category in ('{S.Q_EXCELLENT}', '{S.Q_GOOD}')"
 PROB = f"quality_category in ('{S.Q_CRIT_TEAM}', '{S.Q_CRIT_NULL}', '{S.Q_POOR}')"
 oracle("f46_quality_report", f""", {F43}, {F45},
-ov AS (select cast(count(*) as double) as total_fixtures, avg(quality_score) as avg_quality_score,
-         {P(f'sum(case when {GOOD} then 1 else 0 end)', 'count(*)')} as good_or_better_percentage,
-         {P(f'sum(case when {PROB} then 1 else 0 end)', 'count(*)')} as problem_percentage from f43),
-top_l AS (select *, row_number() over (order by good_or_better_pct desc, league_id asc) as rank from f45p
-          order by good_or_better_pct desc, league_id asc limit 5),
-bot_l AS (select *, row_number() over (order by good_or_better_pct asc, league_id desc) as rank from f45p
-          order by good_or_better_pct asc, league_id desc limit 5),
-rows AS (
-  select 'overall' as section, cast(null as bigint) as rank, cast(null as varchar) as league_name, 'total_fixtures' as metric, total_fixtures as value from ov
-  union all select 'overall', null, null, 'avg_quality_score', avg_quality_score from ov
-  union all select 'overall', null, null, 'good_or_better_percentage', good_or_better_percentage from ov
-  union all select 'overall', null, null, 'problem_percentage', problem_percentage from ov
-  union all select 'top_leagues', rank, league_name, 'avg_quality_score', avg_quality_score from top_l
-  union all select 'top_leagues', rank, league_name, 'good_or_better_pct', good_or_better_pct from top_l
-  union all select 'problem_leagues', rank, league_name, 'avg_quality_score', avg_quality_score from bot_l
-  union all select 'problem_leagues', rank, league_name, 'good_or_better_pct', good_or_better_pct from bot_l)
- select section, rank, league_name, metric, round(value, 9) as value from rows""")
+totals AS (
+  select count(*)::double as total_fixtures, avg(quality_score) as avg_quality_score,
+    {P(f'count(*) filter ({GOOD})', 'count(*)')} as good_or_better_percentage, {P(f'count(*) filter ({PROB})', 'count(*)')} as problem_percentage
+  from f43),
+placed AS (
+  select *, row_number() over (order by good_or_better_pct desc, league_id) as best,
+    row_number() over (order by good_or_better_pct, league_id desc) as worst from f45p),
+chosen AS (
+  select 'top_leagues' as section, best as rank, * from placed where best <= 5
+  union all select 'problem_leagues', worst, * from placed where worst <= 5),
+listed AS (
+  select section, rank, league_name, unnest(['avg_quality_score', 'good_or_better_pct']) as metric,
+    unnest([avg_quality_score, good_or_better_pct]) as value from chosen
+  union all
+  select 'overall', null, null, metric, value
+  from (unpivot totals on total_fixtures, avg_quality_score, good_or_better_percentage, problem_percentage into name metric value value))
+ select section, rank, league_name, metric, round(value, 9) as value from listed""")
 oracle("f47_league_badges", f""", {F43}, {F45}
  select league_id, league_name, round(avg_quality_score, 9) as avg_quality_score,
-   case when avg_quality_score >= 90 then 'EXCELLENT' when avg_quality_score >= 80 then 'GOOD'
-        when avg_quality_score >= 50 then 'FAIR' else 'POOR' end as quality_badge from f45p""")
+   ['POOR', 'FAIR', 'GOOD', 'EXCELLENT'][1 + (avg_quality_score >= 50)::int + (avg_quality_score >= 80)::int + (avg_quality_score >= 90)::int]
+     as quality_badge from f45p""")
 
+# ------------------------------------------------------------ F48, F50
 E = dict(ERROR_PATTERNS)
-ERR = [
-    ("Missing first-half data", """select count(*) from (select distinct fs.fixture_id from fx_stats fs
-        where fs.fixture_id not in (select distinct fixture_id from fx_stats where period = 'first_half')) x"""),
-    ("Incomplete team coverage", """select count(*) from (select fixture_id from fx_stats where period = 'first_half'
-        group by fixture_id having count(distinct team_id) < 2) x"""),
-    ("Missing ball possession", "select count(*) from fx_stats where period = 'first_half' and ball_possession is null"),
-    ("Inconsistent scores", "select count(*) from bad"),
-    ("Irregular possession sum", "select count(*) from pairs where value_sum < 95 or value_sum > 105"),
-    ("Impossible statistics", """select count(*) from fx_stats where period = 'first_half' and (
-        (goals > shots_on_target and goals is not null and shots_on_target is not null) or
-        (shots_total < shots_on_target and shots_total is not null and shots_on_target is not null))"""),
-]
-oracle("f48_error_register", f", {SG}, {PAIRS}\n " + union(
-    f"select '{n}' as name, '{E[n]}' as description, ({q}) as count" for n, q in ERR))
+oracle("f48_error_register", f""", {SG}, {SHARES},
+flags AS (
+  select fixture_id, bool_or(period = 'first_half') as early, count(distinct team_id) filter (period = 'first_half') as teams,
+    count(*) filter (period = 'first_half' and ball_possession is null) as unshared,
+    count(*) filter (period = 'first_half' and (goals > shots_on_target or shots_total < shots_on_target)) as impossible
+  from fx_stats group by fixture_id),
+found AS (
+  select unnest(['Missing first-half data', 'Incomplete team coverage', 'Missing ball possession', 'Impossible statistics']) as name,
+    unnest([count(*) filter (not early), count(*) filter (early and teams < 2), sum(unshared)::bigint, sum(impossible)::bigint]) as count
+  from flags
+  union all select 'Inconsistent scores', count(*) from wrong
+  union all select unnest(['Irregular possession sum', 'Irregular possession teams']),
+    unnest([count(*) filter (team_count >= 2 and value_sum not between 95 and 105), count(*) filter (team_count <> 2)]) from shares),
+described AS (select * from (values {', '.join(f"('{n}', '{d}')" for n, d in E.items())}) v(name, description))
+ select row_number() over (order by count desc, name) as rank, name, description, count from found join described using (name)""")
 oracle("f50_incomplete_fixtures", f"""
- select fixture_id from (
-   select distinct fixture_id from fx_stats where period = 'first_half' and ({' and '.join(f'{c} is null' for c in HT11)})
-   union
-   select fixture_id from fx_stats where period = 'first_half' group by fixture_id having count(distinct team_id) < 2) x""")
+ select fixture_id from fx_stats where period = 'first_half' group by fixture_id
+ having count(distinct team_id) < 2 or min({FILLED}) = 0""")
