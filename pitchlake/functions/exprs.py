@@ -39,23 +39,6 @@ def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (from file sizes and projection
-    widths; no job is run)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast hint for a dimension only when its estimated size is
-    under ``limit``; above it the side is returned as is and the planner
-    uses a shuffle join (AQE may still broadcast it after measuring)."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
 def distinct_count_small(c) -> Column:
     """COUNT(DISTINCT c) for groups whose distinct values are few (teams of
     a fixture).  ``size(collect_set)`` is a hash aggregate with map-side

@@ -20,11 +20,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
-from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct, small_side
+from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct
 
 FH = S.FIRST_HALF
 
@@ -95,15 +95,15 @@ def small_groups(counts: DataFrame, min_n: int = 30, count_col: str = "fixture_c
 # ---------------------------------------------------------------- F5–F10
 def _names(df: DataFrame, leagues: DataFrame | None, seasons: DataFrame | None,
            teams: DataFrame | None) -> DataFrame:
-    # dimensions are broadcast only when their estimated size is small
+    # whether a dimension is broadcast is left to the planner and its size checks
     if leagues is not None:
-        df = df.join(small_side(leagues.select("league_id", F.col("name").alias("league_name"))),
+        df = df.join(leagues.select("league_id", F.col("name").alias("league_name")),
                      "league_id", "left")
     if seasons is not None:
-        df = df.join(small_side(seasons.select("season_id", F.col("name").alias("season_name"))),
+        df = df.join(seasons.select("season_id", F.col("name").alias("season_name")),
                      "season_id", "left")
     if teams is not None:
-        t = small_side(teams.select("team_id", "name"))
+        t = teams.select("team_id", "name")
         df = (df.join(t.select(F.col("team_id").alias("home_team_id"), F.col("name").alias("home_team")),
                       "home_team_id", "left")
               .join(t.select(F.col("team_id").alias("away_team_id"), F.col("name").alias("away_team")),
@@ -201,15 +201,17 @@ def drill_down(stats: DataFrame, schedules: DataFrame, teams: DataFrame, offende
 
 
 def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL count and % per column from one aggregate, returned long."""
+    """NULL count and % per column from one aggregate, returned long,
+    ranked from the most often missing."""
     aggs = [F.count(F.lit(1)).alias("total_records")]
     for c in cols:
         aggs.append(count_if(F.col(c).isNull()).alias(f"{c}__n"))
     wide = df.agg(*aggs)
     for c in cols:
         wide = wide.withColumn(f"{c}__p", pct(f"{c}__n", "total_records"))
-    return _stack(wide, cols, [[f"{c}__n", f"{c}__p"] for c in cols], "statistic",
-                  ["null_count", "null_percent"])
+    out = _stack(wide, cols, [[f"{c}__n", f"{c}__p"] for c in cols], "statistic", ["null_count", "null_percent"])
+    # a window over one row per profiled column
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("null_percent"), "statistic")).cast("long"))
 
 
 def all_null_rows(stats: DataFrame, schedules: DataFrame, teams: DataFrame, cols: Sequence[str],
@@ -380,29 +382,39 @@ def describe_wide(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Dat
     (linear interpolation, like pandas) whose buffer is a value->count map,
     i.e. bounded by the column's distinct values; pass ``exact=False`` for
     high-cardinality columns to use ``percentile_approx``."""
-    def q(c, p):
-        x = F.col(c).cast("double")
-        return F.percentile(x, p) if exact else F.percentile_approx(x, p, 10000).cast("double")
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 q(c, 0.25).alias(f"{c}__p25"), q(c, 0.5).alias(f"{c}__p50"), q(c, 0.75).alias(f"{c}__p75")]
+                 _fractions(c, [0.25, 0.5, 0.75], exact).alias(f"{c}__q")]
     wide = df.agg(*aggs)
+    for c in cols:
+        for i, p in enumerate(("p25", "p50", "p75")):
+            wide = wide.withColumn(f"{c}__{p}", F.col(f"{c}__q")[i])
+        wide = wide.drop(f"{c}__q")
     for c in cols:
         wide = wide.withColumn(f"{c}__range", F.col(f"{c}__max") - F.col(f"{c}__min"))
     fields = ["count", "min", "max", "range", "mean", "std", "p25", "p50", "p75"]
     return _stack(wide, cols, [[f"{c}__{s}" for s in fields] for c in cols], "column", fields)
 
 
-def _quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, q1, q3) rows — one row per column, from one aggregate."""
-    aggs = []
+def _fractions(c: str, fractions: Sequence[float], exact: bool = True) -> Column:
+    """Several percentiles of a column from one value map (one sketch if not
+    ``exact``), as an array."""
+    x = F.col(c).cast("double")
+    return F.percentile(x, list(fractions)) if exact else F.percentile_approx(x, list(fractions), 10000)
+
+
+def _quartiles(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+    """(column, q1, median, q3) rows — one row per column, from one aggregate."""
+    wide = df.agg(*[_fractions(c, [0.25, 0.5, 0.75], exact).alias(c) for c in cols])
+    names = ["q1", "median", "q3"]
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.percentile(x, 0.25).alias(f"{c}__q1"), F.percentile(x, 0.75).alias(f"{c}__q3")]
-    return _stack(df.agg(*aggs), cols, [[f"{c}__q1", f"{c}__q3"] for c in cols], "column", ["q1", "q3"])
+        for i, n in enumerate(names):
+            wide = wide.withColumn(f"{c}__{n}", F.col(c)[i])
+        wide = wide.drop(c)
+    return _stack(wide, cols, [[f"{c}__{n}" for n in names] for c in cols], "column", names)
 
 
 def _long(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -411,24 +423,24 @@ def _long(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:
     ).select(*ids, "_kv.column", "_kv.value")
 
 
-def iqr_outliers(df: DataFrame, ids: Sequence[str], cols: Sequence[str], k: float = 3.0) -> DataFrame:
+def iqr_outliers(df: DataFrame, ids: Sequence[str], cols: Sequence[str], k: float = 3.0,
+                 exact: bool = True) -> DataFrame:
     """values outside [q1 - k*iqr, q3 + k*iqr], long format with bounds.
 
     The quartile table has one row per column (size bounded by the column
     list), so it is broadcast to the unpivoted data."""
-    q = _quartiles(df, cols).select("column", (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
+    q = _quartiles(df, cols, exact).select("column", (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
                                     (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper_bound"))
     lng = _long(df, ids, cols).join(F.broadcast(q), "column")
     return lng.filter((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """quartiles, IQR and whiskers (extreme values within 1.5 IQR)."""
-    q = _quartiles(df, cols)
+    q = _quartiles(df, cols, exact)
     lng = _long(df, [], cols).join(F.broadcast(q), "column")
     iqr = F.col("q3") - F.col("q1")
-    return lng.groupBy("column", "q1", "q3").agg(
-        F.percentile("value", 0.5).alias("median"),
+    return lng.groupBy("column", "q1", "median", "q3").agg(
         F.min(F.when(F.col("value") >= F.col("q1") - 1.5 * iqr, F.col("value"))).alias("lower_whisker"),
         F.max(F.when(F.col("value") <= F.col("q3") + 1.5 * iqr, F.col("value"))).alias("upper_whisker")
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -448,7 +460,8 @@ IMPOSSIBLE_VALUES = {
 def range_violations(stats: DataFrame, teams: DataFrame, bounds: Mapping[str, tuple] = IMPOSSIBLE_VALUES,
                      period: str = FH) -> DataFrame:
     """values outside per-column bounds, one pass over the rows."""
-    cols = [c for c in bounds if c in stats.columns]
+    cols = list(bounds)
+    _require(stats, cols, "range rules")
     lng = _long(stats.filter(F.col("period") == period), ["fixture_id", "team_id", "period"], cols)
     cond = F.lit(False)
     for c in cols:
@@ -475,10 +488,15 @@ LOGICAL_RULES = [
 RULE_REQUIRED = ["shots_total", "shots_on_target", "shots_insidebox", "goals"]
 
 
-def _rule_applies(df: DataFrame, predicate: str) -> bool:
+def _require(df: DataFrame, columns, what: str) -> None:
+    """A rule that cannot be evaluated is an error, never left out."""
+    if missing := sorted(set(columns) - set(df.columns)):
+        raise ValueError(f"{what} need columns that the table lacks: {', '.join(missing)}")
+
+
+def _rule_columns(rules) -> set[str]:
     import re
-    words = set(re.findall(r"[a-z_]+", predicate))
-    return words <= set(df.columns)
+    return {w for _, p in rules for w in re.findall(r"[a-z_]+", p)}
 
 
 def rule_violations(stats: DataFrame, rules=LOGICAL_RULES, required: Sequence[str] = tuple(RULE_REQUIRED),
@@ -486,13 +504,13 @@ def rule_violations(stats: DataFrame, rules=LOGICAL_RULES, required: Sequence[st
     """F29 counts: violations per rule over complete rows (one pass)."""
     base = stats.filter((F.col("period") == period) & reduce(lambda a, b: a & b,
                                                               [F.col(c).isNotNull() for c in required]))
-    usable = [(n, p) for n, p in rules if _rule_applies(stats, p)]
-    aggs = [count_if(F.coalesce(F.expr(p), F.lit(False))).alias(f"r{i}") for i, (n, p) in enumerate(usable)]
+    _require(stats, _rule_columns(rules), "logical rules")
+    aggs = [count_if(F.coalesce(F.expr(p), F.lit(False))).alias(f"r{i}") for i, (n, p) in enumerate(rules)]
     wide = base.agg(*aggs)
-    return _stack(wide, [n for n, _ in usable], [[f"r{i}"] for i in range(len(usable))], "rule", ["violations"])
+    return _stack(wide, [n for n, _ in rules], [[f"r{i}"] for i in range(len(rules))], "rule", ["violations"])
 
 
-def rule_examples(stats: DataFrame, rules=LOGICAL_RULES, required: Sequence[str] = tuple(RULE_REQUIRED),
+def rule_examples(stats: DataFrame, teams: DataFrame, rules=LOGICAL_RULES, required: Sequence[str] = tuple(RULE_REQUIRED),
                   k: int = 10, period: str = FH) -> DataFrame:
     """F29 examples: up to ``k`` offending rows per rule (lowest fixture, team).
 
@@ -500,26 +518,28 @@ def rule_examples(stats: DataFrame, rules=LOGICAL_RULES, required: Sequence[str]
     that would sort all of a rule's violations in one task."""
     base = stats.filter((F.col("period") == period) & reduce(lambda a, b: a & b,
                                                               [F.col(c).isNotNull() for c in required]))
-    cols = ["fixture_id", "team_id", "period"] + [c for c in ["shots_total", "shots_on_target", "shots_off_target",
-                                                                "shots_blocked", "shots_insidebox", "goals"]
-                                                   if c in stats.columns]
-    frames = [base.filter(F.expr(p)).select(F.lit(n).alias("rule"), *cols)
-              .orderBy("fixture_id", "team_id").limit(k)
-              for n, p in rules if _rule_applies(stats, p)]
-    return reduce(DataFrame.unionByName, frames)
+    _require(stats, _rule_columns(rules), "logical rules")
+    cols = ["shots_total", "shots_on_target", "shots_off_target", "shots_blocked", "shots_insidebox", "goals"]
+    frames = [base.filter(F.expr(p)).select(F.lit(n).alias("rule"), "fixture_id", "team_id", "period", *cols)
+              .orderBy("fixture_id", "team_id").limit(k) for n, p in rules]
+    names = teams.select("team_id", F.col("name").alias("team_name"))
+    return reduce(DataFrame.unionByName, frames).join(names, "team_id", "left").select(
+        "rule", "fixture_id", "team_id", "team_name", "period", *cols)
 
 
 def pair_sum(stats: DataFrame, c: str = "ball_possession", period: str = FH) -> DataFrame:
-    """Per fixture with exactly two teams reporting ``c``: both values and
-    their sum.  An aggregation per fixture, not a self-join: a fixture with
-    many rows can never fan out into all of its pairs."""
+    """Per fixture with two or more teams reporting ``c``: the number of
+    teams, the values of the first and the last (by id), and the sum over
+    all.  A fixture with three teams is a finding, so it stays: its
+    ``team_count`` says so.  An aggregation per fixture, not a self-join: a
+    fixture with many rows can never fan out into all of its pairs."""
     rows = stats.filter((F.col("period") == period) & F.col(c).isNotNull())
     per = rows.groupBy("fixture_id").agg(
-        F.count(F.lit(1)).alias("_n"), distinct_count_small("team_id").alias("_t"),
+        distinct_count_small("team_id").alias("team_count"),
         F.min("team_id").alias("team1_id"), F.max("team_id").alias("team2_id"),
-        F.min_by(c, "team_id").alias("team1_value"), F.max_by(c, "team_id").alias("team2_value"))
-    return (per.filter((F.col("_n") == 2) & (F.col("_t") == 2)).drop("_n", "_t")
-            .withColumn("value_sum", F.col("team1_value") + F.col("team2_value")))
+        F.min_by(c, "team_id").alias("team1_value"), F.max_by(c, "team_id").alias("team2_value"),
+        F.sum(c).alias("value_sum"))
+    return per.filter(F.col("team_count") >= 2)
 
 
 def pair_sum_check(stats: DataFrame, teams: DataFrame, c: str = "ball_possession", target: float = 100,
@@ -530,14 +550,17 @@ def pair_sum_check(stats: DataFrame, teams: DataFrame, c: str = "ball_possession
     t = teams.select("team_id", "name")
     p = (p.join(t.select(F.col("team_id").alias("team1_id"), F.col("name").alias("team1_name")), "team1_id", "left")
          .join(t.select(F.col("team_id").alias("team2_id"), F.col("name").alias("team2_name")), "team2_id", "left"))
-    return p.select("fixture_id", "team1_id", "team1_name", "team1_value", "team2_id", "team2_name",
+    return p.select("fixture_id", "team_count", "team1_id", "team1_name", "team1_value", "team2_id", "team2_name",
                     "team2_value", "value_sum", "diff_from_target")
 
 
 # --------------------------------------------------------------- F31–F37
 def stat_goals(stats: DataFrame, schedules: DataFrame, period: str = S.SECOND_HALF) -> DataFrame:
-    """Per fixture: goals by side from ``period`` statistics (NULL goals skipped)."""
-    rows = stats.filter((F.col("period") == period) & F.col("goals").isNotNull()).select("fixture_id", "team_id", "goals")
+    """Per fixture: goals by side from ``period`` statistics (NULL goals
+    skipped).  Rows are summed per team before the join, so that a fixture
+    with very many rows is combined map-side."""
+    rows = (stats.filter((F.col("period") == period) & F.col("goals").isNotNull())
+            .groupBy("fixture_id", "team_id").agg(F.sum("goals").alias("goals")))
     j = rows.join(schedules.select("fixture_id", "home_team_id", "away_team_id", "home_score", "away_score"),
                   "fixture_id")
     return j.groupBy("fixture_id", "home_score", "away_score").agg(
@@ -554,7 +577,8 @@ def detail_vs_summary(stats: DataFrame, schedules: DataFrame, period: str = S.SE
     return g.select("fixture_id", F.col("home_score").alias("home_goals_schedules"), "home_goals_from_stats",
                     (F.col("home_score") - F.col("home_goals_from_stats")).alias("home_diff"),
                     F.col("away_score").alias("away_goals_schedules"), "away_goals_from_stats",
-                    (F.col("away_score") - F.col("away_goals_from_stats")).alias("away_diff"))
+                    (F.col("away_score") - F.col("away_goals_from_stats")).alias("away_diff")).orderBy(
+        F.desc(F.abs("home_diff") + F.abs("away_diff")), "fixture_id")
 
 
 def mismatch_summary(stats: DataFrame, schedules: DataFrame, period: str = S.SECOND_HALF) -> DataFrame:
@@ -602,11 +626,13 @@ def coverage_overall(by_league: DataFrame) -> DataFrame:
 
 
 def means_by_league(stats: DataFrame, schedules: DataFrame, leagues: DataFrame,
-                    cols: Sequence[str] = ("goals", "shots_total", "ball_possession"),
-                    names: Sequence[str] = ("avg_goals", "avg_shots", "avg_possession"),
+                    cols: Sequence[str] = ("goals", "shots_total", "ball_possession", "passes"),
+                    names: Sequence[str] = ("avg_goals", "avg_shots", "avg_possession", "avg_passes"),
+                    required: Sequence[str] = ("goals", "shots_total", "ball_possession"),
                     min_n: int = 20) -> DataFrame:
-    """per-league means over complete first-half rows (>= ``min_n`` fixtures)."""
-    rows = stats.filter((F.col("period") == FH) & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
+    """per-league means over first-half rows that have the ``required``
+    statistics (>= ``min_n`` fixtures)."""
+    rows = stats.filter((F.col("period") == FH) & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
     j = rows.select("fixture_id", *cols).join(schedules.select("fixture_id", "league_id"), "fixture_id")
     per = j.groupBy("league_id").agg(F.countDistinct("fixture_id").alias("fixtures_counted"),
                                      *[F.round(F.avg(c), 2).alias(n) for c, n in zip(cols, names)])
@@ -629,7 +655,8 @@ def above_mean_sd(df: DataFrame, y: str = "avg_goals") -> DataFrame:
 
 
 def side_bias(stats: DataFrame, schedules: DataFrame,
-              cols: Sequence[str] = ("goals", "shots_total", "shots_on_target", "ball_possession", "fouls")) -> DataFrame:
+              cols: Sequence[str] = ("goals", "shots_total", "shots_on_target", "ball_possession", "fouls", "corners",
+                                     "passes")) -> DataFrame:
     """first-half rows by Home/Away/Unknown: availability % and means."""
     j = stats.filter(F.col("period") == FH).join(
         schedules.select("fixture_id", "home_team_id", "away_team_id"), "fixture_id")
@@ -691,7 +718,9 @@ def _coverage_by(schedules: DataFrame, stats: DataFrame, bucket: Column, name: s
         aggs.append(F.round(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}").cast("double")), 2).alias(n))
     out = j.groupBy(*keys).agg(*aggs)
     out = out.withColumn("coverage_pct", pct("fixtures_with_first_half", "finished_fixtures"))
-    return out.select(name, "finished_fixtures", "fixtures_with_first_half", "coverage_pct", *names)
+    out = out.select(*[c for c in ("_order", name) if c in out.columns], "finished_fixtures", "fixtures_with_first_half",
+                     "coverage_pct", *names)
+    return out if order is None else out.withColumnRenamed("_order", f"{name}_index").orderBy(f"{name}_index")
 
 
 def coverage_by_weekday(schedules: DataFrame, stats: DataFrame) -> DataFrame:
@@ -808,7 +837,6 @@ def quality_report(q: DataFrame, leagues_q: DataFrame, top: int = 5) -> DataFram
                            ("problem_leagues", [F.asc("good_or_better_pct"), F.desc("league_id")])):
         best = leagues_q.orderBy(*order).limit(top)
         # rank within k rows: a window over at most ``top`` rows is bounded
-        from pyspark.sql import Window
         ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
         for m in ("avg_quality_score", "good_or_better_pct"):
             frames.append(ranked.select(F.lit(section).alias("section"), "rank", "league_name",
@@ -835,13 +863,15 @@ ERROR_PATTERNS = [
     ("Missing ball possession", "First-half entries with NULL ball_possession"),
     ("Inconsistent scores", "Fixtures where goals in fixture_stats differ from scores in schedules"),
     ("Irregular possession sum", "Team pairs in first-half where possession sums outside 95-105%"),
+    ("Irregular possession teams", "Fixtures where other than two teams report first-half possession"),
     ("Impossible statistics", "Entries with goals > shots_on_target or shots_total < shots_on_target"),
 ]
 
 
 def error_register(stats: DataFrame, schedules: DataFrame) -> DataFrame:
-    """six named error counts from one per-fixture aggregation of the
-    statistics joined to schedules (a single shuffle on fixture_id)."""
+    """the named error counts, most frequent first.  Statistics are
+    reduced to (fixture, team) before they meet the schedules, then to the
+    fixture; both steps shuffle on fixture_id only after combining."""
     fh = F.col("period") == FH
     sh = (F.col("period") == S.SECOND_HALF) & F.col("goals").isNotNull()
     poss = F.col("ball_possession")
@@ -849,32 +879,34 @@ def error_register(stats: DataFrame, schedules: DataFrame) -> DataFrame:
                  & F.col("shots_on_target").isNotNull())
                 | ((F.col("shots_total") < F.col("shots_on_target")) & F.col("shots_total").isNotNull()
                    & F.col("shots_on_target").isNotNull()))
-    j = stats.join(schedules.select("fixture_id", "home_team_id", "away_team_id", "home_score", "away_score"),
-                   "fixture_id", "left")
+    team = stats.groupBy("fixture_id", "team_id").agg(
+        F.max(fh).alias("fh"), count_if(fh & poss.isNull()).alias("fh_no_poss"), count_if(imp).alias("impossible"),
+        F.max(sh).alias("sh"), F.sum(F.when(sh, F.col("goals"))).alias("sh_goals"),
+        F.max(fh & poss.isNotNull()).alias("has_poss"), F.sum(F.when(fh, poss)).alias("poss"))
+    j = team.join(schedules.select("fixture_id", "home_team_id", "away_team_id", "home_score", "away_score"),
+                  "fixture_id", "left")
+    known = F.col("team_id").isNotNull()
+    side = lambda c: F.sum(F.when(F.col("sh") & (F.col("team_id") == F.col(c)), F.col("sh_goals")).otherwise(0))
     per = j.groupBy("fixture_id", "home_score", "away_score").agg(
-        F.max(fh).alias("has_fh"),
-        distinct_count_small(F.when(fh, F.col("team_id"))).alias("fh_teams"),
-        count_if(fh & poss.isNull()).alias("fh_no_poss"),
-        count_if(imp).alias("impossible"),
-        F.max(sh & F.col("home_team_id").isNotNull()).alias("has_sh"),
-        F.sum(F.when(sh & (F.col("team_id") == F.col("home_team_id")), F.col("goals")).otherwise(0)).alias("sh_home"),
-        F.sum(F.when(sh & (F.col("team_id") == F.col("away_team_id")), F.col("goals")).otherwise(0)).alias("sh_away"),
-        count_if(fh & poss.isNotNull()).alias("poss_n"),
-        distinct_count_small(F.when(fh & poss.isNotNull(), F.col("team_id"))).alias("poss_t"),
-        F.sum(F.when(fh, poss)).alias("poss_sum"))
+        F.max("fh").alias("has_fh"), count_if(F.col("fh") & known).alias("fh_teams"),
+        F.sum("fh_no_poss").alias("fh_no_poss"), F.sum("impossible").alias("impossible"),
+        F.max(F.col("sh") & F.col("home_team_id").isNotNull()).alias("has_sh"),
+        side("home_team_id").alias("sh_home"), side("away_team_id").alias("sh_away"),
+        count_if(F.col("has_poss") & known).alias("poss_teams"), F.sum("poss").alias("poss_sum"))
     score_bad = (F.col("has_sh") & F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
                  & ((F.col("home_score") != F.col("sh_home")) | (F.col("away_score") != F.col("sh_away"))))
-    pair_bad = ((F.col("poss_n") == 2) & (F.col("poss_t") == 2)
-                & ((F.col("poss_sum") < 95) | (F.col("poss_sum") > 105)))
+    sum_bad = (F.col("poss_teams") >= 2) & ((F.col("poss_sum") < 95) | (F.col("poss_sum") > 105))
     wide = per.agg(count_if(~F.col("has_fh")).alias("c0"),
                    count_if(F.col("has_fh") & (F.col("fh_teams") < 2)).alias("c1"),
                    F.sum("fh_no_poss").cast("long").alias("c2"),
-                   count_if(F.coalesce(score_bad, F.lit(False))).alias("c3"),
-                   count_if(pair_bad).alias("c4"), F.sum("impossible").cast("long").alias("c5"))
+                   count_if(F.coalesce(score_bad, F.lit(False))).alias("c3"), count_if(sum_bad).alias("c4"),
+                   count_if((F.col("poss_teams") > 0) & (F.col("poss_teams") != 2)).alias("c5"),
+                   F.sum("impossible").cast("long").alias("c6"))
     names = [n for n, _ in ERROR_PATTERNS]
-    out = _stack(wide, names, [[f"c{i}"] for i in range(6)], "name", ["count"])
+    out = _stack(wide, names, [[f"c{i}"] for i in range(len(names))], "name", ["count"])
     desc = F.create_map(*[x for n, d in ERROR_PATTERNS for x in (F.lit(n), F.lit(d))])
-    return out.select("name", desc[F.col("name")].alias("description"), "count")
+    ranked = F.row_number().over(Window.orderBy(F.desc("count"), "name"))  # a window over the few named patterns
+    return out.select(ranked.cast("long").alias("rank"), "name", desc[F.col("name")].alias("description"), "count")
 
 
 def incomplete_fixtures(stats: DataFrame, cols: Sequence[str] = tuple(S.REQUIRED_HT_STATS),

@@ -112,9 +112,10 @@ def base_rows(schedules: DataFrame, stats: DataFrame, odds: DataFrame,
 
 
 def require_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """D3: coerce to double and drop rows missing any of ``cols``."""
+    """D3: coerce to double and drop rows missing any of ``cols`` (a text
+    that is no number counts as missing)."""
     for c in cols:
-        df = df.withColumn(c, F.col(c).cast("double"))
+        df = df.withColumn(c, F.col(c).try_cast("double"))
     return df.dropna(subset=list(cols))
 
 
@@ -260,8 +261,8 @@ def ft_scores(schedules: DataFrame, statuses: Sequence[str] = tuple(S.FINISHED_S
     """Full-time scores of finished fixtures, integer, not NULL."""
     return (schedules.filter(F.col("status").isin(*statuses))
             .select("fixture_id", "home_team_id", "away_team_id",
-                    F.col("home_score").cast("int").alias("ft_home_score"),
-                    F.col("away_score").cast("int").alias("ft_away_score"))
+                    F.col("home_score").try_cast("int").alias("ft_home_score"),
+                    F.col("away_score").try_cast("int").alias("ft_away_score"))
             .dropna(subset=["ft_home_score", "ft_away_score"]))
 
 
@@ -270,7 +271,7 @@ def ht_team_rows(stats: DataFrame, cols: Sequence[str] = tuple(DS2_STATS),
     """D16 input: (fixture, team) rows of ``period`` with NULL -> 0."""
     return stats.filter(F.col("period") == period).select(
         "fixture_id", "team_id",
-        *[F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in cols])
+        *[F.coalesce(F.col(c).try_cast("int"), F.lit(0)).alias(c) for c in cols])
 
 
 def ht_team_totals(stats: DataFrame, cols: Sequence[str] = tuple(DS2_STATS),

@@ -118,7 +118,6 @@ def normalize_schedules(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     to each fixture; status, sides, final score and result derived."""
     st = raw.select("fetch_timestamp", F.explode("schedule_data.data").alias("stage"))
     rd = st.select("fetch_timestamp", F.explode("stage.rounds").alias("r"))
-    rd = rd.filter(truthy(F.col("r.id")) & truthy(F.col("r.season_id")))
     fx = rd.select("fetch_timestamp", F.col("r.id").alias("round_id"), F.col("r.season_id").alias("season_id"),
                    F.coalesce(F.col("r.finished"), F.lit(False)).alias("round_finished"),
                    F.explode("r.fixtures").alias("f"))
@@ -137,7 +136,9 @@ def normalize_schedules(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "status", "home_score", "away_score",
         derive_result(F.col("home_score"), F.col("away_score"), F.col("status"), F.col("_hw"), F.col("_aw")).alias("result"),
         F.col("f.result_info").alias("result_info"), "round_finished", "fetch_timestamp")
-    return split_valid(df, ["fixture_id", "home_team_id", "away_team_id"])
+    # fixtures of a round without ids, and without a readable kick-off, are
+    # rejected with the reason, not dropped
+    return split_valid(df, ["fixture_id", "round_id", "season_id", "home_team_id", "away_team_id", "start_time"])
 
 
 # ---------------------------------------------------------- B9–B11
@@ -250,8 +251,3 @@ def normalize_pressure(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = F.col("_pre") & F.col("minute").isNotNull() & F.col("participant_id").isNotNull() \
         & F.col("pressure_index").isNotNull()
     return df.filter(ok).drop("_pre"), df.filter(~ok).drop("_pre").withColumn("reject_reason", F.lit("missing field"))
-
-
-def coerce_text(c, target: str) -> Column:
-    """Re-export of the text coercion used for CSV/text inputs."""
-    return coerce(c, target)

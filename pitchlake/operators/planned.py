@@ -54,15 +54,25 @@ def handicap_settlement(df: DataFrame, margin: str, lines: Sequence[float] = (-1
 
 
 # ----------------------------------------------------------------- P4
-def walk_forward_folds(df: DataFrame, time_col: str, folds: Sequence[int]) -> DataFrame:
-    """Walk-forward folds by year: fold ``y`` trains on years < y and
-    tests on year y.  Each row is emitted once per fold it takes part in
-    (at most ``len(folds)`` copies), tagged ``role``."""
+def walk_forward_folds(df: DataFrame, time_col: str, window: int | None = None) -> DataFrame:
+    """Walk-forward folds by year, one for every year of the data but
+    the first: fold ``y`` tests on year y and trains on all earlier years,
+    or on the last ``window`` of them.  Each row is emitted once per fold it
+    takes part in (one per year, or ``window + 1``), tagged ``role``."""
     yr = F.year(time_col)
-    fold = F.explode(F.array(*[F.lit(int(y)) for y in folds])).alias("fold")
-    ex = df.select("*", fold)
-    role = F.when(yr < F.col("fold"), "train").when(yr == F.col("fold"), "test")
-    return ex.withColumn("role", role).filter(F.col("role").isNotNull())
+    first, last = df.select(F.min(yr)).scalar(), df.select(F.max(yr)).scalar()
+    until = F.least(last, yr + window) if window else last
+    ex = df.filter(F.col(time_col).isNotNull()).select("*", F.explode(F.sequence(yr, until)).alias("fold"))
+    role = F.when(yr < F.col("fold"), "train").otherwise("test")
+    return ex.filter(F.col("fold") > first).withColumn("role", role)
+
+
+def temporal_split(df: DataFrame, time_col: str, cutoff: str) -> DataFrame:
+    """Rows before ``cutoff`` train, the others test (no row of the
+    future in training); rows without a time take no part."""
+    t = F.lit(cutoff).cast("timestamp_ntz")
+    return df.filter(F.col(time_col).isNotNull()).withColumn(
+        "role", F.when(F.col(time_col) < t, "train").otherwise("test"))
 
 
 # ----------------------------------------------------------------- P5
@@ -127,7 +137,8 @@ def population_stability(df: DataFrame, col: str, is_reference: Column, bins: in
     tot_cur = tagged.select(count_if(~F.col("_ref"))).scalar()
     e = F.greatest(F.col("ref_n") / tot_ref, F.lit(eps))
     a = F.greatest(F.col("cur_n") / tot_cur, F.lit(eps))
-    return per.select("bin", e.alias("ref_share"), a.alias("cur_share"), ((a - e) * F.ln(a / e)).alias("psi"))
+    out = per.select("bin", e.alias("ref_share"), a.alias("cur_share"), ((a - e) * F.ln(a / e)).alias("psi"))
+    return out.withColumn("total_psi", out.select(F.sum("psi")).scalar())
 
 
 # ---------------------------------------------------------------- P10

@@ -32,12 +32,20 @@ def test_scenarios_always_six_rows(bed_mid):
     assert extra.fixture_count == 0 and extra.stats_coverage_pct is None
 
 
-def test_pair_check_ignores_fixtures_without_exactly_two(spark):
+def test_pair_check_keeps_every_fixture(spark):
     rows = [(1, 10, "first_half", 60.0), (1, 11, "first_half", 50.0),
-            (2, 10, "first_half", 50.0), (2, 11, "first_half", 30.0), (2, 12, "first_half", 20.0)]
+            (2, 10, "first_half", 90.0), (2, 11, "first_half", 50.0), (2, 12, "first_half", 60.0), (3, 10, "first_half", 99.0)]
     st = spark.createDataFrame(rows, "fixture_id long, team_id long, period string, ball_possession double")
-    out = A.pair_sum(st).collect()
-    assert [(r.fixture_id, r.team1_id, r.team2_id, r.value_sum) for r in out] == [(1, 10, 11, 110.0)]
+    out = sorted((r.fixture_id, r.team_count, r.team1_id, r.team2_id, r.value_sum) for r in A.pair_sum(st).collect())
+    assert out == [(1, 2, 10, 11, 110.0), (2, 3, 10, 12, 200.0)]
+
+
+def test_rules_without_their_columns_are_an_error(spark):
+    st = spark.createDataFrame([(1, 10, "first_half", 1)], "fixture_id long, team_id long, period string, goals int")
+    with pytest.raises(ValueError, match="shots_total"):
+        A.rule_violations(st, required=["goals"])
+    with pytest.raises(ValueError, match="passes"):
+        A.range_violations(st, st.selectExpr("team_id", "'x' as name"))
 
 
 @pytest.mark.parametrize("name", ["f15_side_balance", "f30_possession_pairs", "f48_error_register",
@@ -49,7 +57,8 @@ def test_no_nested_loop_or_cartesian(spark, name):
 
 
 def test_no_python_udf_in_any_registered_query(spark):
-    for name, fn in queries().items():
+    from pitchlake.plans.catalog import REGISTRY
+    for name, fn in REGISTRY.items():
         if name.startswith(("e04_", "e05_")):  # model training: result is a small metrics table
             continue
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()

@@ -39,15 +39,6 @@ def test_variant_number_vs_string(spark):
     assert [r["d"] for r in rows] == [3.7, 3.7, 54.6]
 
 
-def test_small_side_broadcasts_only_under_limit(spark):
-    dim = spark.range(100).withColumnRenamed("id", "k")
-    fact = spark.range(1000).withColumnRenamed("id", "k")
-    assert X.estimated_bytes(dim) > 0
-    hinted = fact.join(X.small_side(dim), "k")._jdf.queryExecution().optimizedPlan().toString()
-    plain = fact.join(X.small_side(dim, limit=1), "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
-
-
 def test_map_status_and_unknown(spark):
     df = spark.createDataFrame([(5,), (6,), (99,), (None,)], "s int")
     assert [r[0] for r in df.select(X.map_status("s")).collect()] == ["FT", "FT_PEN", "UNKNOWN", "UNKNOWN"]
