@@ -25,9 +25,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 HT11 = list(S.REQUIRED_HT_STATS)
-# first-half statistics described by F25/F26/F27 (those present in the test bed)
+# first-half statistics described by F25/F26/F27
 DESCRIBE_COLS = ["goals", "shots_on_target", "shots_total", "ball_possession", "fouls", "red_cards",
-                 "attacks", "shots_insidebox", "saves"]
+                 "attacks", "shots_insidebox", "saves", "shots_off_target", "passes", "corners", "yellow_cards",
+                 "challenges"]
 
 
 def _finish(df: DataFrame, noisy: Sequence[str] = ()) -> DataFrame:
@@ -131,7 +132,8 @@ def _(t):
 
 @register("c03_pending_odds")
 def _(t):
-    return C.pending(t.schedules, t.odds, S.FINISHED_ODDS, order="start_time")
+    # every 17th fixture is taken as not priced yet
+    return C.pending(t.schedules, t.odds.filter(F.col("fixture_id") % 17 != 5), S.FINISHED_ODDS, order="start_time")
 
 
 @register("c04_pending_pressure")
@@ -170,7 +172,7 @@ def _(t):
 
 @register("f04_small_groups")
 def _(t):
-    return A.small_groups(A.group_counts(t.schedules, t.leagues, t.seasons), 30)
+    return A.small_groups(A.group_counts(t.schedules, t.leagues, t.seasons), 80)
 
 
 @register("f05_missing_stats")
@@ -330,7 +332,7 @@ def _(t):
 
 @register("f29_rule_examples")
 def _(t):
-    return A.rule_examples(t.stats)
+    return A.rule_examples(t.stats, t.teams)
 
 
 @register("f30_possession_pairs")
@@ -395,7 +397,9 @@ def _(t):
 
 @register("f40_coverage_by_hour")
 def _(t):
-    return A.coverage_by_hour(t.schedules, t.stats)
+    # order dates carry no time: fixtures are spread over the day by their id
+    hours = F.make_dt_interval(hours=F.col("fixture_id") % 24)
+    return A.coverage_by_hour(t.schedules.withColumn("start_time", F.col("start_time") + hours), t.stats)
 
 
 @register("f41_scenario_coverage")
@@ -550,9 +554,35 @@ def _(t):
     return K.load_report(docs, stored, bad_periods)
 
 
+@register("a06_upsert_audited")
+def _(t):
+    """Two updates of every unplayed fixture, ordered by an integer that
+    crosses 9/10; the stamps of untouched rows must not move."""
+    stamp = lambda d: F.lit(d).cast("timestamp")
+    v1 = t.schedules.select("fixture_id", "status", "home_score", stamp("2020-01-01").alias("created_at"),
+                            stamp("2023-01-01").alias("updated_at"))
+    ns = v1.filter(F.col("status") == "NS").select("fixture_id", F.lit("FT").alias("status"))
+    batch = ns.withColumn("seq", F.explode(F.array(F.lit(10), F.lit(9)))).withColumn("home_score", F.col("seq") * 100)
+    out = K.upsert(v1, batch, ["fixture_id"], order="seq")
+    return out.select("fixture_id", "status", "home_score", F.year("created_at").alias("created"),
+                      (F.year("updated_at") > 2023).alias("moved"), (F.year("updated_at") == 2023).alias("untouched"))
+
+
+@register("a07_insert_ignore_existing")
+def _(t):
+    """First fixture per home team and season, for the pairs that no
+    even-numbered fixture has loaded before."""
+    key = ["home_team_id", "season_id"]
+    loaded = t.schedules.filter(F.col("fixture_id") % 2 == 0)
+    return K.insert_ignore(loaded, t.schedules, key, order=["fixture_id"]).select(*key, "fixture_id", "status")
+
+
 @register("a08_with_audit")
 def _(t):
-    return K.with_audit(t.teams, key=["team_id"], defaults={"country_id": -1}, ts="2024-01-01 00:00:00")
+    """All but the id, whose values are Spark's hash; that they are as many
+    as the rows is checked."""
+    out = K.with_audit(t.teams, key=["team_id"], defaults={"country_id": -1}, ts="2024-01-01 00:00:00")
+    return out.drop("id").withColumn("distinct_ids", out.select(F.count_distinct("id")).scalar())
 
 
 # ------------------------------------------------------------------- model
@@ -723,10 +753,22 @@ def _(t):
 
 @register("p04_walk_forward_folds")
 def _(t):
-    f = PL.walk_forward_folds(_ds1_with_season(t), "start_time", [1997, 1998, 1999, 2000])
+    f = PL.walk_forward_folds(_ds1_with_season(t), "start_time")
     return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("p04_rolling_window_folds")
+def _(t):
+    f = PL.walk_forward_folds(_ds1_with_season(t), "start_time", window=2)
+    return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("p04_temporal_split")
+def _(t):
+    s = PL.temporal_split(_ds1_with_season(t), "start_time", "2000-01-01")
+    return s.groupBy("role").agg(F.count(F.lit(1)).alias("rows"), F.min("start_time").alias("first"), F.max("start_time").alias("last"))
+
+
 @register("p05_calibration", noisy=["mean_prob", "observed_rate"])
 def _(t):
     return PL.calibration(_baseline_scored(t))
@@ -760,7 +802,7 @@ def _(t):
     return PL.correlation_matrix(D.dataset_two(t.schedules, t.stats, t.odds, t.timeline), D.DS2_FEATURES)
 
 
-@register("p09_population_stability", noisy=["ref_share", "cur_share", "psi"])
+@register("p09_population_stability", noisy=["ref_share", "cur_share", "psi", "total_psi"])
 def _(t):
     ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline).join(
         t.schedules.select("fixture_id", "start_time"), "fixture_id")
@@ -777,18 +819,20 @@ def _(t):
 
 @register("p11_totals_mismatch")
 def _(t):
-    return PL.totals_mismatch(t.timeline, t.stats_raw, "fixture_id", F.lit(1), F.lit(1), 0.0)
+    # a pressure row's minute is twice the attacks of the statistics row it
+    # comes from, so totals differ where attacks are missing
+    return PL.totals_mismatch(t.timeline, t.stats_raw, "fixture_id", F.col("minute"), F.col("attacks") * 2, 0.0)
 
 
 @register("a02_latest_stats_snapshot")
 def _(t):
     """Newest landed statistics document per fixture (ties: larger period
     description, then more statistics)."""
-    docs = _stats_raw(t).select(
-        "fixture_id", "fetch_timestamp",
-        F.get(F.col("fixture_data_with_stats.data.periods"), 0)["description"].alias("description"),
-        F.size(F.get(F.col("fixture_data_with_stats.data.periods"), 0)["statistics"]).alias("n_statistics"))
-    return R.latest_snapshot(docs, "fixture_id")
+    first = F.get(F.col("fixture_data_with_stats.data.periods"), 0)
+    description, n = first["description"], F.size(first["statistics"])
+    # whole documents are kept, VARIANT values included; then described
+    newest = R.latest_snapshot(_stats_raw(t), "fixture_id", ties=[description, n])
+    return newest.select("fixture_id", "fetch_timestamp", description.alias("description"), n.alias("n_statistics"))
 
 
 # ------------------------------------------------- landed files (A1 path)

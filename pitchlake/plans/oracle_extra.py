@@ -26,8 +26,8 @@ worst AS (select * from nulls order by null_percent desc, statistic limit 1),
 mem AS (select {P('sum(case when fs.team_id != s.home_team_id and fs.team_id != s.away_team_id then 1 else 0 end)', 'count(*)')} as pct
         from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id),
 dups AS (select count(*) as n from (select fixture_id, team_id, period from fx_stats group by 1, 2, 3 having count(*) > 1) d),
-mm AS (select (select count(*) from bad) as mismatches,
-         {P('(select count(*) from bad)', '(select count(*) from sgj)')} as mismatch_pct),
+mm AS (select (select count(*) from wrong) as mismatches,
+         {P('(select count(*) from wrong)', '(select count(*) from scores)')} as mismatch_pct),
 q1 AS (select count(*) as n, avg(quality_score) as avg, sum(case when {GOOD} then 1 else 0 end) as good from f43),
 rows AS (
   select 'overall' as section, 'total_fixtures' as metric, cast(n as double) as value, cast(null as varchar) as detail from q1
@@ -74,10 +74,19 @@ l AS (select * from (values (-1.0e0), (-1.5e0), (1.0e0), (1.5e0)) v(line))
    case when m.fav_margin_2h + l.line > 0 then 'win' when m.fav_margin_2h + l.line = 0 then 'push' else 'lose' end as outcome
  from m, l""")
 oracle("p04_walk_forward_folds", DS1S + """,
-folds AS (select * from (values (1997), (1998), (1999), (2000)) v(fold)),
+folds AS (select distinct year(start_time) as fold from ds1s where year(start_time) > (select min(year(start_time)) from ds1s)),
 tagged AS (select f.fold, case when year(d.start_time) < f.fold then 'train' when year(d.start_time) = f.fold then 'test' end as role
            from ds1s d, folds f)
  select cast(fold as bigint) as fold, role, count(*) as rows from tagged where role is not null group by fold, role""")
+oracle("p04_rolling_window_folds", DS1S + """,
+y AS (select distinct year(start_time) as fold from ds1s)
+ select cast(fold as bigint) as fold, case when year(start_time) = fold then 'test' else 'train' end as role, count(*) as rows
+ from ds1s join y on year(start_time) between fold - 2 and fold
+ where fold > (select min(fold) from y) group by all""")
+oracle("p04_temporal_split", DS1S + """
+ select case when start_time < timestamp '2000-01-01' then 'train' else 'test' end as role, count(*) as rows,
+   min(start_time) as first, max(start_time) as last
+ from ds1s group by 1""")
 
 SCORED = DS1 + f""",
 scored AS (select fixture_id, {TARGET} as label,
@@ -135,7 +144,8 @@ per AS (select bin, sum(case when is_ref then 1 else 0 end) as ref_n, sum(case w
         from t group by bin),
 tot AS (select sum(case when is_ref then 1 else 0 end) as tr, sum(case when not is_ref then 1 else 0 end) as tc from t),
 sh AS (select cast(bin as bigint) as bin, greatest(ref_n / tr, 1e-6) as e, greatest(cur_n / tc, 1e-6) as a from per, tot)
- select bin, round(e, 9) as ref_share, round(a, 9) as cur_share, round((a - e) * ln(a / e), 9) as psi from sh""")
+ select bin, round(e, 9) as ref_share, round(a, 9) as cur_share, round((a - e) * ln(a / e), 9) as psi,
+   round((select sum((a - e) * ln(a / e)) from sh), 9) as total_psi from sh""")
 oracle("p10_ratio_anomalies", """
 , r AS (select fs.fixture_id, fs.team_id, cast(s.league_id as bigint) as league_id, cast(fs.shots_insidebox as bigint) as shots_insidebox,
           cast(fs.shots_total as bigint) as shots_total,
@@ -146,13 +156,24 @@ z AS (select r.*, (r.ratio - g.m) / nullif(g.sd, 0) as z from r join g on r.leag
  select fixture_id, team_id, league_id, shots_insidebox, shots_total, round(ratio, 9) as ratio, round(z, 9) as z
  from z where abs(z) > 2.0""")
 oracle("p11_totals_mismatch", """
-, lt AS (select fixture_id, count(*) as left_total from fx_timeline group by fixture_id),
-rt AS (select fixture_id, count(*) as right_total from fx_stats_raw group by fixture_id)
+, lt AS (select fixture_id, cast(sum(minute) as bigint) as left_total from fx_timeline group by fixture_id),
+rt AS (select fixture_id, cast(sum(attacks) * 2 as bigint) as right_total from fx_stats_raw group by fixture_id)
  select coalesce(lt.fixture_id, rt.fixture_id) as fixture_id, lt.left_total, rt.right_total
  from lt full outer join rt on lt.fixture_id = rt.fixture_id
  where lt.left_total is null or rt.right_total is null or abs(lt.left_total - rt.right_total) > 0""")
 
 
+oracle("a06_upsert_audited", """
+ select fixture_id, case status when 'NS' then 'FT' else status end as status,
+   case status when 'NS' then 1000 else home_score end as home_score, 2020 as created, status = 'NS' as moved, status <> 'NS' as untouched
+ from fx_schedules""")
+oracle("a07_insert_ignore_existing", """
+ select home_team_id, season_id, min(fixture_id) as fixture_id, arg_min(status, fixture_id) as status
+ from fx_schedules group by home_team_id, season_id having bool_and(fixture_id % 2 <> 0)""")
+oracle("a08_with_audit", """
+ select team_id, name, coalesce(country_id, -1) as country_id, timestamp '2024-01-01' as created_at, timestamp '2024-01-01' as updated_at,
+   (select count(distinct team_id) from fx_teams) as distinct_ids
+ from fx_teams""")
 # A1: landed files hold the same pressure documents as b13
 ORACLE["a01_read_landed_pressure_files"] = ORACLE["b13_normalize_load_pressure"]
 oracle("h1_stream_normalize_pressure_docs", """

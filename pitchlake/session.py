@@ -63,6 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            # executors and the driver share no local folder: what one writes
+            # there the others would miss
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="pitchlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -10,12 +10,12 @@ number and a JSON string keep their distinct coercion rules.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.functions.exprs import first_by
-
 L, I, S, B, V = T.LongType(), T.IntegerType(), T.StringType(), T.BooleanType(), T.VariantType()
 
 
@@ -105,12 +105,16 @@ def corrupt_records(raw: DataFrame) -> DataFrame:
     return split_corrupt(raw)[1]
 
 
-def latest_snapshot(raw: DataFrame, key: str, ts: str = "fetch_timestamp") -> DataFrame:
+def latest_snapshot(raw: DataFrame, key: str, ts: str = "fetch_timestamp", ties: Sequence[Column] = ()) -> DataFrame:
     """A2: keep the most recent landed document per entity.
 
-    Repeated fetches pile up; the newest ``ts`` wins.  An aggregation, so a
-    heavily re-fetched entity is combined map-side."""
-    return first_by(raw, [key], [ts], descending=True)
+    Repeated fetches pile up; the newest ``ts`` wins, ties go to the largest
+    ``ties``, then to the larger document id.  An aggregation, so a heavily re-fetched entity is combined
+    map-side.  Only the time and the id are compared: whole documents hold
+    VARIANT values, which have no order."""
+    order = [F.col(ts), *ties, *([F.col("_doc_id")] if "_doc_id" in raw.columns else [])]
+    newest = F.max_by(F.struct(*raw.columns), F.struct(*order)).alias("_newest")
+    return raw.groupBy(key).agg(newest).select(*[F.col(f"_newest.{c}").alias(c) for c in raw.columns])
 
 
 def read_market_dim(spark: SparkSession, path: str) -> DataFrame:
@@ -119,7 +123,8 @@ def read_market_dim(spark: SparkSession, path: str) -> DataFrame:
     alphabetically first name seen for it)."""
     raw = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
            .option("ignoreTrailingWhiteSpace", True).csv(path))
-    cols = {c: c.strip() for c in raw.columns}
+    # header names come padded, capitalised and with blanks
+    cols = {c: "_".join(c.strip().lower().split()) for c in raw.columns}
     df = raw.select(*[F.trim(F.col(f"`{c}`")).alias(n) for c, n in cols.items()])
     df = df.select(F.col("market_description"), F.col("market_id").try_cast("int").alias("market_id"),
                    F.col("bookmaker_name"), F.col("bookmaker_id").try_cast("int").alias("bookmaker_id"))

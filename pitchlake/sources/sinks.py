@@ -66,19 +66,21 @@ def upsert(existing: DataFrame, batch: DataFrame, key: Sequence[str], order: str
     """
     cols = [c for c in existing.columns if c not in ("created_at", "updated_at")]
     now = F.current_timestamp()
-    ex = existing.select(*cols, F.lit(0).alias("_src"), F.lit(None).cast("string").alias("_ord"),
-                         *([F.col("created_at")] if audit and "created_at" in existing.columns
-                           else [F.lit(None).cast("timestamp").alias("created_at")]))
-    bt = batch.select(*cols, F.lit(1).alias("_src"),
-                      (F.col(order).cast("string") if order else F.lit(None).cast("string")).alias("_ord"),
-                      F.lit(None).cast("timestamp").alias("created_at"))
+    # the order column keeps its type: as text, 9 would beat 10
+    kind = batch.schema[order].dataType if order else T.StringType()
+    stamps = [(F.col(c) if audit and c in existing.columns else F.lit(None)).cast("timestamp").alias(c)
+              for c in ("created_at", "updated_at")]
+    ex = existing.select(*cols, F.lit(0).alias("_src"), F.lit(None).cast(kind).alias("_ord"), *stamps)
+    bt = batch.select(*cols, F.lit(1).alias("_src"), (F.col(order) if order else F.lit(None).cast(kind)).alias("_ord"),
+                      *[F.lit(None).cast("timestamp").alias(c) for c in ("created_at", "updated_at")])
     u = ex.unionByName(bt)
     rest = [c for c in cols if c not in key]
     win = F.max(F.struct(F.col("_src"), F.col("_ord"), *[F.col(c) for c in rest])).alias("_w")
-    g = u.groupBy(*key).agg(win, F.min("created_at").alias("_created"), F.max("_src").alias("_touched"))
+    g = u.groupBy(*key).agg(win, F.min("created_at").alias("_created"), F.max("updated_at").alias("_updated"),
+                            F.max("_src").alias("_touched"))
     out = g.select(*key, *[F.col(f"_w.{c}").alias(c) for c in rest],
                    F.coalesce(F.col("_created"), now).alias("created_at"),
-                   F.when(F.col("_touched") == 1, now).otherwise(F.col("_created")).alias("updated_at"))
+                   F.when(F.col("_touched") == 1, now).otherwise(F.col("_updated")).alias("updated_at"))
     out = out.select(*existing.columns) if audit else out.select(*cols)
     return out
 
@@ -106,9 +108,11 @@ def insert_ignore(existing: DataFrame | None, batch: DataFrame, key: Sequence[st
         nulls, b = b.filter(has_null), b.filter(~has_null)
     b = first_by(b, list(key), list(order)) if order else b.dropDuplicates(list(key))
     if existing is not None:
-        ex = existing.select(*key)
+        # renamed: both sides may come from the same table
+        ex = existing.select(*[F.col(k).alias(f"_held_{k}") for k in key])
         cond = reduce(lambda x, y: x & y,
-                      [(b[k] == ex[k]) if null_distinct else b[k].eqNullSafe(ex[k]) for k in key])
+                      [(F.col(k) == F.col(f"_held_{k}")) if null_distinct else F.col(k).eqNullSafe(F.col(f"_held_{k}"))
+                       for k in key])
         b = b.join(ex, cond, "left_anti")
     b = b.select(*batch.columns)
     return b.unionByName(nulls) if null_distinct else b

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,8 +104,10 @@ def first_wins_sink(table_path: str, key: Sequence[str], order: Sequence[str] =
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            existing = spark.read.parquet(table_path)
-        except Exception:  # noqa: BLE001 - first batch: the table does not exist yet
+            existing = spark.read.schema(batch.schema).parquet(table_path)
+        except AnalysisException as e:  # only a table that does not exist yet is an empty one
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             existing = None
         new = insert_ignore(existing, batch, key, order=order)
         new.write.mode("append").parquet(table_path)

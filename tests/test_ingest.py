@@ -66,6 +66,7 @@ def test_schedule_edge_cases(spark, tmp_path):
             fx(2, [home], []),
             fx(3, [home, {"id": 300, "meta": {"location": "home"}}], []),
             fx(4, [home, away], [], state=5),
+            dict(fx(7, [home, away], []), starting_at="soon"),
             fx(5, [home, away], [sc("CURRENT", 100, None), sc("1ST_HALF", 100, 1), sc("1ST_HALF", 200, 1)], 99)]},
             {"id": None, "season_id": 9, "fixtures": [fx(6, [home, away], [])]}]}]}}
     raw = R.read_raw(spark, _write(tmp_path, "sched.json", doc), "schedules")
@@ -77,8 +78,10 @@ def test_schedule_edge_cases(spark, tmp_path):
     assert (got[4].home_score, got[4].result) == (None, "H")
     # NULL goals are skipped for the next preference; unknown state -> UNKNOWN
     assert (got[5].home_score, got[5].away_score, got[5].status, got[5].result) == (1, 1, "UNKNOWN", "D")
-    assert sorted(r.fixture_id for r in bad.collect()) == [2, 3]
-    assert 6 not in got  # round without id
+    reasons = {r.fixture_id: r.reject_reason for r in bad.collect()}
+    assert sorted(reasons) == [2, 3, 6, 7] and not set(reasons) & set(got)
+    # a round without an id and an unreadable kick-off are rejected with the reason
+    assert "missing:round_id" in reasons[6] and "missing:start_time" in reasons[7]
 
 
 def test_odds_and_pressure(spark, tmp_path):
@@ -142,6 +145,37 @@ def test_upsert_last_wins_keeps_created(spark):
     assert ordered[1] == "new"
 
 
+def test_upsert_orders_by_value_and_keeps_untouched_stamps(spark):
+    ex = spark.createDataFrame([(1, "old", "2020-01-01", "2023-01-01"), (2, "kept", "2020-01-01", "2023-01-01")],
+                               "k long, v string, c string, u string") \
+        .selectExpr("k", "v", "cast(c as timestamp) created_at", "cast(u as timestamp) updated_at")
+    batch = spark.createDataFrame([(1, "ninth", 9), (1, "tenth", 10)], "k long, v string, seq int")
+    out = {r.k: r for r in K.upsert(ex, batch, ["k"], order="seq").collect()}
+    assert out[1].v == "tenth" and out[1].updated_at.year > 2023 and out[1].created_at.year == 2020
+    assert (out[2].v, out[2].updated_at.year, out[2].created_at.year) == ("kept", 2023, 2020)
+
+
+def test_latest_snapshot_of_documents_with_variants(spark):
+    docs = spark.createDataFrame([(1, "2024-01-01", '{"a": 1}'), (1, "2024-01-03", '{"a": "x"}'), (2, "2024-01-02", None)],
+                                 "fixture_id long, fetch_timestamp string, j string")
+    docs = docs.withColumn("payload", F.parse_json("j"))
+    out = {r.fixture_id: r.j for r in R.latest_snapshot(docs, "fixture_id").collect()}
+    assert out == {1: '{"a": "x"}', 2: None}
+
+
+def test_market_dim_with_padded_header_names(spark, tmp_path):
+    p = tmp_path / "real.csv"
+    p.write_text(" Market_description , Market_id , bookmaker name , bookmaker_id \nFulltime Result , 1 , bet365 , 2 \n")
+    assert [tuple(r) for r in R.read_market_dim(spark, str(p)).select("market_id", "market_description", "bookmaker_name", "bookmaker_id").collect()] \
+        == [(1, "Fulltime Result", "bet365", 2)]
+
+
+def test_text_that_is_no_number_counts_as_missing(spark):
+    from pitchlake.operators.features import require_numeric
+    df = spark.createDataFrame([("1.5",), ("n/a",), (None,)], "x string")
+    assert [r.x for r in require_numeric(df, ["x"]).collect()] == [1.5]
+
+
 def test_write_read_csv_and_checkpoint(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (2, None)], "a long, b double")
     K.write_dataset(df, str(tmp_path / "d"), fmt="csv")
