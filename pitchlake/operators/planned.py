@@ -36,10 +36,11 @@ def period_monotonic(stats: DataFrame, cols: Sequence[str], first: str = S.FIRST
 # ----------------------------------------------------------------- P2
 def league_zscore(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     """Z-score of ``cols`` within ``group`` (per-group mean and sample sd
-    from one aggregation; the per-group table has one row per group)."""
+    from one aggregation).  The per-group table has one row per group, a
+    league here, and is broadcast, so the rows are not shuffled by league."""
     stats = df.groupBy(group).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
-    j = df.join(stats, group)
+    j = df.join(F.broadcast(stats), group)
     out = [F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")).alias(f"z_{c}") for c in cols]
     return j.select(*df.columns, *out)
 
@@ -147,7 +148,8 @@ def ratio_anomalies(df: DataFrame, group: str, num: str, den: str, z: float = 3.
     from its group mean."""
     r = df.withColumn("ratio", F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")))
     g = r.groupBy(group).agg(F.avg("ratio").alias("_m"), F.stddev_samp("ratio").alias("_s"))
-    j = r.join(g, group).withColumn("z", F.try_divide(F.col("ratio") - F.col("_m"), F.col("_s")))
+    # one row per group (league): broadcast, the rows are not shuffled by group
+    j = r.join(F.broadcast(g), group).withColumn("z", F.try_divide(F.col("ratio") - F.col("_m"), F.col("_s")))
     return j.filter(F.abs(F.col("z")) > z).drop("_m", "_s")
 
 

@@ -10,6 +10,7 @@ by value with the SQL oracle in ``plans.oracle``.
 from __future__ import annotations
 
 from typing import Callable, Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -613,7 +614,7 @@ def _(t):
 @register("e03_stratified_split_sizes")
 def _(t):
     ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline)
-    return E.stratified_split(ds, "target").groupBy("target", "is_train").count()
+    return E.stratified_split(ds, "target").groupBy("target", "is_train").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("e07_baseline_metrics", noisy=["log_loss"])
@@ -634,6 +635,7 @@ def _(t):
 @register("e04_train_gbt_dataset_two")
 def _(t):
     ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline).withColumnRenamed("target", "label")
+    ds = K.checkpoint_table(ds, f"e04-{uuid4().hex}")  # every fit and metric reads it, none derives it again
     res = E.train_and_evaluate(ds, D.DS2_FEATURES, "label", E.PRESSURE_PARAMS, early_stopping=False)
     spark = ds.sparkSession
     if res["model"] is None:
@@ -651,6 +653,7 @@ def _(t):
     """Dataset 1, training subset of features, baseline parameters, early
     stopping on a validation slice of the training rows."""
     ds = D.dataset_one(t.schedules, t.stats, t.odds).withColumnRenamed(D.target_name(), "label")
+    ds = K.checkpoint_table(ds, f"e05-{uuid4().hex}")
     res = E.train_and_evaluate(ds, D.DS1_TRAIN_FEATURES, "label", E.BASELINE_PARAMS, early_stopping=True)
     spark = ds.sparkSession
     if res["model"] is None:

@@ -131,6 +131,10 @@ feat AS (
     end as target
   from fav),
 ds2 AS (select * from feat where target is not null and odds_ratio is not null and avg_pressure_index_1st_half is not null)"""
+oracle("e03_stratified_split_sizes", DS2 + """,
+n AS (select target, count(*) as n from ds2 group by target)
+ select target, true as is_train, cast(floor(n * 0.8) as bigint) as rows from n where floor(n * 0.8) > 0
+ union all select target, false, cast(n - floor(n * 0.8) as bigint) from n where n > floor(n * 0.8)""")
 PAIRS = [(a, b) for i, a in enumerate(DS2F) for b in DS2F[i + 1:]]
 oracle("p08_correlation_matrix", DS2 + "\n " + "\n union all\n ".join(
     f"select '{a}' as feature_a, '{b}' as feature_b, round(corr({a}, {b}), 9) as corr from ds2" for a, b in PAIRS))
