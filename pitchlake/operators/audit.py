@@ -922,6 +922,9 @@ def incomplete_fixtures(stats: DataFrame, cols: Sequence[str] = tuple(S.REQUIRED
 RECOMMENDATIONS = {
     "stats_coverage": "Focus on improving stats coverage for finished fixtures, especially for more recent matches",
     "team_coverage": "Investigate fixtures with incomplete team coverage; both teams' stats are essential for modeling",
+    "league_coverage": "Prioritize standardizing stats coverage across leagues; many top leagues have inconsistent coverage",
+    "decreasing_stats": "Investigate decreasing stat values between periods, which may indicate data quality issues",
+    "period_meaning": "Clarify whether API periods represent cumulative or period-specific stats",
     "null_rates": "Address high NULL rates for key stats",
     "score_consistency": "Resolve score inconsistencies between fixture_stats and schedules tables",
     "monitoring": "Implement regular automated quality monitoring focusing on stats completeness and consistency",
@@ -931,10 +934,15 @@ RECOMMENDATIONS = {
 
 
 def validation_summary(quality: DataFrame, leagues_q: DataFrame, missing: DataFrame, team_rate: DataFrame,
-                       nulls: DataFrame, member: DataFrame, dup_keys: DataFrame, mismatch: DataFrame) -> DataFrame:
-    """headline metrics, triggered recommendations and data gaps as
-    ``(section, metric, value, detail)`` rows, assembled from the other
-    audit results (each a one-row aggregate; no printing, no driver state)."""
+                       nulls: DataFrame, member: DataFrame, dup_keys: DataFrame, mismatch: DataFrame,
+                       coverage: DataFrame, decreasing: DataFrame, both_periods: DataFrame, errors: DataFrame) -> DataFrame:
+    """headline metrics, findings, triggered recommendations, the
+    league ranking and data gaps as ``(section, metric, value, detail)``
+    rows, assembled from the other audit results (one-row aggregates and
+    short rankings; no printing, no driver state).
+
+    ``coverage``: F33; ``decreasing``: P1; ``both_periods``: the (fixture,
+    team) rows that P1 could compare; ``errors``: F48."""
     def row(df, section, metric, value, detail=None, cond=None):
         d = df.filter(cond) if cond is not None else df
         return d.select(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
@@ -946,6 +954,14 @@ def validation_summary(quality: DataFrame, leagues_q: DataFrame, missing: DataFr
     worst = nulls.orderBy(F.desc("null_percent"), "statistic").limit(1)
     poor = leagues_q.agg(count_if(F.col("avg_quality_score") < 50).alias("poor"))
     dups = dup_keys.agg(F.count(F.lit(1)).alias("n"))
+    covered, fell, compared = (d.agg(F.count(F.lit(1)).alias("n")) for d in (coverage, decreasing, both_periods))
+    by_quality = [F.desc("good_or_better_pct"), F.asc("league_id")]
+
+    def ranked(df, section, order, k, value, detail):
+        top = df.orderBy(*order).limit(k)  # a window over at most k rows
+        place = F.row_number().over(Window.orderBy(*order)).cast("string")
+        return top.select(F.lit(section).alias("section"), place.alias("metric"), value.cast("double").alias("value"),
+                          detail.cast("string").alias("detail"))
     rec = RECOMMENDATIONS
     parts = [
         row(q1, "overall", "total_fixtures", F.col("n")),
@@ -957,7 +973,15 @@ def validation_summary(quality: DataFrame, leagues_q: DataFrame, missing: DataFr
         row(member, "findings", "team_id_inconsistency_pct", F.col("inconsistent_percent")),
         row(dups, "findings", "duplicate_keys", F.col("n")),
         row(mismatch, "findings", "score_inconsistency_pct", F.col("mismatch_pct")),
+        row(fell, "findings", "decreasing_stats", F.col("n")),
         row(poor, "gaps", "poor_leagues", F.col("poor")),
+        ranked(leagues_q, "league_ranking", by_quality, 5, F.col("avg_quality_score"), F.col("league_name")),
+        ranked(leagues_q.filter(F.col("avg_quality_score") < 50), "poor_league", by_quality, 3, F.col("avg_quality_score"),
+               F.col("league_name")),
+        ranked(errors, "error_pattern", [F.asc("rank")], 3, F.col("count"), F.col("name")),
+        row(covered, "recommendation", "league_coverage", F.lit(1), F.lit(rec["league_coverage"]), F.col("n") > 0),
+        row(fell, "recommendation", "decreasing_stats", F.lit(1), F.lit(rec["decreasing_stats"]), F.col("n") > 0),
+        row(compared, "recommendation", "period_meaning", F.lit(1), F.lit(rec["period_meaning"]), F.col("n") > 0),
         row(missing, "recommendation", "stats_coverage", F.lit(1), F.lit(rec["stats_coverage"]),
             F.col("missing_stats") > 0),
         row(team_rate, "recommendation", "team_coverage", F.lit(1), F.lit(rec["team_coverage"]),

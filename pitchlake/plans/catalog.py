@@ -712,17 +712,23 @@ def _(t):
     return H.run_available_now(H.quality_monitor(_events_stream(t), "ts", ["user_id", "value", "props"]), "h4")
 
 
+# ------------------------------------------------------------ plan-only ops
+from pitchlake.operators import planned as PL  # noqa: E402
+
+
+MONOTONIC = ["goals", "shots_total", "attacks"]
+
+
 @register("f49_validation_summary", noisy=["value"])
 def _(t):
     q = _quality(t)
     return A.validation_summary(
         q, A.league_quality(q), A.missing_rate(t.schedules, t.stats), A.member_count_rate(t.stats),
         A.null_profile(t.stats.filter(F.col("period") == S.FIRST_HALF), HT11), A.non_member(t.stats, t.schedules),
-        A.duplicates(t.stats, ["fixture_id", "team_id", "period"]), A.mismatch_summary(t.stats, t.schedules))
-
-
-# ------------------------------------------------------------ plan-only ops
-from pitchlake.operators import planned as PL  # noqa: E402
+        A.duplicates(t.stats, ["fixture_id", "team_id", "period"]), A.mismatch_summary(t.stats, t.schedules),
+        A.coverage_by_league(t.schedules, t.stats, t.leagues), PL.period_monotonic(t.stats, MONOTONIC),
+        t.stats.filter(F.col("period").isin(S.FIRST_HALF, S.SECOND_HALF)).groupBy("fixture_id", "team_id")
+        .agg(F.count_distinct("period").alias("n")).filter("n = 2"), A.error_register(t.stats, t.schedules))
 
 
 def _ds1_with_season(t):
@@ -732,7 +738,7 @@ def _ds1_with_season(t):
 
 @register("p01_period_monotonic")
 def _(t):
-    return PL.period_monotonic(t.stats, ["goals", "shots_total", "attacks"])
+    return PL.period_monotonic(t.stats, MONOTONIC)
 
 
 @register("p02_league_zscore", noisy=["z_ht_diff_goals", "z_odds_fav"])

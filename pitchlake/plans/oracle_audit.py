@@ -445,7 +445,7 @@ oracle("f47_league_badges", f""", {F43}, {F45}
 
 # ------------------------------------------------------------ F48, F50
 E = dict(ERROR_PATTERNS)
-oracle("f48_error_register", f""", {SG}, {SHARES},
+ERRORS = f"""
 flags AS (
   select fixture_id, bool_or(period = 'first_half') as early, count(distinct team_id) filter (period = 'first_half') as teams,
     count(*) filter (period = 'first_half' and ball_possession is null) as unshared,
@@ -457,7 +457,8 @@ found AS (
   from flags
   union all select 'Inconsistent scores', count(*) from wrong
   union all select unnest(['Irregular possession sum', 'Irregular possession teams']),
-    unnest([count(*) filter (team_count >= 2 and value_sum not between 95 and 105), count(*) filter (team_count <> 2)]) from shares),
+    unnest([count(*) filter (team_count >= 2 and value_sum not between 95 and 105), count(*) filter (team_count <> 2)]) from shares)"""
+oracle("f48_error_register", f""", {SG}, {SHARES}, {ERRORS},
 described AS (select * from (values {', '.join(f"('{n}', '{d}')" for n, d in E.items())}) v(name, description))
  select row_number() over (order by count desc, name) as rank, name, description, count from found join described using (name)""")
 oracle("f50_incomplete_fixtures", f"""

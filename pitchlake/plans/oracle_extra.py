@@ -6,13 +6,23 @@ from __future__ import annotations
 from pitchlake import schema as S
 from pitchlake.operators.audit import RECOMMENDATIONS
 from pitchlake.plans.oracle import AVG_P, DS1, ORACLE, P, PIVOT_MEAN, SIDED, TARGET, oracle
-from pitchlake.plans.oracle_audit import F43, F45, SG
+from pitchlake.plans.oracle_audit import ERRORS, F33, F43, F45, SG, SHARES
 
 HT11 = list(S.REQUIRED_HT_STATS)
 R = {k: v.replace("'", "''") for k, v in RECOMMENDATIONS.items()}
 GOOD = f"quality_category in ('{S.Q_EXCELLENT}', '{S.Q_GOOD}')"
 
-oracle("f49_validation_summary", f""", {F43}, {F45}, {SG},
+oracle("f49_validation_summary", f""", {F43}, {F45}, {SG}, {SHARES}, {ERRORS}, {F33},
+halves AS (
+  select fixture_id, team_id, any_value(goals) filter (period = 'first_half') as g1, any_value(goals) filter (period = 'second_half') as g2,
+    any_value(shots_total) filter (period = 'first_half') as s1, any_value(shots_total) filter (period = 'second_half') as s2,
+    any_value(attacks) filter (period = 'first_half') as a1, any_value(attacks) filter (period = 'second_half') as a2,
+    count(distinct period) as periods
+  from fx_stats where period in ('first_half', 'second_half') group by fixture_id, team_id),
+fell AS (select count(*) filter (g1 > g2 or s1 > s2 or a1 > a2) as n, count(*) filter (periods = 2) as compared from halves),
+ranking AS (select *, row_number() over (order by good_or_better_pct desc, league_id) as place from f45p),
+low AS (select *, row_number() over (order by good_or_better_pct desc, league_id) as spot from f45p where avg_quality_score < 50),
+worst_errors AS (select *, row_number() over (order by count desc, name) as place from found),
 miss AS (select count(*) as total_finished, sum(case when fs.fixture_id is null then 1 else 0 end) as missing_stats,
            {P('sum(case when fs.fixture_id is null then 1 else 0 end)', 'count(*)')} as missing_pct
          from fx_schedules s left join (select distinct fixture_id from fx_stats) fs on s.fixture_id = fs.fixture_id
@@ -39,6 +49,13 @@ rows AS (
   union all select 'findings', 'team_id_inconsistency_pct', pct, null from mem
   union all select 'findings', 'duplicate_keys', cast(n as double), null from dups
   union all select 'findings', 'score_inconsistency_pct', mismatch_pct, null from mm
+  union all select 'findings', 'decreasing_stats', cast(n as double), null from fell
+  union all select 'league_ranking', place::varchar, avg_quality_score, league_name from ranking where place <= 5
+  union all select 'poor_league', spot::varchar, avg_quality_score, league_name from low where spot <= 3
+  union all select 'error_pattern', place::varchar, count::double, name from worst_errors where place <= 3
+  union all select 'recommendation', 'league_coverage', 1.0, '{R["league_coverage"]}' from (select count(*) as n from f33) c where n > 0
+  union all select 'recommendation', 'decreasing_stats', 1.0, '{R["decreasing_stats"]}' from fell where n > 0
+  union all select 'recommendation', 'period_meaning', 1.0, '{R["period_meaning"]}' from fell where compared > 0
   union all select 'gaps', 'poor_leagues', cast(sum(case when avg_quality_score < 50 then 1 else 0 end) as double), null from f45p
   union all select 'recommendation', 'stats_coverage', 1.0, '{R["stats_coverage"]}' from miss where missing_stats > 0
   union all select 'recommendation', 'team_coverage', 1.0, '{R["team_coverage"]}' from tr where incomplete > 0
