@@ -670,14 +670,32 @@ def _(t):
 from pitchlake.streaming import jobs as H  # noqa: E402
 
 
-def _events_stream(t):
-    return H.file_stream(t.spark, t.dir, "events")
+EVENT_PARTS = 6
+
+
+def _landed_events(t, name, job, **kw):
+    """Run ``job`` (a streaming transformation) over the events as they land:
+    six parts in time order, one run each, all from one checkpoint, so state
+    and sinks meet rows of earlier runs; then the third part lands again,
+    late and replayed."""
+    spark, events = t.spark, t.raw("events")
+    base = H.stream_dir(spark, name)
+    edges = events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / EVENT_PARTS for k in range(1, EVENT_PARTS)])
+                          ).first()[0]
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    parts = [events.filter(c) for c in [micros <= edges[0], *[(micros > lo) & (micros <= hi) for lo, hi in zip(edges, edges[1:])],
+                                        micros > edges[-1]]]
+    for part in [*parts, parts[2]]:
+        part.write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
+        out = H.run_available_now(job(stream), name, base=base, **kw)
+    return out
 
 
 @register("h1_stream_dedupe_events")
 def _(t):
-    s = H.dedupe_stream(_events_stream(t), ["event_id"], "ts", "1 day")
-    return H.run_available_now(s.select("event_id", "ts", "user_id", "event_type", "value"), "h1")
+    return _landed_events(t, "h1", lambda s: H.dedupe_stream(s, ["event_id"], "ts", "1 day").select(
+        "event_id", "ts", "user_id", "event_type", "value"))
 
 
 @register("h1_stream_normalize_pressure_docs")
@@ -694,22 +712,21 @@ def _(t):
 
 @register("h2_stream_window_mean", noisy=["avg_value"])
 def _(t):
-    return H.run_available_now(H.windowed_mean(_events_stream(t), "ts", "event_type", "value"), "h2")
+    return _landed_events(t, "h2", lambda s: H.windowed_mean(s, "ts", "event_type", "value"))
 
 
 @register("h3_stream_first_wins_sink")
 def _(t):
-    spark = t.spark
-    path = H.stream_dir(spark, "h3") + "/table"
-    s = _events_stream(t).select("user_id", "event_type", "ts", "event_id", "value")
-    H.run_available_now(s, "h3", foreach_batch=H.first_wins_sink(path, ["user_id", "event_type"], ["ts", "event_id"]),
-                        out_path=path)
-    return spark.read.parquet(path)
+    path = H.stream_dir(t.spark, "h3") + "/table"
+    sink = H.first_wins_sink(path, ["user_id", "event_type"], ["ts", "event_id"])
+    return _landed_events(t, "h3", lambda s: s.select("user_id", "event_type", "ts", "event_id", "value"),
+                          foreach_batch=sink, out_path=path).drop(H.BUCKET)
 
 
 @register("h4_stream_quality_monitor", noisy=["max_null_rate"])
 def _(t):
-    return H.run_available_now(H.quality_monitor(_events_stream(t), "ts", ["user_id", "value", "props"]), "h4")
+    return _landed_events(t, "h4", lambda s: H.quality_monitor(s, "ts", ["user_id", "value", "props"],
+                                                               rules={"odd_value": "value > 100 or value < 0"}))
 
 
 # ------------------------------------------------------------ plan-only ops

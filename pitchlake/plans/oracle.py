@@ -355,9 +355,10 @@ oracle("h4_stream_quality_monitor", """
 , w AS (select time_bucket(interval '1 day', ts) as window_start, count(*) as rows,
           cast(sum(case when user_id is null then 1 else 0 end) as bigint) as null_user_id,
           cast(sum(case when value is null then 1 else 0 end) as bigint) as null_value,
-          cast(sum(case when props is null then 1 else 0 end) as bigint) as null_props
+          cast(sum(case when props is null then 1 else 0 end) as bigint) as null_props,
+          count(*) filter (value > 100 or value < 0) as rule_odd_value
         from events group by 1)
- select window_start, window_start + interval '1 day' as window_end, rows, null_user_id, null_value, null_props,
+ select window_start, window_start + interval '1 day' as window_end, rows, null_user_id, null_value, null_props, rule_odd_value,
    round(greatest(null_user_id / rows, null_value / rows, null_props / rows), 9) as max_null_rate,
-   greatest(null_user_id / rows, null_value / rows, null_props / rows) > 0 as breach
+   greatest(null_user_id / rows, null_value / rows, null_props / rows) > 0 or rule_odd_value > 0 as breach
  from w where window_start + interval '1 day' <= (select max(ts) from events) - interval '1 day'""")

@@ -84,33 +84,51 @@ def windowed_mean(stream: DataFrame, ts: str, key: str, value: str, window: str
 
 # ----------------------------------------------------------------- H4
 def quality_monitor(stream: DataFrame, ts: str, cols: Sequence[str], window: str = "1 day",
-                    watermark: str = "1 day", max_null_rate: float = 0.0) -> DataFrame:
-    """H4: per window row count and NULL rate of each monitored column;
-    ``breach`` flags windows whose worst NULL rate exceeds the threshold."""
+                    watermark: str = "1 day", max_null_rate: float = 0.0, rules: dict[str, str] | None = None) -> DataFrame:
+    """H4: per window row count, NULL rate of each monitored column and
+    breaches of each of ``rules`` (name -> SQL condition of a bad row);
+    ``breach`` flags windows whose worst NULL rate exceeds the threshold or
+    that break a rule."""
+    rules = rules or {}
     s, et = _event_time(stream, ts)
     g = s.withWatermark(et, watermark).groupBy(F.window(et, window))
     aggs = [F.count(F.lit(1)).alias("rows")] + [count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols]
+    aggs += [count_if(F.coalesce(F.expr(p), F.lit(False))).alias(f"rule_{n}") for n, p in rules.items()]
     out = g.agg(*aggs).select(_ntz("window.start").alias("window_start"), _ntz("window.end").alias("window_end"),
-                              "rows", *[f"null_{c}" for c in cols])
+                              "rows", *[f"null_{c}" for c in cols], *[f"rule_{n}" for n in rules])
     worst = F.greatest(*[F.col(f"null_{c}") / F.col("rows") for c in cols]) if len(cols) > 1 else \
         F.col(f"null_{cols[0]}") / F.col("rows")
-    return out.withColumn("max_null_rate", worst).withColumn("breach", F.col("max_null_rate") > max_null_rate)
+    broken = F.lit(False)
+    for n in rules:
+        broken = broken | (F.col(f"rule_{n}") > 0)
+    return out.withColumn("max_null_rate", worst).withColumn("breach", (F.col("max_null_rate") > max_null_rate) | broken)
 
 
 # ----------------------------------------------------------------- H3
-def first_wins_sink(table_path: str, key: Sequence[str], order: Sequence[str] = ()):
+BUCKET = "_bucket"
+
+
+def first_wins_sink(table_path: str, key: Sequence[str], order: Sequence[str] = (), buckets: int = 64):
     """H3: ``foreachBatch`` function appending only rows whose key is not
-    in the table yet (A7).  Replaying an epoch is a no-op."""
+    in the table yet (A7).  Replaying an epoch is a no-op.
+
+    The table is partitioned by a hash bucket of the key, and a batch reads
+    only the buckets that its keys fall into, so its cost follows the batch
+    (with more buckets than keys in a batch) and not the table."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return
         try:
-            existing = spark.read.schema(batch.schema).parquet(table_path)
+            existing = spark.read.schema(batch.schema).parquet(table_path).where(F.col(BUCKET).isin(touched))
         except AnalysisException as e:  # only a table that does not exist yet is an empty one
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             existing = None
         new = insert_ignore(existing, batch, key, order=order)
-        new.write.mode("append").parquet(table_path)
+        new.write.mode("append").partitionBy(BUCKET).parquet(table_path)
     return write
 
 
@@ -121,11 +139,12 @@ def stream_dir(spark: SparkSession, name: str) -> str:
 
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append", foreach_batch=None,
-                      out_path: str | None = None) -> DataFrame:
+                      out_path: str | None = None, base: str | None = None) -> DataFrame:
     """Run a streaming query over everything available now, then return its
-    output as a batch DataFrame (Parquet sink, or the foreachBatch table)."""
+    output as a batch DataFrame (Parquet sink, or the foreachBatch table).
+    A run with the ``base`` of an earlier one goes on from its checkpoint."""
     spark = df.sparkSession
-    base = stream_dir(spark, name)
+    base = base or stream_dir(spark, name)
     out_path = out_path or f"{base}/out"
     w = df.writeStream.option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
     if foreach_batch is not None:
