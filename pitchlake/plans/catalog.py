@@ -525,7 +525,13 @@ def _(t):
 
 @register("b11_coercion_failures")
 def _(t):
-    return B.coercion_failures(_stats_raw(t))
+    return B.coercion_failures(R.parse_documents(LD.stats_documents(t, spoiled=True), "stats"))
+
+
+@register("b04_rejected_schedules")
+def _(t):
+    raw = R.parse_documents(LD.schedule_documents(t, spoiled=True), "schedules")
+    return B.normalize_schedules(raw)[1].select("fixture_id", "season_id", "reject_reason")
 
 
 @register("b12_normalize_load_odds")

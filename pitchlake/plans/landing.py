@@ -20,7 +20,8 @@ TS_FMT = "yyyy-MM-dd HH:mm:ss"
 STAT_ENCODING = {"goals": "number", "fouls": "text", "red_cards": "number", "tackles": "number",
                  "shots_blocked": "number", "successful_passes_percentage": "number", "ball_possession": "percent",
                  "saves": "number", "attacks": "number", "shots_total": "number", "shots_insidebox": "number",
-                 "shots_on_target": "number"}
+                 "shots_on_target": "number", "shots_off_target": "number", "passes": "text", "corners": "number",
+                 "yellow_cards": "number", "challenges": "number"}
 COLUMN_TO_CODE = {v: k for k, v in S.STAT_CODE_TO_COLUMN.items()}
 STATUS_TO_STATE = {v: k for k, v in S.STATE_ID_TO_STATUS.items()}
 PERIOD_TEXT = {"first_half": "1st-half", "second_half": "2nd-half", "extra_time": "Extra-Time",
@@ -35,15 +36,22 @@ def _variant(c: Column, how: str) -> Column:
     return F.parse_json(c.cast("string"))
 
 
-def stats_documents(t: Testbed) -> DataFrame:
+def stats_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
+    """Statistics documents; ``spoiled``: some values are no numbers."""
     r = t.stats_raw
+
+    def value(c, how):
+        v = _variant(F.col(c), how)
+        if not spoiled or c not in ("fouls", "ball_possession"):
+            return v
+        return F.when(F.col(c).isNotNull() & (F.col("src_a") % 97 == 5), F.parse_json(F.lit('"n/a"'))).otherwise(v)
     period = F.col("period")
     desc = F.create_map(*[x for k, v in PERIOD_TEXT.items() for x in (F.lit(k), F.lit(v))])[period]
     pid = F.col("fixture_id") * 10 + F.when(period == "first_half", 1).when(period == "second_half", 2) \
         .when(period == "extra_time", 3).otherwise(4)
     items = [F.struct(F.col("team_id").alias("participant_id"),
                       F.struct(F.lit(COLUMN_TO_CODE[c]).alias("code")).alias("type"),
-                      F.struct(_variant(F.col(c), how).alias("value")).alias("data"))
+                      F.struct(value(c, how).alias("value")).alias("data"))
              for c, how in STAT_ENCODING.items()]
     doc = F.struct(F.date_format("api_ts", TS_FMT).alias("fetch_timestamp"), F.col("fixture_id"),
                    F.struct(F.struct(F.col("fixture_id").alias("id"), F.array(F.struct(
@@ -52,7 +60,8 @@ def stats_documents(t: Testbed) -> DataFrame:
     return r.select(F.to_json(doc).alias("doc"))
 
 
-def schedule_documents(t: Testbed) -> DataFrame:
+def schedule_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
+    """Schedule documents; ``spoiled``: some kick-offs are unreadable."""
     s = t.schedules
     st = F.col("status")
     state = F.create_map(*[x for k, v in STATUS_TO_STATE.items() for x in (F.lit(k), F.lit(v))])[st]
@@ -69,7 +78,8 @@ def schedule_documents(t: Testbed) -> DataFrame:
     part = lambda pid, loc, win: F.struct(pid.alias("id"), F.struct(F.lit(loc).alias("location"),
                                                                    win.alias("winner")).alias("meta"))
     fixture = F.struct(F.col("fixture_id").alias("id"), F.col("league_id").cast("long").alias("league_id"),
-                       F.date_format("start_time", TS_FMT).alias("starting_at"), state.alias("state_id"),
+                       (F.when(F.col("fixture_id") % 50 == 7, "soon") if spoiled else F.when(F.lit(False), ""))
+                       .otherwise(F.date_format("start_time", TS_FMT)).alias("starting_at"), state.alias("state_id"),
                        F.array(part(F.col("home_team_id"), "home", F.col("home_score") > F.col("away_score")),
                                part(F.col("away_team_id"), "away", F.col("away_score") > F.col("home_score")))
                        .alias("participants"), scores.alias("scores"))

@@ -244,7 +244,8 @@ oracle("a06_upsert_schedules", f""", {SCHED_NORM}
  from sched_res""")
 
 PRESENT = ["goals", "fouls", "red_cards", "tackles", "shots_blocked", "successful_passes_percentage",
-           "ball_possession", "saves", "attacks", "shots_total", "shots_insidebox", "shots_on_target"]
+           "ball_possession", "saves", "attacks", "shots_total", "shots_insidebox", "shots_on_target", "shots_off_target",
+           "passes", "corners", "yellow_cards", "challenges"]
 STAT_ORDER = [c for c in S.STAT_COLUMNS if c in PRESENT]
 
 
@@ -263,9 +264,14 @@ ranked AS (select *, row_number() over (partition by fixture_id, team_id, period
    cast(fetch_timestamp as timestamp) as timestamp
  from ranked where rn = 1""")
 oracle("b11_coercion_failures", "\n union all\n ".join(
-    f"select '{c}' as \"column\", count({c}) as values, cast(0 as bigint) as failed from fx_stats_raw"
-    for c in PRESENT if c != "shots_on_target") + "\n union all\n select 'shots_on_target', count(shots_on_target), "
-    "cast(0 as bigint) from fx_stats_raw")
+    f"select '{c}' as \"column\", count({c}) as values, "
+    + (f"count({c}) filter (src_a % 97 = 5)" if c in ("fouls", "ball_possession") else "count(case when false then 1 end)")
+    + " as failed from fx_stats_raw" for c in PRESENT))
+oracle("b04_rejected_schedules", """
+ select fixture_id, season_id, concat_ws(',', case when fixture_id = 0 then 'missing:fixture_id' end,
+   case when home_team_id = 0 then 'missing:home_team_id,missing:away_team_id' end,
+   case when fixture_id % 50 = 7 then 'missing:start_time' end) as reject_reason
+ from fx_schedules where fixture_id = 0 or home_team_id = 0 or fixture_id % 50 = 7""")
 oracle("b12_normalize_load_odds", """
 , ranked AS (select *, row_number() over (partition by fixture_id, market_id, bookmaker_id, label
                order by strftime(latest_bookmaker_update, '%Y-%m-%d %H:%M:%S') nulls first, value nulls first) as rn

@@ -205,7 +205,7 @@ oracle("a02_latest_stats_snapshot", """
 , d AS (select fixture_id, strftime(api_ts, '%Y-%m-%d %H:%M:%S') as fetch_timestamp,
           case period when 'first_half' then '1st-half' when 'second_half' then '2nd-half'
                       when 'extra_time' then 'Extra-Time' else 'Penalties' end as description,
-          cast(12 as bigint) as n_statistics
+          cast(17 as bigint) as n_statistics
         from fx_stats_raw),
 r AS (select *, row_number() over (partition by fixture_id order by fetch_timestamp desc, description desc,
                                    n_statistics desc) as rn from d)
