@@ -2,8 +2,9 @@
 
 Documents are read in slices; the words of a slice form one shard.  A shard
 gets a word-level suffix array: suffixes are sorted by their first three
-words packed into one integer, and groups that tie are refined by prefix
-doubling up to the longest test item.  Every suffix of every test item is
+words packed into one integer (two words if a shard has so many distinct
+ones, about two million, that three do not fit), and groups that tie are
+refined by prefix doubling up to the longest test item.  Every suffix of every test item is
 then binary-searched in the shard, all of them at once: an interval of the
 array is narrowed word by word, so the depth at which it closes is the
 suffix's longest verbatim match and the interval holds its locations.
@@ -71,18 +72,19 @@ class Shard:
         self.n_words = np.diff(self.starts) - 1
         self.seq = np.concatenate([*parts, np.zeros(PACKED, dtype=np.int64)])
         self.base = len(vocabulary) + 1
-        if self.base ** PACKED >= 2 ** 63:
-            raise ValueError("a shard may hold about two million distinct words; use smaller shards")
+        self.packed = PACKED  # words that fit one key: a long text of many distinct words takes fewer
+        while self.base ** self.packed >= 2 ** 63:
+            self.packed -= 1
         self._sort(longest_query)
 
     def _sort(self, longest_query: int) -> None:
         n = len(self.seq) - PACKED
         key = np.zeros(n, dtype=np.int64)
-        for d in range(PACKED):
+        for d in range(self.packed):
             key = key * self.base + self.seq[d:n + d]
         self.array = np.argsort(key, kind="stable")
         self.keys = key[self.array]
-        depth = PACKED
+        depth = self.packed
         new = np.concatenate([[True], self.keys[1:] != self.keys[:-1]]) if n else np.zeros(0, dtype=bool)
         rank = np.empty(n + 1, dtype=np.int64)  # a suffix's group: the first place in the array that it may take
         rank[n] = -1
@@ -126,12 +128,12 @@ class Shard:
         prefix, live = np.zeros(m, np.int64), np.arange(m)
         depth = 0
         while len(live):
-            word = query[live + depth] if depth < PACKED else query[np.minimum(live + depth, len(query) - 1)]
+            word = query[live + depth] if depth < self.packed else query[np.minimum(live + depth, len(query) - 1)]
             known = word > 0
             live, word = live[known], word[known]
-            if depth < PACKED:
+            if depth < self.packed:
                 prefix[live] = prefix[live] * self.base + word
-                unit = self.base ** (PACKED - depth - 1)
+                unit = self.base ** (self.packed - depth - 1)
                 x = np.searchsorted(self.keys, prefix[live] * unit, "left")
                 y = np.searchsorted(self.keys, (prefix[live] + 1) * unit, "left")
             else:
