@@ -1,18 +1,23 @@
 """A small, tolerant DOM: block elements, their text and what surrounds them.
 
 Only what extraction needs: elements that start a block become nodes; inline
-elements are transparent (links are counted); scripts, styles and form
-controls are skipped with all they hold.  End tags that HTML lets authors
-omit are implied.  Every step is a loop over tags, so depth is no limit.
+elements and formulas are transparent (links are counted); scripts, styles,
+media and form controls are skipped with all they hold.  Only raw text
+(RAW) without an end tag runs to the end of the page, as HTML says; another
+skipped element without an end tag of its own in its enclosing block ends at
+the next block.  End tags that HTML lets authors omit are implied.  Every
+step is a loop over tags, so depth is no limit.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_SKIPPED_TAG = re.compile(r"<(?:template|noscript|svg|canvas|object|select|button|option|video|audio|datalist)(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w-]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
 
@@ -20,8 +25,9 @@ BLOCKS = frozenset(
     "html body article main section nav header footer aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot "
     "tr td th caption blockquote pre figure figcaption address form fieldset legend label details summary hr center dialog menu "
     "hgroup search".split())
-SKIPPED = frozenset("script style head title template noscript iframe svg canvas object select textarea button option math "
-                    "video audio datalist".split())
+RAW = frozenset("script style title iframe textarea".split())  # hold text only, up to their end tag
+SKIPPED = frozenset("template noscript svg canvas object select button option video audio datalist".split())
+_NESTING = frozenset({"template", "svg", "object"})  # any other skipped element ends an open one of its kind
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = BLOCKS - {"html", "body"}
 #: an opening tag ends these open elements, up to the given limits
@@ -56,6 +62,66 @@ def tokens_of(attributes: str) -> tuple[frozenset[str], str | None]:
     return frozenset(out), keep
 
 
+def _end_of_raw(html: str, tag: str, at: int) -> int:
+    done = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
+    return done.end() if done else len(html)
+
+
+def skipped_spans(html: str) -> dict[int, int]:
+    """Start and end of the skipped elements that are closed by an end tag of
+    their own before their enclosing block ends."""
+    out: dict[int, int] = {}
+    if not _SKIPPED_TAG.search(html):
+        return out
+    open_: list[tuple[str, int]] = []  # open blocks and skipped elements: tag, start
+    held: Counter[str] = Counter()  # how many of a tag are open
+
+    def cut(upto: int) -> None:
+        held.subtract(t for t, _ in open_[upto:])
+        del open_[upto:]
+
+    def last_open(tags, limits=frozenset()) -> int | None:
+        if any(held[t] for t in tags):
+            for i in range(len(open_) - 1, -1, -1):
+                if open_[i][0] in tags:
+                    return i
+                if open_[i][0] in limits:
+                    return None
+        return None
+
+    at = 0
+    while m := _TAG.search(html, at):
+        at = m.end()
+        slash, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        if tag is None:
+            continue
+        tag = tag.lower()
+        known = tag in BLOCKS or tag in SKIPPED or tag == "head"
+        if slash:
+            if known and (i := last_open((tag,))) is not None:
+                if tag in SKIPPED:
+                    out[open_[i][1]] = at
+                cut(i)
+        elif tag in RAW:
+            if not attributes.endswith("/") or tag in ("script", "style") and not held["svg"]:
+                at = _end_of_raw(html, tag, at)
+        elif known and tag != "hr" and not (tag in SKIPPED and attributes.endswith("/")):
+            if tag in SKIPPED - _NESTING and (i := last_open((tag,))) is not None:
+                held[tag] -= 1
+                del open_[i]
+            elif tag == "body" and (i := last_open(("head",))) is not None:
+                cut(i)
+            elif tag in _CLOSES_P and open_ and open_[-1][0] == "p":
+                cut(len(open_) - 1)
+            if tag in _IMPLIED:
+                ends, limits = _IMPLIED[tag]
+                while (i := last_open(ends, limits)) is not None:
+                    cut(i)
+            open_.append((tag, m.start()))
+            held[tag] += 1
+    return out
+
+
 def parse(html: str | None) -> list[Node]:
     """Nodes in page order; node 0 is the page."""
     html = html or ""
@@ -63,9 +129,13 @@ def parse(html: str | None) -> list[Node]:
     open_: list[tuple[str, int]] = [("page", 0)]  # open blocks: tag, node
     buffer: list[str] = []
     linked = in_link = order = at = 0
+    spans = skipped_spans(html)
+    muted = ""       # the skipped element without an end tag that text is in
+    formula = False  # inside <math>, whose elements are no sign of boilerplate
 
     def flush() -> None:
-        nonlocal linked, order
+        nonlocal linked, order, muted, formula
+        muted, formula = "", False
         if buffer:
             text = " ".join(unescape("".join(buffer)).split())
             if text:
@@ -91,7 +161,7 @@ def parse(html: str | None) -> list[Node]:
     while at < len(html):
         m = _TAG.search(html, at)
         end = m.start() if m else len(html)
-        if end > at:
+        if end > at and not muted:
             buffer.append(html[at:end])
             if in_link:
                 linked += end - at
@@ -105,23 +175,37 @@ def parse(html: str | None) -> list[Node]:
         if slash:
             if tag == "a":
                 in_link = 0
+            elif tag == "math":
+                formula = False
+            elif tag == muted:
+                muted = ""
             elif tag == "p" and last_open(("p",)) is None:
                 flush()
             elif tag in BLOCKS and (i := last_open((tag,))) is not None:
                 close(i)
             continue
+        if tag in RAW:
+            if not attributes.endswith("/") or tag in ("script", "style") and muted != "svg":
+                at = _end_of_raw(html, tag, at)
+            continue
+        if tag == "head":
+            done = re.compile(r"</head(?=[\s/>])[^>]*>", re.I).search(html, at) or re.compile(r"(?=<body\b)", re.I).search(html, at)
+            at = done.end() if done and not attributes.endswith("/") else at  # an open head ends with the body
+            continue
         if tag in SKIPPED:
-            if not attributes.endswith("/") or tag in ("script", "style"):
-                done = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-                if tag == "head" and not done:  # an open head ends with the body
-                    done = re.compile(r"(?=<body\b)", re.I).search(html, at)
-                at = done.end() if done else at if tag == "head" else len(html)
+            if m.start() in spans:
+                at = spans[m.start()]
+            elif not attributes.endswith("/"):
+                muted = tag
             continue
         if tag in VOID and tag != "hr":
-            if tag == "br":
+            if tag == "br" and not muted:
                 buffer.append(" ")
             continue
         if tag not in BLOCKS:
+            if muted or formula:
+                continue
+            formula = tag == "math" and not attributes.endswith("/")
             node = nodes[open_[-1][1]]
             node.inline += 1
             if tag == "a":

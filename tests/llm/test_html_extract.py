@@ -102,3 +102,26 @@ def test_boosting_learns_a_rule():
     y = ((z[:, 0] > 0) ^ (z[:, 3] > 0.5)).astype(float)
     m = gbt.fit(z[:3000], y[:3000], np.ones(3000))
     assert ((m.decide(z[3000:]) > 0) == (y[3000:] > 0)).mean() > 0.97
+
+
+ARTICLE = ("<article><h1>A day in the town</h1><p>First paragraph, with many more words in it, as stories have.</p>"
+           "<p>The second paragraph goes on, and it ends here.</p></article>")
+
+
+@pytest.mark.parametrize("tag", ["button", "svg", "canvas", "object", "video", "audio", "select", "option", "noscript", "template", "datalist"])
+def test_an_element_without_end_tag_ends_at_the_next_block(model, tag):
+    want = x.extract([f"<html><body>{ARTICLE}</body></html>"], model)[0]
+    assert want.count("\n\n") == 2
+    pages = [f"<html><body><{tag} class=x>Menu{ARTICLE}</body></html>",
+             f"<html><body><div><{tag}>Menu</div>{ARTICLE}</body></html>",
+             f"<html><body><{tag}>Menu{ARTICLE}<{tag}>More</{tag}></body></html>",
+             f"<html><body><div><{tag}>Menu</div>{ARTICLE}<div><{tag}>More</{tag}></div></body></html>",
+             f"<html><body><{tag}>Menu<div>in it</div></{tag}>{ARTICLE}</body></html>"]
+    assert x.extract(pages, model) == [want] * len(pages)
+
+
+def test_raw_text_and_formulas():
+    text = lambda h: x.text_of(nodes := parse(h), [True] * len(nodes))
+    assert text("<p>The sum <math><mi>a</mi><mo>+</mo><mn>1</mn></math> is <b>small</b>.</p>") == "The sum a+1 is small."
+    assert text("<p>a <svg><style/><path/></svg>b</p><p>c</p><iframe>d<p>e</p>") == "a b\n\nc"
+    assert text("<ul><li>a <svg><path><li>b</ul><p>c <button>d</p><p>e</p></button>") == "a\n\nb\n\nc\n\ne"
