@@ -8,9 +8,15 @@ anchors is matched from both ends as far as the words agree.  Matched
 template words over all template words is the coverage; a match needs
 MIN_COVERAGE, and must fill MIN_DENSITY of the text range that it spans.
 
+Notices of sibling licenses differ by the few words that name the license.
+So each template has words that must be matched, and words of its siblings
+that may not stand in the matched range (RULES): a notice whose naming words
+no template has is not reported under another license's name.
+
 Where to align: a match leaves out less than ``1 - MIN_COVERAGE`` of its
 template, so of any set of template places that is larger than that, one is
-matched.  Each template's key words are such a set, longest words first.  A
+matched.  Each template's key words are such a set, longest words first, or
+the first of the words that must be matched.  A
 document without any key word is done; otherwise each place of a key word
 puts the template's start at a few text places, and the range around each is
 aligned, left to right, going on behind a match.  So the scan reads whole
@@ -59,16 +65,6 @@ TEMPLATES = {
         "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
         "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
         "DISCLAIMED."),
-    "cc-by-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-line": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-line": "Licensed under CC BY-SA 4.0.",
-    "gpl-line": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
-        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
-        "License for more details."),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -86,6 +82,45 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: template -> words that must be matched; words or phrases, by commas, that may not stand in the matched range
+RULES: dict[str, tuple[str, str]] = {
+    "all-rights-reserved": ("reserved all rights", ""), "apache-2.0-notice": ("apache 2 0", ""), "apache-2.0-line": ("apache 2 0", ""),
+    "bsd-conditions": ("redistributions", ""), "bsd-disclaimer": ("disclaimed", ""), "isc": ("granted fee", ""),
+    "mit": ("sublicense", ""), "mit-line": ("mit", ""), "mpl-2.0-notice": ("mozilla 2 0", ""), "unlicense": ("unencumbered", ""),
+}
+
+# The GNU licenses: name, words before General, version, what it covers.
+for _name, _kind, _version, _what in (
+        ("gpl", "", "3", "program"), ("gpl-2", "", "2", "program"), ("agpl", "Affero ", "3", "program"),
+        ("lgpl", "Lesser ", "3", "library"), ("lgpl-2.1", "Lesser ", "2.1", "library"), ("lgpl-2", "Library ", "2", "library")):
+    TEMPLATES[f"{_name}-line"] = f"This work is licensed under the GNU {_kind}General Public License, version {_version}."
+    TEMPLATES[f"{_name}-notice"] = (
+        f"This {_what} is free software: you can redistribute it and/or modify it under the terms of the GNU {_kind}General Public "
+        f"License as published by the Free Software Foundation, either version {_version} of the License, or (at your option) any "
+        f"later version. This {_what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        f"even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {_kind}General Public "
+        "License for more details.")
+    _digits = _version.replace(".", " ")
+    _others = {"affero", "lesser", "library general"} - {_kind.lower().strip(), f"{_kind.lower()}general"}
+    RULES[f"{_name}-line"] = RULES[f"{_name}-notice"] = (f"{_kind.lower()}gnu general {_digits}", ", ".join(sorted(_others)))
+
+# The Creative Commons licenses, by their parts and version; version 4.0 has no number in its name.
+_PARTS = {"sa": "ShareAlike", "nc": "NonCommercial", "nd": "NoDerivatives"}
+_OTHER_PARTS = {"sa": "sa, sharealike, share alike", "nc": "nc, noncommercial, non commercial",
+                "nd": "nd, noderivatives, noderivs, no derivatives, no derivative"}
+for _parts in ((), ("sa",), ("nd",), ("nc",), ("nc", "sa"), ("nc", "nd")):
+    for _version in ("4.0", "3.0", "2.5", "2.0", "1.0"):
+        _name = "-".join(["cc-by", *_parts, *([] if _version == "4.0" else [_version])])
+        _long = "-".join(["Attribution", *(_PARTS[q] if _version == "4.0" or q != "nd" else "NoDerivs" for q in _parts)])
+        _place = {"4.0": "International ", "3.0": "Unported "}.get(_version, "Generic ")
+        _digits = _version.replace(".", " ")
+        _others = ", ".join(v for q, v in _OTHER_PARTS.items() if q not in _parts)
+        _long_name, _short_name = (f"{_name}-notice", f"{_name}-line") if _parts else (f"{_name}-line", f"{_name}-short-line")
+        TEMPLATES[_long_name] = f"This work is licensed under a Creative Commons {_long} {_version} {_place}License."
+        RULES[_long_name] = (f"creative commons {_long.lower().replace('-', ' ')} {_digits}", _others)
+        TEMPLATES[_short_name] = f"Licensed under CC {'-'.join(['BY', *map(str.upper, _parts)])} {_version}."
+        RULES[_short_name] = (f"cc by {' '.join(_parts)} {_digits}", _others)
+
 
 def _increasing(places: Sequence[int]) -> list[int]:
     """Indexes of a longest strictly increasing subsequence (patience piles)."""
@@ -135,10 +170,15 @@ class Template:
     name: str
     words: list[bytes]
     starts: dict[bytes, list[int]]  # key word -> its places
+    required: frozenset[bytes] = frozenset()   # must be matched
+    forbidden: tuple[list[bytes], ...] = ()    # phrases that may not stand in the matched range
 
     @classmethod
-    def of(cls, name: str, text: str, coverage: float) -> Template:
+    def of(cls, name: str, text: str, coverage: float, required: str = "", forbidden: str = "") -> Template:
         words = words_of(text.encode())
+        needs, bars = words_of(required.encode()), tuple(w for p in forbidden.split(",") if (w := words_of(p.encode())))
+        if needs:
+            return cls(name, words, {needs[0]: [i for i, x in enumerate(words) if x == needs[0]]}, frozenset(needs), bars)
         needed = int((1 - coverage) * len(words) + 1e-9) + 1
         starts: dict[bytes, list[int]] = {}
         held = 0
@@ -147,7 +187,7 @@ class Template:
                 break
             starts[w] = [i for i, x in enumerate(words) if x == w]
             held += len(starts[w])
-        return cls(name, words, starts)
+        return cls(name, words, starts, forbidden=bars)
 
 
 @dataclass
@@ -159,6 +199,27 @@ class Match:
     size: int
 
 
+def _pieces(words: list[bytes], low: int, high: int, forbidden: Sequence[list[bytes]]) -> list[tuple[int, int]]:
+    """The range cut at the first words of forbidden phrases."""
+    cuts = sorted({i for p in forbidden for i in range(low, high) if words[i] == p[0] and words[i:i + len(p)] == p})
+    return [(a, b) for a, b in zip([low, *(i + 1 for i in cuts)], [*cuts, high]) if a < b]
+
+
+def _match(words: list[bytes], low: int, high: int, t: Template, coverage: float) -> Match | None:
+    """The first match of a template within a range."""
+    n = len(t.words)
+    for a, b in _pieces(words, low, high, t.forbidden):
+        if b - a < coverage * n - 1e-9:
+            continue
+        pairs = align(words[a:b], t.words)
+        if len(pairs) < coverage * n - 1e-9 or not t.required <= {t.words[j] for _, j in pairs}:
+            continue
+        first, end = a + pairs[0][0], a + pairs[-1][0]
+        if len(pairs) >= MIN_DENSITY * (end - first + 1):
+            return Match(t.name, len(pairs) / n, first, end, n)
+    return None
+
+
 def scan(words: list[bytes], templates: Sequence[Template], coverage: float = MIN_COVERAGE) -> list[Match]:
     """All matches in one text, best first where they overlap."""
     found: list[Match] = []
@@ -178,14 +239,9 @@ def scan(words: list[bytes], templates: Sequence[Template], coverage: float = MI
                 continue
             last = s
             low, high = max(done, s - slack), min(len(words), s + n + slack)
-            pairs = align(words[low:high], t.words)
-            if len(pairs) < coverage * n - 1e-9:
-                continue
-            first, end = low + pairs[0][0], low + pairs[-1][0]
-            if len(pairs) < MIN_DENSITY * (end - first + 1):
-                continue
-            found.append(Match(t.name, len(pairs) / n, first, end, n))
-            done, last = end + 1, -1
+            if (m := _match(words, low, high, t, coverage)) is not None:
+                found.append(m)
+                done, last = m.last + 1, -1
     found.sort(key=lambda m: (-m.coverage * m.size, -m.size, m.license))
     kept: list[Match] = []
     for m in found:
@@ -194,12 +250,17 @@ def scan(words: list[bytes], templates: Sequence[Template], coverage: float = MI
     return sorted(kept, key=lambda m: m.first)
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: float = MIN_COVERAGE) -> DataFrame:
-    """(doc_id, license, coverage, first_word, last_word), one row per match."""
+def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: float = MIN_COVERAGE,
+                  rules: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """(doc_id, license, coverage, first_word, last_word), one row per match.
+
+    ``rules``: per template, the words that must be matched and those that may
+    not stand in the matched range (RULES for the given templates)."""
     given = dict(templates)
+    ruled = dict(RULES if rules is None and templates is TEMPLATES else rules or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = [Template.of(name, text, coverage) for name, text in sorted(given.items())]
+        made = [Template.of(name, text, coverage, *ruled.get(name, ())) for name, text in sorted(given.items())]
         made = [t for t in made if t.words]
         keys = {w for t in made for w in t.starts}
         for b in in_slices(batches, "text"):

@@ -77,3 +77,41 @@ def test_given_documents(spark):
     got = {m.doc_id for m in x.scan_licenses(docs).collect()}
     plain = {r.doc_id for r in docs.where("lower(text) rlike 'licensed under|under the mit license|all rights reserved'").collect()}
     assert got == plain  # every planted line, nothing else
+
+
+def test_near_misses_are_named_by_their_own_license(documents):
+    cc = "This work is licensed under a Creative Commons {} License."
+    gpl = x.TEMPLATES["gpl-notice"]
+    want = {
+        "Licensed under CC BY 4.0.": ["cc-by-short-line"],
+        "Licensed under CC BY-ND 4.0.": ["cc-by-nd-line"],
+        "Licensed under CC BY-NC-SA 4.0.": ["cc-by-nc-sa-line"],
+        "Licensed under CC BY-SA 3.0.": ["cc-by-sa-3.0-line"],
+        "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0.": ["cc-by-nc-line", "cc-by-short-line"],
+        cc.format("Attribution 4.0 International"): ["cc-by-line"],
+        cc.format("Attribution-ShareAlike 4.0 International"): ["cc-by-sa-notice"],
+        cc.format("Attribution-NonCommercial-NoDerivatives 4.0 International"): ["cc-by-nc-nd-notice"],
+        cc.format("Attribution-NoDerivs 3.0 Unported"): ["cc-by-nd-3.0-notice"],
+        "This work is licensed under the GNU General Public License, version 2.": ["gpl-2-line"],
+        "This work is licensed under the GNU Lesser General Public License, version 2.1": ["lgpl-2.1-line"],
+        gpl: ["gpl-notice"],
+        gpl.replace("General", "Affero General"): ["agpl-notice"],
+        gpl.replace("General", "Lesser General"): ["lgpl-notice"],
+        gpl.replace("version 3", "version 2"): ["gpl-2-notice"],
+        x.TEMPLATES["gpl-notice"].replace("program", "library").replace("General", "Lesser General").replace("version 3", "version 2.1"): ["lgpl-2.1-notice"],
+        gpl.replace("program", "library"): ["gpl-notice"],
+        gpl.replace("General", "Library General").replace("version 3", "version 2"): ["lgpl-2-notice"],
+        "Released under the BSD License.": [],
+        "Licensed under the Educational Community License, Version 2.0.": [],
+        x.TEMPLATES["apache-2.0-notice"].replace("Apache", "Educational Community").replace("www.apache.org", "opensource.org"): [],
+    }
+    got = {}
+    for m in x.scan_licenses(documents(list(enumerate(want)))).collect():
+        got.setdefault(m.doc_id, []).append((m.first_word, m.license))
+    assert [[n for _, n in sorted(got.get(i, []))] for i in range(len(want))] == list(want.values())
+
+
+def test_every_template_is_found_under_its_own_name(documents):
+    names = sorted(x.TEMPLATES)
+    got = x.scan_licenses(documents([(i, f"a b {x.TEMPLATES[n]} c d") for i, n in enumerate(names)])).collect()
+    assert sorted((m.doc_id, m.license, m.coverage) for m in got) == [(i, n, 1.0) for i, n in enumerate(names)]
