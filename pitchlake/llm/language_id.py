@@ -42,16 +42,19 @@ PER_LANGUAGE, MAX_TRAINING, LANDMARKS = 192, 1024, 64
 RIDGE, FOLDS, BATCH, PIECE = 1e-2, 5, 128, 1 << 20
 
 
+def _letter(c: int) -> int:
+    """Lower-case form of a character, a space if it is no letter."""
+    if not chr(c).isalpha():
+        return 32
+    low = chr(c).lower()
+    return ord(low) if len(low) == 1 else c
+
+
 @cache
 def _letters() -> np.ndarray:
     """Lower-case form of every character of the basic plane, a space for
     all that is no letter."""
-    out = np.full(1 << 16, 32, dtype=np.uint32)
-    for c in range(1 << 16):
-        if chr(c).isalpha():
-            low = chr(c).lower()
-            out[c] = ord(low) if len(low) == 1 else c
-    return out
+    return np.array([_letter(c) for c in range(1 << 16)], dtype=np.uint32)
 
 
 def presence(text: str | None) -> np.ndarray | None:
@@ -61,7 +64,10 @@ def presence(text: str | None) -> np.ndarray | None:
     for start in range(0, len(text), PIECE):  # pieces overlap by an n-gram
         piece = text[max(0, start - SPAN):start + PIECE]
         c = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        c = np.where(c < 1 << 16, _letters()[np.minimum(c, (1 << 16) - 1)], c)
+        beyond = c >= 1 << 16  # few distinct ones: looked up one by one
+        high, which = np.unique(c[beyond], return_inverse=True)
+        c = _letters()[np.minimum(c, (1 << 16) - 1)]
+        c[beyond] = np.array([_letter(int(v)) for v in high], dtype=np.uint32)[which]
         blank = c == 32
         if blank.all():
             continue

@@ -55,3 +55,13 @@ def test_pieces_do_not_change_the_features(monkeypatch):
 def test_kernel_counts_common_grams():
     a, b = x.presence("abcd"), x.presence("abce")
     assert x.kernel(a[None], a[None])[0, 0] == np.float32(1) and 0 < x.kernel(a[None], b[None])[0, 0] < 1
+
+
+def test_characters_beyond_the_basic_plane(spark, documents):
+    assert x.presence("\U0001F600 123 \U0001F389!") is None
+    assert (x.presence("a \U0001F600 b") == x.presence("a b")).all()
+    assert (x.presence("\U00010400\U00010401") == x.presence("\U00010428\U00010429")).all()  # letters, with their case
+    learn = [(k, t, lang, "s") for k, (t, lang) in enumerate([("the cat went there", "en"), ("der hund ging dort", "de")] * 20)]
+    df = documents(learn + [(1000, "\U0001F600\U0001F389 1, 2!", None, "s"), (1001, "der hund ging \U0001F600", None, "s")])
+    by = {r.doc_id: (r.lang_pred, r.score) for r in x.predict(df, x.train(df)).collect()}
+    assert by[1000] == ("und", 0.0) and by[1001][0] == "de"
