@@ -5,7 +5,9 @@ elements and formulas are transparent (links are counted); scripts, styles,
 media and form controls are skipped with all they hold.  Only raw text
 (RAW) without an end tag runs to the end of the page, as HTML says; another
 skipped element without an end tag of its own in its enclosing block ends at
-the next block.  End tags that HTML lets authors omit are implied.  Every
+the next block.  Text directly in the page, html or body is no node's own text:
+each run of it up to the next block becomes a node (RUN) with the names of
+its inline elements.  End tags that HTML lets authors omit are implied.  Every
 step is a loop over tags, so depth is no limit.
 """
 
@@ -36,6 +38,10 @@ _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"})}
 
 
+RUN = "#run"
+_TOP = frozenset({"page", "html", "body"})
+
+
 @dataclass
 class Node:
     tag: str
@@ -132,18 +138,27 @@ def parse(html: str | None) -> list[Node]:
     spans = skipped_spans(html)
     muted = ""       # the skipped element without an end tag that text is in
     formula = False  # inside <math>, whose elements are no sign of boilerplate
+    run = Node(RUN, 0, 0, frozenset())  # what stands directly in the page since the last block
 
     def flush() -> None:
-        nonlocal linked, order, muted, formula
+        nonlocal linked, order, muted, formula, run
         muted, formula = "", False
         if buffer:
             text = " ".join(unescape("".join(buffer)).split())
             if text:
                 node = nodes[open_[-1][1]]
+                if node.tag in _TOP:
+                    run.parent, run.depth = open_[-1][1], node.depth + 1
+                    nodes.append(run)
+                    node, run = run, Node(RUN, 0, 0, frozenset())
                 node.segments.append((order, text))
                 node.linked += min(linked, len(text))
                 order += 1
             buffer.clear()
+        if run.inline:  # inline elements without text
+            nodes[open_[-1][1]].inline += run.inline
+            nodes[open_[-1][1]].links += run.links
+            run = Node(RUN, 0, 0, frozenset())
         linked = 0
 
     def close(upto: int) -> None:
@@ -207,6 +222,12 @@ def parse(html: str | None) -> list[Node]:
                 continue
             formula = tag == "math" and not attributes.endswith("/")
             node = nodes[open_[-1][1]]
+            if node.tag in _TOP:
+                node = run
+                tokens, keep = tokens_of(attributes) if attributes else (frozenset(), None)
+                node.tokens, node.keep = node.tokens | tokens, node.keep or keep
+                if keep and not tokens:  # a training mark is no element of the page
+                    continue
             node.inline += 1
             if tag == "a":
                 node.links += 1

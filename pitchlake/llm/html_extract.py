@@ -10,11 +10,12 @@ Decoding picks the best consistent set of nodes: a node that is dropped
 drops all that is below it, so a kept paragraph never sits in a dropped
 sidebar.  Bottom-up, ``best(v) = max(0, odds(v) + sum of best(children))``;
 top-down, a node stays if its parent stays and its best is positive.  Kept
-nodes give their own text; blocks come in page order.
+nodes give their own text; blocks come in page order.  Runs of text directly
+in the body are nodes as well; trees of their own judge them.
 
 Training: at most SAMPLE_PAGES pages of the table (one per hash bin), whose
 semantic elements and names label their nodes, and LAYOUT_PAGES made pages
-that show boilerplate the table may lack.  Each training page is used twice,
+that show boilerplate the table may lack; for runs, as many bare ones.  Each training page is used twice,
 once with its semantic tags and names masked, so that density, depth and
 sibling statistics are learned as well as names.  Node rows reach the driver
 as at most MAX_ROWS feature vectors.
@@ -30,6 +31,7 @@ Further columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ from pyspark.sql import functions as F
 
 from pitchlake.llm import gbt
 from pitchlake.llm.common import in_slices, table
-from pitchlake.llm.dom import Node, parse
-from pitchlake.llm.layouts import training_page
+from pitchlake.llm.dom import RUN, Node, parse
+from pitchlake.llm.layouts import bare_page, training_page
 from pitchlake.llm.sampling import one_per_bin
 
 SAMPLE_PAGES, LAYOUT_PAGES, MAX_ROWS = 256, 400, 24_000
@@ -69,7 +71,20 @@ _NAME_GROUP = {t: i for i, g in enumerate(NAME_GROUPS) for t in g}
 _T, _N = len(TAG_GROUPS), len(NAME_GROUPS)
 _SEMANTIC = frozenset(range(0, 7))  # tag groups that masking turns into plain divisions
 ARTICLE, GOOD_NAME, SECTION, HEADER = 0, 0, 1, 3
-WIDTH = 2 * (_T + _N) + 20
+WIDTH = 2 * (_T + _N) + 21
+
+
+@dataclass
+class Model:
+    blocks: gbt.Boosted
+    runs: gbt.Boosted
+
+    def decide(self, x: np.ndarray) -> np.ndarray:
+        """Log-odds of nodes; the last feature tells runs from blocks."""
+        out, run = self.blocks.decide(x[:, :-1]), x[:, -1] > 0
+        if run.any():
+            out[run] = self.runs.decide(x[run, :-1])
+        return out
 
 
 def features(nodes: list[Node], masked: bool = False) -> np.ndarray:
@@ -117,7 +132,8 @@ def features(nodes: list[Node], masked: bool = False) -> np.ndarray:
         below[:, 2] / np.maximum(1, below[:, 1]), below[:, 3] / chars, np.log1p(below[:, 4]), below[:, 5] / chars * 100,
         below[:, 0] / max(1, below[0, 0]), before / max(1, below[0, 0]), [v.depth for v in nodes], children,
         rank / siblings, siblings, group_chars[safe] / siblings / 100, below[:, 0] / np.maximum(1, group_chars[safe]),
-        group_links[safe] / np.maximum(1, group_chars[safe]), paragraphs[safe], paragraphs, own[:, 3] / np.maximum(1, own[:, 0])])
+        group_links[safe] / np.maximum(1, group_chars[safe]), paragraphs[safe], paragraphs, own[:, 3] / np.maximum(1, own[:, 0]),
+        [v.tag == RUN for v in nodes]])
     return x
 
 
@@ -165,7 +181,7 @@ def text_of(nodes: list[Node], kept: list[bool]) -> str:
     return "\n\n".join(t for _, t in sorted(parts))
 
 
-def extract(pages: list[str | None], model: gbt.Boosted) -> list[str]:
+def extract(pages: list[str | None], model: Model) -> list[str]:
     """The main text of each page; nodes of all pages are scored together."""
     parsed = [parse(h) for h in pages]
     odds = model.decide(np.vstack([features(p) for p in parsed])) if parsed else np.zeros(0)
@@ -184,7 +200,7 @@ def training_rows(html: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.vstack([features(nodes)[use], features(nodes, masked=True)[use]]), np.concatenate([y[use], y[use]])
 
 
-def train(pages: DataFrame) -> gbt.Boosted:
+def train(pages: DataFrame) -> Model:
     """Fit on a bounded sample of the table's pages and on made pages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in in_slices(batches, "html"):
@@ -200,15 +216,23 @@ def train(pages: DataFrame) -> gbt.Boosted:
     xs = [np.frombuffer(bytes(r.x), dtype=np.float32).reshape(-1, WIDTH) for r in rows]
     ys = [np.frombuffer(bytes(r.y), dtype=np.int8) for r in rows]
     made = [training_rows(training_page(seed)) for seed in range(LAYOUT_PAGES)]
+    bare = [training_rows(bare_page(seed)) for seed in range(LAYOUT_PAGES)]
+    is_run = [x[:, -1] > 0 for x in xs]
+    runs = _fit([x[k] for x, k in zip(xs, is_run)] + [x[x[:, -1] > 0] for x, _ in bare],
+                [y[k] for y, k in zip(ys, is_run)] + [y[x[:, -1] > 0] for x, y in bare])
     most = MAX_ROWS - sum(map(len, ys))
     mx, my = np.vstack([x for x, _ in made]), np.concatenate([y for _, y in made])
     step = max(1, -(-len(my) // most))
-    x, y = np.vstack([*xs, mx[::step]]), np.concatenate([*ys, my[::step]]).astype(float)
+    return Model(_fit([*[x[~k] for x, k in zip(xs, is_run)], mx[::step]], [*[y[~k] for y, k in zip(ys, is_run)], my[::step]]), runs)
+
+
+def _fit(xs: list[np.ndarray], ys: list[np.ndarray]) -> gbt.Boosted:
+    x, y = np.vstack(xs)[:, :-1], np.concatenate(ys).astype(float)
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y)
     return gbt.fit(x, y, weight)
 
 
-def extract_main_text(pages: DataFrame, model: gbt.Boosted) -> DataFrame:
+def extract_main_text(pages: DataFrame, model: Model) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
     sent = pages.sparkSession.sparkContext.broadcast(model)
 

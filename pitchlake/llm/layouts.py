@@ -4,6 +4,8 @@ The given pages may show only some kinds of boilerplate.  A page made here
 has an article (``data-keep="1"``) among menus, headers, sidebars, notices,
 adverts, forms and reader comments (``data-keep="0"``) with varying markup
 and naming; the words are filler, since the model reads structure only.
+A bare page also has text directly in the body: skip links, menus, footer
+lines and adverts in inline elements at most, or the article itself.
 """
 
 from __future__ import annotations
@@ -103,3 +105,38 @@ def training_page(seed: int) -> str:
     if r.random() < 0.4:
         body = f"<div class=\"{r.choice(['wrapper', 'container', 'page', 'row'])}\">{body}</div>"
     return f"<html><body>{body}</body></html>"
+
+
+def _bare(r: Random, kind: str) -> str:
+    """Boilerplate directly in the body, in inline elements at most."""
+    if kind == "menu":
+        inner = " | ".join(f"<a href=\"/x\">{_words(r, 1, 3)}</a>" for _ in range(r.choice([1, 1, 3, 5])))
+    elif kind == "footer":
+        inner = f"&copy; {_words(r, 1, 8)}"
+    else:
+        inner = _sentences(r, 1, 2)
+    name = f" class=\"{r.choice(NAMES[kind])}\"" if kind == "advert" or r.random() < 0.4 else ""
+    return f"<span{name} data-keep=\"0\">{inner}</span>"
+
+
+def _bare_article(r: Random) -> str:
+    parts = [f"<h1 data-keep=\"1\">{_words(r, 2, 12)}</h1>"] if r.random() < 0.6 else []
+    for k in range(r.randint(1, 5)):
+        text = _sentences(r, 1, 9) if r.random() < 0.7 else _words(r, 4, 14).capitalize() + "."
+        if r.random() < 0.3:
+            text += f" <a href=\"/x\">{_words(r, 1, 3)}</a> <b>{_words(r, 1, 3)}</b> {_sentences(r, 1, 3)}"
+        parts.append(f"<span data-keep=\"1\">{text}</span>" if not k or r.random() < 0.7 else f"<p data-keep=\"1\">{text}</p>")
+    return "<hr>".join(parts)
+
+
+def bare_page(seed: int) -> str:
+    r = Random(f"bare {seed}")
+    if r.random() < 0.25:
+        return f"<html><body>{_bare_article(r)}</body></html>"
+    parts = [_part(r, k) for k, p in (("header", 0.4), ("menu", 0.4), ("advert", 0.2)) if r.random() < p]
+    parts += [_bare(r, k) for k, p in (("menu", 0.5), ("advert", 0.1)) if r.random() < p]
+    r.shuffle(parts)
+    parts.append(_bare_article(r) if r.random() < 0.5 else _article(r))
+    parts += [_part(r, k) for k, p in (("share", 0.2), ("comments", 0.2), ("sidebar", 0.3), ("footer", 0.3)) if r.random() < p]
+    parts += [_bare(r, k) for k, p in (("advert", 0.1), ("menu", 0.2), ("footer", 0.5)) if r.random() < p]
+    return f"<html><body>{'<hr>'.join(parts)}</body></html>"

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 
 from pitchlake.llm import gbt, html_extract as x
-from pitchlake.llm.dom import parse
-from pitchlake.llm.layouts import training_page
+from pitchlake.llm.dom import RUN, parse
+from pitchlake.llm.layouts import bare_page, training_page
 
 SF = "/root/testdata/sf0.001"
 PAGES = "page_id bigint, url string, html string"
@@ -125,3 +125,26 @@ def test_raw_text_and_formulas():
     assert text("<p>The sum <math><mi>a</mi><mo>+</mo><mn>1</mn></math> is <b>small</b>.</p>") == "The sum a+1 is small."
     assert text("<p>a <svg><style/><path/></svg>b</p><p>c</p><iframe>d<p>e</p>") == "a b\n\nc"
     assert text("<ul><li>a <svg><path><li>b</ul><p>c <button>d</p><p>e</p></button>") == "a\n\nb\n\nc\n\ne"
+
+
+def test_text_directly_in_the_body_is_judged(model):
+    want = x.extract([f"<html><body>{ARTICLE}</body></html>"], model)[0]
+    pages = [f"<html><body><a href='#c'>Skip to content</a>{ARTICLE}</body></html>",
+             f"<body><span class='menu'><a href='/a'>Home</a> | <a href='/b'>News</a> | <a href='/c'>Sport</a></span>{ARTICLE}",
+             f"<html><body>{ARTICLE}<span class='advert'>Buy this thing today.</span></body></html>",
+             f"<html><body>{ARTICLE}<br>&copy; 2020 Somebody</body></html>"]
+    assert x.extract(pages, model) == [want] * len(pages)
+    story = "This is a story, and it has no paragraphs. It goes on for some time, as stories do. Then it ends, at last."
+    assert x.extract([f"<body>{story}", story, f"<body>{story}<hr><span>{story}</span><hr>&copy; 2020 Somebody"], model) == [
+        story, story, f"{story}\n\n{story}"]
+
+
+def test_runs_of_unseen_pages(model):
+    right = n = 0
+    for seed in range(10_000, 10_200):
+        nodes = parse(bare_page(seed))
+        want = x.weak_labels(nodes)
+        odds = model.decide(x.features(nodes))
+        runs = [i for i, v in enumerate(nodes) if v.tag == RUN]
+        right, n = right + sum((odds[i] > 0) == (want[i] == 1) for i in runs), n + len(runs)
+    assert n > 200 and right >= 0.95 * n, (right, n)
