@@ -6,10 +6,12 @@ words packed into one integer (two words if a shard has so many distinct
 ones, about two million, that three do not fit), and groups that tie are
 refined by prefix doubling up to the longest test item.  Every suffix of every test item is
 then binary-searched in the shard, all of them at once: an interval of the
-array is narrowed word by word, so the depth at which it closes is the
-suffix's longest verbatim match and the interval holds its locations.
-Intervals at the window depth (WINDOW words, or the whole of a shorter item)
-mark document words as hit.  A document lies in one shard, so this needs no
+array is narrowed word by word.  The intervals of one depth are disjoint, and
+those of the next lie inside them, so the number of intervals around a place
+of the array is the longest verbatim match that starts there; a document's
+longest match is the largest of its places, the first of them if several
+are.  Intervals at the window depth (WINDOW words, or the whole of a shorter
+item) mark document words as hit.  A document lies in one shard, so this needs no
 shuffle.
 
 The benchmark is the query set.  It is read in blocks of about BLOCK_BYTES
@@ -120,10 +122,11 @@ class Shard:
 
     def search(self, query: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each place of ``query`` (word numbers, at most 0 where there is
-        no such word): the interval that matches its first ``need`` words, and
-        the longest match.  need 0: only the longest match."""
+        no such word): the interval that matches its first ``need`` words (none
+        if need is 0).  For each place of the array: the longest match there."""
         m = len(query) - PACKED
-        lo, hi, longest = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64)
+        lo, hi = np.zeros(m, np.int64), np.zeros(m, np.int64)
+        deeper = np.zeros(len(self.array) + 1, np.int64)  # change of the longest match from place to place
         a, b = np.zeros(m, np.int64), np.full(m, len(self.array), np.int64)
         prefix, live = np.zeros(m, np.int64), np.arange(m)
         depth = 0
@@ -140,10 +143,13 @@ class Shard:
                 x, y = self.narrow(a[live], b[live], depth, word)
             found = x < y
             live, depth = live[found], depth + 1
-            a[live], b[live], longest[live] = x[found], y[found], depth
+            a[live], b[live] = x[found], y[found]
+            begin, one = np.unique(x[found], return_index=True)  # equal words of the test items share an interval
+            deeper[begin] += 1
+            deeper[y[found][one]] -= 1
             exact = live[need[live] == depth]
             lo[exact], hi[exact] = a[exact], b[exact]
-        return lo, hi, longest
+        return lo, hi, np.cumsum(deeper[:-1])
 
 
 class Queries:
@@ -178,14 +184,20 @@ class Queries:
             # numbers of the query words in this shard; -1 where it has no such word
             numbers = np.array([shard.ids.get(w, -1) for w in self.words] + [-1], dtype=np.int64)
             query = numbers[self.flat]
-            lo, hi, _ = shard.search(query, self.need)
+            lo, hi, matched = shard.search(query, self.need)
+            length = np.zeros(len(shard.array), dtype=np.int64)  # by place in the text
+            length[shard.array] = matched
+            for d in np.unique(np.searchsorted(shard.starts, np.flatnonzero(length), "right") - 1).tolist():
+                own = length[shard.starts[d]:shard.starts[d + 1]]
+                best_at[d] = int(own.argmax())
+                best[d] = int(own[best_at[d]])
             if found := np.flatnonzero(hi > lo).tolist():
-                self._collect(shard, query, lo, hi, found, spans, items, best, best_at)
+                self._collect(shard, lo, hi, found, spans, items)
         return shard.n_words, spans, items, best, best_at
 
-    def _collect(self, shard, query, lo, hi, found, spans, items, best, best_at) -> None:
+    def _collect(self, shard, lo, hi, found, spans, items) -> None:
         delta = np.zeros(len(shard.seq) + 1, dtype=np.int64)
-        pairs, longest = set(), {}
+        pairs = set()
         for q in found:
             at = shard.array[lo[q]:hi[q]]
             size = int(self.need[q])
@@ -193,16 +205,6 @@ class Queries:
             delta[at + size] -= 1
             docs = np.searchsorted(shard.starts, at, "right") - 1
             pairs.update((d, int(self.item[q])) for d in np.unique(docs).tolist())
-            length, live = np.full(len(at), size), np.arange(len(at))
-            while len(live):  # on from the window to the end of the verbatim match
-                w = query[min(q + int(length[live[0]]), len(query) - 1)]
-                live = live[(shard.seq[at[live] + length[live]] == w) & (w > 0)]
-                length[live] += 1
-            for d, n, p in zip(docs.tolist(), length.tolist(), at.tolist()):
-                if n > longest.get(d, (0, 0))[0]:
-                    longest[d] = (n, p)
-        for d, (n, p) in longest.items():
-            best[d], best_at[d] = n, int(p - shard.starts[d])
         for d, i in pairs:
             items[d].append(self.names[i])
         hit = (np.cumsum(delta) > 0).astype(np.int8)
@@ -242,25 +244,31 @@ def _scan(docs: DataFrame, block: Block, window: int) -> DataFrame:
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts and digests from the spans and items of one or more blocks."""
     for b in batches:
-        hit, n_items, sha = [], [], []
+        hit, n_items, sha, merged = [], [], [], []
         for spans, items in zip(b.column("spans").to_pylist(), b.column("items").to_pylist()):
-            total, reach = 0, 0
+            whole: list[dict[str, int]] = []
             for x, y in sorted(zip(spans[::2], spans[1::2])):
-                total += max(0, y - max(x, reach))
-                reach = max(reach, y)
+                if whole and x <= whole[-1]["end"]:
+                    whole[-1]["end"] = max(whole[-1]["end"], y)
+                else:
+                    whole.append({"begin": x, "end": y})
+            merged.append(whole)
+            total = sum(s["end"] - s["begin"] for s in whole)
             names = sorted(set(items))
             hit.append(total)
             n_items.append(len(names))
             sha.append(hashlib.sha256(",".join(names).encode()).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("n_words"), pa.array(hit, pa.int64()), pa.array(n_items, pa.int64()),
-             pa.array(sha, pa.string()), pa.array([h > 0 for h in hit], pa.bool_()), b.column("longest"), b.column("longest_at")],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "longest_at"])
+             pa.array(sha, pa.string()), pa.array([h > 0 for h in hit], pa.bool_()), b.column("longest"), b.column("longest_at"),
+             pa.array(merged, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
+            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "longest_at", "spans"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, and
-    the longest verbatim match (words, place of its first word or -1)."""
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, the
+    longest verbatim match of any length (words, place of its first word or
+    -1), and the spans of hit words (begin, end)."""
     parts = [_scan(docs, block, window) for block in benchmark_blocks(benchmark, block_bytes)]
     rows = parts[0]
     if len(parts) > 1:
@@ -271,12 +279,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         rows = (all_rows.groupBy(key.alias("key"), "text_key").agg(
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"),
-            F.max(F.struct("longest", "longest_at")).alias("best"), (F.count("*") / len(parts)).cast("int").alias("copies"))
-            .select("doc_id", "n_words", "spans", "items", "best.longest", "best.longest_at",
+            F.max(F.struct("longest", (-F.col("longest_at")).alias("back"))).alias("best"), (F.count("*") / len(parts)).cast("int").alias("copies"))
+            .select("doc_id", "n_words", "spans", "items", "best.longest", (-F.col("best.back")).alias("longest_at"),
                     F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")))
     return (rows.select("doc_id", "n_words", "spans", "items", "longest", "longest_at")
             .mapInArrow(_merged, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
-                                 "contaminated boolean, longest_match bigint, longest_at bigint"))
+                                 "contaminated boolean, longest_match bigint, longest_at bigint, "
+                                 "spans array<struct<begin:bigint,end:bigint>>"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,

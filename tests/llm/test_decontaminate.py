@@ -107,3 +107,27 @@ def test_a_text_of_millions_of_distinct_words():
     n, spans, items, best, at = queries.hits([raw, b"w3 w4"])
     assert list(n) == [2_100_013, 2] and spans == [[2_100_000, 2_100_012], []] and items == [["7"], []]
     assert (best[0], at[0]) == (12, 2_100_000)
+
+
+@pytest.mark.parametrize("seed,vocabulary,block_bytes", [(11, 3, 1 << 20), (12, 8, 1 << 20), (13, 5, 60)])
+def test_longest_matches_of_any_length_and_spans(spark, documents, seed, vocabulary, block_bytes):
+    rows, bench = make(seed, vocabulary)
+    rows += [(100, "nothing in common"), (101, None)]
+    df = spark.createDataFrame(bench, "item_id bigint, text string")
+    got = {r.doc_id: r for r in x.contamination(documents(rows), df, block_bytes=block_bytes).collect()}
+    items = [words(t) for _, t in bench]
+    below = 0
+    for d, t in rows:
+        w, best, at = words(t), 0, -1
+        for p in range(len(w)):
+            for i in items:
+                for q in range(len(i)):
+                    n = 0
+                    while p + n < len(w) and q + n < len(i) and w[p + n] == i[q + n]:
+                        n += 1
+                    if n > best:
+                        best, at = n, p
+        assert (got[d].longest_match, got[d].longest_at) == (best, at), (d, t)
+        assert sum(s.end - s.begin for s in got[d].spans) == got[d].n_hit
+        below += 0 < best < x.WINDOW and not got[d].contaminated
+    assert below or vocabulary < 8
