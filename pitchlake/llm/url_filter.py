@@ -8,7 +8,8 @@ no rule fits gets the log-likelihood difference of the two models divided by
 its number of characters.  The difference is calibrated on rule-labelled
 URLs kept out of the counts (one in FOLDS by URL hash): two normal densities
 with a pooled variance turn it into the probability of acceptance, and 0.5
-decides.
+decides.  If those kept out lack one class, every labelled URL is scored by
+counts without its own fold, and all of them calibrate.
 
 Everything is DataFrame expressions and aggregates.  N-grams are counted
 with map-side combination; lower orders are summed from the table of the
@@ -28,8 +29,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm.common import ascii_lower, cut, table
@@ -93,6 +95,24 @@ def differences(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     return out.select("gram", (F.log("p_yes") - F.log("p_no")).alias("diff"))
 
 
+def gram_scores(texts: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(u1, u2, accepted, score) of texts under the counts of labelled ones."""
+    counts = cut(gram_counts(labelled), "url-grams")
+    wanted = texts.select(F.explode(F.array_distinct(grams("text"))).alias("gram")).distinct()
+    diffs = cut(differences(counts, wanted), "url-differences")
+    if diffs.count() <= BROADCAST_GRAMS:
+        diffs = F.broadcast(diffs)
+    return cut(texts.select("u1", "u2", "accepted", F.explode(grams("text")).alias("gram")).join(diffs, "gram")
+               .groupBy("u1", "u2", "accepted").agg(F.avg("diff").alias("score")), "url-scores")
+
+
+def _classes(scores: DataFrame) -> dict[bool, Row]:
+    """Number, mean and variance of the scores of each class (two rows at most)."""
+    return {r.accepted: r for r in scores.groupBy("accepted")
+            .agg(F.count("*").alias("n"), F.avg("score").alias("mean"), F.coalesce(F.var_pop("score"), F.lit(0.0)).alias("var"))
+            .collect()}
+
+
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, score, p_allow) per row of ``pages``."""
     rule, says = longest_rule(rules)
@@ -105,16 +125,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
                 "url-texts")
     fold = F.pmod("u1", F.lit(FOLDS))
     known = F.col("accepted").isNotNull()
-    counts = cut(gram_counts(texts.where(known & (fold != 0))), "url-grams")
-    wanted = texts.select(F.explode(F.array_distinct(grams("text"))).alias("gram")).distinct()
-    diffs = cut(differences(counts, wanted), "url-differences")
-    if diffs.count() <= BROADCAST_GRAMS:
-        diffs = F.broadcast(diffs)
-    scores = cut(texts.select("u1", "u2", "accepted", F.explode(grams("text")).alias("gram")).join(diffs, "gram")
-                 .groupBy("u1", "u2", "accepted").agg(F.avg("diff").alias("score")), "url-scores")
-    of = {r.accepted: r for r in scores.where(known & (fold == 0)).groupBy("accepted")
-          .agg(F.count("*").alias("n"), F.avg("score").alias("mean"), F.coalesce(F.var_pop("score"), F.lit(0.0)).alias("var"))
-          .collect()}  # two rows
+    scores = gram_scores(texts, texts.where(known & (fold != 0)))
+    of = _classes(scores.where(known & (fold == 0)))
+    if len(of) < 2 and texts.where(known).select("accepted").distinct().count() == 2:
+        of = _classes(reduce(DataFrame.unionByName, [gram_scores(texts.where(known & (fold == f)), texts.where(known & (fold != f)))
+                                                     for f in range(FOLDS)]))
     if len(of) == 2:
         yes, no = of[True], of[False]
         spread = max((yes.n * yes.var + no.n * no.var) / (yes.n + no.n), 1e-6)

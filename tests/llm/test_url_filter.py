@@ -102,3 +102,14 @@ def test_edge_tables(spark):
 def test_plan_has_no_python(spark):
     plan = x.op3_url_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_class_that_the_calibration_fold_lacks(spark):
+    texts = [f"bad{i}.net/spam/{i}" for i in range(12)]
+    fold = {r.t: r.f for r in spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"pmod(xxhash64(t), {x.FOLDS}) f").collect()}
+    bad = [t for t in texts if fold[t]]
+    assert len({fold[t] for t in bad}) > 1
+    urls = [f"http://{t}" for t in bad] + [f"http://good{i}.org/fr/{i}" for i in range(40)] + ["http://bad3.com/spam/7", "http://good3.com/fr/7"]
+    got = {r.host: r for r in x.judge_urls(table_of(spark, urls)).collect()}
+    assert (got["bad3.com"].verdict, got["good3.com"].verdict) == ("block", "allow")
+    assert got["bad3.com"].p_allow < 0.5 < got["good3.com"].p_allow
