@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pitchlake.llm import (decontaminate, exact_dedup, fill_in_middle, filter_audit, html_extract, language_id, license_scan,
-                           line_dedup, mixing, ngram_join, quality, url_filter)
+from pitchlake.llm import (decontaminate, exact_dedup, fill_in_middle, filter_audit, html_extract, interpolation,
+                           language_id, license_scan, line_dedup, mixing, ngram_join, quality, url_filter)
 
 QUERIES = {
     "op1_html_extract": html_extract.op1_html_extract,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_lm_score": interpolation.op11_lm_score,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
