@@ -12,22 +12,25 @@ weights.
 1. *Deal.*  A task reads a slice of texts, numbers its words and hashes its
    n-grams of every order; the distinct ones, with their counts in kept and
    held-out documents, go to hash ranges, packed and delta-coded, one row per
-   slice, order and range.  The words themselves travel as packed numbers.
+   slice, order and range.
 2. *Count.*  A range adds up the counts of all slices and answers each slice
    for its n-grams.  Ranges are as many as the text's bytes ask for, so a
    range is bounded; a frequent n-gram is one entry per slice.  Rows are never
    more than entries: where ranges outnumber a slice's n-grams, a row holds
    a few or one of them.
-3. *Gather.*  A slice receives its answers, writes itself with its counts,
-   and emits its held-out events, counted by buckets and by the counts' ratios
-   (rounded to 1/STEPS octave).
+3. *Gather.*  The texts are read and sliced once more and meet their answers.
+   A slice writes the counts along its texts, and emits its held-out events,
+   counted by buckets and by the counts' ratios (rounded to 1/STEPS octave).
+   Slices are named by their content; if the table has changed between the
+   readings, the job fails rather than score with foreign counts.
 4. *Learn.*  Each round of expectation-maximisation is one aggregate over the
    event table.
-5. *Score.*  Every slice is scored whole, and the parts of texts that were
-   longer than a slice are added up.
+5. *Score.*  The counts along the texts become scores; the parts of texts
+   that were longer than a slice are added up.
 
 N-grams are compared by hash.  The number of bits follows the size of the
-input so that less than one collision is expected in the whole table.
+input: for single words less than one collision is expected in the whole
+table, for longer n-grams less than one n-gram in 500,000 shares its count.
 
 Defined results: a null or blank text is one end token; a null doc_id counts
 as the empty string (remainder 0), so such rows are held out; repeated rows
@@ -48,12 +51,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest as word_hash
 
-from pitchlake.llm.common import cut, in_slices, table, utf8_values
+from pitchlake.llm.common import cut, in_slices, session_conf, table, utf8_values
 
 ORDER = 3
-SLICE_BYTES, SLICE_DOCS = 16 << 20, 1 << 16
-RANGE_BYTES = 16 << 20      # text per hash range
+SLICE_BYTES, SLICE_DOCS = 12 << 20, 1 << 16
+RANGE_BYTES = 8 << 20       # text per hash range
 BUCKETS, STEPS = 40, 4      # context buckets; roundings an octave
 ROUNDS, SETTLED = 40, 1e-4  # rounds at most; change of a weight that ends them
 PRIOR = 1.0                 # events a weight of one half is believed to rest on before any is seen
@@ -95,10 +99,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-
-
 _FIXED = [word_hash(b"\t"), word_hash(b"\n")]  # begin and end; no word holds a blank
 _BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
@@ -116,79 +116,107 @@ def pieces(raw: bytes, size: int) -> Iterator[bytes]:
         at = stop
 
 
+def packed(arrays: list[np.ndarray]) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in map(pack, arrays))
+
+
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    parts, at = [], 0
+    while at < len(blob):
+        size = int.from_bytes(blob[at:at + 8], "little")
+        parts.append(unpack(blob[at + 8:at + 8 + size]))
+        at += 8 + size
+    return parts
+
+
+def ranked(values: np.ndarray) -> list[np.ndarray]:
+    """The distinct numbers, the most frequent first, and the place of each
+    number among them: this packs better than the numbers."""
+    distinct = np.sort(values)
+    distinct = distinct[_distinct(distinct)]
+    at = np.searchsorted(distinct, values)
+    by_use = np.argsort(-np.bincount(at, minlength=len(distinct)), kind="stable")
+    rank = np.empty(len(distinct), dtype=np.int32)
+    rank[by_use] = np.arange(len(distinct), dtype=np.int32)
+    return [distinct[by_use], rank[at]]
+
+
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """Where each run of equal sorted numbers begins, as booleans."""
+    return np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=bool)
+
+
 class Slice:
     """Token numbers of some texts (or pieces): every piece is led by the
-    ``order - 1`` tokens before it."""
-
-    def __init__(self, order: int, ids: np.ndarray, n: np.ndarray, fold: np.ndarray, begins: np.ndarray, vocab: np.ndarray, bits: int):
-        self.order, self.ids, self.n, self.fold, self.begins, self.vocab, self.bits = order, ids, n, fold, begins, vocab, bits
-        self.start = np.concatenate([[0], np.cumsum(n + order - 1)])[:-1]
-        lead = np.zeros(len(ids), dtype=bool)
-        for k in range(order - 1):
-            lead[self.start + k] = True
-        self.real = np.flatnonzero(~lead)          # places of tokens
-        last = self.start + max(0, order - 2)      # the last token before each piece
-        # places whose n-grams are needed as contexts, besides the tokens'
-        self.context = np.sort(np.concatenate([self.real, last])) if order > 1 else self.real
-        self.piece = np.repeat(np.arange(len(n)), n + order - 1)
-
-    def grams(self) -> list[np.ndarray]:
-        """Per order the hash of the n-gram that ends at each place."""
-        h = self.vocab[self.ids]
-        out, state = [_mix(h + np.uint64(1))], h
-        for k in range(1, self.order):
-            state = _mix(state + np.uint64(0x9E3779B97F4A7C15))
-            state[k:] += h[:-k] if k < len(h) else h[:0]
-            out.append(_mix(state + np.uint64(k + 1)))
-        return [g >> np.uint64(64 - self.bits) for g in out]
+    ``order - 1`` tokens before it.  ``bits`` has the hash bits per order."""
+
+    def __init__(self, bits: list[int], ids: np.ndarray, n: np.ndarray, fold: np.ndarray, begins: np.ndarray, vocab: np.ndarray):
+        self.order, self.bits, self.ids, self.n, self.fold, self.begins, self.vocab = len(bits), bits, ids, n, fold, begins, vocab
+        lead = self.order - 1
+        start = np.cumsum(n + lead) - (n + lead)
+        self.piece = np.repeat(np.arange(len(n), dtype=np.int32), n + lead)
+        self.leads = start + max(0, lead - 1)      # the last token before each piece
+        is_lead = np.zeros(len(ids), dtype=bool)
+        for k in range(lead):
+            is_lead[start + k] = True
+        self.real = np.flatnonzero(~is_lead)       # places of the tokens
+        is_lead[self.leads] = not lead             # and with the leads: the places of their contexts
+        self.context = np.flatnonzero(~is_lead) if lead else self.real
+
+    def grams(self) -> Iterator[np.ndarray]:
+        """Per order the hashes of the n-grams that end at its places."""
+        h = state = self.vocab[self.ids]
+        for k, b in enumerate(self.bits, 1):
+            if k > 1:
+                state = _mix(state + np.uint64(0x9E3779B97F4A7C15))
+                state[k - 1:] += h[:1 - k]
+            yield _mix(state[self.places(k)] + np.uint64(k)) >> np.uint64(64 - b)
 
     def places(self, k: int) -> np.ndarray:
         return self.real if k == self.order else self.context
 
     def counted(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per order: distinct hashes, counts in kept and in held-out texts."""
-        code = self.fold.astype(np.uint64)[self.piece]
+        code = self.fold.astype(np.uint8)[self.piece]
         if self.order > 1:  # what leads a later piece was counted in the piece before
-            code[(self.start + self.order - 2)[~self.begins]] = TEST
+            code[self.leads[~self.begins]] = TEST
         out = []
         for k, g in enumerate(self.grams(), 1):
-            at = self.places(k)
-            coded = np.sort((g[at] << np.uint64(2)) | code[at])
-            key = coded >> np.uint64(2)
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool))
-            fold = (coded & np.uint64(3)).astype(np.int64)
-            out.append((key[first], *(np.add.reduceat((fold == f).astype(np.int64), first) if len(first) else first for f in (KEPT, HELD))))
+            coded = (g << np.uint64(2)) | code[self.places(k)]
+            coded.sort()
+            key, fold = coded >> np.uint64(2), (coded & np.uint64(3)).astype(np.uint8)
+            first = np.flatnonzero(_distinct(key))
+            sums = [np.concatenate([[0], np.cumsum(fold == f)])[np.append(first, len(key))] for f in (KEPT, HELD)]
+            out.append((key[first], *map(np.diff, sums)))
         return out
 
-    def keys(self, grams: list[np.ndarray]) -> list[np.ndarray]:
+    def numbered(self) -> list[tuple[int, np.ndarray]]:
+        """Per order: how many distinct hashes, and which of them (in their
+        sorted order) stands at each of the order's places."""
         out = []
-        for k, g in enumerate(grams, 1):
-            key = np.sort(g[self.places(k)])
-            out.append(key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key)
+        for g in self.grams():
+            order = np.argsort(g)
+            rank = np.cumsum(_distinct(g[order])) - 1
+            at = np.empty(len(g), dtype=np.int32)
+            at[order] = rank
+            out.append((int(rank[-1]) + 1 if len(g) else 0, at))
         return out
 
     def packed(self) -> bytes:
-        shape = np.array([self.order, self.bits, len(self.n), len(self.ids), len(self.vocab)], dtype=np.uint64)
-        parts = [pack(x) for x in (shape, self.ids, self.n, self.fold * 2 + self.begins, self.vocab)]
-        return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+        return packed([np.array(self.bits), self.ids, self.n, self.fold * 2 + self.begins, self.vocab])
 
     @classmethod
     def unpacked(cls, blob: bytes) -> Slice:
-        parts, at = [], 0
-        while at < len(blob):
-            size = int.from_bytes(blob[at:at + 8], "little")
-            parts.append(unpack(blob[at + 8:at + 8 + size]))
-            at += 8 + size
-        shape, ids, n, flags, vocab = parts
-        return cls(int(shape[0]), ids.astype(np.int64), n.astype(np.int64), (flags >> np.uint64(1)).astype(np.int64),
-                   (flags & np.uint64(1)).astype(bool), vocab, int(shape[1]))
+        bits, ids, n, flags, vocab = unpacked(blob)
+        return cls(bits.astype(int).tolist(), ids.astype(np.int32), n.astype(np.int64), (flags >> np.uint64(1)).astype(np.int64),
+                   (flags & np.uint64(1)).astype(bool), vocab)
 
 
 class _Reader:
     """Numbers words as they come and cuts slices of about SLICE_BYTES."""
 
-    def __init__(self, order: int, bits: int):
-        self.order, self.bits = order, bits
+    def __init__(self, bits: list[int]):
+        self.order, self.bits = len(bits), bits
         self.clear()
 
     def clear(self) -> None:
@@ -197,10 +225,10 @@ class _Reader:
 
     def add(self, doc: tuple, words: list[bytes], fold: int, lead: list[bytes] | None, ends: bool) -> None:
         before = [BOS] * (self.order - 1) if lead is None else [self.numbers[w] if w else BOS for w in lead]
-        self.ids.append(np.array(before, dtype=np.int64))
-        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+        self.ids.append(np.array(before, dtype=np.int32))
+        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int32, count=len(words)))
         if ends:
-            self.ids.append(np.array([END]))
+            self.ids.append(np.array([END], dtype=np.int32))
         self.n.append(len(words) + ends)
         self.fold.append(fold)
         self.begins.append(lead is None)
@@ -208,7 +236,12 @@ class _Reader:
 
     def slice(self) -> tuple[Slice, list[tuple]]:
         hashes = np.array(_FIXED + [word_hash(w) for w in self.numbers], dtype=np.uint64)
-        out = Slice(self.order, np.concatenate(self.ids), np.array(self.n), np.array(self.fold), np.array(self.begins), hashes, self.bits)
+        ids = np.concatenate(self.ids)
+        # the most frequent words get the smallest numbers, which pack best
+        by_use = np.argsort(-np.bincount(ids, minlength=len(hashes)), kind="stable")
+        rank = np.empty(len(hashes), dtype=np.int32)
+        rank[by_use] = np.arange(len(hashes), dtype=np.int32)
+        out = Slice(self.bits, rank[ids], np.array(self.n), np.array(self.fold), np.array(self.begins), hashes[by_use])
         docs = self.docs
         self.clear()
         return out, docs
@@ -220,79 +253,80 @@ def _split(key: np.ndarray, ranges: int, bits: int) -> list[int]:
     return np.searchsorted(key, bounds).tolist()
 
 
-def _deal(order: int, bits: int, ranges: int, slice_bytes: int):
-    def rows_of(s: Slice, docs: list[tuple], name: int) -> pa.Table:
-        ids = pa.array([d[0] for d in docs], pa.int64())
-        sink = pa.BufferOutputStream()
-        named = pa.record_batch([ids, pa.array([d[1] for d in docs], pa.int64())], ["doc_id", "row"])
-        with pa.ipc.new_stream(sink, named.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-            w.write_batch(named)
-        # the text only passes through: any home will do
-        in_pieces = int(docs[0][1] >= 0)
-        rows = [(name % (order * ranges), TEXT, name, 0, None, in_pieces, s.packed(), sink.getvalue().to_pybytes(), None)]
-        for k, (key, kept, held) in enumerate(s.counted(), 1):
-            at = _split(key, ranges, bits)
-            for r, (i, j) in enumerate(zip(at, at[1:])):
-                if j > i:
-                    rows.append(((k - 1) * ranges + r, GRAMS, name, (k - 1) * ranges + r, None, None,
-                                 pack(np.diff(key[i:j], prepend=np.uint64((r << bits) // ranges))), pack(kept[i:j]), pack(held[i:j])))
-        return _rows(rows)
+def _slices(batches: Iterator[pa.RecordBatch], bits: list[int], slice_bytes: int) -> Iterator[tuple[Slice, list[tuple]]]:
+    """Slices of the texts with, per piece, its doc_id and the number of its
+    row if that lies in several pieces (else -1)."""
+    reader, order, row = _Reader(bits), len(bits), 0
+    for b in in_slices(batches, "text", slice_bytes, SLICE_DOCS):
+        for doc, fold, raw in zip(b.column("doc_id").to_pylist(), b.column("fold").to_pylist(), utf8_values(b.column("text"))):
+            lead, at, row = None, 0, row + 1
+            size = len(raw or b"")
+            several = (TaskContext.get().partitionId() << 32 | row) if size > slice_bytes else -1
+            for piece in pieces((raw or b"").lower(), slice_bytes):
+                # pieces of one row share no slice with other rows
+                if reader.docs and (reader.bytes + len(piece) > slice_bytes or len(reader.docs) >= SLICE_DOCS or several >= 0):
+                    yield reader.slice()
+                words, at = piece.split(), at + len(piece)
+                reader.bytes += len(piece) + 16
+                reader.add((doc, several), words, fold, lead, at == size)
+                if at < size and order > 1:
+                    lead = ([b""] * (order - 1) + (lead or []) + words)[1 - order:]
+            if several >= 0:
+                yield reader.slice()
+    if reader.docs:
+        yield reader.slice()
+
+
+def _name(content: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little") >> 1
+
+
+def _deal(bits: list[int], ranges: int, slice_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, _ in _slices(batches, bits, slice_bytes):
+            name, rows = _name(s.packed()), []
+            for k, (key, kept, held) in enumerate(s.counted()):
+                at = _split(key, ranges, bits[k])
+                for r, (i, j) in enumerate(zip(at, at[1:])):
+                    if j > i:
+                        part = k * ranges + r
+                        rows.append((part, GRAMS, name, part, None, None,
+                                     pack(np.diff(key[i:j], prepend=np.uint64((r << bits[k]) // ranges))), pack(kept[i:j]), pack(held[i:j])))
+            yield from _rows(rows).to_batches(max_chunksize=256)
+    return run
+
 
+def _texts(bits: list[int], slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, name, row = _Reader(order, bits), TaskContext.get().partitionId() << 24, 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal name
-            if reader.docs:
-                yield from rows_of(*reader.slice(), name).to_batches(max_chunksize=256)
-                name += 1
-
-        for b in in_slices(batches, "text", slice_bytes, SLICE_DOCS):
-            for doc, fold, raw in zip(b.column("doc_id").to_pylist(), b.column("fold").to_pylist(), utf8_values(b.column("text"))):
-                lead, at, row = None, 0, row + 1
-                size = len(raw or b"")
-                several = (TaskContext.get().partitionId() << 32 | row) if size > slice_bytes else -1
-                if several >= 0:  # a row in several pieces is named, to be added up, and shares no slice
-                    yield from flush()
-                for piece in pieces((raw or b"").lower(), slice_bytes):
-                    if reader.bytes + len(piece) > slice_bytes or len(reader.docs) >= SLICE_DOCS:
-                        yield from flush()
-                    words, at = piece.split(), at + len(piece)
-                    reader.bytes += len(piece) + 16
-                    reader.add((doc, several), words, fold, lead, at == size)
-                    if at < size and order > 1:
-                        lead = ([b""] * (order - 1) + (lead or []) + words)[1 - order:]
-                if several >= 0:
-                    yield from flush()
-        yield from flush()
+        for s, docs in _slices(batches, bits, slice_bytes):
+            named = pa.record_batch([pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int64())], ["doc_id", "row"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, named.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_batch(named)
+            content = s.packed()
+            yield from _rows([(None, TEXT, _name(content), 0, None, int(docs[0][1] >= 0), content, sink.getvalue().to_pybytes(), None)]).to_batches()
     return run
 
 
-def _count(ranges: int, bits: int):
+def _count(ranges: int, bits: list[int]):
     """One hash range: the sums of all slices, answered to each of them."""
-    begin = Slice(1, np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64), np.zeros(1, dtype=np.int64), np.ones(1, dtype=bool),
-                  np.array(_FIXED, dtype=np.uint64), bits).grams()[0][0]
-
-    def run(homes: pa.Table) -> pa.Table:
-        out, grams = [], []
-        for i in range(homes.num_rows):
-            home, kind, name, part, _, n, a, b, c = (homes.column(x)[i].as_py() for x in _NAMES)
-            if kind == TEXT:
-                out.append((home, TEXT, name, 0, None, n, a, b, None))
-            else:
-                grams.append((name, part, np.cumsum(unpack(a), dtype=np.uint64), unpack(b), unpack(c)))
-        if not grams:
-            return _rows(out)
-        merged = np.unique(np.concatenate([g[2] for g in grams]))
-        kept, held = (np.zeros(len(merged), dtype=np.uint64) for _ in range(2))
-        for _, _, key, k, h in grams:
-            at = np.searchsorted(merged, key)  # keys of one slice are distinct
-            kept[at] += k
-            held[at] += h
-        for name, part, key, *_ in grams:
-            at = np.searchsorted(merged, key)
-            out.append((None, ANSWER, name, part, None, None, pack(kept[at]), pack(held[at]), None))
-        if (part := grams[0][1]) < ranges:  # single tokens: how many there are in training, and how many distinct
+    begin = _mix(np.array(_FIXED[:1], dtype=np.uint64) + np.uint64(1))[0] >> np.uint64(64 - bits[0])
+
+    def run(rows: pa.Table) -> pa.Table:
+        names, part = rows.column("slice").to_pylist(), rows.column("part")[0].as_py()
+        start = np.uint64(((part % ranges) << bits[part // ranges]) // ranges)
+        keys = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) + start for x in rows.column("a")]
+        merged = np.sort(np.concatenate(keys))
+        merged = merged[_distinct(merged)]
+        at = [np.searchsorted(merged, key) for key in keys]
+        del keys
+        sums = [np.zeros(len(merged), dtype=np.uint64) for _ in range(2)]
+        for column, total in zip("bc", sums):
+            for mine, x in zip(at, rows.column(column)):
+                total[mine] += unpack(x.as_py())  # keys of one slice are distinct
+        kept, held = sums
+        out = [(None, ANSWER, name, part, None, None, pack(kept[mine]), pack(held[mine]), None) for name, mine in zip(names, at)]
+        if part < ranges:  # single tokens: how many distinct ones and how many in all there are in training
             word = merged != begin
             both = (kept + held)[word]
             out.append((None, STATS, -1 - part, part, int((both > 0).sum()), int(both.sum()), pack(kept[word].sum(keepdims=True)), None, None))
@@ -305,20 +339,6 @@ def bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(context.astype(float))[1], BUCKETS - 1).astype(np.int64)
 
 
-def _resolved(s: Slice, counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Per order the count of the n-gram ending at each token, and of its context."""
-    grams = s.grams()
-    found = []
-    for k, (g, key) in enumerate(zip(grams, s.keys(grams)), 1):
-        full = np.zeros(len(s.ids), dtype=np.int64)
-        at = s.places(k)
-        full[at] = counts[k - 1][np.searchsorted(key, g[at])]
-        found.append(full)
-    c = [f[s.real] for f in found]
-    context = [np.zeros(0)] + [f[s.real - 1] for f in found[:-1]]
-    return c, context
-
-
 RATIO_BITS = 10
 
 
@@ -328,38 +348,54 @@ def rounded(x: np.ndarray) -> np.ndarray:
         return np.where(x > 0, np.rint(np.log2(x, where=x > 0, out=np.zeros(len(x))) * STEPS) + (1 << RATIO_BITS - 1), 0).astype(np.int64)
 
 
-def _events(s: Slice, kept: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _with_contexts(along: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """From the counts at an order's places: at each token the count of the
+    n-gram of every order, and of the context of every order but the first."""
+    if len(along) == 1:
+        return along, []
+    ends = np.cumsum(n + 1)     # a piece has a lead and its tokens
+    token, before = np.ones(ends[-1], dtype=bool), np.ones(ends[-1], dtype=bool)
+    token[ends - n - 1], before[ends - 1] = False, False
+    return [*(x[token] for x in along[:-1]), along[-1]], [x[before] for x in along[:-1]]
+
+
+def _events(s: Slice, along: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Held-out events by (rounded unigram count, then per longer order bucket
     and rounded estimate), each packed into one number, with how many."""
-    c, context = _resolved(s, kept)
+    counts, contexts = _with_contexts(along, s.n)
     held = s.fold[s.piece[s.real]] == HELD
-    key = rounded(c[0][held].astype(float))
-    for k in range(1, s.order):
-        n, of = c[k][held], context[k][held]
-        ratio = rounded(n / np.maximum(1, of))
-        key = (key << (RATIO_BITS + 6)) | (bucket(of) << RATIO_BITS) | ratio
-    return np.unique(key, return_counts=True)
+    key = rounded(counts[0][held].astype(float))
+    for n, of in zip(counts[1:], contexts):
+        n, of = n[held], of[held]
+        key = (key << (RATIO_BITS + 6)) | (bucket(of) << RATIO_BITS) | rounded(n / np.maximum(1, of))
+    key = np.sort(key)
+    first = np.flatnonzero(_distinct(key))
+    return key[first], np.diff(np.append(first, len(key)))
 
 
 def _gather(rows: pa.Table) -> pa.Table:
     """One slice with its answers; rows of statistics pass through."""
-    got = list(zip(*(rows.column(x).to_pylist() for x in ("kind", "part", "a", "b", "key", "n", "slice"))))
-    text = next((g for g in got if g[0] == TEXT), None)
-    if text is None:
-        return _rows([(None, STATS, g[6], g[1], g[4], g[5], g[2], None, None) for g in got])
-    s = Slice.unpacked(text[2])
-    answers = sorted((g[1], g[2], g[3]) for g in got if g[0] == ANSWER)
-    counts = []
-    sizes = [len(k) for k in s.keys(s.grams())]
-    flat = [[unpack(x[i]).astype(np.int64) for x in answers] for i in (1, 2)]
-    flat = [np.concatenate(f) if f else np.zeros(0, np.int64) for f in flat]
-    ends = np.cumsum([0, *sizes])
-    for f in flat:
-        counts.append([f[i:j] for i, j in zip(ends, ends[1:])])
-    key, n = _events(s, counts[0])
-    total = pack((flat[0] + flat[1]).astype(np.uint64))
-    out = [(None, EVENTS, None, 0, int(k), int(x), None, None, None) for k, x in zip(key, n)]
-    return _rows([(None, SLICE, text[6], 0, None, text[5], text[2], text[3], total), *out])
+    got = [dict(zip(_NAMES, r)) for r in zip(*(rows.column(x).to_pylist() for x in _NAMES))]
+    texts = [g for g in got if g["kind"] == TEXT]
+    if not texts:
+        if any(g["kind"] == ANSWER for g in got):
+            raise ValueError("the documents changed between two readings; write them to a table first")
+        return _rows([tuple(g.values()) for g in got])
+    s = Slice.unpacked(texts[0]["a"])   # equal slices (repeated rows) share their name, content and answers
+    answers = {g["part"]: g for g in got if g["kind"] == ANSWER}
+    flat = [np.concatenate([unpack(answers[p][x]).astype(np.int64) for p in sorted(answers)]) for x in "ab"] if answers else [np.zeros(0, np.int64)] * 2
+    numbered = s.numbered()
+    if sum(size for size, _ in numbered) != len(flat[0]):
+        raise ValueError("the documents changed between two readings; write them to a table first")
+    kept, along, begin = [], [], 0
+    for size, at in numbered:
+        kept.append(flat[0][begin:begin + size][at])
+        along.append((flat[0][begin:begin + size] + flat[1][begin:begin + size])[at])
+        begin += size
+    key, n = _events(s, kept)
+    counts = packed([s.n, s.fold, *(x for a in along for x in ranked(a))])
+    out = [(None, SLICE, t["slice"], 0, None, t["n"], counts, t["b"], None) for t in texts]
+    return _rows([*out, *((None, EVENTS, None, 0, int(k), int(x) * len(texts), None, None, None) for k, x in zip(key, n))])
 
 
 def _event_columns(key: Column, order: int) -> list[Column]:
@@ -419,22 +455,22 @@ def learn(events: DataFrame, order: int, kept_tokens: int, vocabulary: int) -> l
 def _score(weights: list[np.ndarray], tokens: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, c in zip(*(batch.column(x).to_pylist() for x in "abc")):
-                s, total = Slice.unpacked(a), unpack(c).astype(np.int64)
-                ends = np.cumsum([0, *(len(k) for k in s.keys(s.grams()))])
-                count_of, context = _resolved(s, [total[i:j] for i, j in zip(ends, ends[1:])])
-                p = weights[0][0] * count_of[0] / max(1, tokens) + (1 - weights[0][0]) / (vocabulary + 1)
-                for k in range(1, s.order):
-                    w = weights[k][bucket(context[k])]
-                    p = w * count_of[k] / np.maximum(1, context[k]) + (1 - w) * p
-                base = np.log10((count_of[0] + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
-                piece = s.piece[s.real]
-                per = [np.bincount(piece, x, minlength=len(s.n)) for x in ((count_of[0] > 0).astype(float), base, np.log10(p) if tokens else np.zeros(len(p)))]
-                docs = pa.ipc.open_stream(b).read_next_batch()
+            for a, b in zip(batch.column("a"), batch.column("b")):
+                n, held_out, *along = (x.astype(np.int64) for x in unpacked(a.as_py()))
+                along = [values[at] for values, at in zip(along[::2], along[1::2])]
+                counts, contexts = _with_contexts(along, n)
+                p = weights[0][0] * counts[0] / max(1, tokens) + (1 - weights[0][0]) / (vocabulary + 1)
+                for w, c, of in zip(weights[1:], counts[1:], contexts):
+                    w = w[bucket(of)]
+                    p = w * c / np.maximum(1, of) + (1 - w) * p
+                base = np.log10((counts[0] + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+                piece = np.repeat(np.arange(len(n)), n)
+                known, base, score = (np.bincount(piece, x, minlength=len(n)) for x in (
+                    (counts[0] > 0).astype(float), base, np.log10(p) if tokens else np.zeros(len(p))))
+                docs = pa.ipc.open_stream(b.as_py()).read_next_batch()
                 yield pa.RecordBatch.from_arrays(
-                    [docs.column("doc_id"), docs.column("row"), pa.array(s.fold == TEST),
-                     pa.array(s.n, pa.int64()), pa.array(per[0].astype(np.int64)), pa.array(per[1]), pa.array(per[2])],
-                    ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                    [docs.column("doc_id"), docs.column("row"), pa.array(held_out == TEST), pa.array(n), pa.array(known.astype(np.int64)),
+                     pa.array(base), pa.array(score)], ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
@@ -451,18 +487,21 @@ def scored(docs: DataFrame, order: int = ORDER, slice_bytes: int = SLICE_BYTES,
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    bits = min(62, max(32, 2 * int(size).bit_length() - 4))
+    wide, narrow = 2 * int(size).bit_length() - 4, int(size).bit_length() + 18
+    bits = [min(62, max(40, wide if k == 1 else narrow)) for k in range(1, order + 1)]
     ranges = 1 + size // range_bytes
-    dealt = texts.withColumn("fold", fold()).mapInArrow(_deal(order, bits, ranges, slice_bytes), _SCHEMA)
-    counted = dealt.groupBy("home").applyInArrow(_count(ranges, bits), _SCHEMA)
-    held = cut(counted.groupBy("slice").applyInArrow(_gather, _SCHEMA), "scored-slices")
+    texts = texts.withColumn("fold", fold())
+    counted = texts.mapInArrow(_deal(bits, ranges, slice_bytes), _SCHEMA).groupBy("home").applyInArrow(_count(ranges, bits), _SCHEMA)
+    again = texts.mapInArrow(_texts(bits, slice_bytes), _SCHEMA)
+    with session_conf(spark, spark__sql__execution__arrow__maxBytesPerBatch="4m"):  # texts reach a task in small portions
+        held = cut(again.unionByName(counted).groupBy("slice").applyInArrow(_gather, _SCHEMA), "scored-slices")
     stats = held.where(F.col("kind") == STATS).select("key", "n", "a").collect()  # one row per hash range
     vocabulary, tokens = sum(r.key for r in stats), sum(r.n for r in stats)
     kept_tokens = sum(int(unpack(bytes(r.a))[0]) for r in stats)
     weights = learn(held.where(F.col("kind") == EVENTS), order, kept_tokens, vocabulary)
 
     def score(in_pieces: int) -> DataFrame:
-        rows = held.where((F.col("kind") == SLICE) & (F.col("n") == in_pieces)).select("a", "b", "c")
+        rows = held.where((F.col("kind") == SLICE) & (F.col("n") == in_pieces)).select("a", "b")
         return rows.mapInArrow(_score(weights, tokens, vocabulary), "doc_id bigint, row bigint, held_out boolean, n_tokens bigint, "
                                "n_known bigint, base_score double, score double")
     sums = ["n_tokens", "n_known", "base_score", "score"]
