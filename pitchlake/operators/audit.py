@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
+from pitchlake.operators.quantiles import exact_quantiles
 from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct
 
 FH = S.FIRST_HALF
@@ -317,34 +318,23 @@ def duplicate_drill(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def conformance(df: DataFrame, expected: Mapping[str, str], table: str) -> DataFrame:
     """per expected column: present or missing, actual type, non-NULL
     values, and values that do not cast to the declared type; columns not
-    expected are listed as extra.  One scan for all counts."""
+    expected are listed as extra.  One scan and one aggregate for all counts,
+    which one ``inline`` turns into rows."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     present = [c for c in expected if c in actual]
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in present:
         aggs += [F.count(c).alias(f"{c}__nn"),
                  count_if(F.col(c).isNotNull() & F.col(c).try_cast(expected[c]).isNull()).alias(f"{c}__bad")]
-    wide = df.agg(*aggs)
-    rows = []
-    for c, t in expected.items():
-        if c in actual:
-            rows.append(wide.select(F.lit(c).alias("column_name"), F.lit("present").alias("status"),
-                                    F.lit(t).alias("expected_type"), F.lit(actual[c]).alias("actual_type"),
-                                    F.col(f"{c}__nn").alias("non_null"), F.col(f"{c}__bad").alias("not_castable")))
-        else:
-            rows.append(wide.select(F.lit(c).alias("column_name"), F.lit("missing").alias("status"),
-                                    F.lit(t).alias("expected_type"), F.lit(None).cast("string").alias("actual_type"),
-                                    F.lit(None).cast("long").alias("non_null"),
-                                    F.lit(None).cast("long").alias("not_castable")))
-    for c in actual:
-        if c not in expected:
-            rows.append(wide.select(F.lit(c).alias("column_name"), F.lit("extra").alias("status"),
-                                    F.lit(None).cast("string").alias("expected_type"),
-                                    F.lit(actual[c]).alias("actual_type"),
-                                    F.lit(None).cast("long").alias("non_null"),
-                                    F.lit(None).cast("long").alias("not_castable")))
-    out = reduce(DataFrame.unionByName, rows)
-    return out.select(F.lit(table).alias("table_name"), "*")
+    def line(c, status, expected_type, actual_type, non_null, bad):
+        return F.struct(F.lit(c).alias("column_name"), F.lit(status).alias("status"), F.lit(expected_type).cast("string").alias("expected_type"),
+                        F.lit(actual_type).cast("string").alias("actual_type"), non_null.cast("long").alias("non_null"),
+                        bad.cast("long").alias("not_castable"))
+    none = F.lit(None)
+    lines = [line(c, "present", t, actual[c], F.col(f"{c}__nn"), F.col(f"{c}__bad")) if c in actual
+             else line(c, "missing", t, None, none, none) for c, t in expected.items()]
+    lines += [line(c, "extra", None, actual[c], none, none) for c in actual if c not in expected]
+    return df.agg(*aggs).select(F.inline(F.array(*lines))).select(F.lit(table).alias("table_name"), "*")
 
 
 def audit_times(tables: Mapping[str, DataFrame], created: str = "created_at",
@@ -378,43 +368,37 @@ def per_day(df: DataFrame, c: str) -> DataFrame:
 def describe_wide(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """count, min, max, range, mean, sample sd, quartiles per column.
 
-    One aggregate computes every column; ``exact`` uses ``percentile``
-    (linear interpolation, like pandas) whose buffer is a value->count map,
-    i.e. bounded by the column's distinct values; pass ``exact=False`` for
-    high-cardinality columns to use ``percentile_approx``."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 _fractions(c, [0.25, 0.5, 0.75], exact).alias(f"{c}__q")]
-    wide = df.agg(*aggs)
-    for c in cols:
-        for i, p in enumerate(("p25", "p50", "p75")):
-            wide = wide.withColumn(f"{c}__{p}", F.col(f"{c}__q")[i])
-        wide = wide.drop(f"{c}__q")
-    for c in cols:
-        wide = wide.withColumn(f"{c}__range", F.col(f"{c}__max") - F.col(f"{c}__min"))
-    fields = ["count", "min", "max", "range", "mean", "std", "p25", "p50", "p75"]
-    return _stack(wide, cols, [[f"{c}__{s}" for s in fields] for c in cols], "column", fields)
+    One aggregate computes every column but the quartiles; these are found
+    by rank selection (``quantiles``: linear interpolation, like pandas), or
+    with ``exact=False`` by one ``percentile_approx`` sketch per column.  The
+    result, one row per column, is a local table."""
+    fields = ["count", "min", "max", "mean", "std"]
+    aggs = [f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols)
+            for n, f in zip(fields, (F.count, F.min, F.max, F.avg, F.stddev_samp))]
+    row = df.agg(*aggs).first()
+    known = {c: (row[f"count{i}"], row[f"min{i}"], row[f"max{i}"]) for i, c in enumerate(cols)}
+    quartiles = _quartile_values(df, cols, exact, known)
+    rows = []
+    for i, c in enumerate(cols):
+        n, low, high, mean, std = (row[f"{x}{i}"] for x in fields)
+        rows.append((c, n, low, high, None if low is None else high - low, mean, std, *quartiles[c]))
+    numbers = ", ".join(f"`{x}` double" for x in ("min", "max", "range", "mean", "std", "p25", "p50", "p75"))
+    return df.sparkSession.createDataFrame(rows, f"`column` string, `count` bigint, {numbers}")
 
 
-def _fractions(c: str, fractions: Sequence[float], exact: bool = True) -> Column:
-    """Several percentiles of a column from one value map (one sketch if not
-    ``exact``), as an array."""
-    x = F.col(c).cast("double")
-    return F.percentile(x, list(fractions)) if exact else F.percentile_approx(x, list(fractions), 10000)
+def _quartile_values(df: DataFrame, cols: Sequence[str], exact: bool, known: dict | None = None) -> dict[str, list]:
+    """The three quartiles per column: exact, or from a sketch per column."""
+    fractions = [0.25, 0.5, 0.75]
+    if exact:
+        return exact_quantiles(df, cols, fractions, known)
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), fractions, 10000).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[f"q{i}"] or [None] * 3 for i, c in enumerate(cols)}
 
 
 def _quartiles(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """(column, q1, median, q3) rows — one row per column, from one aggregate."""
-    wide = df.agg(*[_fractions(c, [0.25, 0.5, 0.75], exact).alias(c) for c in cols])
-    names = ["q1", "median", "q3"]
-    for c in cols:
-        for i, n in enumerate(names):
-            wide = wide.withColumn(f"{c}__{n}", F.col(c)[i])
-        wide = wide.drop(c)
-    return _stack(wide, cols, [[f"{c}__{n}" for n in names] for c in cols], "column", names)
+    """(column, q1, median, q3): one row per column."""
+    values = _quartile_values(df, cols, exact)
+    return df.sparkSession.createDataFrame([(c, *values[c]) for c in cols], "`column` string, q1 double, median double, q3 double")
 
 
 def _long(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -943,11 +927,15 @@ def validation_summary(quality: DataFrame, leagues_q: DataFrame, missing: DataFr
 
     ``coverage``: F33; ``decreasing``: P1; ``both_periods``: the (fixture,
     team) rows that P1 could compare; ``errors``: F48."""
-    def row(df, section, metric, value, detail=None, cond=None):
-        d = df.filter(cond) if cond is not None else df
-        return d.select(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
-                        value.cast("double").alias("value"),
-                        (detail if detail is not None else F.lit(None)).cast("string").alias("detail"))
+    def rows(df, *lines):
+        """Several lines (section, metric, value, detail, condition) of a one-row frame."""
+        made = [F.when(F.lit(True) if cond is None else cond, F.struct(
+            F.lit(section).alias("section"), F.lit(metric).alias("metric"), value.cast("double").alias("value"),
+            (F.lit(None) if detail is None else detail).cast("string").alias("detail"))) for section, metric, value, detail, cond in lines]
+        return df.select(F.inline(F.filter(F.array(*made), lambda x: x.isNotNull())))
+
+    def advice(metric, cond=None):
+        return ("recommendation", metric, F.lit(1), F.lit(RECOMMENDATIONS[metric]), cond)
     cat = F.col("quality_category")
     q1 = quality.agg(F.count(F.lit(1)).alias("n"), F.avg("quality_score").alias("avg"),
                      count_if(cat.isin(S.Q_EXCELLENT, S.Q_GOOD)).alias("good"))
@@ -962,35 +950,26 @@ def validation_summary(quality: DataFrame, leagues_q: DataFrame, missing: DataFr
         place = F.row_number().over(Window.orderBy(*order)).cast("string")
         return top.select(F.lit(section).alias("section"), place.alias("metric"), value.cast("double").alias("value"),
                           detail.cast("string").alias("detail"))
-    rec = RECOMMENDATIONS
+    n = F.col("n")
     parts = [
-        row(q1, "overall", "total_fixtures", F.col("n")),
-        row(q1, "overall", "avg_quality_score", F.col("avg")),
-        row(q1, "overall", "good_or_better_pct", pct("good", "n")),
-        row(missing, "findings", "missing_stats_pct", F.col("missing_pct")),
-        row(team_rate, "findings", "incomplete_team_pct", F.col("incomplete_pct")),
-        row(worst, "findings", "worst_null_stat_pct", F.col("null_percent"), F.col("statistic")),
-        row(member, "findings", "team_id_inconsistency_pct", F.col("inconsistent_percent")),
-        row(dups, "findings", "duplicate_keys", F.col("n")),
-        row(mismatch, "findings", "score_inconsistency_pct", F.col("mismatch_pct")),
-        row(fell, "findings", "decreasing_stats", F.col("n")),
-        row(poor, "gaps", "poor_leagues", F.col("poor")),
+        rows(q1, ("overall", "total_fixtures", n, None, None), ("overall", "avg_quality_score", F.col("avg"), None, None),
+             ("overall", "good_or_better_pct", pct("good", "n"), None, None),
+             advice("monitoring"), advice("modeling_filter"), advice("league_registry")),
+        rows(missing, ("findings", "missing_stats_pct", F.col("missing_pct"), None, None), advice("stats_coverage", F.col("missing_stats") > 0)),
+        rows(team_rate, ("findings", "incomplete_team_pct", F.col("incomplete_pct"), None, None), advice("team_coverage", F.col("incomplete") > 0)),
+        rows(worst, ("findings", "worst_null_stat_pct", F.col("null_percent"), F.col("statistic"), None),
+             advice("null_rates", F.col("null_percent") > 20)),
+        rows(member, ("findings", "team_id_inconsistency_pct", F.col("inconsistent_percent"), None, None)),
+        rows(dups, ("findings", "duplicate_keys", n, None, None)),
+        rows(mismatch, ("findings", "score_inconsistency_pct", F.col("mismatch_pct"), None, None),
+             advice("score_consistency", F.col("mismatches") > 0)),
+        rows(fell, ("findings", "decreasing_stats", n, None, None), advice("decreasing_stats", n > 0)),
+        rows(poor, ("gaps", "poor_leagues", F.col("poor"), None, None)),
         ranked(leagues_q, "league_ranking", by_quality, 5, F.col("avg_quality_score"), F.col("league_name")),
         ranked(leagues_q.filter(F.col("avg_quality_score") < 50), "poor_league", by_quality, 3, F.col("avg_quality_score"),
                F.col("league_name")),
         ranked(errors, "error_pattern", [F.asc("rank")], 3, F.col("count"), F.col("name")),
-        row(covered, "recommendation", "league_coverage", F.lit(1), F.lit(rec["league_coverage"]), F.col("n") > 0),
-        row(fell, "recommendation", "decreasing_stats", F.lit(1), F.lit(rec["decreasing_stats"]), F.col("n") > 0),
-        row(compared, "recommendation", "period_meaning", F.lit(1), F.lit(rec["period_meaning"]), F.col("n") > 0),
-        row(missing, "recommendation", "stats_coverage", F.lit(1), F.lit(rec["stats_coverage"]),
-            F.col("missing_stats") > 0),
-        row(team_rate, "recommendation", "team_coverage", F.lit(1), F.lit(rec["team_coverage"]),
-            F.col("incomplete") > 0),
-        row(worst, "recommendation", "null_rates", F.lit(1), F.lit(rec["null_rates"]), F.col("null_percent") > 20),
-        row(mismatch, "recommendation", "score_consistency", F.lit(1), F.lit(rec["score_consistency"]),
-            F.col("mismatches") > 0),
-        row(q1, "recommendation", "monitoring", F.lit(1), F.lit(rec["monitoring"])),
-        row(q1, "recommendation", "modeling_filter", F.lit(1), F.lit(rec["modeling_filter"])),
-        row(q1, "recommendation", "league_registry", F.lit(1), F.lit(rec["league_registry"])),
+        rows(covered, advice("league_coverage", n > 0)),
+        rows(compared, advice("period_meaning", n > 0)),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
@@ -124,22 +124,23 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def population_stability(df: DataFrame, col: str, is_reference: Column, bins: int = 10,
                          eps: float = 1e-6) -> DataFrame:
     """Population stability index of ``col`` between the reference rows
-    and the rest, over equal-width bins of the reference range (edges are
-    scalar subqueries).  Returns per-bin shares and the total PSI."""
-    ref = df.filter(is_reference)
-    lo = ref.select(F.min(F.col(col).cast("double"))).scalar()
-    hi = ref.select(F.max(F.col(col).cast("double"))).scalar()
+    and the rest, over equal-width bins of the reference range.  One
+    aggregate finds the range (a scalar subquery), one counts the bins; the
+    totals are windows over the bins.  Returns per-bin shares and the total PSI."""
+    value = F.when(is_reference, F.col(col).cast("double"))
+    edge = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = edge["lo"], edge["hi"]
     width = (hi - lo) / bins
     b = F.when(hi == lo, F.lit(1)).otherwise(F.least(F.greatest(F.floor((F.col(col) - lo) / width) + 1, F.lit(1)),
                                                      F.lit(bins))).cast("long")
     tagged = df.filter(F.col(col).isNotNull()).select(b.alias("bin"), is_reference.alias("_ref"))
     per = tagged.groupBy("bin").agg(count_if(F.col("_ref")).alias("ref_n"), count_if(~F.col("_ref")).alias("cur_n"))
-    tot_ref = tagged.select(count_if(F.col("_ref"))).scalar()
-    tot_cur = tagged.select(count_if(~F.col("_ref"))).scalar()
-    e = F.greatest(F.col("ref_n") / tot_ref, F.lit(eps))
-    a = F.greatest(F.col("cur_n") / tot_cur, F.lit(eps))
-    out = per.select("bin", e.alias("ref_share"), a.alias("cur_share"), ((a - e) * F.ln(a / e)).alias("psi"))
-    return out.withColumn("total_psi", out.select(F.sum("psi")).scalar())
+    every = Window.partitionBy()    # over at most ``bins`` rows
+    e = F.greatest(F.col("ref_n") / F.sum("ref_n").over(every), F.lit(eps))
+    a = F.greatest(F.col("cur_n") / F.sum("cur_n").over(every), F.lit(eps))
+    out = per.select("bin", e.alias("ref_share"), a.alias("cur_share")).withColumn(
+        "psi", (F.col("cur_share") - F.col("ref_share")) * F.ln(F.col("cur_share") / F.col("ref_share")))
+    return out.withColumn("total_psi", F.sum("psi").over(every))
 
 
 # ---------------------------------------------------------------- P10
