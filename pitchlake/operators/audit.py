@@ -24,8 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake import schema as S
-from pitchlake.operators.quantiles import exact_quantiles
 from pitchlake.functions.exprs import all_null, count_if, distinct_count_small, non_null_count, pct
+from pitchlake.operators.quantiles import exact_quantiles
+from pitchlake.operators.worklist import with_rank
 
 FH = S.FIRST_HALF
 
@@ -552,17 +553,21 @@ def stat_goals(stats: DataFrame, schedules: DataFrame, period: str = S.SECOND_HA
         F.sum(F.when(F.col("team_id") == F.col("away_team_id"), F.col("goals")).otherwise(0)).alias("away_goals_from_stats"))
 
 
-def detail_vs_summary(stats: DataFrame, schedules: DataFrame, period: str = S.SECOND_HALF) -> DataFrame:
-    """fixtures whose ``period`` goals disagree with the schedule score."""
+def detail_vs_summary(stats: DataFrame, schedules: DataFrame, period: str = S.SECOND_HALF, numbered: bool = False) -> DataFrame:
+    """fixtures whose ``period`` goals disagree with the schedule score,
+    the largest difference first (``numbered``: with their place as ``rank``)."""
     g = stat_goals(stats, schedules, period)
     g = g.filter(F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
                  & ((F.col("home_score") != F.col("home_goals_from_stats"))
                     | (F.col("away_score") != F.col("away_goals_from_stats"))))
-    return g.select("fixture_id", F.col("home_score").alias("home_goals_schedules"), "home_goals_from_stats",
+    g = g.select("fixture_id", F.col("home_score").alias("home_goals_schedules"), "home_goals_from_stats",
                     (F.col("home_score") - F.col("home_goals_from_stats")).alias("home_diff"),
                     F.col("away_score").alias("away_goals_schedules"), "away_goals_from_stats",
-                    (F.col("away_score") - F.col("away_goals_from_stats")).alias("away_diff")).orderBy(
-        F.desc(F.abs("home_diff") + F.abs("away_diff")), "fixture_id")
+                    (F.col("away_score") - F.col("away_goals_from_stats")).alias("away_diff"))
+    size = F.abs("home_diff") + F.abs("away_diff")
+    if numbered:
+        g = with_rank(g, size, [F.desc(size), F.asc("fixture_id")], descending=True)
+    return g.orderBy(F.desc(size), "fixture_id")
 
 
 def mismatch_summary(stats: DataFrame, schedules: DataFrame, period: str = S.SECOND_HALF) -> DataFrame:

@@ -204,6 +204,12 @@ def coercion_failures(raw: DataFrame) -> DataFrame:
                                        F.sum(failed.cast("int")).cast("long").alias("failed"))
 
 
+def empty_documents(raw: DataFrame) -> DataFrame:
+    """Statistics documents without a single statistic in any period."""
+    full = F.filter("fixture_data_with_stats.data.periods", lambda p: F.size(p["statistics"]) > 0)
+    return raw.filter(F.coalesce(F.size(full), F.lit(0)) <= 0)
+
+
 # ---------------------------------------------------------------- B12
 def normalize_odds(raw: DataFrame, markets: Sequence[int] = tuple(S.ALLOWED_MARKETS),
                    bookmakers: Sequence[int] = tuple(S.ALLOWED_BOOKMAKERS)) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -233,21 +239,24 @@ def normalize_odds(raw: DataFrame, markets: Sequence[int] = tuple(S.ALLOWED_MARK
 # ---------------------------------------------------------------- B13
 def normalize_pressure(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Minute-by-minute pressure rows (``event_type='pressure'``).
-    Minute and pressure may be 0; NULL fields are rejected before and after
-    coercion."""
+    Minute and pressure may be 0.  A rejected row names every cause:
+    ``missing:`` a NULL field, or ``unreadable:`` a value that does not
+    coerce to the column's type."""
     p = raw.select("fetch_timestamp", F.col("fixture_data_with_pressure.data.id").alias("fixture_id"),
                    F.explode("fixture_data_with_pressure.data.pressure").alias("x"))
     present = lambda c: F.col(c).isNotNull() & ~F.is_variant_null(F.col(c))
     p = p.select("fetch_timestamp", "fixture_id", F.col("x.id").alias("id_v"), F.col("x.minute").alias("minute_v"),
                  F.col("x.participant_id").alias("participant_v"), F.col("x.pressure").alias("pressure_v"))
-    pre_ok = truthy(F.col("fixture_id")) & present("minute_v") & present("participant_v") & present("pressure_v")
     df = p.select("fetch_timestamp", "fixture_id",
                   coerce_variant(F.col("minute_v"), "int").alias("minute"),
                   coerce_variant(F.col("participant_v"), "long").alias("participant_id"),
                   coerce_variant(F.col("pressure_v"), "double").alias("pressure_index"),
                   F.lit("pressure").alias("event_type"),
                   coerce_variant(F.col("id_v"), "long").alias("api_event_id"),
-                  F.lit(None).cast("timestamp").alias("timestamp"), pre_ok.alias("_pre"))
-    ok = F.col("_pre") & F.col("minute").isNotNull() & F.col("participant_id").isNotNull() \
-        & F.col("pressure_index").isNotNull()
-    return df.filter(ok).drop("_pre"), df.filter(~ok).drop("_pre").withColumn("reject_reason", F.lit("missing field"))
+                  F.lit(None).cast("timestamp").alias("timestamp"),
+                  *[present(v).alias(f"_{v}") for v in ("minute_v", "participant_v", "pressure_v")])
+    reason = F.concat_ws(",", F.when(~truthy(F.col("fixture_id")), "missing:fixture_id"), *[
+        F.when(~F.col(f"_{v}"), f"missing:{c}").when(F.col(c).isNull(), f"unreadable:{c}")
+        for v, c in (("minute_v", "minute"), ("participant_v", "participant_id"), ("pressure_v", "pressure_index"))])
+    df = df.withColumn("reject_reason", reason).drop("_minute_v", "_participant_v", "_pressure_v")
+    return df.filter("reject_reason = ''").drop("reject_reason"), df.filter("reject_reason <> ''")

@@ -10,7 +10,6 @@ by value with the SQL oracle in ``plans.oracle``.
 from __future__ import annotations
 
 from typing import Callable, Sequence
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,24 +127,24 @@ def _(t):
 
 @register("c02_pending_stats")
 def _(t):
-    return C.pending(t.schedules, t.stats, S.FINISHED_STATS, order="fixture_id")
+    return C.pending(t.schedules, t.stats, S.FINISHED_STATS, order="fixture_id", numbered=True)
 
 
 @register("c03_pending_odds")
 def _(t):
     # every 17th fixture is taken as not priced yet
-    return C.pending(t.schedules, t.odds.filter(F.col("fixture_id") % 17 != 5), S.FINISHED_ODDS, order="start_time")
+    return C.pending(t.schedules, t.odds.filter(F.col("fixture_id") % 17 != 5), S.FINISHED_ODDS, order="start_time", numbered=True)
 
 
 @register("c04_pending_pressure")
 def _(t):
     return C.pending(t.schedules, t.timeline.filter(F.col("event_type") == "pressure"),
-                     S.FINISHED_PRESSURE, order="start_time")
+                     S.FINISHED_PRESSURE, order="start_time", numbered=True)
 
 
 @register("c05_pending_without_done")
 def _(t):
-    return C.pending(t.schedules, None, S.FINISHED_PRESSURE, order="start_time")
+    return C.pending(t.schedules, None, S.FINISHED_PRESSURE, order="start_time", numbered=True)
 
 
 # ------------------------------------------------------------------ audits
@@ -343,7 +342,7 @@ def _(t):
 
 @register("f31_score_mismatch")
 def _(t):
-    return A.detail_vs_summary(t.stats, t.schedules)
+    return A.detail_vs_summary(t.stats, t.schedules, numbered=True)
 
 
 @register("f32_mismatch_summary", noisy=["avg_home_diff", "avg_away_diff"])
@@ -458,6 +457,7 @@ from pitchlake.operators import normalize as B  # noqa: E402
 from pitchlake.plans import landing as LD  # noqa: E402
 from pitchlake.sources import raw as R  # noqa: E402
 from pitchlake.sources import sinks as K  # noqa: E402
+from pitchlake.sources.versions import VersionedTable  # noqa: E402
 
 CURATED_STATS = ["fixture_id", "team_id", "period", *S.STAT_COLUMNS, "timestamp"]
 CURATED_ODDS = [f.name for f in S.FIXTURE_ODDS.fields]
@@ -497,6 +497,15 @@ def _(t):
     return _schedules(t).drop("fetch_timestamp")
 
 
+@register("a05_dataset_written_and_read")
+def _(t):
+    """Dataset 1 written and read back with its schema."""
+    ds = D.dataset_one(t.schedules, t.stats, t.odds)
+    path = H.stream_dir(t.spark, "a05")
+    K.write_dataset(ds, path)
+    return K.read_dataset(t.spark, path, ds.schema)
+
+
 @register("a06_upsert_schedules")
 def _(t):
     v1 = _schedules(t)
@@ -504,7 +513,15 @@ def _(t):
              .withColumn("status", F.lit("FT")).withColumn("home_score", F.lit(1))
              .withColumn("away_score", F.lit(0)).withColumn("result", F.lit("H"))
              .withColumn("fetch_timestamp", F.lit("2099-01-01 00:00:00")))
-    return K.upsert(v1, batch, ["fixture_id"], order="fetch_timestamp", audit=False).drop("fetch_timestamp")
+    table = _table(t, "schedules", v1, ["fixture_id"])
+    table.upsert(v1, order="fetch_timestamp")
+    table.upsert(batch, order="fetch_timestamp")
+    return table.read().drop("fetch_timestamp")
+
+
+def _table(t, name, like, key):
+    """An empty versioned table with the columns of ``like``."""
+    return VersionedTable.create(t.spark, H.stream_dir(t.spark, f"table-{name}"), like.schema, key, buckets=16)
 
 
 def _stats_raw(t):
@@ -546,6 +563,18 @@ def _(t):
     return filtered.groupBy(F.col("bookmaker_id")).agg(F.count(F.lit(1)).alias("filtered"))
 
 
+@register("b12_rejected_odds")
+def _(t):
+    _, bad, _ = B.normalize_odds(R.parse_documents(LD.odds_documents(t, spoiled=True), "odds"))
+    return bad.select("fixture_id", "market_id", "bookmaker_id", "label", "value", "reject_reason")
+
+
+@register("b13_rejected_pressure")
+def _(t):
+    bad = B.normalize_pressure(R.parse_documents(LD.pressure_documents(t, spoiled=True), "pressure"))[1]
+    return bad.select("fixture_id", "api_event_id", "minute", "participant_id", "pressure_index", "reject_reason")
+
+
 @register("b13_normalize_load_pressure")
 def _(t):
     ok, _ = B.normalize_pressure(R.parse_documents(LD.pressure_documents(t), "pressure"))
@@ -555,10 +584,10 @@ def _(t):
 
 @register("a09_load_report_stats")
 def _(t):
-    docs = _stats_raw(t)
+    docs = R.parse_documents(LD.stats_documents(t, gaps=True), "stats")
     rows, bad_periods = B.normalize_stats(docs)
     stored = K.insert_ignore(None, rows, ["fixture_id", "team_id", "period"], order=["fetch_timestamp"])
-    return K.load_report(docs, stored, bad_periods)
+    return K.load_report(docs, stored, bad_periods, B.empty_documents(docs))
 
 
 @register("a06_upsert_audited")
@@ -570,8 +599,10 @@ def _(t):
                             stamp("2023-01-01").alias("updated_at"))
     ns = v1.filter(F.col("status") == "NS").select("fixture_id", F.lit("FT").alias("status"))
     batch = ns.withColumn("seq", F.explode(F.array(F.lit(10), F.lit(9)))).withColumn("home_score", F.col("seq") * 100)
-    out = K.upsert(v1, batch, ["fixture_id"], order="seq")
-    return out.select("fixture_id", "status", "home_score", F.year("created_at").alias("created"),
+    table = _table(t, "schedules-audited", v1, ["fixture_id"])
+    table.insert_ignore(v1)     # keeps the stamps it is given
+    table.upsert(batch, order="seq", audit=True)
+    return table.read().select("fixture_id", "status", "home_score", F.year("created_at").alias("created"),
                       (F.year("updated_at") > 2023).alias("moved"), (F.year("updated_at") == 2023).alias("untouched"))
 
 
@@ -641,17 +672,17 @@ def _(t):
 @register("e04_train_gbt_dataset_two")
 def _(t):
     ds = D.dataset_two(t.schedules, t.stats, t.odds, t.timeline).withColumnRenamed("target", "label")
-    ds = K.checkpoint_table(ds, f"e04-{uuid4().hex}")  # every fit and metric reads it, none derives it again
-    res = E.train_and_evaluate(ds, D.DS2_FEATURES, "label", E.PRESSURE_PARAMS, early_stopping=False)
-    spark = ds.sparkSession
+    return _training_checks(t, ds, D.DS2_FEATURES, E.PRESSURE_PARAMS, "e04", early_stopping=False)
+
+
+def _training_checks(t, ds, features, params, name, early_stopping):
+    """Train on ``ds`` and return what must hold of the result."""
+    ds = K.checkpoint_table(ds, name)  # every fit and metric reads it, none derives it again
+    res = E.train_and_evaluate(ds, features, "label", params, early_stopping=early_stopping)
     if res["model"] is None:
-        return spark.createDataFrame([], "section string, name string, value double")
-    m = res["metrics"].first().asDict()
-    rows = [("metric", k, float(v)) for k, v in m.items() if v is not None]
-    rows.append(("metric", "roc_auc", float(res["auc"])))
-    imp = E.importance(spark, res["model"], D.DS2_FEATURES).collect()
-    rows += [("importance", r.feature, r.importance) for r in imp]
-    return spark.createDataFrame(rows, "section string, name string, value double")
+        return t.spark.createDataFrame([], "name string, value long")
+    res["predictions"] = K.checkpoint_table(res["predictions"], f"{name}-scored")
+    return E.training_checks(res, features, params["rounds"], H.stream_dir(t.spark, f"{name}-model"))
 
 
 @register("e05_train_gbt_dataset_one")
@@ -659,17 +690,7 @@ def _(t):
     """Dataset 1, training subset of features, baseline parameters, early
     stopping on a validation slice of the training rows."""
     ds = D.dataset_one(t.schedules, t.stats, t.odds).withColumnRenamed(D.target_name(), "label")
-    ds = K.checkpoint_table(ds, f"e05-{uuid4().hex}")
-    res = E.train_and_evaluate(ds, D.DS1_TRAIN_FEATURES, "label", E.BASELINE_PARAMS, early_stopping=True)
-    spark = ds.sparkSession
-    if res["model"] is None:
-        return spark.createDataFrame([], "section string, name string, value double")
-    rows = [("metric", k, float(v)) for k, v in res["metrics"].first().asDict().items() if v is not None]
-    rows += [("metric", "roc_auc", float(res["auc"])),
-             ("model", "trees", float(res["model"].stages[-1].getNumTrees))]
-    rows += [("importance", r.feature, r.importance)
-             for r in E.importance(spark, res["model"], D.DS1_TRAIN_FEATURES).collect()]
-    return spark.createDataFrame(rows, "section string, name string, value double")
+    return _training_checks(t, ds, D.DS1_TRAIN_FEATURES, E.BASELINE_PARAMS, "e05", early_stopping=True)
 
 
 # --------------------------------------------------------------- streaming
@@ -679,6 +700,14 @@ from pitchlake.streaming import jobs as H  # noqa: E402
 EVENT_PARTS = 6
 
 
+def _event_parts(events):
+    """The events in EVENT_PARTS parts in time order."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    edges = events.select(F.percentile_approx(micros, [k / EVENT_PARTS for k in range(1, EVENT_PARTS)])).first()[0]
+    return [events.filter(c) for c in [micros <= edges[0], *[(micros > lo) & (micros <= hi) for lo, hi in zip(edges, edges[1:])],
+                                       micros > edges[-1]]]
+
+
 def _landed_events(t, name, job, **kw):
     """Run ``job`` (a streaming transformation) over the events as they land:
     six parts in time order, one run each, all from one checkpoint, so state
@@ -686,11 +715,7 @@ def _landed_events(t, name, job, **kw):
     late and replayed."""
     spark, events = t.spark, t.raw("events")
     base = H.stream_dir(spark, name)
-    edges = events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / EVENT_PARTS for k in range(1, EVENT_PARTS)])
-                          ).first()[0]
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    parts = [events.filter(c) for c in [micros <= edges[0], *[(micros > lo) & (micros <= hi) for lo, hi in zip(edges, edges[1:])],
-                                        micros > edges[-1]]]
+    parts = _event_parts(events)
     for part in [*parts, parts[2]]:
         part.write.mode("append").parquet(f"{base}/landing")
         stream = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
@@ -704,16 +729,37 @@ def _(t):
         "event_id", "ts", "user_id", "event_type", "value"))
 
 
+@register("h1_stream_dedupe_counts")
+def _(t):
+    """The events land in parts and then all of them once more: what was
+    kept, and what of the repetition was a duplicate or too late."""
+    spark, events = t.spark, t.raw("events")
+    base = H.stream_dir(spark, "h1-counts")
+    for part in [*_event_parts(events), events]:
+        part.write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
+        out, counts = H.run_counted(stream, lambda s: H.dedupe_stream(s, ["event_id"], "ts", "1 day"), "h1-counts", base=base)
+    total = counts.agg(*[F.sum(c).alias(c) for c in ("landed", "kept", "duplicates", "late")])
+    return total.withColumn("stored", out.select(F.count(F.lit(1))).scalar())
+
+
 @register("h1_stream_normalize_pressure_docs")
 def _(t):
-    """Landed pressure documents streamed, normalised and de-duplicated;
-    the key set equals the batch first-wins load (b13)."""
+    """Pressure documents landed year by year of their fetch time, the first
+    year again, and the second year last of all: streamed, normalised and
+    loaded first-wins, with no state held."""
     spark = t.spark
-    landing = H.stream_dir(spark, "h1-landing")
-    LD.pressure_documents(t).write.mode("overwrite").text(landing)
-    s = H.normalized_pressure_stream(spark, landing)
-    out = H.run_available_now(s.select("fixture_id", "minute", "participant_id", "event_type"), "h1p")
-    return out
+    base = H.stream_dir(spark, "h1-docs")
+    docs = LD.pressure_documents(t).withColumn("year", F.substring(F.get_json_object("doc", "$.fetch_timestamp"), 1, 4))
+    docs = K.checkpoint_table(docs, "h1-docs")
+    years = [r.year for r in docs.select("year").distinct().orderBy("year").collect()]  # a few
+    sink = H.first_wins_sink(f"{base}/table", H.TIMELINE_KEY, ["fetch_timestamp", "api_event_id"], buckets=8)
+    for year in [*years[:1], *years[2:], years[0], *years[1:2]]:
+        docs.filter(F.col("year") == year).select("doc").write.mode("append").text(f"{base}/landing")
+        stream = H.normalized_pressure_stream(spark, f"{base}/landing")
+        out, counts = H.run_counted(stream, lambda s: s, "h1-docs", base=base, foreach_batch=sink, out_path=f"{base}/table")
+    held = counts.select(F.max("state_rows")).scalar()
+    return out.select(*CURATED_TIMELINE).withColumn("state_rows", held)
 
 
 @register("h2_stream_window_mean", noisy=["avg_value"])

@@ -36,8 +36,9 @@ def _variant(c: Column, how: str) -> Column:
     return F.parse_json(c.cast("string"))
 
 
-def stats_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
-    """Statistics documents; ``spoiled``: some values are no numbers."""
+def stats_documents(t: Testbed, spoiled: bool = False, gaps: bool = False) -> DataFrame:
+    """Statistics documents; ``spoiled``: some values are no numbers;
+    ``gaps``: some periods have no description, some no statistics."""
     r = t.stats_raw
 
     def value(c, how):
@@ -53,9 +54,13 @@ def stats_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
                       F.struct(F.lit(COLUMN_TO_CODE[c]).alias("code")).alias("type"),
                       F.struct(value(c, how).alias("value")).alias("data"))
              for c, how in STAT_ENCODING.items()]
+    listed = F.array(*items)
+    if gaps:
+        desc = F.when(F.col("src_a") % 89 == 3, "").otherwise(desc)
+        listed = F.when(F.col("src_a") % 83 == 7, F.slice(listed, 1, 0)).otherwise(listed)
     doc = F.struct(F.date_format("api_ts", TS_FMT).alias("fetch_timestamp"), F.col("fixture_id"),
                    F.struct(F.struct(F.col("fixture_id").alias("id"), F.array(F.struct(
-                       pid.alias("id"), desc.alias("description"), F.array(*items).alias("statistics"))).alias("periods"))
+                       pid.alias("id"), desc.alias("description"), listed.alias("statistics"))).alias("periods"))
                        .alias("data")).alias("fixture_data_with_stats"))
     return r.select(F.to_json(doc).alias("doc"))
 
@@ -93,8 +98,12 @@ def schedule_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
     return s.select(F.to_json(doc).alias("doc"))
 
 
-def odds_documents(t: Testbed) -> DataFrame:
+def odds_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
+    """Odds documents; ``spoiled``: some lack their label or their fixture."""
     o = t.odds
+    if spoiled:
+        o = o.withColumns({"label": F.when(F.col("fixture_id") % 29 != 3, F.col("label")),
+                           "fixture_id": F.when(F.col("fixture_id") % 31 != 5, F.col("fixture_id"))})
     ts = F.date_format("latest_bookmaker_update", TS_FMT)
 
     def odd(bookmaker):
@@ -113,12 +122,20 @@ def odds_documents(t: Testbed) -> DataFrame:
     return o.select(F.to_json(doc).alias("doc"))
 
 
-def pressure_documents(t: Testbed) -> DataFrame:
+def pressure_documents(t: Testbed, spoiled: bool = False) -> DataFrame:
+    """Pressure documents; ``spoiled``: some minutes are missing, some no
+    numbers, and some items lack their pressure or their participant."""
     li = t.raw("lineitem").filter(F.col("l_orderkey") % 4 != 0)
+    part = F.col("l_partkey")
+
+    def spoil(json, **cases):
+        for what, bad in cases.items() if spoiled else ():
+            json = F.when(bad, F.lit({"null": "null", "text": '"late"'}[what])).otherwise(json)
+        return F.parse_json(json)
     item = F.struct(F.parse_json((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string")).alias("id"),
-                    F.parse_json((F.col("l_quantity").cast("int") * 2).cast("string")).alias("minute"),
-                    F.parse_json((F.col("l_linenumber") % 2).cast("string")).alias("participant_id"),
-                    F.parse_json((F.col("l_extendedprice") / 1000).cast("string")).alias("pressure"))
+                    spoil((F.col("l_quantity").cast("int") * 2).cast("string"), null=part % 37 == 1, text=part % 41 == 2).alias("minute"),
+                    spoil((F.col("l_linenumber") % 2).cast("string"), null=part % 43 == 3).alias("participant_id"),
+                    spoil((F.col("l_extendedprice") / 1000).cast("string"), null=part % 37 == 1, text=part % 47 == 4).alias("pressure"))
     doc = F.struct(F.date_format("l_shipdate", TS_FMT).alias("fetch_timestamp"), F.col("l_orderkey").alias("fixture_id"),
                    F.struct(F.struct(F.col("l_orderkey").alias("id"), F.array(item).alias("pressure")).alias("data"))
                    .alias("fixture_data_with_pressure"))

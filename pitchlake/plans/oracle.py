@@ -183,18 +183,22 @@ oracle("c01_open_seasons", """
                    season_id < (select max(season_id) from fx_seasons) as finished from fx_seasons)
  select season_id from flags where finished = false or is_current = true""")
 oracle("c02_pending_stats", """
+ select fixture_id, start_time, row_number() over (order by fixture_id) as rank from (
  select distinct s.fixture_id, s.start_time from fx_schedules s left join fx_stats fs on s.fixture_id = fs.fixture_id
- where s.status = 'FT' and fs.fixture_id is null""")
+ where s.status = 'FT' and fs.fixture_id is null) u""")
 oracle("c03_pending_odds", """
+ select fixture_id, start_time, row_number() over (order by start_time desc, fixture_id) as rank from (
  select distinct s.fixture_id, s.start_time from fx_schedules s
  left join (select fixture_id from fx_odds where fixture_id % 17 <> 5) fo on s.fixture_id = fo.fixture_id
- where s.status in ('FT','FT_PEN','AET','AWD','ABD','CANC') and fo.fixture_id is null""")
+ where s.status in ('FT','FT_PEN','AET','AWD','ABD','CANC') and fo.fixture_id is null) u""")
 oracle("c04_pending_pressure", """
+ select fixture_id, start_time, row_number() over (order by start_time desc, fixture_id) as rank from (
  select distinct s.fixture_id, s.start_time from fx_schedules s
  left join (select distinct fixture_id from fx_timeline where event_type = 'pressure') pt on s.fixture_id = pt.fixture_id
- where s.status in ('FT','AET','FT_PEN') and pt.fixture_id is null""")
+ where s.status in ('FT','AET','FT_PEN') and pt.fixture_id is null) u""")
 oracle("c05_pending_without_done", """
- select fixture_id, start_time from fx_schedules where status in ('FT','AET','FT_PEN')""")
+ select fixture_id, start_time, row_number() over (order by start_time desc, fixture_id) as rank
+ from fx_schedules where status in ('FT','AET','FT_PEN')""")
 
 
 # ----------------------------------------------------------------- ingest
@@ -297,8 +301,30 @@ ranked AS (select *, row_number() over (partition by fixture_id, minute, partici
    cast(null as timestamp) as timestamp from ranked where rn = 1""")
 oracle("a09_load_report_stats", """
  select (select count(*) from fx_stats_raw) as items,
-   (select count(*) from (select distinct fixture_id, team_id, period from fx_stats_raw where fixture_id <> 0 and team_id <> 0) d) as rows_stored,
-   cast(0 as bigint) as rows_rejected, cast(0 as bigint) as empty_items""")
+   (select count(*) from (select distinct fixture_id, team_id, period from fx_stats_raw
+     where fixture_id <> 0 and team_id <> 0 and src_a % 89 <> 3 and src_a % 83 <> 7) d) as rows_stored,
+   (select count(*) from fx_stats_raw where fixture_id <> 0 and src_a % 89 = 3) as rows_rejected,
+   (select count(*) from fx_stats_raw where src_a % 83 = 7) as empty_items""")
+oracle("b12_rejected_odds", """
+, o AS (select case when fixture_id % 31 <> 5 then fixture_id end as fixture_id, cast(market_id as bigint) as market_id,
+          cast(bookmaker_id as bigint) as bookmaker_id, case when fixture_id % 29 <> 3 then label end as label, value from fx_odds)
+ select *, concat_ws(',', case when coalesce(fixture_id, 0) = 0 then 'missing:fixture_id' end,
+   case when label is null then 'missing:label' end) as reject_reason
+ from o where coalesce(fixture_id, 0) = 0 or label is null""")
+oracle("b13_rejected_pressure", """
+, p AS (select l_orderkey as fixture_id, l_orderkey * 8 + l_linenumber as api_event_id,
+     l_partkey % 37 = 1 and l_partkey % 41 <> 2 as no_minute, l_partkey % 41 = 2 as odd_minute, l_partkey % 43 = 3 as no_participant,
+     l_partkey % 37 = 1 and l_partkey % 47 <> 4 as no_pressure, l_partkey % 47 = 4 as odd_pressure,
+     cast(cast(l_quantity as int) * 2 as bigint) as minute, cast(l_linenumber % 2 as bigint) as participant_id,
+     l_extendedprice / 1000 as pressure_index from lineitem where l_orderkey % 4 <> 0)
+ select fixture_id, api_event_id, case when not (no_minute or odd_minute) then minute end as minute,
+   case when not no_participant then participant_id end as participant_id,
+   case when not (no_pressure or odd_pressure) then pressure_index end as pressure_index,
+   concat_ws(',', case when fixture_id = 0 then 'missing:fixture_id' end,
+     case when no_minute then 'missing:minute' when odd_minute then 'unreadable:minute' end,
+     case when no_participant then 'missing:participant_id' end,
+     case when no_pressure then 'missing:pressure_index' when odd_pressure then 'unreadable:pressure_index' end) as reject_reason
+ from p where fixture_id = 0 or no_minute or odd_minute or no_participant or no_pressure or odd_pressure""")
 
 
 # ------------------------------------------------------------------ model
@@ -348,6 +374,11 @@ allr AS (
 oracle("h1_stream_dedupe_events", """
  select event_id, ts, user_id, event_type, value from (
    select *, row_number() over (partition by event_id order by ts) as rn from events) t where rn = 1""")
+# the repetition of all events: too late up to a day (in whole milliseconds) before the last event
+oracle("h1_stream_dedupe_counts", """
+, w AS (select epoch_ms(max(ts)) - 86400000 as mark from events),
+n AS (select count(*) as n, count(distinct event_id) as kept, count(*) filter (epoch_us(ts) <= mark * 1000) as late from events, w)
+ select 2 * n as landed, kept, 2 * n - kept - late as duplicates, late, kept as stored from n""")
 oracle("h2_stream_window_mean", """
 , w AS (select time_bucket(interval '15 minutes', ts) as window_start, event_type, count(*) as n, avg(value) as avg_value
         from events group by 1, 2)

@@ -278,7 +278,8 @@ gaps AS (
 wrong AS (select * from gaps where abs(home_gap) + abs(away_gap) > 0)"""
 oracle("f31_score_mismatch", f""", {SG}
  select fixture_id, home_said as home_goals_schedules, home_seen as home_goals_from_stats, home_gap as home_diff,
-   away_said as away_goals_schedules, away_seen as away_goals_from_stats, away_gap as away_diff from wrong""")
+   away_said as away_goals_schedules, away_seen as away_goals_from_stats, away_gap as away_diff,
+   row_number() over (order by abs(home_gap) + abs(away_gap) desc, fixture_id) as rank from wrong""")
 oracle("f32_mismatch_summary", f""", {SG}
  select count(*) as fixtures_with_period_goals, count(*) filter (w) as mismatches,
    round(avg(home_gap) filter (w), 9) as avg_home_diff, round(avg(away_gap) filter (w), 9) as avg_away_diff,

@@ -195,12 +195,20 @@ oracle("a08_with_audit", """
  select team_id, name, coalesce(country_id, -1) as country_id, timestamp '2024-01-01' as created_at, timestamp '2024-01-01' as updated_at,
    (select count(distinct team_id) from fx_teams) as distinct_ids
  from fx_teams""")
+# A5: what is read back is what was written
+ORACLE["a05_dataset_written_and_read"] = ORACLE["d12_dataset_one"]
 # A1: landed files hold the same pressure documents as b13
 ORACLE["a01_read_landed_pressure_files"] = ORACLE["b13_normalize_load_pressure"]
+# every key keeps the document that landed first; the second year landed last
 oracle("h1_stream_normalize_pressure_docs", """
- select distinct l_orderkey as fixture_id, cast(cast(l_quantity as int) * 2 as bigint) as minute,
-   cast(l_linenumber % 2 as bigint) as participant_id, 'pressure' as event_type
- from lineitem where l_orderkey % 4 <> 0""")
+, p AS (select l_orderkey as fixture_id, cast(cast(l_quantity as int) * 2 as bigint) as minute,
+          cast(l_linenumber % 2 as bigint) as participant_id, l_extendedprice / 1000 as pressure_index,
+          l_orderkey * 8 + l_linenumber as api_event_id, l_shipdate from lineitem where l_orderkey % 4 <> 0),
+y AS (select distinct year(l_shipdate) as y from p order by 1 limit 1 offset 1),
+ranked AS (select *, row_number() over (partition by fixture_id, minute, participant_id
+             order by case when year(l_shipdate) = (select y from y) then 1 else 0 end, l_shipdate, api_event_id) as rn from p)
+ select fixture_id, minute, participant_id, 'pressure' as event_type, pressure_index, api_event_id,
+   cast(null as timestamp) as timestamp, cast(0 as bigint) as state_rows from ranked where rn = 1""")
 oracle("a02_latest_stats_snapshot", """
 , d AS (select fixture_id, strftime(api_ts, '%Y-%m-%d %H:%M:%S') as fetch_timestamp,
           case period when 'first_half' then '1st-half' when 'second_half' then '2nd-half'
@@ -210,3 +218,25 @@ oracle("a02_latest_stats_snapshot", """
 r AS (select *, row_number() over (partition by fixture_id order by fetch_timestamp desc, description desc,
                                    n_statistics desc) as rn from d)
  select fixture_id, fetch_timestamp, description, n_statistics from r where rn = 1""")
+
+
+# ------------------------------------------------- trainings: what must hold
+def _checks(view: str, rows: str, label: str, features: int) -> str:
+    """Rows per class (80 of 100 train), and checks that must be true."""
+    return view + f""",
+c AS (select cast({label} as bigint) as label, count(*) as n from {rows} group by 1),
+k AS (select label, cast(floor(n * 0.8e0) as bigint) as train, n - cast(floor(n * 0.8e0) as bigint) as test from c),
+t AS (select cast(sum(test) as bigint) as test from k)
+ select * from (
+   select 'train_rows_' || label as name, train as value from k union all select 'test_rows_' || label, test from k
+   union all select x.name, case x.name when 'probabilities' then t.test when 'reloaded_alike' then t.test
+     when 'importances_of_features' then cast({features} as bigint) else cast(1 as bigint) end
+   from t, (values ('probabilities'), ('reloaded_alike'), ('auc_in_range'), ('log_loss_positive'), ('accuracy_is_confusion'),
+                   ('importances_of_features'), ('importances_sum_to_one'), ('trees_within_rounds')) x(name)) r
+ where (select count(*) from c) >= 2"""
+
+
+from pitchlake.operators.features import DS1_TRAIN_FEATURES, DS2_FEATURES  # noqa: E402
+
+oracle("e04_train_gbt_dataset_two", _checks(DS2, "ds2", "target", len(DS2_FEATURES)))
+oracle("e05_train_gbt_dataset_one", _checks(DS1, "ds1", TARGET, len(DS1_TRAIN_FEATURES)))

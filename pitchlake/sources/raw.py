@@ -10,12 +10,16 @@ number and a JSON string keep their distinct coercion rules.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchlake.session import checkpoint_dir
+
 L, I, S, B, V = T.LongType(), T.IntegerType(), T.StringType(), T.BooleanType(), T.VariantType()
 
 
@@ -60,7 +64,7 @@ KINDS = {"leagues": LEAGUE_ITEM, "teams": TEAM_ITEM, "schedules": SCHEDULE_ENVEL
          "odds": ODDS_ENVELOPE, "pressure": PRESSURE_ENVELOPE}
 
 
-def read_raw(spark: SparkSession, path: str, kind: str, multiline: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], kind: str, multiline: bool = True) -> DataFrame:
     """A1: read landed files of one ``kind`` with its fixed schema.
 
     Files are indented JSON, one document (or one list) per file
@@ -87,17 +91,18 @@ def parse_documents(docs: DataFrame, kind: str, text_col: str = "doc") -> DataFr
     return parsed.select("_d.*", "_doc_id", *rest)
 
 
-def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(raw: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(parsed rows, rows the reader could not parse).
 
-    Spark refuses a query on a raw JSON scan that needs only the corrupt
-    record column, so the parsed frame is persisted once (memory and disk;
-    recomputed from the files if an executor is lost) and both outputs are
-    read from it."""
-    from pyspark import StorageLevel
-    p = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    bad = F.col("_corrupt_record").isNotNull()
-    return p.filter(~bad), p.filter(bad)
+    The files are parsed once: one write routes both outputs to a folder of
+    their own under ``path`` (default: a new one in the session's shared
+    folder), from which they are read back.  (Spark refuses a query on a raw
+    JSON scan that needs only the corrupt record column.)"""
+    spark = raw.sparkSession
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/parsed/{uuid.uuid4().hex}"
+    raw.withColumn("_is_corrupt", F.col("_corrupt_record").isNotNull()).write.partitionBy("_is_corrupt").parquet(path)
+    both = spark.read.schema(T.StructType([*raw.schema.fields, T.StructField("_is_corrupt", B)])).parquet(path)
+    return both.filter(~F.col("_is_corrupt")).drop("_is_corrupt"), both.filter("_is_corrupt").drop("_is_corrupt")
 
 
 def corrupt_records(raw: DataFrame) -> DataFrame:
@@ -105,6 +110,50 @@ def corrupt_records(raw: DataFrame) -> DataFrame:
     return split_corrupt(raw)[1]
 
 
+# FIXED VALUES: names of landed files, <prefix>_<id>[_stats]_<yyyymmdd>_<hhmmss>.json
+FILE_NAME = r"(\d+)(?:_stats)?_(\d{8}_\d{6})\.json$"
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, entity_id, fetched) of the landed files below ``path``, from
+    their names alone: no file is opened.  Names without id and time have
+    NULLs."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("path").alias("file"),
+                        F.nullif(F.regexp_extract("path", FILE_NAME, 1), F.lit("")).cast("long").alias("entity_id"),
+                        F.nullif(F.regexp_extract("path", FILE_NAME, 2), F.lit("")).alias("fetched"))
+
+
+def newest_files(files: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """A2 before any JSON is parsed: per entity the file with the latest time
+    in its name (ties: the greater path), without the files listed in
+    ``seen`` (an earlier result) and those older than what ``seen`` holds of
+    their entity."""
+    newest = files.where("entity_id is not null").groupBy("entity_id").agg(
+        F.max(F.struct("fetched", "file")).alias("_f")).select("entity_id", "_f.fetched", "_f.file")
+    if seen is None:
+        return newest
+    held = seen.groupBy("entity_id").agg(F.max(F.struct("fetched", "file")).alias("_held"))
+    return (newest.join(held, "entity_id", "left")
+            .where(F.col("_held").isNull() | (F.struct("fetched", "file") > F.col("_held"))).drop("_held"))
+
+
+def read_newest(spark: SparkSession, path: str, kind: str, seen: DataFrame | None = None, batch: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """A2 over files: (documents of the newest files, index of these files).
+
+    Older files are neither opened nor parsed, so what they hold (corrupt
+    text too) costs nothing.  Spark lists a folder's files on the driver for
+    any scan; the chosen names (one per entity) are part of that list and go
+    to the reader in parts of ``batch`` names."""
+    chosen = newest_files(landed_files(spark, path), seen)
+    names = [r.file for r in chosen.select("file").orderBy("file").toLocalIterator()]
+    if not names:
+        empty = T.StructType([*KINDS[kind].fields, T.StructField("_corrupt_record", S), T.StructField("_source_file", S, False), T.StructField("_doc_id", L)])
+        return spark.createDataFrame([], empty), chosen
+    parts = [read_raw(spark, names[i:i + batch], kind) for i in range(0, len(names), batch)]
+    return reduce(DataFrame.unionByName, parts), chosen
+
+
 def latest_snapshot(raw: DataFrame, key: str, ts: str = "fetch_timestamp", ties: Sequence[Column] = ()) -> DataFrame:
     """A2: keep the most recent landed document per entity.
 

@@ -1,14 +1,15 @@
 """Curated-table writes.
 
 Plain Parquet tables have no MERGE, so loads are expressed as DataFrame
-transforms that produce the next version of a table: the caller writes it
-to a *new* directory (never over the path being read) and swaps the
-pointer.  Every transform is an aggregation or an anti join on the natural
-key — partial aggregation keeps a hot key from landing whole in one task.
+transforms that produce the next version of a table; ``versions`` applies
+them to the key buckets that a batch touches, and publishes the result.
+Every transform is an aggregation or an anti join on the natural key —
+partial aggregation keeps a hot key from landing whole in one task.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import Sequence
 
@@ -42,15 +43,15 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing to the shared checkpoint folder the session
     names (``spark.checkpoint.dir``) and reading it back; survives executor
-    loss, unlike a local checkpoint."""
+    loss, unlike a local checkpoint.  Every call writes a folder of its own."""
     spark = df.sparkSession
     base = spark.sparkContext.getCheckpointDir()
     if not base:
         from pitchlake.session import checkpoint_dir
         base = checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # ----------------------------------------------------------------- A6

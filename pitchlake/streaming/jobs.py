@@ -9,6 +9,7 @@ Checkpoints live under the session's shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Sequence
 
@@ -37,6 +38,10 @@ def _event_time(stream: DataFrame, ts: str) -> tuple[DataFrame, str]:
     return stream, ts
 
 
+#: natural key of the timeline
+TIMELINE_KEY = ["fixture_id", "minute", "participant_id", "event_type"]
+
+
 def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz")
 
@@ -51,13 +56,16 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, watermark: st
     return s.withWatermark(et, watermark).dropDuplicatesWithinWatermark(list(keys)).select(*cols)
 
 
-def normalized_pressure_stream(spark: SparkSession, landing_dir: str, watermark: str = "3650 days",
+def normalized_pressure_stream(spark: SparkSession, landing_dir: str, watermark: str | None = None,
                                max_files: int | None = None) -> DataFrame:
     """H1 over landed documents: JSON-lines pressure envelopes streamed
-    from ``landing_dir``, normalised with the batch expressions (B13) and
-    de-duplicated on the timeline natural key within the watermark (event
-    time = fetch time).  The delay must cover how late a re-fetch can land;
-    replaying years of history needs a long one."""
+    from ``landing_dir`` and normalised with the batch expressions (B13).
+
+    Repeats are removed by the key-bucketed sink (``first_wins_sink``), which
+    looks up the keys of a batch in the table: no state is held, however late
+    a document lands, and late ones are not lost.  With a ``watermark``
+    repeats fetched within that delay are dropped in front of it, and so are
+    documents later than it (``run_counted`` counts both)."""
     from pitchlake.operators.normalize import normalize_pressure
     from pitchlake.sources.raw import parse_documents
     r = spark.readStream.format("text")
@@ -65,9 +73,35 @@ def normalized_pressure_stream(spark: SparkSession, landing_dir: str, watermark:
         r = r.option("maxFilesPerTrigger", max_files)
     docs = r.load(landing_dir).withColumnRenamed("value", "doc")
     ok, _ = normalize_pressure(parse_documents(docs, "pressure"))
+    if watermark is None:
+        return ok
     ok = ok.withColumn("fetch_ts", F.try_to_timestamp("fetch_timestamp"))
-    keys = ["fixture_id", "minute", "participant_id", "event_type"]
-    return ok.withWatermark("fetch_ts", watermark).dropDuplicatesWithinWatermark(keys)
+    return ok.withWatermark("fetch_ts", watermark).dropDuplicatesWithinWatermark(TIMELINE_KEY).drop("fetch_ts")
+
+
+# ------------------------------------------------------------- H1 counts
+COUNTS = "batch_id bigint, landed bigint, kept bigint, duplicates bigint, late bigint, state_rows bigint"
+
+
+def run_counted(stream: DataFrame, job, name: str, base: str | None = None, foreach_batch=None, out_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run ``job(stream)`` over everything available now, like
+    ``run_available_now``, and keep per micro-batch how many rows landed, were
+    kept, dropped as duplicates, and dropped as later than the watermark, and
+    how many rows of state are held.  Returns (output, counts of all runs with
+    this ``base``)."""
+    spark, base = stream.sparkSession, base or stream_dir(stream.sparkSession, name)
+    counted = job(stream.observe("landed", F.count(F.lit(1)).alias("n"))).observe("kept", F.count(F.lit(1)).alias("n"))
+    progress: list[dict] = []
+    out = run_available_now(counted, name, base=base, foreach_batch=foreach_batch, out_path=out_path, progress=progress)
+    rows = []
+    for p in progress:
+        seen = {k: (p.get("observedMetrics") or {}).get(k, {}).get("n", 0) for k in ("landed", "kept")}
+        state = p.get("stateOperators") or []
+        rows.append((p["batchId"], seen["landed"], seen["kept"], sum(s.get("customMetrics", {}).get("numDroppedDuplicateRows", 0) for s in state),
+                     sum(s.get("numRowsDroppedByWatermark", 0) for s in state), sum(s.get("numRowsTotal", 0) for s in state)))
+    counts = f"{base}/counts"
+    spark.createDataFrame(rows, COUNTS).coalesce(1).write.mode("append").parquet(counts)  # a row per micro-batch
+    return out, spark.read.schema(COUNTS).parquet(counts)
 
 
 # ----------------------------------------------------------------- H2
@@ -139,10 +173,11 @@ def stream_dir(spark: SparkSession, name: str) -> str:
 
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append", foreach_batch=None,
-                      out_path: str | None = None, base: str | None = None) -> DataFrame:
+                      out_path: str | None = None, base: str | None = None, progress: list[dict] | None = None) -> DataFrame:
     """Run a streaming query over everything available now, then return its
     output as a batch DataFrame (Parquet sink, or the foreachBatch table).
-    A run with the ``base`` of an earlier one goes on from its checkpoint."""
+    A run with the ``base`` of an earlier one goes on from its checkpoint;
+    ``progress`` receives the reports of the run's last micro-batches."""
     spark = df.sparkSession
     base = base or stream_dir(spark, name)
     out_path = out_path or f"{base}/out"
@@ -152,4 +187,6 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", foreach_ba
     else:
         q = w.outputMode(mode).format("parquet").option("path", out_path).start()
     q.awaitTermination()
+    if progress is not None:
+        progress += [json.loads(p.json) for p in q.recentProgress]
     return spark.read.parquet(out_path)

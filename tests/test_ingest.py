@@ -198,3 +198,43 @@ def test_load_report_and_audit(spark):
     a = K.with_audit(spark.createDataFrame([(1, None)], "team_id long, country_id long"), ["team_id"],
                      {"country_id": -1}, ts="2024-01-01 00:00:00").first()
     assert a.country_id == -1 and a.id is not None and a.created_at == a.updated_at
+
+
+def test_both_outputs_of_one_parse(spark, tmp_path):
+    good = {"fetch_timestamp": "2024-01-02 03:04:05", "fixture_id": 5, "fixture_data_with_stats": {"data": {"id": 5, "periods": []}}}
+    (tmp_path / "good.json").write_text(json.dumps(good, indent=2))
+    (tmp_path / "broken.json").write_text('{"fetch_timestamp": ')
+    ok, bad = R.split_corrupt(R.read_raw(spark, str(tmp_path), "stats"))
+    assert [r.fixture_id for r in ok.collect()] == [5]
+    assert [r._source_file.split("/")[-1] for r in bad.collect()] == ["broken.json"]
+    assert bad.columns == ok.columns
+
+
+def test_newest_files_are_chosen_by_name(spark, tmp_path):
+    def land(fixture, stamp, text=None):
+        doc = {"fetch_timestamp": stamp, "fixture_id": fixture, "fixture_data_with_pressure": {"data": {"id": fixture, "pressure": []}}}
+        (tmp_path / f"pressure_{fixture}_{stamp}.json").write_text(text or json.dumps(doc, indent=1))
+    land(1, "20240101_000000", "never {parsed")
+    land(1, "20240301_000000")
+    land(2, "20240101_120000")
+    (tmp_path / "notes.json").write_text("not a landed file")
+    docs, seen = R.read_newest(spark, str(tmp_path), "pressure")
+    assert sorted((r.fixture_id, r.fetch_timestamp, r._corrupt_record) for r in docs.collect()) == [
+        (1, "20240301_000000", None), (2, "20240101_120000", None)]
+    seen = K.checkpoint_table(seen, "seen")
+    land(2, "20231231_000000", "older than what is held")
+    land(2, "20240201_000000")
+    again, new = R.read_newest(spark, str(tmp_path), "pressure", seen)
+    assert [(r.fixture_id, r.fetch_timestamp) for r in again.collect()] == [(2, "20240201_000000")]
+    nothing, _ = R.read_newest(spark, str(tmp_path), "pressure", seen.unionByName(K.checkpoint_table(new, "seen")))
+    assert nothing.count() == 0 and nothing.columns == docs.columns
+
+
+def test_every_cause_of_a_pressure_reject_is_named(spark):
+    item = '{"id": 1, "minute": %s, "participant_id": %s, "pressure": %s}'
+    docs = [(0, item % (1, 2, 3)), (9, item % ("null", 2, '"x"')), (9, item % ('"12"', "null", "null")), (9, item % (0, 1, 0))]
+    text = ['{"fetch_timestamp": "t", "fixture_data_with_pressure": {"data": {"id": %d, "pressure": [%s]}}}' % d for d in docs]
+    ok, bad = B.normalize_pressure(R.parse_documents(spark.createDataFrame([(t,) for t in text], "doc string"), "pressure"))
+    assert sorted(r.reject_reason for r in bad.collect()) == [
+        "missing:fixture_id", "missing:minute,unreadable:pressure_index", "missing:participant_id,missing:pressure_index"]
+    assert [(r.minute, r.pressure_index) for r in ok.collect()] == [(0, 0.0)]

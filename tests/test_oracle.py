@@ -6,7 +6,8 @@ from __spark_entry__ import oracle_sql, queries
 from pitchlake.plans.catalog import REGISTRY
 from tests.conftest import SF_SMALL
 
-ORACLES = {k: v for k, v in oracle_sql().items() if k in REGISTRY}
+# the long training (up to 500 rounds) is checked by tools/oracle_check.py; its parts are tested in test_training.py
+ORACLES = {k: v for k, v in oracle_sql().items() if k in REGISTRY and k != "e05_train_gbt_dataset_one"}
 
 
 def test_every_oracle_has_a_query():
