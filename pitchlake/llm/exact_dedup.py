@@ -31,7 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm.common import NO_ID, ascii_lower, cut, id_key, in_slices, session_conf, table, unused, utf8_values
@@ -115,6 +115,12 @@ def _group(members: DataFrame) -> DataFrame:
                                        F.sum("copies").alias("size"))
 
 
+def pieces(text: str) -> Column:
+    """A text cut into pieces of COMPARE_CHARS code points, in one walk over it."""
+    return F.when(F.col(text) == "", F.array(F.lit(""))).otherwise(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{COMPARE_CHARS}}}+"), F.lit(0)))  # possessive: a loop, no recursion
+
+
 def _differing(docs: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
     """Chunkwise comparison: the (doc_id key, text_key) of members whose text
     is not their representative's."""
@@ -131,9 +137,8 @@ def _differing(docs: DataFrame, members: DataFrame, groups: DataFrame) -> DataFr
             texts.join(nominated.where(F.col("size") > 1).hint("shuffle_hash"), ["id", "text_key"])
             .withColumn("salts", F.ceil(F.col("size") / COPIES_PER_SALT).cast("int"))
             .withColumn("is_rep", (F.col("id") == F.col("rep_id")) & (F.col("text_key") == F.col("rep_key")))
-            .withColumn("no", F.explode(F.sequence(F.lit(0), F.floor(F.length("text") / COMPARE_CHARS).cast("int"))))
-            .select("id", "text_key", *GROUP, "salts", "is_rep", "no",
-                    ascii_lower(F.expr(f"substring(text, no * {COMPARE_CHARS} + 1, {COMPARE_CHARS})")).alias("chunk")),
+            .select("id", "text_key", *GROUP, "salts", "is_rep", F.posexplode(pieces("text")).alias("no", "chunk"))
+            .withColumn("chunk", ascii_lower(F.col("chunk"))),
             "chunks")
     at = [*GROUP, "no", "salt"]
     first = (chunks.where("is_rep").dropDuplicates([*GROUP, "no"])

@@ -81,3 +81,25 @@ def test_drop_keeps_columns_and_one_row(documents):
     got = x.drop_exact_copies(df)
     assert got.columns == df.columns
     assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted([(2, "A"), (3, "b"), (None, "c"), (5, "")], key=str)
+
+
+def test_pieces_are_cut_in_proportion_to_length(spark):
+    """A walk over the text, not one per piece; surrogate pairs stay whole."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from pitchlake.llm.exact_dedup import COMPARE_CHARS, pieces
+    text = "😀ä\nb" * COMPARE_CHARS + "end"
+    got = spark.createDataFrame([(text,), ("",), ("x" * COMPARE_CHARS,)], "text string").select(pieces("text").alias("p")).collect()
+    assert ["".join(r.p) for r in got] == [text, "", "x" * COMPARE_CHARS]
+    assert [len(p) for p in got[0].p] == [COMPARE_CHARS] * 4 + [3] and got[1].p == [""] and len(got[2].p) == 1
+
+    def seconds(mb):
+        df = spark.range(1).select(F.repeat(F.lit("abcdefg\n"), mb << 17).alias("text"))
+        job = df.select(F.explode(pieces("text")).alias("p")).agg(F.sum(F.length("p")))
+        job.collect()
+        at = time.perf_counter()
+        assert job.first()[0] == mb << 20
+        return time.perf_counter() - at
+    assert seconds(16) < 24 * seconds(2) + 2   # cut piece by piece from the whole text, it was 64 times and more
