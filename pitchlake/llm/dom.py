@@ -14,13 +14,14 @@ step is a loop over tags, so depth is no limit.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left
 from dataclasses import dataclass, field
 from html import unescape
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
 _SKIPPED_TAG = re.compile(r"<(?:template|noscript|svg|canvas|object|select|button|option|video|audio|datalist)(?=[\s/>])", re.I)
-_ATTRIBUTE = re.compile(r"([a-zA-Z][\w-]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_ATTRIBUTE = re.compile(r"(?<![\w-])([a-zA-Z][\w-]*+)\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
 
 BLOCKS = frozenset(
@@ -47,7 +48,7 @@ class Node:
     tag: str
     parent: int
     depth: int
-    tokens: frozenset[str]
+    tokens: set[str] | frozenset[str]
     segments: list[tuple[int, str]] = field(default_factory=list)  # (order in page, text)
     linked: int = 0      # characters of own text inside links
     links: int = 0
@@ -68,9 +69,96 @@ def tokens_of(attributes: str) -> tuple[frozenset[str], str | None]:
     return frozenset(out), keep
 
 
-def _end_of_raw(html: str, tag: str, at: int) -> int:
-    done = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
-    return done.end() if done else len(html)
+class Tags:
+    """The tags of a page, each found in a time that all of the page's tags
+    share: what was looked for in vain is not looked for again."""
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.places: list[int] | None = None   # quotes and ``>``, once a tag's quotes have not closed
+        self.found: dict[str, re.Match | None] = {}
+
+    def next(self, at: int) -> tuple[int, int, str, str | None, str] | None:
+        """(start, end, slash, tag, attributes) of the first tag from ``at``;
+        a comment or declaration has no tag."""
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            if start > self.last:  # only a comment can come
+                rest = [i for i in (html.find("<!", start), html.find("<?", start)) if i >= 0]
+                if not rest:
+                    return None
+                start = min(rest)
+            m = _MARK.match(html, start)
+            if m and m[2] is None:
+                return start, m.end(), "", None, ""
+            if m and (end := self._end(m.end())) >= 0:
+                return start, end + 1, m[1], m[2].lower(), html[m.end():end]
+            at = start + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        """Where the tag whose attributes begin at ``at`` has its ``>``: outside
+        of quotes, or the first one if the quotes do not close; -1: nowhere."""
+        if self.places is None:
+            end = _ATTRIBUTES.match(self.html, at).end()
+            if end < len(self.html) and self.html[end] == ">":
+                return end
+            self._prepare()
+        k = bisect_left(self.places, at)
+        return self.ends[k] if self.ends[k] >= 0 else self.html.find(">", at) if at <= self.last else -1
+
+    def _prepare(self) -> None:
+        """For each quote or ``>``, read outside of quotes: where the tag ends."""
+        html = self.html
+        self.places = [m.start() for m in re.finditer("[>\"']", html)]
+        self.ends = [-1] * (len(self.places) + 2)
+        later = {'"': len(self.places), "'": len(self.places)}   # the next quote of a kind
+        for k in range(len(self.places) - 1, -1, -1):
+            c = html[self.places[k]]
+            self.ends[k] = self.places[k] if c == ">" else self.ends[later[c] + 1]
+            if c != ">":
+                later[c] = k
+
+    def search(self, pattern: str, at: int) -> re.Match | None:
+        """First match from ``at`` on; asked for ever later places."""
+        if pattern not in self.found or self.found[pattern] and self.found[pattern].start() < at:
+            self.found[pattern] = re.compile(pattern, re.I).search(self.html, at)
+        return self.found[pattern]
+
+    def end_of(self, tag: str, at: int) -> int | None:
+        """The end of the next end tag of ``tag``."""
+        done = self.search(rf"</{tag}(?=[\s/>])", at) if at <= self.last else None
+        end = self.html.find(">", done.end()) if done else -1
+        return end + 1 if end >= 0 else None
+
+
+class OpenBlocks(list):
+    """Open elements (tag, ...), innermost last, with the places of each tag."""
+
+    def __init__(self, *first: tuple):
+        super().__init__(first)
+        self.of: dict[str, list[int]] = {}
+
+    def push(self, tag: str, what: int) -> None:
+        self.of.setdefault(tag, []).append(len(self))
+        self.append((tag, what))
+
+    def cut(self, upto: int) -> None:
+        """End all from place ``upto`` on."""
+        for tag, _ in self[upto:]:
+            if tag:
+                self.of[tag].pop()
+        del self[upto:]
+
+    def end_one(self, at: int) -> None:
+        """End the innermost of its tag alone; what it holds stays open."""
+        self.of[self[at][0]].pop()
+        self[at] = ("", -1)
+
+    def last(self, tags, limits=()) -> int | None:
+        """Place of the innermost of ``tags`` that is inside of all ``limits``."""
+        at = max((self.of[t][-1] for t in tags if self.of.get(t)), default=-1)
+        return at if at > max((self.of[t][-1] for t in limits if self.of.get(t)), default=-1) else None
 
 
 def skipped_spans(html: str) -> dict[int, int]:
@@ -79,52 +167,33 @@ def skipped_spans(html: str) -> dict[int, int]:
     out: dict[int, int] = {}
     if not _SKIPPED_TAG.search(html):
         return out
-    open_: list[tuple[str, int]] = []  # open blocks and skipped elements: tag, start
-    held: Counter[str] = Counter()  # how many of a tag are open
-
-    def cut(upto: int) -> None:
-        held.subtract(t for t, _ in open_[upto:])
-        del open_[upto:]
-
-    def last_open(tags, limits=frozenset()) -> int | None:
-        if any(held[t] for t in tags):
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] in tags:
-                    return i
-                if open_[i][0] in limits:
-                    return None
-        return None
-
+    open_, tags = OpenBlocks(), Tags(html)  # open blocks and skipped elements: tag, start
     at = 0
-    while m := _TAG.search(html, at):
-        at = m.end()
-        slash, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+    while m := tags.next(at):
+        start, at, slash, tag, attributes = m
         if tag is None:
             continue
-        tag = tag.lower()
         known = tag in BLOCKS or tag in SKIPPED or tag == "head"
         if slash:
-            if known and (i := last_open((tag,))) is not None:
+            if known and (i := open_.last((tag,))) is not None:
                 if tag in SKIPPED:
                     out[open_[i][1]] = at
-                cut(i)
+                open_.cut(i)
         elif tag in RAW:
-            if not attributes.endswith("/") or tag in ("script", "style") and not held["svg"]:
-                at = _end_of_raw(html, tag, at)
+            if not attributes.endswith("/") or tag in ("script", "style") and not open_.of.get("svg"):
+                at = tags.end_of(tag, at) or len(html)
         elif known and tag != "hr" and not (tag in SKIPPED and attributes.endswith("/")):
-            if tag in SKIPPED - _NESTING and (i := last_open((tag,))) is not None:
-                held[tag] -= 1
-                del open_[i]
-            elif tag == "body" and (i := last_open(("head",))) is not None:
-                cut(i)
+            if tag in SKIPPED - _NESTING and (i := open_.last((tag,))) is not None:
+                open_.end_one(i)
+            elif tag == "body" and (i := open_.last(("head",))) is not None:
+                open_.cut(i)
             elif tag in _CLOSES_P and open_ and open_[-1][0] == "p":
-                cut(len(open_) - 1)
+                open_.cut(len(open_) - 1)
             if tag in _IMPLIED:
                 ends, limits = _IMPLIED[tag]
-                while (i := last_open(ends, limits)) is not None:
-                    cut(i)
-            open_.append((tag, m.start()))
-            held[tag] += 1
+                while (i := open_.last(ends, limits)) is not None:
+                    open_.cut(i)
+            open_.push(tag, start)
     return out
 
 
@@ -132,13 +201,13 @@ def parse(html: str | None) -> list[Node]:
     """Nodes in page order; node 0 is the page."""
     html = html or ""
     nodes = [Node("page", -1, 0, frozenset())]
-    open_: list[tuple[str, int]] = [("page", 0)]  # open blocks: tag, node
+    open_, tags = OpenBlocks(("page", 0)), Tags(html)  # open blocks: tag, node
     buffer: list[str] = []
     linked = in_link = order = at = 0
     spans = skipped_spans(html)
     muted = ""       # the skipped element without an end tag that text is in
     formula = False  # inside <math>, whose elements are no sign of boilerplate
-    run = Node(RUN, 0, 0, frozenset())  # what stands directly in the page since the last block
+    run = Node(RUN, 0, 0, set())  # what stands directly in the page since the last block
 
     def flush() -> None:
         nonlocal linked, order, muted, formula, run
@@ -150,7 +219,7 @@ def parse(html: str | None) -> list[Node]:
                 if node.tag in _TOP:
                     run.parent, run.depth = open_[-1][1], node.depth + 1
                     nodes.append(run)
-                    node, run = run, Node(RUN, 0, 0, frozenset())
+                    node, run = run, Node(RUN, 0, 0, set())
                 node.segments.append((order, text))
                 node.linked += min(linked, len(text))
                 order += 1
@@ -158,35 +227,25 @@ def parse(html: str | None) -> list[Node]:
         if run.inline:  # inline elements without text
             nodes[open_[-1][1]].inline += run.inline
             nodes[open_[-1][1]].links += run.links
-            run = Node(RUN, 0, 0, frozenset())
+            run = Node(RUN, 0, 0, set())
         linked = 0
 
     def close(upto: int) -> None:
         flush()
-        del open_[upto:]
-
-    def last_open(tags, limits=frozenset()) -> int | None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i][0] in tags:
-                return i
-            if open_[i][0] in limits:
-                return None
-        return None
+        open_.cut(upto)
 
     while at < len(html):
-        m = _TAG.search(html, at)
-        end = m.start() if m else len(html)
+        m = tags.next(at)
+        end = m[0] if m else len(html)
         if end > at and not muted:
             buffer.append(html[at:end])
             if in_link:
                 linked += end - at
         if not m:
             break
-        at = m.end()
-        slash, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        start, at, slash, tag, attributes = m
         if tag is None:
             continue
-        tag = tag.lower()
         if slash:
             if tag == "a":
                 in_link = 0
@@ -194,22 +253,23 @@ def parse(html: str | None) -> list[Node]:
                 formula = False
             elif tag == muted:
                 muted = ""
-            elif tag == "p" and last_open(("p",)) is None:
+            elif tag == "p" and open_.last(("p",)) is None:
                 flush()
-            elif tag in BLOCKS and (i := last_open((tag,))) is not None:
+            elif tag in BLOCKS and (i := open_.last((tag,))) is not None:
                 close(i)
             continue
         if tag in RAW:
             if not attributes.endswith("/") or tag in ("script", "style") and muted != "svg":
-                at = _end_of_raw(html, tag, at)
+                at = tags.end_of(tag, at) or len(html)
             continue
         if tag == "head":
-            done = re.compile(r"</head(?=[\s/>])[^>]*>", re.I).search(html, at) or re.compile(r"(?=<body\b)", re.I).search(html, at)
-            at = done.end() if done and not attributes.endswith("/") else at  # an open head ends with the body
+            if not attributes.endswith("/"):  # an open head ends with the body
+                body = tags.search(r"(?=<body\b)", at)
+                at = tags.end_of("head", at) or (body.end() if body else at)
             continue
         if tag in SKIPPED:
-            if m.start() in spans:
-                at = spans[m.start()]
+            if start in spans:
+                at = spans[start]
             elif not attributes.endswith("/"):
                 muted = tag
             continue
@@ -225,7 +285,8 @@ def parse(html: str | None) -> list[Node]:
             if node.tag in _TOP:
                 node = run
                 tokens, keep = tokens_of(attributes) if attributes else (frozenset(), None)
-                node.tokens, node.keep = node.tokens | tokens, node.keep or keep
+                node.tokens.update(tokens)
+                node.keep = node.keep or keep
                 if keep and not tokens:  # a training mark is no element of the page
                     continue
             node.inline += 1
@@ -234,18 +295,18 @@ def parse(html: str | None) -> list[Node]:
                 in_link = 1
             continue
         flush()
-        if tag in _CLOSES_P and (i := last_open(("p",), BLOCKS - {"p"})) is not None:
-            close(i)
+        if tag in _CLOSES_P and open_[-1][0] == "p":
+            close(len(open_) - 1)
         if tag[0] == "h" and tag[1:].isdigit() and open_[-1][0][0] == "h" and open_[-1][0][1:].isdigit():
             close(len(open_) - 1)
         if tag in _IMPLIED:
             ends, limits = _IMPLIED[tag]
-            while (i := last_open(ends, limits)) is not None:
+            while (i := open_.last(ends, limits)) is not None:
                 close(i)
         if tag == "hr":
             continue
         tokens, keep = tokens_of(attributes) if attributes else (frozenset(), None)
         nodes.append(Node(tag, open_[-1][1], nodes[open_[-1][1]].depth + 1, tokens, keep=keep))
-        open_.append((tag, len(nodes) - 1))
+        open_.push(tag, len(nodes) - 1)
     flush()
     return nodes

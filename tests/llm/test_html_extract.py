@@ -148,3 +148,33 @@ def test_runs_of_unseen_pages(model):
         runs = [i for i, v in enumerate(nodes) if v.tag == RUN]
         right, n = right + sum((odds[i] > 0) == (want[i] == 1) for i in runs), n + len(runs)
     assert n > 200 and right >= 0.95 * n, (right, n)
+
+
+def test_hostile_pages_take_time_in_proportion():
+    """Pages that made a parser look for the same missing thing again and again."""
+    import time
+
+    from pitchlake.llm import dom
+    shapes = {
+        "no >": "<a ", "quotes that do not close": '<a "', "> in quotes": '<a ">" ', "head without end": "<head>x", "one name": "<a",
+        "raw text without end": "<title></title ", "unclosed media": "<button>", "new names": "<b class=x>", "comment": "<!-",
+        "list items": "<li>", "definitions": "<dl><dt><dl><div><dd></dd>"}
+    for name, unit in shapes.items():
+        took = []
+        for size in (1 << 17, 1 << 19):
+            page = unit * (size // len(unit))
+            at = time.process_time()
+            dom.parse(page)
+            took.append(time.process_time() - at)
+        assert took[1] < 10 * took[0] + 0.5, (name, took)
+    at = time.process_time()
+    dom.parse("<div>" * 100_000 + "</p>" * 100_000)
+    dom.parse("<a " + "a" * (1 << 20) + ">")
+    assert time.process_time() - at < 20
+
+
+def test_quotes_that_close_and_that_do_not():
+    from pitchlake.llm import dom
+    texts = lambda html: [t for n in dom.parse(html) for _, t in n.segments]
+    assert texts('<p title="a > b">one</p><p title=\'x">two</p>') == ["one", "two"]
+    assert texts('<p>1 < 2 and <b class="x>bold</b></p><p>next</p>') == ["1 < 2 and bold", "next"]
