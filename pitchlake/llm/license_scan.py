@@ -44,6 +44,7 @@ from pitchlake.llm.common import in_slices, table, utf8_values
 from pitchlake.llm.decontaminate import words_of
 
 MIN_COVERAGE, MIN_DENSITY = 0.8, 0.6
+FOREIGN = 0.5    # what a foreign word between matched ones costs
 
 # Notices of public licenses, as their stewards publish them.
 TEMPLATES = {
@@ -80,6 +81,29 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "artistic-2.0-line": "This is free software, licensed under: The Artistic License 2.0.",
+    "boost-1.0-line": "Distributed under the Boost Software License, Version 1.0.",
+    "bsd-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission."),
+    "cc0-notice": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    "cddl-notice": (
+        "The contents of this file are subject to the terms of the Common Development and Distribution License (the "
+        "\"License\"). You may not use this file except in compliance with the License."),
+    "epl-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0"),
+    "eupl-1.2-line": "Licensed under the EUPL, Version 1.2.",
+    "wtfpl-notice": (
+        "This program is free software. It comes without any warranty, to the extent permitted by applicable law. You can "
+        "redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2, as "
+        "published by Sam Hocevar."),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions:"),
 }
 
 #: template -> words that must be matched; words or phrases, by commas, that may not stand in the matched range
@@ -87,8 +111,19 @@ RULES: dict[str, tuple[str, str]] = {
     "all-rights-reserved": ("reserved all rights", ""), "apache-2.0-notice": ("apache 2 0", ""), "apache-2.0-line": ("apache 2 0", ""),
     "bsd-conditions": ("redistributions", ""), "bsd-disclaimer": ("disclaimed", ""), "isc": ("granted fee", ""),
     "mit": ("sublicense", ""), "mit-line": ("mit", ""), "mpl-2.0-notice": ("mozilla 2 0", ""), "unlicense": ("unencumbered", ""),
+    "artistic-2.0-line": ("artistic 2 0", ""), "boost-1.0-line": ("boost 1 0", ""), "bsd-endorsement": ("endorse neither", ""),
+    "cc0-notice": ("waived neighboring", ""), "cddl-notice": ("development distribution", ""), "epl-2.0-notice": ("eclipse 2 0", ""),
+    "eupl-1.2-line": ("eupl 1 2", ""), "wtfpl-notice": ("what want", ""), "zlib": ("alter freely", ""),
 }
 
+# License identifiers in source files.
+for _id in ("0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0",
+            "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0", "EPL-2.0", "EUPL-1.2", "GPL-2.0-only", "GPL-2.0-or-later",
+            "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+            "MIT", "MPL-2.0", "Unlicense", "WTFPL", "Zlib"):
+    TEMPLATES[f"spdx-{_id}"] = f"SPDX-License-Identifier: {_id}"
+    RULES[f"spdx-{_id}"] = (f"spdx license identifier {_id.lower()}", "licensed")
+
 # The GNU licenses: name, words before General, version, what it covers.
 for _name, _kind, _version, _what in (
         ("gpl", "", "3", "program"), ("gpl-2", "", "2", "program"), ("agpl", "Affero ", "3", "program"),
@@ -141,10 +176,14 @@ def _increasing(places: Sequence[int]) -> list[int]:
 
 
 def align(text: Sequence[bytes], template: Sequence[bytes]) -> list[tuple[int, int]]:
-    """Matched (text place, template place) pairs, increasing in both."""
-    pairs, todo = [], [(0, len(text), 0, len(template))]
+    """Matched (text place, template place) pairs, increasing in both.
+
+    What stands before the first anchor is matched from the anchor backwards,
+    and what follows the last one forwards: words at the far ends belong to
+    what surrounds the notice."""
+    pairs, todo = [], [(0, len(text), 0, len(template), True, True)]
     while todo:  # an explicit stack: gaps may nest as deep as the texts are long
-        a, b, c, d = todo.pop()
+        a, b, c, d, first, last = todo.pop()
         if a >= b or c >= d:
             continue
         seen, wanted = Counter(text[a:b]), Counter(template[c:d])
@@ -153,18 +192,34 @@ def align(text: Sequence[bytes], template: Sequence[bytes]) -> list[tuple[int, i
         if anchors:
             kept = [anchors[k] for k in _increasing([j for _, j in anchors])]
             pairs += kept
-            for (i, j), (k, m) in zip([(a - 1, c - 1), *kept], [*kept, (b, d)]):
-                todo.append((i + 1, k, j + 1, m))
+            for n, ((i, j), (k, m)) in enumerate(zip([(a - 1, c - 1), *kept], [*kept, (b, d)])):
+                todo.append((i + 1, k, j + 1, m, first and n == 0, last and n == len(kept)))
             continue
-        while a < b and c < d and text[a] == template[c]:
+        while (not first or last) and a < b and c < d and text[a] == template[c]:
             pairs.append((a, c))
             a, c = a + 1, c + 1
-        while a < b and c < d and text[b - 1] == template[d - 1]:
+        while (not last or first) and a < b and c < d and text[b - 1] == template[d - 1]:
             b, d = b - 1, d - 1
             pairs.append((b, d))
     return sorted(pairs)
 
 
+def trimmed(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The run of pairs worth most, where a pair counts 1 and a foreign word
+    between two pairs FOREIGN less: stray words at the ends, parted from the
+    notice by other text, go."""
+    best = total = 0.0
+    start, span = 0, (0, 0)
+    for k, (i, _) in enumerate(pairs):
+        total -= FOREIGN * (i - pairs[k - 1][0] - 1) if k else 0
+        if total <= 0:
+            start, total = k, 0.0
+        total += 1
+        if total > best:
+            best, span = total, (start, k + 1)
+    return list(pairs[span[0]:span[1]])
+
+
 @dataclass
 class Template:
     name: str
@@ -211,7 +266,7 @@ def _match(words: list[bytes], low: int, high: int, t: Template, coverage: float
     for a, b in _pieces(words, low, high, t.forbidden):
         if b - a < coverage * n - 1e-9:
             continue
-        pairs = align(words[a:b], t.words)
+        pairs = trimmed(align(words[a:b], t.words))
         if len(pairs) < coverage * n - 1e-9 or not t.required <= {t.words[j] for _, j in pairs}:
             continue
         first, end = a + pairs[0][0], a + pairs[-1][0]
@@ -232,16 +287,14 @@ def scan(words: list[bytes], templates: Sequence[Template], coverage: float = MI
         n = len(t.words)
         slack = n // 4 + 2
         starts = sorted({max(0, p - o) for w, os in t.starts.items() for p in places.get(w, ()) for o in os})
-        done, last = 0, -1
+        done = 0
         for s in starts:
-            # ranges that start within half the slack of an aligned one hold the same match
-            if s < done or 0 <= last and s - last <= slack // 2:
+            if s < done:
                 continue
-            last = s
             low, high = max(done, s - slack), min(len(words), s + n + slack)
             if (m := _match(words, low, high, t, coverage)) is not None:
                 found.append(m)
-                done, last = m.last + 1, -1
+                done = m.last + 1
     found.sort(key=lambda m: (-m.coverage * m.size, -m.size, m.license))
     kept: list[Match] = []
     for m in found:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from pitchlake.llm import license_scan as x
 from pitchlake.llm.decontaminate import words_of
@@ -115,3 +116,55 @@ def test_every_template_is_found_under_its_own_name(documents):
     names = sorted(x.TEMPLATES)
     got = x.scan_licenses(documents([(i, f"a b {x.TEMPLATES[n]} c d") for i, n in enumerate(names)])).collect()
     assert sorted((m.doc_id, m.license, m.coverage) for m in got) == [(i, n, 1.0) for i, n in enumerate(names)]
+
+
+def _made():
+    return [x.Template.of(n, t, x.MIN_COVERAGE, *x.RULES.get(n, ())) for n, t in sorted(x.TEMPLATES.items())]
+
+
+def test_neighbouring_notices_are_both_found():
+    """Ordered pairs of templates, one right after the other or with a few words between."""
+    r, made = random.Random(12), _made()
+    words = {n: words_of(t.encode()) for n, t in x.TEMPLATES.items()}
+    names = [n for n in sorted(words) if not any(v in n for v in ("-1.0-", "-2.5", "nd", "gpl-2", "or-later", "spdx-LGPL"))]
+    assert len(names) > 50
+    for gap in (0, 3, 12):
+        for a in names:
+            for b in names if gap == 0 else r.sample(names, 15):
+                text = [*words[a], *(r.choice(FILLER).encode() for _ in range(gap)), *words[b]]
+                got = Counter(m.license for m in x.scan(text, made))
+                assert not Counter([a, b]) - got, (gap, a, b, got)
+
+
+def test_scan_equals_a_scan_of_every_start():
+    r, made = random.Random(13), _made()
+    names = sorted(x.TEMPLATES)
+
+    def naive(words):
+        found = []
+        for t in made:
+            n, done = len(t.words), 0
+            slack = n // 4 + 2
+            for s in range(len(words)):
+                if s >= done and (m := x._match(words, max(done, s - slack), min(len(words), s + n + slack), t, x.MIN_COVERAGE)):
+                    found.append(m)
+                    done = m.last + 1
+        found.sort(key=lambda m: (-m.coverage * m.size, -m.size, m.license))
+        kept = []
+        for m in found:
+            if all(m.last < k.first or m.first > k.last for k in kept):
+                kept.append(m)
+        return sorted(k.license for k in kept)
+    for _ in range(12):
+        text = []
+        for name in r.sample(names, 2):
+            text += [w for w in words_of(x.TEMPLATES[name].encode()) if r.random() > 0.05] + [r.choice(FILLER).encode() for _ in range(r.randrange(20))]
+        assert sorted(m.license for m in x.scan(text, made)) == naive(text)
+
+
+def test_siblings_are_told_apart():
+    made = _made()
+    for text, want in (("SPDX-License-Identifier: BSD-3-Clause", "spdx-BSD-3-Clause"), ("// SPDX-License-Identifier: MIT */", "spdx-MIT"),
+                       ("Distributed under the Boost Software License, Version 1.0. (See file)", "boost-1.0-line"),
+                       ("Licensed under the EUPL, Version 1.2 or later", "eupl-1.2-line")):
+        assert [m.license for m in x.scan(words_of(text.encode()), made)] == [want]
