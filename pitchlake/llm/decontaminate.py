@@ -15,8 +15,10 @@ item) mark document words as hit.  A document lies in one shard, so this needs n
 shuffle.
 
 The benchmark is the query set.  It is read in blocks of about BLOCK_BYTES
-by item hash, and one block at a time is sent to the tasks; further blocks
-are further passes whose hits are merged per document.
+by item hash, and one block at a time is sent to the tasks.  With one block
+the shards live only in their task.  With more, the sorted shards are written
+once to the shared folder; each block reads them, is released before the
+next one is sent, and the hits are merged per document.
 
 Defined results: a text without words (null, empty) has no windows and is
 never hit; a null item_id is listed as ``null``; rows that repeat an item_id
@@ -30,7 +32,8 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -79,11 +82,34 @@ class Shard:
             self.packed -= 1
         self._sort(longest_query)
 
-    def _sort(self, longest_query: int) -> None:
+    def _first_words(self) -> np.ndarray:
+        """The first words of every suffix as one number."""
         n = len(self.seq) - PACKED
         key = np.zeros(n, dtype=np.int64)
         for d in range(self.packed):
             key = key * self.base + self.seq[d:n + d]
+        return key
+
+    def dump(self) -> list[bytes]:
+        """The sorted shard as bytes, for ``load``."""
+        numbers = [self.starts, self.seq.astype("<i4"), self.array.astype("<i4"), np.array([self.packed], dtype="<i8")]
+        parts = [a.tobytes() for a in numbers] + [b" ".join(self.ids)]
+        return [len(p).to_bytes(8, "little") + pa.compress(p, codec="zstd", asbytes=True) for p in parts]
+
+    @classmethod
+    def load(cls, parts: list[bytes]) -> Shard:
+        starts, seq, array, packed, words = (pa.decompress(p[8:], int.from_bytes(p[:8], "little"), codec="zstd", asbytes=True) for p in parts)
+        self = cls.__new__(cls)
+        self.starts, self.packed = np.frombuffer(starts, dtype="<i8"), int.from_bytes(packed, "little")
+        self.seq, self.array = np.frombuffer(seq, dtype="<i4").astype(np.int64), np.frombuffer(array, dtype="<i4").astype(np.int64)
+        self.ids = {w: i for i, w in enumerate(words.split(), 1)}
+        self.base, self.n_words = len(self.ids) + 1, np.diff(self.starts) - 1
+        self.keys = self._first_words()[self.array]
+        return self
+
+    def _sort(self, longest_query: int) -> None:
+        n = len(self.seq) - PACKED
+        key = self._first_words()
         self.array = np.argsort(key, kind="stable")
         self.keys = key[self.array]
         depth = self.packed
@@ -173,13 +199,13 @@ class Queries:
         self.need, self.item = np.array(need, dtype=np.int64), np.array(item, dtype=np.int64)
         self.longest = max((len(ws) for _, ws in block), default=0)
 
-    def hits(self, texts: list[bytes | None]) -> tuple[np.ndarray, list[list[int]], list[list[str]], list[int], list[int]]:
-        """Per text: number of words, merged hit spans, items, longest match
-        and where it starts."""
-        shard = Shard(texts, self.longest)
-        spans: list[list[int]] = [[] for _ in texts]
-        items: list[list[str]] = [[] for _ in texts]
-        best, best_at = [0] * len(texts), [-1] * len(texts)
+    def hits(self, shard: Shard) -> tuple[np.ndarray, list[list[int]], list[list[str]], list[int], list[int]]:
+        """Per text of the shard: number of words, merged hit spans, items,
+        longest match and where it starts."""
+        texts = len(shard.n_words)
+        spans: list[list[int]] = [[] for _ in range(texts)]
+        items: list[list[str]] = [[] for _ in range(texts)]
+        best, best_at = [0] * texts, [-1] * texts
         if len(self.need):
             # numbers of the query words in this shard; -1 where it has no such word
             numbers = np.array([shard.ids.get(w, -1) for w in self.words] + [-1], dtype=np.int64)
@@ -214,31 +240,86 @@ class Queries:
             spans[d] += [int(x - shard.starts[d]), int(y - shard.starts[d])]
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The test items in blocks of about ``block_bytes``, by item hash."""
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[int, int, Callable[[int], Block]]:
+    """The test items in blocks of about ``block_bytes``, by item hash: how
+    many blocks, a bound of the words of an item, and a function that reads one block."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes) or 1
-    for i in range(n):
+    total, longest = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
+    n = -(-(total or 0) // block_bytes) or 1
+
+    def read(i: int) -> Block:
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
-        yield [("null" if r.item_id is None else r.item_id, words_of((r.text or "").encode())) for r in rows]
+        return [("null" if r.item_id is None else r.item_id, words_of((r.text or "").encode())) for r in rows]
+    return n, (longest or 0) // 2 + 1, read
+
+
+_HITS = ("doc_id bigint, text_key bigint, n_words bigint, spans array<bigint>, items array<string>, longest bigint, longest_at bigint")
+
+
+def _hit_rows(ids: pa.Array, keys: pa.Array, hits: tuple) -> pa.RecordBatch:
+    n, spans, items, best, at = hits
+    return pa.RecordBatch.from_arrays(
+        [ids, keys, pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())),
+         pa.array(best, pa.int64()), pa.array(at, pa.int64())], [c.split()[0] for c in _HITS.split(", ")])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                       F.col("text").cast("string").alias("text"))
 
 
 def _scan(docs: DataFrame, block: Block, window: int) -> DataFrame:
+    """All documents against one block, in one pass."""
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = Queries(sent.value, window)
         for b in in_slices(batches, "text", SHARD_BYTES):
-            n, spans, items, best, at = queries.hits(utf8_values(b.column("text")))
+            shard = Shard(utf8_values(b.column("text")), queries.longest)
+            yield _hit_rows(b.column("doc_id"), b.column("text_key"), queries.hits(shard))
+    return _keyed(docs).mapInArrow(run, _HITS)
+
+
+def sorted_shards(docs: DataFrame, longest_query: int) -> DataFrame:
+    """The documents' shards, sorted and written once: (ids, text_keys, parts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in in_slices(batches, "text", SHARD_BYTES):
+            shard = Shard(utf8_values(b.column("text")), longest_query)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_key"), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
-                 pa.array(items, pa.list_(pa.string())), pa.array(best, pa.int64()), pa.array(at, pa.int64())],
-                ["doc_id", "text_key", "n_words", "spans", "items", "longest", "longest_at"])
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                       F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, text_key bigint, n_words bigint, spans array<bigint>, "
-                                "items array<string>, longest bigint, longest_at bigint")
+                [pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([b.column("text_key").to_pylist()], pa.list_(pa.int64())),
+                 pa.array([shard.dump()], pa.list_(pa.binary()))], ["ids", "text_keys", "parts"])
+    return cut(_keyed(docs).mapInArrow(run, "ids array<bigint>, text_keys array<bigint>, parts array<binary>"), "shards")
+
+
+def _scan_shards(shards: DataFrame, block: Block, window: int) -> DataFrame:
+    """All shards against one block; the block is released when they are done."""
+    sent = shards.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = Queries(sent.value, window)
+        for b in batches:
+            for i in range(b.num_rows):
+                shard = Shard.load(b.column("parts")[i].as_py())
+                yield _hit_rows(b.column("ids")[i].values, b.column("text_keys")[i].values, queries.hits(shard))
+    found = cut(shards.mapInArrow(run, _HITS), "contamination")
+    sent.destroy()
+    return found
+
+
+def _all_hits(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
+    """(doc_id, text_key, n_words, spans, items, longest, longest_at) per document."""
+    n, longest, read = benchmark_blocks(benchmark, block_bytes)
+    if n == 1:
+        return _scan(docs, read(0), window)
+    shards = sorted_shards(docs, longest)
+    parts = [_scan_shards(shards, read(i), window) for i in range(n)]
+    key: Column = F.coalesce("doc_id", F.lit(NO_ID))
+    return (reduce(DataFrame.unionByName, parts).groupBy(key.alias("key"), "text_key").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"),
+        F.max(F.struct("longest", (-F.col("longest_at")).alias("back"))).alias("best"), (F.count("*") / n).cast("int").alias("copies"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("doc_id", "text_key", "n_words", "spans", "items", "best.longest", (-F.col("best.back")).alias("longest_at")))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,20 +350,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, the
     longest verbatim match of any length (words, place of its first word or
     -1), and the spans of hit words (begin, end)."""
-    parts = [_scan(docs, block, window) for block in benchmark_blocks(benchmark, block_bytes)]
-    rows = parts[0]
-    if len(parts) > 1:
-        key: Column = F.coalesce("doc_id", F.lit(NO_ID))
-        all_rows = cut(parts[0], "contamination")
-        for p in parts[1:]:
-            all_rows = all_rows.unionByName(cut(p, "contamination"))
-        rows = (all_rows.groupBy(key.alias("key"), "text_key").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"),
-            F.max(F.struct("longest", (-F.col("longest_at")).alias("back"))).alias("best"), (F.count("*") / len(parts)).cast("int").alias("copies"))
-            .select("doc_id", "n_words", "spans", "items", "best.longest", (-F.col("best.back")).alias("longest_at"),
-                    F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")))
-    return (rows.select("doc_id", "n_words", "spans", "items", "longest", "longest_at")
+    return (_all_hits(docs, benchmark, window, block_bytes).select("doc_id", "n_words", "spans", "items", "longest", "longest_at")
             .mapInArrow(_merged, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
                                  "contaminated boolean, longest_match bigint, longest_at bigint, "
                                  "spans array<struct<begin:bigint,end:bigint>>"))
@@ -291,16 +359,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the documents that hold a test window; columns unchanged."""
-    for block in benchmark_blocks(benchmark, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            queries = Queries(sent.value, window)
-            for b in in_slices(batches, "text", SHARD_BYTES):
-                _, spans, _, _, _ = queries.hits(utf8_values(b.column("text")))
-                yield b.filter(pa.array([not s for s in spans], pa.bool_()))
-        docs = docs.mapInArrow(run, T.StructType(docs.schema.fields))
-    return docs
+    n, _, read = benchmark_blocks(benchmark, block_bytes)
+    if n > 1:
+        hit = _all_hits(docs, benchmark, window, block_bytes).where(F.size("spans") > 0)
+        hit = hit.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+        return docs.join(hit, (F.coalesce(docs["doc_id"], F.lit(NO_ID)) == hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["hit_key"]), "left_anti")
+    sent = docs.sparkSession.sparkContext.broadcast(read(0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = Queries(sent.value, window)
+        for b in in_slices(batches, "text", SHARD_BYTES):
+            spans = queries.hits(Shard(utf8_values(b.column("text")), queries.longest))[1]
+            yield b.filter(pa.array([not s for s in spans], pa.bool_()))
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

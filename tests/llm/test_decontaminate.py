@@ -104,7 +104,7 @@ def test_a_text_of_millions_of_distinct_words():
     item = "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12"
     raw = (" ".join(f"{i:x}z" for i in range(2_100_000)) + f" {item} end").encode()
     queries = x.Queries([("7", x.words_of(item.encode()))], x.WINDOW)
-    n, spans, items, best, at = queries.hits([raw, b"w3 w4"])
+    n, spans, items, best, at = queries.hits(x.Shard([raw, b"w3 w4"], queries.longest))
     assert list(n) == [2_100_013, 2] and spans == [[2_100_000, 2_100_012], []] and items == [["7"], []]
     assert (best[0], at[0]) == (12, 2_100_000)
 
