@@ -782,6 +782,7 @@ def _(t):
 
 
 # ------------------------------------------------------------ plan-only ops
+from pitchlake.operators import increments as IN  # noqa: E402
 from pitchlake.operators import planned as PL  # noqa: E402
 
 
@@ -835,6 +836,29 @@ def _(t):
     return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("p04_walk_forward_evaluation")
+def _(t):
+    """A short fit per fold of dataset 1; what holds of its rows and metrics."""
+    e = E.walk_forward(_ds1_with_season(t), D.DS1_TRAIN_FEATURES, D.target_name(), "start_time", {"rounds": 2, "max_depth": 3})
+    fitted = F.col("trees").isNotNull()
+    return e.select("fold", "train_rows", "test_rows", (F.col("newest_train") < F.col("oldest_test")).alias("in_time"), fitted.alias("fitted"),
+                    (fitted & (F.col("trees") == 2) & F.col("accuracy").between(0, 1) & F.col("auc").between(0, 1) & (F.col("log_loss") > 0)).alias("sound"))
+
+
+@register("f38_distinct_by_month_sketched")
+def _(t):
+    """Fixtures with statistics per month, from stored daily sketches: rows
+    exact, distinct fixtures within the sketches' error of the exact number."""
+    rows = t.stats.select("fixture_id", "period").join(t.schedules.select("fixture_id", "start_time"), "fixture_id")
+    days = K.checkpoint_table(IN.daily_sketches(rows, "start_time", ["period"], "fixture_id"), "daily-sketches")
+    months = IN.merged(days, [F.trunc("day", "month").alias("month"), "period"])
+    exact = rows.groupBy(F.trunc(F.to_date("start_time"), "month").alias("_month"), F.col("period").alias("_period")).agg(
+        F.count_distinct("fixture_id").alias("fixtures"))
+    near = F.abs(F.col("distinct_items") - F.col("fixtures")) <= F.greatest(F.lit(1.0), IN.error() * F.col("fixtures"))
+    return (months.join(exact, (F.col("month") == F.col("_month")) & (F.col("period") == F.col("_period")))
+            .select(F.date_format("month", "yyyy-MM").alias("month"), "period", "rows", "fixtures", near.alias("within_error")))
+
+
 @register("p04_rolling_window_folds")
 def _(t):
     f = PL.walk_forward_folds(_ds1_with_season(t), "start_time", window=2)

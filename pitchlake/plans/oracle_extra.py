@@ -95,6 +95,15 @@ folds AS (select distinct year(start_time) as fold from ds1s where year(start_ti
 tagged AS (select f.fold, case when year(d.start_time) < f.fold then 'train' when year(d.start_time) = f.fold then 'test' end as role
            from ds1s d, folds f)
  select cast(fold as bigint) as fold, role, count(*) as rows from tagged where role is not null group by fold, role""")
+oracle("p04_walk_forward_evaluation", DS1S + f""",
+n AS (select year(start_time) as y, count(*) as n, count(*) filter ({TARGET} = 1) as ones from ds1s where start_time is not null group by 1),
+f AS (select n.y as fold, n.n as test_rows, (select sum(p.n) from n p where p.y < n.y) as train_rows,
+        (select sum(p.ones) from n p where p.y < n.y) as ones from n where n.y > (select min(y) from n))
+ select cast(fold as bigint) as fold, cast(train_rows as bigint) as train_rows, test_rows, true as in_time,
+   ones > 0 and ones < train_rows as fitted, ones > 0 and ones < train_rows as sound from f""")
+oracle("f38_distinct_by_month_sketched", """
+ select strftime(s.start_time, '%Y-%m') as month, fs.period, count(*) as rows, count(distinct fs.fixture_id) as fixtures, true as within_error
+ from fx_stats fs join fx_schedules s on fs.fixture_id = s.fixture_id where s.start_time is not null group by 1, 2""")
 oracle("p04_rolling_window_folds", DS1S + """,
 y AS (select distinct year(start_time) as fold from ds1s)
  select cast(fold as bigint) as fold, case when year(start_time) = fold then 'test' else 'train' end as role, count(*) as rows
