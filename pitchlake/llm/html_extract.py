@@ -44,7 +44,7 @@ from pitchlake.llm.dom import RUN, Node, parse
 from pitchlake.llm.layouts import bare_page, training_page
 from pitchlake.llm.sampling import one_per_bin
 
-SAMPLE_PAGES, LAYOUT_PAGES, MAX_ROWS = 256, 400, 24_000
+SAMPLE_PAGES, LAYOUT_PAGES, MAX_ROWS = 256, 800, 40_000
 PAGES_AT_ONCE = 256
 
 # Groups of tags, and of name tokens that authors use.

@@ -68,10 +68,41 @@ def _part(r: Random, kind: str) -> str:
     return f"<{tag}{name} data-keep=\"0\">{inner}</{tag}>"
 
 
-def _article(r: Random) -> str:
+def _shape(r: Random) -> str:
+    """A part of an article that is no running text."""
+    kind, n = r.choice(["list", "table", "terms", "figure", "linked", "code", "quote", "steps"]), r.randint(2, 8)
+    if kind in ("list", "steps"):
+        tag = "ol" if kind == "steps" else "ul"
+        items = (f"<a href=\"/x\">{_words(r, 1, 4)}</a> {_words(r, 3, 9)}" if r.random() < 0.15 else _words(r, 1, 5) for _ in range(n))
+        return f"<{tag}>" + "".join(f"<li>{i}</li>" for i in items) + f"</{tag}>"
+    if kind == "table":
+        wide = r.randint(1, 4)
+        rows = ["".join(f"<{'td' if k else r.choice(['th', 'td'])}>{_words(r, 1, 3)}</td>" for _ in range(wide)) for k in range(n)]
+        caption = f"<caption>{_words(r, 1, 6)}</caption>" if r.random() < 0.3 else ""
+        return f"<table>{caption}" + "".join(f"<tr>{x}</tr>" for x in rows) + "</table>"
+    if kind == "terms":
+        return "<dl>" + "".join(f"<dt>{_words(r, 1, 3)}</dt><dd>{_words(r, 1, 12)}</dd>" for _ in range(n)) + "</dl>"
+    if kind == "figure":
+        return f"<figure><img src=\"x\"><figcaption>{_words(r, 2, 14)}</figcaption></figure>"
+    if kind == "linked":
+        return f"<p><a href=\"/x\">{_words(r, 3, 14).capitalize()}</a></p>"
+    if kind == "code":
+        return f"<pre><code>{_words(r, 1, 20)}</code></pre>"
+    return f"<blockquote>{_sentences(r, 1, 2)}</blockquote>"
+
+
+def _shapes(r: Random) -> list[str]:
+    """The parts of an article made of such shapes, with text between or without."""
+    parts = [_shape(r) if r.random() < 0.7 else f"<p>{_sentences(r, 1, 4)}</p>" for _ in range(r.randint(1, 5))]
+    return ([f"<h{r.randint(1, 2)}>{_words(r, 1, 6)}</h1>"] if r.random() < 0.8 else []) + parts
+
+
+def _article(r: Random, shapes: bool = False) -> str:
     parts = [f"<h1>{_words(r, 2, 12)}</h1>"] if r.random() < 0.8 else []
     if short := r.random() < 0.12:  # an article of a few words is one all the same
         parts = [f"<h1>{_words(r, 1, 3)}</h1>"] * (r.random() < 0.8) + [f"<p>{_words(r, 1, 3)}.</p>"]
+    if shapes:
+        short, parts = True, _shapes(r)
     for _ in range(0 if short else r.randint(1, 12)):
         x = r.random()
         if x < 0.72:
@@ -89,7 +120,7 @@ def _article(r: Random) -> str:
     x = r.random()
     tag = "article" if x < 0.45 else "main" if x < 0.6 else "div"
     name = f" class=\"{r.choice(NAMES['article'])}\"" if tag == "div" and r.random() < 0.8 or r.random() < 0.3 else ""
-    inside = [_part(r, k) for k in ("advert", "share", "sidebar", "notice") if r.random() < 0.15]
+    inside = [_part(r, k) for k in ("advert", "share", "sidebar", "notice") if r.random() < 0.22]
     for p in inside:
         parts.insert(r.randint(0, len(parts)), p)
     return f"<{tag}{name} data-keep=\"1\">{''.join(parts)}</{tag}>"
@@ -101,7 +132,8 @@ def training_page(seed: int) -> str:
     after = [k for k, p in (("share", 0.3), ("comments", 0.4), ("sidebar", 0.4), ("advert", 0.4), ("form", 0.2), ("footer", 0.8), ("notice", 0.2))
              if r.random() < p]
     r.shuffle(before)
-    body = "".join(_part(r, k) for k in before) + _article(r) + "".join(_part(r, k) for k in after)
+    shapes = Random(f"shapes {seed}").random() < 0.35
+    body = "".join(_part(r, k) for k in before) + _article(r, shapes) + "".join(_part(r, k) for k in after)
     if r.random() < 0.4:
         body = f"<div class=\"{r.choice(['wrapper', 'container', 'page', 'row'])}\">{body}</div>"
     return f"<html><body>{body}</body></html>"

@@ -178,3 +178,37 @@ def test_quotes_that_close_and_that_do_not():
     texts = lambda html: [t for n in dom.parse(html) for _, t in n.segments]
     assert texts('<p title="a > b">one</p><p title=\'x">two</p>') == ["one", "two"]
     assert texts('<p>1 < 2 and <b class="x>bold</b></p><p>next</p>') == ["1 < 2 and bold", "next"]
+
+
+# what stands in the article -> its text
+SHAPES = {
+    "<article><h1>Packing list</h1><ul><li>Tent</li><li>Stove</li><li>Map</li></ul></article>": "Packing list|Tent|Stove|Map",
+    "<article><h1>Prices</h1><table><tr><th>Item</th><th>Price</th></tr><tr><td>Bread</td><td>2</td></tr></table></article>": "Prices|Item|Price|Bread|2",
+    "<article><table><tr><td>Bread</td><td>2</td></tr><tr><td>Milk</td><td>1</td></tr></table></article>": "Bread|2|Milk|1",
+    "<article><p>Good words are explained here, one after the other.</p><dl><dt>Tent</dt><dd>A house of cloth.</dd><dt>Map</dt>"
+    "<dd>A picture of land.</dd></dl></article>":
+        "Good words are explained here, one after the other.|Tent|A house of cloth.|Map|A picture of land.",
+    "<article><p>The lake is large, and it is cold in winter.</p><figure><img src=x><figcaption>The lake in winter</figcaption></figure></article>":
+        "The lake is large, and it is cold in winter.|The lake in winter",
+    "<article><p>Type this, then press the key.</p><pre><code>make all</code></pre></article>": "Type this, then press the key.|make all",
+    "<article><p>He said it twice, as I recall.</p><blockquote>Never again.</blockquote></article>": "He said it twice, as I recall.|Never again.",
+    "<article><p>The report is out, and it is long.</p><p><a href='/r'>Read the whole report of the committee here</a></p><p>It was late, as usual.</p></article>":
+        "The report is out, and it is long.|Read the whole report of the committee here|It was late, as usual.",
+    "<article><p>Closed today.</p></article>": "Closed today.",
+    "<article><h2>Steps</h2><ol><li>Open the box.</li><li>Plug it in.</li><li>Wait.</li></ol></article>": "Steps|Open the box.|Plug it in.|Wait.",
+    "<article><p>First part of the story, as told by many.</p><aside><h3>Related</h3><ul><li><a href='/x'>Other story</a></li></ul></aside>"
+    "<p>Second part of the story, as told by few.</p></article>":
+        "First part of the story, as told by many.|Second part of the story, as told by few.",
+    "<article><p>The table shows it all, year by year.</p><table><caption>Rain by year</caption><tr><td>1990</td><td>12</td></tr></table></article>":
+        "The table shows it all, year by year.|Rain by year|1990|12",
+    "<main><p>You need these things, all of them, for the tour.</p><ul><li>Rope</li><li>Boots</li></ul><p>Do not forget them, or you will be sorry.</p></main>":
+        "You need these things, all of them, for the tour.|Rope|Boots|Do not forget them, or you will be sorry.",
+    "<div class='post-content'><h1>Shopping</h1><ul><li>Milk</li><li>Bread</li></ul></div>": "Shopping|Milk|Bread",
+}
+
+
+@pytest.mark.parametrize("framed", [True, False])
+def test_article_shapes(model, framed):
+    frame = ('<nav><ul><li><a href="/">Home</a><li><a href="/b">News</a></ul></nav>', "<footer>&copy; 2020 Somebody</footer>") if framed else ("", "")
+    for html, want in SHAPES.items():
+        assert x.extract([f"<html><body>{html.join(frame)}</body></html>"], model) == [want.replace("|", "\n\n")], html
