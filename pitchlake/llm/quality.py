@@ -1,16 +1,19 @@
 """Quality classifier: weak labels, expectation-maximisation, hashed scorer.
 
-1. Eight heuristic labellers read a whole text and vote reject, accept or
+1. Nine heuristic labellers read a whole text and vote reject, accept or
    abstain (symbols, capitals, repeated neighbours, vocabulary, separators,
-   word endings, exclamation, word length).  They overlap and disagree.
-2. The votes of all documents are counted by pattern (3^8 patterns at most).
+   word endings, exclamation, word length, function words).  They overlap and
+   disagree.
+2. The votes of all documents are counted by pattern (3^9 patterns at most).
    Expectation-maximisation on the counts estimates the share of good
    documents and, for each labeller, how it votes on good and on bad ones.
    A pattern's posterior is the weak label of the documents that show it.
 3. Posterior labels train a linear scorer (logistic regression) on hashed
-   features: frequencies of byte-class trigrams and binned text statistics.
+   text: words, pairs of neighbouring words and character n-grams in 2^18
+   bins, each kind by its share of the text.  What the labellers measure is
+   no input of it, so it judges by the text, also where all of them abstain.
    The training sample is at most SAMPLE documents, one per hash bin, and
-   reaches the driver as SAMPLE * DIM half floats.
+   reaches the driver as packed bins and shares.
 4. Every document is scored whole; a score of at least ACCEPT is accepted.
 
 Defined results: a text without words (null, empty, blank) scores 0 and is
@@ -24,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +39,10 @@ from pitchlake.llm.common import in_slices, table, utf8_values
 from pitchlake.llm.sampling import one_per_bin
 
 REJECT, ACCEPT_VOTE, ABSTAIN = 0, 1, 2
-SAMPLE, DIM, ACCEPT = 4096, 4096, 0.5
+SAMPLE, BITS, ACCEPT = 4096, 18, 0.5
+GRAM = 4                     # characters (bytes) of a character n-gram
 EM_ROUNDS, SMOOTH = 200, 0.5
-STEPS, RATE, PENALTY = 300, 4.0, 1e-5
+EPOCHS, BATCH, RATE, PENALTY = 10, 64, 1.0, 1e-6
 
 LETTERS = bytes(c for c in range(256) if chr(c).isalpha() and c < 128) + bytes(range(128, 256))
 CAPITALS = bytes(range(0x41, 0x5B))
@@ -46,27 +51,23 @@ DIGITS, BLANK = b"0123456789", b" \t\n\x0b\x0c\r"
 PLAIN_ENDS = LETTERS + DIGITS + b".,;:?)\"'!-"
 
 
-def _byte_classes() -> np.ndarray:
-    """16 classes of bytes: letters and capitals, digits, blanks, and the marks apart."""
-    out = np.zeros(256, dtype=np.uint16)
-    for c in range(256):
-        ch = chr(c)
-        out[c] = (1 if c >= 128 else 2 if ch.islower() else 3 if ch.isupper() else 4 if ch.isdigit() else 5 if ch == "\n"
-                  else 6 if ch.isspace() else 7 if ch in ".,;:" else 8 if ch == "!" else 9 if ch == "?" else 10 if ch == "|"
-                  else 11 if ch in "#$%" else 12 if ch in "&*@" else 13 if ch in "'\"()-" else 14 if ch in "<>{}[]=_~^\\`+/" else 0)
-    return out
-
-
 def _bytes_in(chars: bytes) -> np.ndarray:
     out = np.zeros(256, dtype=bool)
     out[list(chars)] = True
     return out
 
 
-_CLASS = _byte_classes()
 _BLANK, _SPOKEN, _PLAIN = _bytes_in(BLANK), _bytes_in(LETTERS + DIGITS), _bytes_in(PLAIN_ENDS)
 
 
+# Frequent function words of English, German, Spanish and French.
+FUNCTION_WORDS = frozenset(w.encode() for w in (
+    "the of and to in is that it for was on are with as be at by this from or an have not but they which "
+    "der die das und ist in den von zu mit sich des auf für nicht ein eine dem es als auch an "
+    "el la los las de que y en un una por con no para su al lo como del se "
+    "le les et des est pour dans ce il qui ne sur pas par plus au du une").split())
+
+
 def _share(raw: bytes, chars: bytes) -> float:
     return (len(raw) - len(raw.translate(None, chars))) / max(1, len(raw))
 
@@ -89,6 +90,7 @@ def statistics(raw: bytes, words: list[bytes]) -> dict[str, float]:
         "odd_ends": float((~_PLAIN[data[end]]).mean()),
         "exclaim": raw.count(b"!") / n,
         "length": letters / n,
+        "function": sum(w in FUNCTION_WORDS for w in words) / n,
     }
 
 
@@ -103,6 +105,7 @@ LABELLERS = (
     ("endings", "odd_ends", 0.3, 0.05, 8),
     ("exclaim", "exclaim", 0.3, 0.05, 8),
     ("length", "length", 16.0, 12.0, 8),
+    ("function", "-function", -0.01, -0.08, 30),
 )
 
 
@@ -161,19 +164,30 @@ def posteriors(counts: dict[str, int]) -> dict[str, float]:
     return dict(zip(patterns, good.tolist()))
 
 
-def features(raw: bytes, words: list[bytes], s: dict[str, float]) -> np.ndarray:
-    """Hashed features: root frequencies of byte-class trigrams, and bins of
-    the statistics, in one vector of DIM."""
-    c = _CLASS[np.frombuffer(raw, dtype=np.uint8)]
-    out = np.zeros(DIM, dtype=np.float32)
-    if len(c) >= 3:
-        out += np.sqrt(np.bincount((c[:-2] << 8) | (c[1:-1] << 4) | c[2:], minlength=DIM) / (len(c) - 2))
-    for k, name in enumerate(("symbols", "capitals", "repeats", "variety", "bare", "odd_ends", "exclaim", "length")):
-        x = s[name] / 20 if name == "length" else s[name]
-        level = int(min(1.0, max(0.0, x)) * 20)
-        for at in range(level + 1):  # cumulative bins: neighbours share weight
-            out[(k * 2654435761 + at * 40503 + 12345) % DIM] += 0.25
-    return out
+def bins(raw: bytes, words: list[bytes]) -> list[np.ndarray]:
+    """Hashed bins of the words, of the pairs of neighbours, and of the
+    character n-grams of a text."""
+    lower = [w.lower() for w in words]   # bytes.lower() changes A-Z only
+    word = np.fromiter(map(crc32, lower), dtype=np.uint64, count=len(lower))
+    data = np.frombuffer(raw, dtype=np.uint8).astype(np.uint64)
+    gram = np.zeros(max(0, len(data) - GRAM + 1), dtype=np.uint64)
+    for k in range(GRAM):
+        gram = (gram << np.uint64(8)) | data[k:len(data) - GRAM + 1 + k]
+    # a word and itself again is one and the same pair, whatever the word
+    pair = np.where(word[:-1] == word[1:], np.uint64(0), (word[:-1] << np.uint64(32)) | word[1:])
+    return [((x + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64)
+            for kind, x in ((1, word), (2, pair), (3, gram))]
+
+
+def features(raw: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct bins and their shares; each kind of bins shares one whole."""
+    kinds = [k for k in bins(raw, words) if len(k)]
+    at = np.concatenate(kinds)
+    share = np.concatenate([np.full(len(k), 1 / len(k)) for k in kinds])
+    order = np.argsort(at, kind="stable")
+    at, share = at[order], share[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[first], np.add.reduceat(share, first)
 
 
 @dataclass
@@ -181,24 +195,31 @@ class Scorer:
     weights: np.ndarray
     bias: float
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -50, 50)))
-
-
-def fit(x: np.ndarray, y: np.ndarray) -> Scorer:
-    """Logistic regression on soft labels, both classes with equal weight,
-    by accelerated gradient steps."""
-    x, y = x.astype(np.float32), y.astype(np.float32)
-    weight = np.where(y > 0.5, 0.5 / max(1e-9, (y > 0.5).sum()), 0.5 / max(1e-9, (y <= 0.5).sum()))
-    weight = weight.astype(np.float32)
-    w, b = np.zeros(x.shape[1], dtype=np.float32), np.float32(0)
-    vw, vb = w.copy(), b
-    for step in range(STEPS):
-        error = weight * (1 / (1 + np.exp(-np.clip(x @ vw + vb, -50, 50))) - y)
-        nw, nb = vw - np.float32(RATE) * (error @ x + np.float32(PENALTY) * vw), vb - np.float32(RATE) * error.sum()
-        pace = step / (step + 3)
-        vw, vb = nw + np.float32(pace) * (nw - w), nb + np.float32(pace) * (nb - b)
-        w, b = nw, nb
+    def score(self, raw: bytes, words: list[bytes]) -> float:
+        margin = self.bias + sum(float(self.weights[k].mean()) for k in bins(raw, words) if len(k))
+        return float(1 / (1 + np.exp(-np.clip(margin, -50, 50))))
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Scorer:
+    """Logistic regression on soft labels, both classes with equal weight, by
+    adaptive gradient steps over batches in a fixed order."""
+    size = 1 << BITS
+    weight = np.where(y > 0.5, 0.5 / max(1, (y > 0.5).sum()), 0.5 / max(1, (y <= 0.5).sum())) * len(y)
+    w, b, seen, seen_b = np.zeros(size), 0.0, np.full(size, 1e-8), 1e-8
+    order = np.random.default_rng(5).permutation(len(rows))
+    for _ in range(EPOCHS):
+        for start in range(0, len(rows), BATCH):
+            batch = order[start:start + BATCH]
+            at = np.concatenate([rows[i][0] for i in batch])
+            share = np.concatenate([rows[i][1] for i in batch])
+            row = np.repeat(np.arange(len(batch)), [len(rows[i][0]) for i in batch])
+            margin = np.bincount(row, w[at] * share, minlength=len(batch)) + b
+            error = weight[batch] * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y[batch]) / len(batch)
+            slope = np.bincount(at, error[row] * share, minlength=size) + PENALTY * w
+            seen += slope * slope
+            w -= RATE * slope / np.sqrt(seen)
+            seen_b += error.sum() ** 2
+            b -= RATE * error.sum() / np.sqrt(seen_b)
     return Scorer(w.astype(np.float32), float(b))
 
 
@@ -214,22 +235,29 @@ def train(docs: DataFrame) -> Scorer | None:
                 raw, words = _read(value)
                 if words:
                     s = statistics(raw, words)
-                    x = features(raw, words, s).astype(np.float16).tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([good.get(votes(s), 0.5)]), pa.array([x])],
-                                                     ["doc_id", "y", "x"])
-    sample = one_per_bin(docs.select("doc_id", "text"), SAMPLE).mapInArrow(run, "doc_id bigint, y double, x binary")
+                    at, share = features(raw, words)
+                    at = np.diff(at, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+                    packed = [pa.compress(x, codec="zstd", asbytes=True) for x in (at, share.astype("<f4").tobytes())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([doc]), pa.array([good.get(votes(s), 0.5)]), pa.array([len(share)]), pa.array([packed[0]]), pa.array([packed[1]])],
+                        ["doc_id", "y", "n", "bins", "shares"])
+    sample = one_per_bin(docs.select("doc_id", "text"), SAMPLE).mapInArrow(run, "doc_id bigint, y double, n bigint, bins binary, shares binary")
     rows = sorted(sample.limit(SAMPLE).collect(), key=lambda r: r.doc_id)
     if not rows:
         return None
-    x = np.frombuffer(b"".join(bytes(r.x) for r in rows), dtype=np.float16).reshape(len(rows), DIM).astype(np.float32)
-    return fit(x, np.array([r.y for r in rows]))
+
+    def unpacked(r) -> tuple[np.ndarray, np.ndarray]:
+        planes = np.frombuffer(pa.decompress(bytes(r.bins), 4 * r.n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(4, r.n)
+        at = np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1), dtype=np.int64)
+        return at, np.frombuffer(pa.decompress(bytes(r.shares), 4 * r.n, codec="zstd", asbytes=True), dtype="<f4").astype(float)
+    return fit([unpacked(r) for r in rows], np.array([r.y for r in rows]))
 
 
 def _scored(texts: list[bytes | None], scorer: Scorer | None) -> list[float]:
     out = []
     for value in texts:
         raw, words = _read(value)
-        out.append(float(scorer.score(features(raw, words, statistics(raw, words)))) if words and scorer else 0.0)
+        out.append(scorer.score(raw, words) if words and scorer else 0.0)
     return out
 
 

@@ -49,3 +49,26 @@ def test_edge_rows(spark, documents):
 def test_empty_table(documents):
     empty = documents([]).limit(0)
     assert x.train(empty) is None and x.quality_scores(empty, None).collect() == []
+
+
+def test_scorer_judges_where_all_labellers_abstain(spark):
+    """Texts too short for any labeller: what the scorer learned of longer
+    ones tells them apart."""
+    scorer = x.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    bad = ["Ofthstrent### thoner$$$ to%%%", "Erretion | ththinat.", "NDANSH!! ATINTION!! TISTWH!!"]
+    good = ["And to the.", "The thing is", "Die einzu der"]
+    for text in bad + good:
+        raw, words = x._read(text.encode())
+        assert set(x.votes(x.statistics(raw, words))) == {str(x.ABSTAIN)}, text
+    scores = x._scored([t.encode() for t in bad + good], scorer)
+    assert all(s < x.ACCEPT for s in scores[:3]) and all(s >= x.ACCEPT for s in scores[3:])
+
+
+def test_scorer_sees_words_and_not_statistics():
+    """Equal counts of characters, other words: other scores."""
+    import numpy as np
+    docs = ["the cat sat on the mat"] * 20 + ["eht tac tas no eht tam"] * 20
+    rows = [x.features(*x._read(t.encode())) for t in docs]
+    scorer = x.fit(rows, np.array([1.0] * 20 + [0.0] * 20))
+    a, b = x._scored([b"on the mat the cat sat", b"no eht tam eht tac tas"], scorer)
+    assert a > 0.9 and b < 0.1
