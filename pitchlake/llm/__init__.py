@@ -1,4 +1,4 @@
-"""Training-data operators: ten large-corpus components on Spark.
+"""Training-data operators: thirteen large-corpus components on Spark.
 
 Each module holds one operator with its own general interface and the
 ``opN_<name>`` query that applies it to a whole table.  ``catalog`` lists
