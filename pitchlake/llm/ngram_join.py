@@ -21,14 +21,27 @@ when ``100 * |x and y| >= 80 * |x or y|``.
    positional filter (what follows the pair's first shared token must suffice).  A pair
    met under several tokens is verified once.  Verification cuts both sets
    at common pivots (suffix filter: the parts bound the overlap) and then
-   counts the overlap exactly.
-5. *Components.*  Verified links give components; lists whose members have
+   counts the overlap exactly.  A list is joined to its centre in SALTS parts.
+5. *Components.*  Verified links give components, each round's on top of the
+   last one's; lists whose members have
    come into one component are closed, since more links inside it can't
    change it.  From the others the compared member is taken out and the
-   rest compared again; after STARS rounds all pairs of different components
-   in the open lists are compared.  So every pair is decided or already
-   connected, and a group of thousands of near copies costs links in
-   proportion to its size, not its square.
+   rest compared again, STARS rounds at least and as long as a round halves
+   what is open.
+6. *Rest.*  In lists that stay open the two filters are turned into a range:
+   a set of n tokens that meets a token at place p links only with sets of at
+   most (5 n - 9 p) / 4 tokens.  The smaller set of a pair looks for its
+   partner in the few bands of sizes of that range, block by block, so that
+   no task compares more than BLOCK x BLOCK sets.  Sets without a partner in
+   range cost nothing, however long their list is.
+
+So every pair is decided or already connected, and a group of thousands of
+near copies costs links in proportion to its size, not its square.
+
+The numbers of ranges and homes follow the bytes of the texts.  Beyond FAN homes
+a slice deals to coarse ranges; the slices' rows are united there and dealt
+on to the ranges, and in the same way back to the homes, so that the rows sent
+grow with the data, not with its square.
 
 Tokens and classes are compared by hash: 48 bits inside a pair of documents,
 64 bits for word sequences.
@@ -43,7 +56,9 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +71,10 @@ from pitchlake.llm.components import components
 WORDS, NEED = 5, 80          # words of a shingle; percent of the union
 TOKEN_BITS, INDEX_BITS = 48, 16
 SLICE_DOCS, SLICE_BYTES = 8192, 12 << 20  # places of documents fit INDEX_BITS
-STARS = 3
+HOME_BYTES = 64 << 20        # text of the documents in one home of classes
+FAN, GROUP_BYTES = 1024, 32 << 20  # more homes than this are dealt to in two steps; text united in the first
+STARS, SALTS = 3, 16
+BLOCK, BAND = 1024, 1.05     # rest: sets of a block; a band's largest size by its smallest
 _MASK = np.uint64((1 << INDEX_BITS) - 1)
 _WORD = b" \t\n\x0b\x0c\r"   # bytes.split() parts words at exactly these
 
@@ -169,10 +187,65 @@ def _split(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     return ((d, order[i:j]) for d, (i, j) in enumerate(zip(at, at[1:])) if j > i)
 
 
-def _deal(buckets: int, homes: int):
+def _split_far(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """As ``_split``, for a few of very many buckets."""
+    order = np.argsort(keys, kind="stable")
+    found, at = np.unique(keys[order], return_index=True)
+    return ((int(d), order[i:j]) for d, i, j in zip(found, at, np.append(at[1:], len(order))))
+
+
+class _Layout(NamedTuple):
+    """Where rows go: ``homes`` of classes, ``buckets`` token ranges; beyond
+    one ``step`` they go by ``step`` ranges first, in ``salts`` groups each."""
+
+    homes: int
+    buckets: int
+    step: int = 1
+    salts: int = 1
+
+    def bounds(self, step: int = 1) -> list[int]:
+        return [(min(i, self.buckets) << TOKEN_BITS) // self.buckets for i in range(0, self.buckets + step, step)]
+
+    def key(self, bucket: int, salt: int) -> int:
+        """Group of the first step that a bucket's rows of one sender go to."""
+        return bucket if self.step == 1 else bucket // self.step * self.salts + salt % self.salts
+
+    def first(self, key: int) -> int:
+        """First bucket of a group's step."""
+        return key // self.salts * self.step
+
+    def pick(self, first: int, classes: bytes) -> int:
+        """Any home of a step."""
+        return first + int(_mix(np.frombuffer(classes, dtype="<u8", count=1))[0]) % min(self.step, self.homes - first)
+
+
+def layout(text_bytes: int, least: int) -> _Layout:
+    homes = max(least, -(-text_bytes // HOME_BYTES))
+    if homes <= FAN:
+        return _Layout(homes, 4 * homes)
+    buckets = 4 * homes
+    coarse = math.isqrt(buckets) + 1
+    step = -(-buckets // coarse)
+    return _Layout(homes, buckets, step, max(1, -(-text_bytes // (GROUP_BYTES * -(-homes // step)))))
+
+
+def _by_range(token: np.ndarray, place: np.ndarray, classes: np.ndarray, bounds: list[int]) -> Iterator[tuple]:
+    """(range, packed tokens, places, classes) of sorted tokens."""
+    at = np.searchsorted(token, np.array(bounds, dtype=np.uint64))
+    present = np.zeros(len(classes), dtype=bool)
+    for d, (i, j) in enumerate(zip(at, at[1:])):
+        if j > i:
+            here = place[i:j]
+            present[:] = False
+            present[here] = True
+            local = (np.cumsum(present) - 1)[here].astype(np.uint64)
+            yield d, _pack_sorted(token[i:j] - np.uint64(bounds[d])), _pack(local), _i64(classes[present])
+
+
+def _deal(to: _Layout):
     """Map side: a slice of documents becomes packed rows, dealt to token
     ranges; what belongs to documents and classes is passed on to its home."""
-    bounds = [(i << TOKEN_BITS) // buckets for i in range(buckets + 1)]
+    bounds = to.bounds(to.step)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -181,61 +254,116 @@ def _deal(buckets: int, homes: int):
             ids = b.column("doc_id").to_pylist()
             known = np.array([x is not None for x in ids])
             ids = np.array([x or 0 for x in ids], dtype=np.int64)
-            turn = int(classes[0] % homes)  # rows of documents are only passed on: any home does
-            rows = [(turn, META, _i64(ids), _i64(classes), _i64(size * 2 + known))]
+            salt = int(_mix(classes.astype(np.uint64).sum(keepdims=True))[0])
+            turn = salt % to.homes  # rows of documents are only passed on: any home does
+            rows = [(to.key(turn, salt), META, _i64(ids), _i64(classes), _i64(size * 2 + known))]
             unique, start, inverse = np.unique(classes, return_index=True, return_inverse=True)
             smallest = np.full(len(unique), 2 ** 63 - 1)
             np.minimum.at(smallest, inverse[known], ids[known])
-            for d, k in _split(_home(unique, homes), homes):
-                rows.append((d, CLASS, _i64(unique[k]), _i64(size[start[k]]), _i64(smallest[k])))
+            for d, k in _split(_home(unique, to.homes) // to.step, -(-to.homes // to.step)):
+                rows.append((to.key(d * to.step, salt), CLASS, _i64(unique[k]), _i64(size[start[k]]), _i64(smallest[k])))
             token, place = pairs >> np.uint64(INDEX_BITS), (pairs & _MASK).astype(np.int64)
-            at = np.searchsorted(token, np.array(bounds, dtype=np.uint64))
-            present = np.zeros(b.num_rows, dtype=bool)
-            for d, (i, j) in enumerate(zip(at, at[1:])):
-                if j > i:
-                    here = place[i:j]
-                    present[:] = False
-                    present[here] = True
-                    local = (np.cumsum(present) - 1)[here].astype(np.uint64)
-                    rows.append((d, TOKENS, _pack_sorted(token[i:j] - np.uint64(bounds[d])), _pack(local),
-                                 _i64(classes[present])))
+            rows += [(to.key(d * to.step, salt), TOKENS, *packed) for d, *packed in _by_range(token, place, classes, bounds)]
             yield from _rows(rows).to_batches()
     return run
 
 
-def _count(buckets: int, homes: int):
+def _united(kind: np.ndarray, a: list, b: list, c: list) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Distinct (token, place in classes) of a range's rows, sorted; the classes."""
+    mine = np.flatnonzero(kind == TOKENS)
+    if not len(mine):
+        return None
+    tables = [np.frombuffer(c[i], dtype="<i8") for i in mine]
+    classes, dense = np.unique(np.concatenate(tables), return_inverse=True)
+    shift = np.concatenate([[0], np.cumsum([len(x) for x in tables])])
+    token = np.concatenate([_unpack_sorted(a[i]) for i in mine])
+    who = np.concatenate([dense[s + _unpack(b[i]).astype(np.int64)] for s, i in zip(shift, mine)])
+    bits = int(len(classes)).bit_length()
+    if int(token.max()).bit_length() + bits <= 64:
+        both = np.sort(token << np.uint64(bits) | who.astype(np.uint64))
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+        return both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64), classes
+    order = np.lexsort((who, token))
+    token, who = token[order], who[order]
+    fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (who[1:] != who[:-1])])
+    return token[fresh], who[fresh], classes
+
+
+def _class_rows(kind: np.ndarray, a: list, b: list, c: list, homes: int) -> Iterator[tuple]:
+    """The class rows of a group, dealt to their homes."""
+    mine = np.flatnonzero(kind == CLASS)
+    if len(mine):
+        cls, n, rep = (_from_i64([x[i] for i in mine]) for x in (a, b, c))
+        for d, k in _split_far(_home(cls, homes)):
+            yield d, CLASS, _i64(cls[k]), _i64(n[k]), _i64(rep[k])
+
+
+def _to_ranges(to: _Layout):
+    """Second step to the ranges: slices' rows of some ranges, united, go on
+    to each of them."""
+    def run(t: pa.Table) -> pa.Table:
+        kind = np.array(t.column("kind").to_pylist())
+        a, b, c = (t.column(x).to_pylist() for x in "abc")
+        first = to.first(t.column("bucket")[0].as_py())
+        out = [(to.pick(first, b[i]), META, a[i], b[i], c[i]) for i in np.flatnonzero(kind == META)]
+        out += _class_rows(kind, a, b, c, to.homes)
+        found = _united(kind, a, b, c)
+        if found:
+            token, who, classes = found
+            bounds = to.bounds()[first:first + to.step + 1]
+            out += [(first + d, TOKENS, *packed)
+                    for d, *packed in _by_range(token + np.uint64(bounds[0]), who, classes, bounds)]
+        return _rows(out)
+    return run
+
+
+def _to_homes(to: _Layout):
+    """Second step to the homes: counted tokens of some homes' classes."""
+    def run(t: pa.Table) -> pa.Table:
+        kind = np.array(t.column("kind").to_pylist())
+        a, b, c = (t.column(x).to_pylist() for x in "abc")
+        first = to.first(t.column("bucket")[0].as_py())
+        out = [(to.pick(first, b[i]), META, a[i], b[i], c[i]) for i in np.flatnonzero(kind == META)]
+        out += _class_rows(kind, a, b, c, to.homes)
+        if (kind == TOKENS).any():
+            owner, token, df = _counted(kind, a, b, c)
+            for d, k in _split_far(_home(owner, to.homes)):
+                out.append(_home_row(d, owner[k], token[k], df[k]))
+        return _rows(out)
+    return run
+
+
+def _counted(kind: np.ndarray, a: list, b: list, c: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, token, frequency) of the rows that ranges sent."""
+    mine = np.flatnonzero(kind == TOKENS)
+    heads = [np.frombuffer(a[i], dtype="<i8").reshape(2, -1) for i in mine]
+    return (np.concatenate([np.repeat(h[0], h[1]) for h in heads]), np.concatenate([_unpack(b[i]) for i in mine]),
+            np.concatenate([_unpack(c[i]) for i in mine]))
+
+
+def _home_row(bucket: int, owner: np.ndarray, token: np.ndarray, df: np.ndarray) -> tuple:
+    k = np.argsort(owner, kind="stable")
+    cls, n = np.unique(owner[k], return_counts=True)
+    return bucket, TOKENS, _i64(cls) + _i64(n), _pack(token[k]), _pack(df[k].astype(np.uint64))
+
+
+def _count(to: _Layout):
     """One token range: the tokens of two or more classes go back to them."""
     def run(t: pa.Table) -> pa.Table:
         kind = np.array(t.column("kind").to_pylist())
         a, b, c = (t.column(x).to_pylist() for x in "abc")
         bucket = t.column("bucket")[0].as_py()
-        out = [(bucket, int(kind[i]), a[i], b[i], c[i]) for i in np.flatnonzero(kind != TOKENS)]
-        mine = np.flatnonzero(kind == TOKENS)
-        if len(mine):
-            tables = [np.frombuffer(c[i], dtype="<i8") for i in mine]
-            classes, dense = np.unique(np.concatenate(tables), return_inverse=True)
-            shift = np.concatenate([[0], np.cumsum([len(x) for x in tables])])
-            token = np.concatenate([_unpack_sorted(a[i]) for i in mine])
-            who = np.concatenate([dense[s + _unpack(b[i]).astype(np.int64)] for s, i in zip(shift, mine)])
-            bits = int(len(classes)).bit_length()
-            if int(token.max()).bit_length() + bits <= 64:
-                both = np.sort(token << np.uint64(bits) | who.astype(np.uint64))
-                both = both[np.concatenate([[True], both[1:] != both[:-1]])]
-                token, who = both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
-            else:
-                order = np.lexsort((who, token))
-                token, who = token[order], who[order]
-                fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (who[1:] != who[:-1])])
-                token, who = token[fresh], who[fresh]
+        out = [(to.key(bucket, bucket), int(kind[i]), a[i], b[i], c[i]) for i in np.flatnonzero(kind != TOKENS)]
+        found = _united(kind, a, b, c)
+        if found:
+            token, who, classes = found
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             df = np.diff(np.append(start, len(token)))
             shared = np.repeat(df > 1, df)
             token, who, df = token[shared], who[shared], np.repeat(df, df)[shared]
-            token = token + np.uint64((bucket << TOKEN_BITS) // buckets)
-            for d, k in _split(_home(classes, homes)[who], homes):
-                k = k[np.argsort(who[k], kind="stable")]
-                owner, n = np.unique(who[k], return_counts=True)
-                out.append((d, TOKENS, _i64(classes[owner]) + _i64(n), _pack(token[k]), _pack(df[k].astype(np.uint64))))
+            token = token + np.uint64((bucket << TOKEN_BITS) // to.buckets)
+            for d, k in _split(_home(classes, to.homes)[who] // to.step, -(-to.homes // to.step)):
+                out.append(_home_row(to.key(d * to.step, bucket), classes[who[k]], token[k], df[k]))
         return _rows(out)
     return run
 
@@ -261,12 +389,8 @@ def _prefixes(t: pa.Table) -> pa.Table:
     np.minimum.at(smallest, inverse, rep)
     n = n[start]
     unshared, prefix, blob = [None] * len(cls), [None] * len(cls), [None] * len(cls)
-    mine = pick(TOKENS)
-    if len(mine):
-        heads = [np.frombuffer(a[i], dtype="<i8").reshape(2, -1) for i in mine]
-        owner = np.concatenate([np.repeat(h[0], h[1]) for h in heads])
-        token = np.concatenate([_unpack(b[i]) for i in mine])
-        df = np.concatenate([_unpack(c[i]) for i in mine])
+    if (kind == TOKENS).any():
+        owner, token, df = _counted(kind, a, b, c)
         at = np.searchsorted(cls, owner)
         order = np.lexsort((token, df, at))
         at, token = at[order], token[order]
@@ -332,19 +456,63 @@ def _may_link(x: str, y: str) -> F.Column:
                   f"and least({nx} - {px}, {ny} - {py}) >= {least}")
 
 
+def _connected(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of the known components after ``links`` (a, b) are added.
+
+    Links are taken between the components' names, so that only what a round
+    adds is followed."""
+    if roots is None:
+        return components(links, "ngram-roots")
+    if links.isEmpty():
+        return roots
+    name = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    between = (links.join(name("a"), "a", "left").join(name("b"), "b", "left")
+               .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b").distinct())
+    new = components(between, "ngram-joined")
+    moved = roots.join(new.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+    return cut(moved.select("node", F.coalesce("next", "root").alias("root"))
+               .unionByName(new.join(roots, "node", "left_anti")), "ngram-roots")
+
+
+def _rest_pairs(rest: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b, n_a, n_b) of different components in lists
+    (token, b, n_b, place_b, root_b): of each pair that shares a token and
+    passes ``_may_link``, one row per token.
+
+    Both filters hold exactly where n_a <= top_b and n_b <= top_a."""
+    band = lambda n: F.floor(F.log(n) / F.lit(math.log(BAND)))
+    rest = rest.withColumn("top_b", F.expr("floor((5 * n_b - 9 * place_b) / 4)"))
+    large = rest.withColumn("band", band(F.col("n_b")))
+    small = (rest.where("top_b >= n_b").select("token", *[F.col(f"{c}b").alias(f"{c}a") for c in ("", "n_", "top_", "root_")])
+             .withColumn("band", F.explode(F.sequence(band(F.col("n_a")), band(F.col("top_a"))))))
+    blocks = lambda df, name: df.groupBy("token", "band").agg(F.ceil(F.count("*") / BLOCK).alias(name))
+    sizes = cut(blocks(small, "of_a").join(blocks(large, "of_b"), ["token", "band"]), "ngram-blocks")
+
+    def dealt(df: DataFrame, x: str, other: str) -> DataFrame:
+        return (df.join(sizes, ["token", "band"]).withColumn(f"at_{x}", F.expr(f"pmod(xxhash64({x}), of_{x})"))
+                .withColumn(f"at_{other}", F.explode(F.expr(f"sequence(0L, of_{other} - 1)"))).drop("of_a", "of_b"))
+    return (dealt(small, "a", "b").join(dealt(large, "b", "a"), ["token", "band", "at_a", "at_b"])
+            .where("root_a <> root_b and n_a <= top_b and n_b <= top_a and (n_a < n_b or n_a = n_b and a < b)")
+            .select("a", "b", "n_a", "n_b"))
+
+
 def ngram_groups(docs: DataFrame, homes: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``.
 
-    ``homes`` (default: one per shuffle partition) parts the classes, four
-    times as many ranges part the tokens; a range sends one packed row to
-    each home at most."""
+    Homes part the classes, four times as many ranges part the tokens.  There
+    are as many as the bytes of all texts ask for, and at least ``homes``
+    (default: one per shuffle partition)."""
     spark = docs.sparkSession
-    homes = homes or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * homes
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = cut(rows.mapInArrow(_deal(buckets, homes), _PACKED)
-                .groupBy("bucket").applyInArrow(_count(buckets, homes), _PACKED)
-                .groupBy("bucket").applyInArrow(_prefixes, _SETS), "ngram-sets")
+    text_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    to = layout(text_bytes, homes or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = rows.mapInArrow(_deal(to), _PACKED)
+    if to.step > 1:
+        packed = packed.groupBy("bucket").applyInArrow(_to_ranges(to), _PACKED)
+    packed = packed.groupBy("bucket").applyInArrow(_count(to), _PACKED)
+    if to.step > 1:
+        packed = packed.groupBy("bucket").applyInArrow(_to_homes(to), _PACKED)
+    found = cut(packed.groupBy("bucket").applyInArrow(_prefixes, _SETS), "ngram-sets")
     members = found.where("rep is null").select("doc_id", "class", "n")
     classes = found.where("rep is not null").select("class", "n", "rep")
     sets = found.where("tokens is not null").select("class", "n", "tokens")
@@ -352,34 +520,32 @@ def ngram_groups(docs: DataFrame, homes: int | None = None) -> DataFrame:
              .select("class", "n", "unshared", F.posexplode("prefix").alias("k", "token"))
              .select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("unshared").alias("unshared_b"),
                      (F.col("unshared") + F.col("k")).alias("place_b"), F.col("class").alias("root_b")))
-    links, roots = None, None
-    for _ in range(STARS):
+    part = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
+    roots, rounds, before = None, 0, 0
+    while True:
         stars = cut(index.groupBy("token").agg(
             F.min(F.struct("unshared_b", "b", "n_b", "place_b", "root_b")).alias("head"),
-            F.min("root_b").alias("least"), F.max("root_b").alias("last")).where("least < last")
+            F.min("root_b").alias("least"), F.max("root_b").alias("last"), F.count("*").alias("members"),
+            F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(b), {SALTS}) as int))")).alias("parts")).where("least < last")
             .select("token", *[F.col(f"head.{c}_b").alias(f"{c}_a") for c in ("unshared", "n", "place", "root")],
-                    F.col("head.b").alias("a")), "ngram-stars")
-        if stars.isEmpty():
-            index = None
+                    F.col("head.b").alias("a"), "members", "parts"), "ngram-stars")
+        still = stars.agg(F.sum("members")).first()[0]
+        if not still:
             break
-        index = cut(index.join(stars, "token").where("b <> a"), "ngram-open")
+        if rounds >= STARS and 2 * still > before:
+            rest = cut(index.join(stars.select("token"), "token").select("token", "b", "n_b", "place_b", "root_b"), "ngram-rest")
+            roots = _connected(roots, _links(cut(_rest_pairs(rest).distinct(), "ngram-pairs"), sets))
+            break
+        centres = (stars.withColumn("part", F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), i -> (parts & shiftleft(1L, i)) <> 0)")))
+                   .drop("members", "parts"))
+        index = cut(index.withColumn("part", part).join(centres, ["token", "part"]).where("b <> a").drop("part"), "ngram-open")
         pairs = cut(index.where("root_b <> root_a").where(_may_link("a", "b"))
                     .select("a", "b", "n_a", "n_b").distinct(), "ngram-pairs")
-        more = _links(pairs, sets)
-        links = more if links is None else links.unionByName(more)
-        roots = components(links, "ngram-roots")
+        roots = _connected(roots, _links(pairs, sets))
         index = (index.select("token", "b", "n_b", "unshared_b", "place_b")
                  .join(roots.withColumnRenamed("node", "b"), "b", "left")
                  .select("token", "b", "n_b", "unshared_b", "place_b", F.coalesce("root", "b").alias("root_b")))
-    if index is not None:  # what is still open, all pairs of different components
-        ends = index.groupBy("token").agg(F.min("root_b").alias("least"), F.max("root_b").alias("last")).where("least < last")
-        left = cut(index.join(ends, "token").select("token", "b", "n_b", "unshared_b", "place_b", "root_b"), "ngram-rest")
-        other = left.select("token", F.col("b").alias("a"), *[F.col(f"{c}_b").alias(f"{c}_a") for c in ("n", "unshared", "place", "root")])
-        pairs = cut(other.join(left, "token").where("root_a < root_b").where(_may_link("a", "b"))
-                    .select("a", "b", "n_a", "n_b").distinct(), "ngram-pairs")
-        if not pairs.isEmpty():
-            links = links.unionByName(_links(pairs, sets))
-            roots = components(links, "ngram-roots")
+        rounds, before = rounds + 1, still
     if roots is None:
         named = classes.select("class", F.col("rep").alias("component"))
     else:

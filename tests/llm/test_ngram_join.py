@@ -96,3 +96,62 @@ def test_packing():
     v = np.array([0, 1, 255, 256, 2 ** 40, 2 ** 47], dtype=np.uint64)
     assert (x._unpack(x._pack(v)) == v).all()
     assert (x._unpack_sorted(x._pack_sorted(v)) == v).all()
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_dealing_in_two_steps(documents, monkeypatch, seed):
+    monkeypatch.setattr(x, "HOME_BYTES", 1000)
+    monkeypatch.setattr(x, "GROUP_BYTES", 500)
+    monkeypatch.setattr(x, "FAN", 4)
+    rows = near_copies(seed) + [(None, "has no id at all but these words"), (900, None), (901, "a b"), (902, "A  B")]
+    to = x.layout(sum(len(t or "") for _, t in rows), 8)
+    assert to.step > 1 and to.salts > 1
+    assert result(documents(rows)) == brute(rows)
+
+
+def test_layout_covers_every_range():
+    for size, least in [(0, 1), (10 ** 9, 32), (10 ** 11, 200), (10 ** 12, 8), (10 ** 14, 200)]:
+        to = x.layout(size, least)
+        coarse, fine = to.bounds(to.step), to.bounds()
+        assert coarse[0] == fine[0] == 0 and coarse[-1] == fine[-1] == 1 << x.TOKEN_BITS
+        assert coarse[:-1] == fine[:-1:to.step]
+        assert to.homes * x.HOME_BYTES >= size
+        assert {to.first(to.key(d, s)) for d in (0, to.step, to.buckets - 1) for s in (0, 7)} <= set(range(0, to.buckets, to.step))
+
+
+@pytest.mark.parametrize("share", [0.83, 0.87, 0.885])
+def test_texts_that_share_most_without_linking(documents, monkeypatch, share):
+    """Lists of all texts stay open: none of their members link."""
+    monkeypatch.setattr(x, "STARS", 0)
+    common = [f"c{i}" for i in range(400)]
+    rows = []
+    for d in range(300):
+        own = round(400 * (1 - share) / share) + d % 7
+        rows.append((d, " ".join(common + [f"u{d}x{i}" for i in range(own)])))
+    assert result(documents(rows)) == brute(rows)
+
+
+def test_rest_in_blocks(documents, monkeypatch):
+    """Random choices of lines: many pairs are compared, few of them link."""
+    monkeypatch.setattr(x, "STARS", 0)
+    monkeypatch.setattr(x, "BLOCK", 7)
+    r = random.Random(4)
+    lines = [" ".join(f"{r.randrange(500)}" for _ in range(8)) for _ in range(40)]
+    rows = [(d, "\n".join(v for v in lines if r.random() < r.choice([0.85, 0.9, 0.97]))) for d in range(90)]
+    assert result(documents(rows)) == brute(rows)
+
+
+def test_rest_pairs_are_those_of_both_filters(spark):
+    r = random.Random(8)
+    rows = []
+    for b in range(150):
+        n = r.randint(1, 60)
+        for token in r.sample(range(6), 3):
+            rows.append((token, b, n, r.randint(0, n // 5), r.randint(0, 40)))
+    df = spark.createDataFrame(rows, "token bigint, b bigint, n_b bigint, place_b bigint, root_b bigint")
+    want = set()
+    for t, a, na, pa, ra in rows:
+        for u, b, nb, pb, rb in rows:
+            if t == u and ra != rb and (na, a) < (nb, b) and 100 * na >= 80 * nb and 180 * min(na - pa, nb - pb) >= 80 * (na + nb):
+                want.add((a, b, na, nb))
+    assert {tuple(p) for p in x._rest_pairs(df).collect()} == want
