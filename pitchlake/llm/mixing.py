@@ -156,9 +156,9 @@ def select_tokens(docs: DataFrame, budget: DataFrame, seed: int = SEED) -> DataF
 
 def mix(docs: DataFrame, weights: Mapping[tuple[str, ...], float] = WEIGHTS, share_of_tokens: float = BUDGET_SHARE,
         max_epochs: int = MAX_EPOCHS, seed: int = SEED, domain: Column | None = None) -> DataFrame:
-    """One row per selected document and epoch: the columns of ``docs``, the
-    node names, its tokens and the epoch.  The total budget is a share of
-    all tokens."""
+    """One row per selected document and epoch: doc_id, the node names
+    (domain, lang, source), its tokens and the epoch; further columns of
+    ``docs`` are not returned.  The total budget is a share of all tokens."""
     named = docs.withColumns({
         "domain": F.coalesce(domain if domain is not None else domain_of_source(), F.lit("unknown")),
         "lang": F.coalesce(F.col("lang").cast("string"), F.lit("unknown")),
