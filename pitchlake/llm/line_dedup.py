@@ -67,7 +67,9 @@ def _ids(batch: pa.RecordBatch) -> list[int]:
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """The columns read; ``text_id`` parts rows without an id by their texts."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
+        "text_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)))
 
 
 def _by_shard(a: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,8 +237,8 @@ class LineIndex:
         held = {r.shard: bytes(r.filter) for r in filters.collect()} if size <= HEAVY_FILTER_BYTES else None
         pairs = key_pairs(docs, held, self.min_chars, self.shards)
         drops = (pairs.join(heavy.select("key", "max_doc"), "key").where(F.col("doc_id") < F.col("max_doc"))
-                 .groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("key").alias("drop")))
-        rows = _documents(docs).withColumn("id", id_key()).join(drops.hint("shuffle_hash"), "id", "left")
+                 .groupBy(F.col("doc_id").alias("id"), "text_id").agg(F.collect_set("key").alias("drop")))
+        rows = _documents(docs).withColumn("id", id_key()).join(drops.hint("shuffle_hash"), ["id", "text_id"], "left")
         min_chars = self.min_chars
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,32 +265,32 @@ class LineIndex:
 
 
 def key_pairs(docs: DataFrame, filters: dict[int, bytes] | None, min_chars: int = MIN_CHARS, shards: int = 1) -> DataFrame:
-    """(doc_id, key) of the lines that count; given filters leave out keys
-    that are certainly not theirs."""
+    """(doc_id, text_id, key) of the lines that count; given filters leave out
+    keys that are certainly not theirs."""
     sent = docs.sparkSession.sparkContext.broadcast(filters) if filters is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = {s: CuckooFilter.from_bytes(f) for s, f in sent.value.items()} if sent else {}
         for b in in_slices(batches, "text"):
-            keys, ids = [], []
-            for doc, raw in zip(_ids(b), utf8_values(b.column("text"))):
+            keys, counts = [], []
+            for raw in utf8_values(b.column("text")):
                 found = document_keys(raw, min_chars)
                 keys += found
-                ids += [doc] * len(found)
+                counts.append(len(found))
             if not keys:
                 continue
             words = np.frombuffer(b"".join(keys), dtype="<u8").reshape(-1, 2)
-            ids = np.array(ids, dtype=np.int64)
+            ids = np.repeat(np.array([_ids(b), b.column("text_id").to_pylist()], dtype=np.int64), counts, axis=1)
             if sent is not None:
                 order, at = _by_shard(words[:, 0], shards)
-                words, ids = words[order], ids[order]
-                keep = np.zeros(len(ids), dtype=bool)
+                words, ids = words[order], ids[:, order]
+                keep = np.zeros(len(words), dtype=bool)
                 for s, (i, j) in enumerate(zip(at, at[1:])):
                     if j > i and s in loaded:
                         keep[i:j] = loaded[s].contains(words[i:j, 0], words[i:j, 1])
-                words, ids = words[keep], ids[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), _key_array(words[:, 0], words[:, 1])], ["doc_id", "key"])
-    return _documents(docs).mapInArrow(run, "doc_id bigint, key binary")
+                words, ids = words[keep], ids[:, keep]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, ids), _key_array(words[:, 0], words[:, 1])], ["doc_id", "text_id", "key"])
+    return _documents(docs).mapInArrow(run, "doc_id bigint, text_id bigint, key binary")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -40,6 +40,15 @@ def test_edge_rows(documents):
     assert result(documents(rows, extra=True)) == brute(rows)
 
 
+def test_rows_without_an_id_lose_the_lines_of_their_own_text(documents):
+    r = random.Random(6)
+    pool = [f"common line number {k} with some length" for k in range(9)]
+    rows = [(None if i % 3 == 0 else i, "\n".join(r.choice(pool) for _ in range(r.randint(0, 4)))) for i in range(90)]
+    assert result(documents(rows)) == brute(rows)
+    drops = x.key_pairs(documents(rows), None).where(f"doc_id = {-2 ** 63}")
+    assert drops.groupBy("doc_id", "text_id").agg({"key": "collect_set"}).selectExpr("max(size(`collect_set(key)`))").first()[0] <= 4
+
+
 def test_empty_table(documents):
     assert result(documents([]).limit(0)) == []
 
