@@ -17,7 +17,8 @@
 4. Every document is scored whole; a score of at least ACCEPT is accepted.
 
 Defined results: a text without words (null, empty, blank) scores 0 and is
-rejected; a null doc_id is scored but not trained on; repeated rows are
+rejected; a null doc_id is scored but not trained on; a score of exactly ACCEPT
+is accepted and equal texts tie with equal scores; repeated rows are
 scored each.  Further columns are ignored by ``quality_scores`` and kept by
 ``accepted_documents``.  An empty table gives an empty result.
 """
@@ -124,7 +125,7 @@ def _read(raw: bytes | None) -> tuple[bytes, list[bytes]]:
 
 
 def pattern_counts(docs: DataFrame) -> dict[str, int]:
-    """How many documents show each pattern of votes (at most 3^8 rows)."""
+    """How many documents show each pattern of votes (at most 3^9 rows)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, int] = {}
         for b in in_slices(batches, "text"):
