@@ -12,7 +12,9 @@
    text: words, pairs of neighbouring words and character n-grams in 2^18
    bins, each kind by its share of the text.  What the labellers measure is
    no input of it, so it judges by the text, also where all of them abstain.
-   The training sample is at most SAMPLE documents, one per hash bin, and
+   The training sample is at most SAMPLE documents, one per hash bin, in the
+   order of their hash until they have SAMPLE_BINS distinct bins together (a
+   text has 2^18 at most, so 64 documents or more whatever their length).  It
    reaches the driver as packed bins and shares.
 4. Every document is scored whole; a score of at least ACCEPT is accepted.
 
@@ -32,15 +34,15 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.llm.common import in_slices, table, utf8_values
+from pitchlake.llm.common import cut, in_slices, table, utf8_values
 from pitchlake.llm.sampling import one_per_bin
 
 REJECT, ACCEPT_VOTE, ABSTAIN = 0, 1, 2
-SAMPLE, BITS, ACCEPT = 4096, 18, 0.5
+SAMPLE, SAMPLE_BINS, BITS, ACCEPT = 4096, 1 << 24, 18, 0.5
 GRAM = 4                     # characters (bytes) of a character n-gram
 EM_ROUNDS, SMOOTH = 200, 0.5
 EPOCHS, BATCH, RATE, PENALTY = 10, 64, 1.0, 1e-6
@@ -224,6 +226,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Scorer:
     return Scorer(w.astype(np.float32), float(b))
 
 
+def within(sample: DataFrame, bins: int) -> DataFrame:
+    """The doc_ids of ``sample`` (at most SAMPLE rows), by hash, whose ``n`` sum
+    to at most ``bins``."""
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    return sample.select("doc_id", F.sum("n").over(order).alias("reach")).where(F.col("reach") <= bins).select("doc_id")
+
+
 def train(docs: DataFrame) -> Scorer | None:
     """Weak labels from all documents, scorer from a bounded sample of them."""
     good = posteriors(pattern_counts(docs))
@@ -242,8 +251,9 @@ def train(docs: DataFrame) -> Scorer | None:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([doc]), pa.array([good.get(votes(s), 0.5)]), pa.array([len(share)]), pa.array([packed[0]]), pa.array([packed[1]])],
                         ["doc_id", "y", "n", "bins", "shares"])
-    sample = one_per_bin(docs.select("doc_id", "text"), SAMPLE).mapInArrow(run, "doc_id bigint, y double, n bigint, bins binary, shares binary")
-    rows = sorted(sample.limit(SAMPLE).collect(), key=lambda r: r.doc_id)
+    drawn = one_per_bin(docs.select("doc_id", "text"), SAMPLE)
+    sample = cut(drawn.mapInArrow(run, "doc_id bigint, y double, n bigint, bins binary, shares binary"), "quality-sample")
+    rows = sorted(sample.join(within(sample, SAMPLE_BINS), "doc_id", "left_semi").collect(), key=lambda r: r.doc_id)
     if not rows:
         return None
 

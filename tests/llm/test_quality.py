@@ -72,3 +72,25 @@ def test_scorer_sees_words_and_not_statistics():
     scorer = x.fit(rows, np.array([1.0] * 20 + [0.0] * 20))
     a, b = x._scored([b"on the mat the cat sat", b"no eht tam eht tac tas"], scorer)
     assert a > 0.9 and b < 0.1
+
+
+def test_training_sample_is_bounded_by_its_bins(spark, documents, monkeypatch):
+    """Whole documents, in the order of their hash, until the bins are used up."""
+    from pyspark.sql import functions as F
+    sizes = spark.createDataFrame([(i, 10 + i % 7) for i in range(200)], "doc_id bigint, n bigint")
+    order = [(r.doc_id, r.n) for r in sizes.orderBy(F.xxhash64("doc_id")).collect()]
+    for bins in (0, 9, 500, 10_000):
+        want, reach = [], 0
+        for i, n in order:
+            reach += n
+            want += [i] * (reach <= bins)
+        assert sorted(r.doc_id for r in x.within(sizes, bins).collect()) == sorted(want)
+    prose = "and the people of the town went to the river with their children, " * 5
+    df = documents([(i, f"{prose} number {i}") for i in range(30)] + [(100 + i, f"BUY NOW!! $$$ {i} " * 40) for i in range(30)])
+    seen = []
+    real = x.fit
+    monkeypatch.setattr(x, "fit", lambda rows, y: seen.append(sum(len(at) for at, _ in rows)) or real(rows, y))
+    monkeypatch.setattr(x, "SAMPLE_BINS", 3000)
+    assert x.train(df) is not None and 0 < seen[0] <= 3000
+    monkeypatch.setattr(x, "SAMPLE_BINS", 0)
+    assert x.train(df) is None
