@@ -1,5 +1,6 @@
 """What a job must not do twice: parse a document, search an array, write rows nobody reads."""
 
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pitchlake.operators import normalize as B
 from pitchlake.plans import landing as LD
 from pitchlake.sources import raw as R
+from pitchlake.sources import tables as T
 
 
 def _plan(df):
@@ -44,3 +46,14 @@ def test_numbers_are_written_as_variant_writes_them(spark):
     assert df.where(~got.eqNullSafe(want)).count() == 0
     want = F.to_json(F.struct(F.parse_json(F.col("n").cast("string")).alias("v")))
     assert df.where(~LD._object(v=LD._number(df, "n")).eqNullSafe(want)).count() == 0
+
+
+def test_statistics_are_stored_without_their_raw_rows(spark, tmp_path):
+    day = dt.datetime(2024, 1, 1)
+    item = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz"
+    lines = [(1, 12, 3, 1, 5.0, 10.0, 0.1, 0.0, day), (1, 11, 3, 1, 6.0, 10.0, 0.1, 0.0, day), (None, 11, 3, 1, 6.0, 10.0, 0.1, 0.0, day)]
+    spark.createDataFrame(lines, item).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 4)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = T.stored_testbed(spark, str(tmp_path)).stats.collect()
+    assert [(r.fixture_id, r.team_id, r.period, r.src_a, r.attacks) for r in rows] == [(1, 4, "first_half", 11, 6)]
+    assert {k[2] for k in T._LOADED if k[1] == str(tmp_path)} == {"stats"}
