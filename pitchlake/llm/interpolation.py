@@ -58,6 +58,7 @@ from pitchlake.llm.common import cut, in_slices, session_conf, table, utf8_value
 ORDER = 3
 SLICE_BYTES, SLICE_DOCS = 12 << 20, 1 << 16
 RANGE_BYTES = 8 << 20       # text per hash range
+LEVEL = 8                   # of compression
 BUCKETS, STEPS = 40, 4      # context buckets; roundings an octave
 ROUNDS, SETTLED = 40, 1e-4  # rounds at most; change of a weight that ends them
 PRIOR = 1.0                 # events a weight of one half is believed to rest on before any is seen
@@ -77,10 +78,11 @@ def _rows(rows: list[tuple]) -> pa.Table:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Unsigned integers by byte plane, compressed; two header numbers."""
+    """Unsigned integers by byte plane, compressed (all that is shuffled or
+    written is packed: LEVEL costs little beside it); two header numbers."""
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
     planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-    return len(values).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
+    return len(values).to_bytes(8, "little") + bytes([width]) + pa.Codec("zstd", compression_level=LEVEL).compress(planes, asbytes=True)
 
 
 def unpack(blob: bytes) -> np.ndarray:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pitchlake.llm import interpolation as I
@@ -136,3 +137,13 @@ def test_model_beats_base_on_held_out_documents(spark):
 def test_packing():
     for x in ([], [0], [1, 2 ** 63, 7], list(range(1000))):
         assert I.unpack(I.pack(np.array(x, dtype=np.uint64))).tolist() == x
+
+
+def test_token_numbers_are_packed_tighter_than_by_default():
+    rng = np.random.default_rng(1)
+    phrases = rng.integers(0, 3000, (500, 12)).astype(np.uint64)
+    ids = phrases[np.minimum(rng.zipf(1.3, 20_000), 500) - 1].reshape(-1)
+    packed = I.pack(ids)
+    assert (I.unpack(packed) == ids).all()
+    planes = np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 8)[:, :packed[8]].T).tobytes()
+    assert len(packed) < 0.97 * len(pa.compress(planes, codec="zstd", asbytes=True))
