@@ -42,9 +42,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +56,8 @@ from pitchlake.llm.common import cut, in_slices, session_conf, table, utf8_value
 ORDER = 3
 SLICE_BYTES, SLICE_DOCS = 12 << 20, 1 << 16
 RANGE_BYTES = 8 << 20       # text per hash range
-LEVEL = 8                   # of compression
+LEVEL, QUICK = 8, 1         # of compression: of token numbers, of the rest
+MANY = 15                   # counts from here on are packed apart
 BUCKETS, STEPS = 40, 4      # context buckets; roundings an octave
 ROUNDS, SETTLED = 40, 1e-4  # rounds at most; change of a weight that ends them
 PRIOR = 1.0                 # events a weight of one half is believed to rest on before any is seen
@@ -77,12 +76,11 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(list(c), k) for n, c, k in zip(_NAMES, cols, _KINDS)})
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Unsigned integers by byte plane, compressed (all that is shuffled or
-    written is packed: LEVEL costs little beside it); two header numbers."""
+def pack(values: np.ndarray, level: int = LEVEL) -> bytes:
+    """Unsigned integers by byte plane, compressed; two header numbers."""
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-    return len(values).to_bytes(8, "little") + bytes([width]) + pa.Codec("zstd", compression_level=LEVEL).compress(planes, asbytes=True)
+    planes = np.ascontiguousarray(values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return len(values).to_bytes(8, "little") + bytes([width]) + pa.Codec("zstd", compression_level=level).compress(planes, asbytes=True)
 
 
 def unpack(blob: bytes) -> np.ndarray:
@@ -118,8 +116,8 @@ def pieces(raw: bytes, size: int) -> Iterator[bytes]:
         at = stop
 
 
-def packed(arrays: list[np.ndarray]) -> bytes:
-    return b"".join(len(p).to_bytes(8, "little") + p for p in map(pack, arrays))
+def packed(arrays: list[np.ndarray], level: int = LEVEL) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in (pack(x, level) for x in arrays))
 
 
 def unpacked(blob: bytes) -> list[np.ndarray]:
@@ -131,16 +129,31 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
     return parts
 
 
-def ranked(values: np.ndarray) -> list[np.ndarray]:
-    """The distinct numbers, the most frequent first, and the place of each
-    number among them: this packs better than the numbers."""
+def pack_counts(kept: np.ndarray, held: np.ndarray) -> bytes:
+    """Two counts of the same things: a byte has both, as far as they are
+    small, which they mostly are; the others follow."""
+    both = np.minimum(kept, MANY).astype(np.uint8) << 4 | np.minimum(held, MANY).astype(np.uint8)
+    return packed([both, kept[kept >= MANY], held[held >= MANY]], QUICK)
+
+
+def unpack_counts(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both, *more = unpacked(blob)
+    counts = both >> np.uint64(4), both & np.uint64(MANY)
+    for x, large in zip(counts, more):
+        x[x == MANY] = large
+    return counts
+
+
+def ranked(values: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Of the numbers ``values[at]`` the distinct ones, the most frequent
+    first, and the place of each number among them: this packs better."""
     distinct = np.sort(values)
     distinct = distinct[_distinct(distinct)]
-    at = np.searchsorted(distinct, values)
-    by_use = np.argsort(-np.bincount(at, minlength=len(distinct)), kind="stable")
+    place = np.searchsorted(distinct, values).astype(np.int32)
+    by_use = np.argsort(-np.bincount(place[at], minlength=len(distinct)), kind="stable")
     rank = np.empty(len(distinct), dtype=np.int32)
     rank[by_use] = np.arange(len(distinct), dtype=np.int32)
-    return [distinct[by_use], rank[at]]
+    return [distinct[by_use], rank[place][at]]
 
 
 def _distinct(key: np.ndarray) -> np.ndarray:
@@ -148,6 +161,26 @@ def _distinct(key: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=bool)
 
 
+def in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of unsigned numbers in ascending order, and the sorted numbers.
+    The numbers' leading bits are sorted with their places behind them, which
+    is faster than ``argsort``; that decides where the bits left out matter."""
+    if not len(values):
+        return np.zeros(0, dtype=np.int64), values
+    bits, low = int(len(values)).bit_length(), values.min()
+    out = np.uint64(max(0, int(values.max() - low).bit_length() + bits - 64))
+    coded = ((values - low) >> out) << np.uint64(bits)
+    coded |= np.arange(len(values), dtype=np.uint64)
+    coded.sort()
+    coded &= np.uint64((1 << bits) - 1)
+    order = coded.view(np.int64)
+    inside = values[order]
+    if out and (inside[1:] < inside[:-1]).any():
+        order = np.argsort(values, kind="stable")
+        inside = values[order]
+    return order, inside
+
+
 class Slice:
     """Token numbers of some texts (or pieces): every piece is led by the
     ``order - 1`` tokens before it.  ``bits`` has the hash bits per order."""
@@ -186,10 +219,10 @@ class Slice:
         for k, g in enumerate(self.grams(), 1):
             coded = (g << np.uint64(2)) | code[self.places(k)]
             coded.sort()
-            key, fold = coded >> np.uint64(2), (coded & np.uint64(3)).astype(np.uint8)
+            key, fold = coded >> np.uint64(2), coded.astype(np.uint8) & 3
             first = np.flatnonzero(_distinct(key))
-            sums = [np.concatenate([[0], np.cumsum(fold == f)])[np.append(first, len(key))] for f in (KEPT, HELD)]
-            out.append((key[first], *map(np.diff, sums)))
+            sums = [np.add.reduceat((fold == f).astype(np.int32), first) if len(first) else first for f in (KEPT, HELD)]
+            out.append((key[first], *sums))
         return out
 
     def numbered(self) -> list[tuple[int, np.ndarray]]:
@@ -197,53 +230,80 @@ class Slice:
         sorted order) stands at each of the order's places."""
         out = []
         for g in self.grams():
-            order = np.argsort(g)
-            rank = np.cumsum(_distinct(g[order])) - 1
+            order, g = in_order(g)
+            rank = np.cumsum(_distinct(g), dtype=np.int32) - 1
             at = np.empty(len(g), dtype=np.int32)
             at[order] = rank
             out.append((int(rank[-1]) + 1 if len(g) else 0, at))
         return out
 
+    def name(self) -> int:
+        """A number by which equal slices are known."""
+        content = hashlib.blake2b(digest_size=8)
+        for x in (np.array(self.bits), self.ids, self.n, self.fold, self.begins, self.vocab):
+            content.update(len(x).to_bytes(8, "little"))
+            content.update(np.ascontiguousarray(x))
+        return int.from_bytes(content.digest(), "little") >> 1
+
     def packed(self) -> bytes:
-        return packed([np.array(self.bits), self.ids, self.n, self.fold * 2 + self.begins, self.vocab])
+        return packed([np.array(self.bits), self.ids, self.n, self.fold * 2 + self.begins, np.diff(self.vocab, prepend=np.uint64(0))])
 
     @classmethod
     def unpacked(cls, blob: bytes) -> Slice:
         bits, ids, n, flags, vocab = unpacked(blob)
         return cls(bits.astype(int).tolist(), ids.astype(np.int32), n.astype(np.int64), (flags >> np.uint64(1)).astype(np.int64),
-                   (flags & np.uint64(1)).astype(bool), vocab)
+                   (flags & np.uint64(1)).astype(bool), np.cumsum(vocab, dtype=np.uint64))
+
+
+def numbered_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The words of all texts as places in the list of distinct words (in the
+    order they come), how many words each text has, and that list."""
+    data = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])  # a blank begins and ends all, so words have both of theirs
+    ends = np.concatenate([[0], np.cumsum(edges[1::2] - edges[::2])])
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data[inside])]).dictionary_encode()
+    stops = np.cumsum([len(t) + 1 for t in texts])
+    _, at, flat = words.dictionary.buffers()
+    at, flat = np.frombuffer(at, dtype=np.int64)[:len(words.dictionary) + 1].tolist(), flat.to_pybytes() if flat else b""
+    return words.indices.to_numpy(), np.diff(np.searchsorted(edges[::2], stops), prepend=0), [flat[i:j] for i, j in zip(at, at[1:])]
 
 
 class _Reader:
-    """Numbers words as they come and cuts slices of about SLICE_BYTES."""
+    """Collects pieces of texts and numbers the words of a slice of them."""
 
     def __init__(self, bits: list[int]):
         self.order, self.bits = len(bits), bits
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: defaultdict[bytes, int] = defaultdict(count(2).__next__)
-        self.ids, self.n, self.fold, self.begins, self.docs, self.bytes = [], [], [], [], [], 0
-
-    def add(self, doc: tuple, words: list[bytes], fold: int, lead: list[bytes] | None, ends: bool) -> None:
-        before = [BOS] * (self.order - 1) if lead is None else [self.numbers[w] if w else BOS for w in lead]
-        self.ids.append(np.array(before, dtype=np.int32))
-        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int32, count=len(words)))
-        if ends:
-            self.ids.append(np.array([END], dtype=np.int32))
-        self.n.append(len(words) + ends)
+        self.texts, self.lead, self.fold, self.begins, self.ends, self.docs, self.bytes = [], [], [], [], [], [], 0
+
+    def add(self, doc: tuple, text: bytes, fold: int, lead: list[bytes] | None, ends: bool) -> None:
+        known = [w for w in lead or [] if w]
+        self.texts.append(b" ".join([*known, text]))
+        self.lead.append(len(known))
         self.fold.append(fold)
         self.begins.append(lead is None)
+        self.ends.append(ends)
         self.docs.append(doc)
+        self.bytes += len(text) + 16
 
     def slice(self) -> tuple[Slice, list[tuple]]:
-        hashes = np.array(_FIXED + [word_hash(w) for w in self.numbers], dtype=np.uint64)
-        ids = np.concatenate(self.ids)
-        # the most frequent words get the smallest numbers, which pack best
-        by_use = np.argsort(-np.bincount(ids, minlength=len(hashes)), kind="stable")
+        at, words, distinct = numbered_words(self.texts)
+        lead, ends = np.array(self.lead), np.array(self.ends)
+        hashes = np.array([*_FIXED, *map(word_hash, distinct)], dtype=np.uint64)
+        # a piece: begin marks for what it lacks of a lead, its words, one end if its text ends
+        marks = self.order - 1 - lead
+        start = np.cumsum(marks + words + ends) - words - ends
+        ids = np.full(start[-1] + words[-1] + ends[-1], BOS, dtype=np.int32)
+        ids[np.repeat(start - np.cumsum(words) + words, words) + np.arange(len(at))] = at + 2
+        ids[(start + words)[ends]] = END
+        # the most frequent words get the smallest numbers, which pack best; so do hashes in order
+        by_use = np.lexsort((hashes, -np.bincount(ids, minlength=len(hashes))))
         rank = np.empty(len(hashes), dtype=np.int32)
         rank[by_use] = np.arange(len(hashes), dtype=np.int32)
-        out = Slice(self.bits, rank[ids], np.array(self.n), np.array(self.fold), np.array(self.begins), hashes[by_use])
+        out = Slice(self.bits, rank[ids], words - lead + ends, np.array(self.fold), np.array(self.begins), hashes[by_use])
         docs = self.docs
         self.clear()
         return out, docs
@@ -268,32 +328,28 @@ def _slices(batches: Iterator[pa.RecordBatch], bits: list[int], slice_bytes: int
                 # pieces of one row share no slice with other rows
                 if reader.docs and (reader.bytes + len(piece) > slice_bytes or len(reader.docs) >= SLICE_DOCS or several >= 0):
                     yield reader.slice()
-                words, at = piece.split(), at + len(piece)
-                reader.bytes += len(piece) + 16
-                reader.add((doc, several), words, fold, lead, at == size)
+                at += len(piece)
+                reader.add((doc, several), piece, fold, lead, at == size)
                 if at < size and order > 1:
-                    lead = ([b""] * (order - 1) + (lead or []) + words)[1 - order:]
+                    lead = ([b""] * (order - 1) + (lead or []) + piece.rsplit(None, order - 1))[1 - order:]
             if several >= 0:
                 yield reader.slice()
     if reader.docs:
         yield reader.slice()
 
 
-def _name(content: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little") >> 1
-
-
 def _deal(bits: list[int], ranges: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, _ in _slices(batches, bits, slice_bytes):
-            name, rows = _name(s.packed()), []
+            name, rows = s.name(), []
             for k, (key, kept, held) in enumerate(s.counted()):
                 at = _split(key, ranges, bits[k])
                 for r, (i, j) in enumerate(zip(at, at[1:])):
                     if j > i:
                         part = k * ranges + r
-                        rows.append((part, GRAMS, name, part, None, None,
-                                     pack(np.diff(key[i:j], prepend=np.uint64((r << bits[k]) // ranges))), pack(kept[i:j]), pack(held[i:j])))
+                        # distances of hashes are nearly noise, which no level packs tighter
+                        rows.append((part, GRAMS, name, part, None, None, pack(np.diff(key[i:j], prepend=np.uint64((r << bits[k]) // ranges)), QUICK),
+                                     pack_counts(kept[i:j], held[i:j]), None))
             yield from _rows(rows).to_batches(max_chunksize=256)
     return run
 
@@ -305,8 +361,7 @@ def _texts(bits: list[int], slice_bytes: int):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, named.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_batch(named)
-            content = s.packed()
-            yield from _rows([(None, TEXT, _name(content), 0, None, int(docs[0][1] >= 0), content, sink.getvalue().to_pybytes(), None)]).to_batches()
+            yield from _rows([(None, TEXT, s.name(), 0, None, int(docs[0][1] >= 0), s.packed(), sink.getvalue().to_pybytes(), None)]).to_batches()
     return run
 
 
@@ -318,18 +373,18 @@ def _count(ranges: int, bits: list[int]):
         names, part = rows.column("slice").to_pylist(), rows.column("part")[0].as_py()
         start = np.uint64(((part % ranges) << bits[part // ranges]) // ranges)
         keys = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) + start for x in rows.column("a")]
-        merged = np.sort(np.concatenate(keys))
-        merged = merged[_distinct(merged)]
-        at = [np.searchsorted(merged, key) for key in keys]
+        ends = np.cumsum([len(key) for key in keys]).tolist()
+        order, key = in_order(np.concatenate(keys))
+        first = _distinct(key)
+        at = np.empty(len(order), dtype=np.int64)
+        at[order] = np.cumsum(first) - 1
+        key, first = key[first], np.flatnonzero(first)
         del keys
-        sums = [np.zeros(len(merged), dtype=np.uint64) for _ in range(2)]
-        for column, total in zip("bc", sums):
-            for mine, x in zip(at, rows.column(column)):
-                total[mine] += unpack(x.as_py())  # keys of one slice are distinct
-        kept, held = sums
-        out = [(None, ANSWER, name, part, None, None, pack(kept[mine]), pack(held[mine]), None) for name, mine in zip(names, at)]
+        kept, held = (np.add.reduceat(np.concatenate(x)[order], first) for x in zip(*(unpack_counts(x.as_py()) for x in rows.column("b"))))
+        out = [(None, ANSWER, name, part, None, None, pack_counts(kept[at[i:j]], held[at[i:j]]), None, None)
+               for name, i, j in zip(names, [0, *ends], ends)]
         if part < ranges:  # single tokens: how many distinct ones and how many in all there are in training
-            word = merged != begin
+            word = key != begin
             both = (kept + held)[word]
             out.append((None, STATS, -1 - part, part, int((both > 0).sum()), int(both.sum()), pack(kept[word].sum(keepdims=True)), None, None))
         return _rows(out)
@@ -385,17 +440,17 @@ def _gather(rows: pa.Table) -> pa.Table:
         return _rows([tuple(g.values()) for g in got])
     s = Slice.unpacked(texts[0]["a"])   # equal slices (repeated rows) share their name, content and answers
     answers = {g["part"]: g for g in got if g["kind"] == ANSWER}
-    flat = [np.concatenate([unpack(answers[p][x]).astype(np.int64) for p in sorted(answers)]) for x in "ab"] if answers else [np.zeros(0, np.int64)] * 2
+    flat = [np.concatenate(x).astype(np.int64) for x in zip(*(unpack_counts(answers[p]["a"]) for p in sorted(answers)))] or [np.zeros(0, np.int64)] * 2
     numbered = s.numbered()
     if sum(size for size, _ in numbered) != len(flat[0]):
         raise ValueError("the documents changed between two readings; write them to a table first")
     kept, along, begin = [], [], 0
     for size, at in numbered:
         kept.append(flat[0][begin:begin + size][at])
-        along.append((flat[0][begin:begin + size] + flat[1][begin:begin + size])[at])
+        along += ranked(flat[0][begin:begin + size] + flat[1][begin:begin + size], at)
         begin += size
     key, n = _events(s, kept)
-    counts = packed([s.n, s.fold, *(x for a in along for x in ranked(a))])
+    counts = packed([s.n, s.fold, *along], QUICK)
     out = [(None, SLICE, t["slice"], 0, None, t["n"], counts, t["b"], None) for t in texts]
     return _rows([*out, *((None, EVENTS, None, 0, int(k), int(x) * len(texts), None, None, None) for k, x in zip(key, n))])
 

@@ -147,3 +147,44 @@ def test_token_numbers_are_packed_tighter_than_by_default():
     assert (I.unpack(packed) == ids).all()
     planes = np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 8)[:, :packed[8]].T).tobytes()
     assert len(packed) < 0.97 * len(pa.compress(planes, codec="zstd", asbytes=True))
+
+
+def test_counts_of_one_thing_share_a_byte():
+    rng = np.random.default_rng(2)
+    kept = np.append(rng.geometric(0.7, 20_000) - 1, [15, 16, 2 ** 40, 0]).astype(np.uint64)
+    held = np.append(rng.random(20_000) < 0.1, [0, 2 ** 33, 14, 15]).astype(np.uint64)
+    blob = I.pack_counts(kept, held)
+    assert [x.tolist() for x in I.unpack_counts(blob)] == [kept.tolist(), held.tolist()]
+    assert len(blob) < 0.95 * len(I.packed([kept, held], I.QUICK))
+    assert [x.tolist() for x in I.unpack_counts(I.pack_counts(kept[:0], held[:0]))] == [[], []]
+
+
+def test_order_of_numbers_whose_last_bits_decide():
+    rng = np.random.default_rng(3)
+    for values in ([], [7], [0, 2 ** 64 - 1, 0], [2 ** 63 + 3, 2 ** 63 + 1, 5, 2 ** 63 + 2, 2 ** 63 + 1], rng.integers(0, 2 ** 62, 5000), rng.integers(0, 50, 5000)):
+        values = np.array(values, dtype=np.uint64)
+        order, inside = I.in_order(values)
+        assert sorted(order.tolist()) == list(range(len(values))) and (values[order] == inside).all() and (inside == np.sort(values)).all()
+
+
+def test_words_are_those_of_split():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", "bc", "é", " ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\xa0", "\0"]) for _ in range(rng.randrange(30))).encode()
+             for _ in range(300)] + [b"", b" ", b"\xff\xfe x"]
+    at, n, distinct = I.numbered_words(texts)
+    assert [distinct[i] for i in at] == [w for t in texts for w in t.split()] and n.tolist() == [len(t.split()) for t in texts]
+    assert len(set(distinct)) == len(distinct)
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in I.numbered_words([b"", b" "])] == [[], [0, 0], []]
+
+
+def test_noise_is_packed_without_effort(monkeypatch):
+    """Distances of hashes and counts, most of what is shuffled, are packed at the first level."""
+    levels = []
+    real = I.pack
+    monkeypatch.setattr(I, "pack", lambda x, level=I.LEVEL: levels.append((level, len(x))) or real(x, level))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "fold": i % 3, "text": t or ""} for i, t in _corpus(60)[:60]],
+                                       schema=pa.schema([("doc_id", pa.int64()), ("fold", pa.int32()), ("text", pa.string())]))
+    rows = pa.Table.from_batches(I._deal([50, 40, 40], 2, 1 << 20)(iter([batch])))
+    assert {level for level, _ in levels} == {1}
+    keys = sum(len(I.unpack(x.as_py())) for x in rows.column("a"))
+    assert keys == sum(len(I.unpack_counts(x.as_py())[0]) for x in rows.column("b")) > 0
