@@ -15,7 +15,7 @@ in the body are nodes as well; trees of their own judge them.
 
 Training: at most SAMPLE_PAGES pages of the table (one per hash bin), whose
 semantic elements and names label their nodes, and LAYOUT_PAGES made pages
-that show boilerplate the table may lack; for runs, as many bare ones.  Each training page is used twice,
+that show boilerplate the table may lack; for runs, as many bare ones.  Each other training page is used twice,
 once with its semantic tags and names masked, so that density, depth and
 sibling statistics are learned as well as names.  Node rows reach the driver
 as at most MAX_ROWS feature vectors.
@@ -192,11 +192,13 @@ def extract(pages: list[str | None], model: Model) -> list[str]:
     return out
 
 
-def training_rows(html: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled nodes of a page, seen and masked."""
+def training_rows(html: str | None, masked: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled nodes of a page, seen and, if asked for, masked."""
     nodes = parse(html)
     y = weak_labels(nodes)
     use = y >= 0
+    if not masked:
+        return features(nodes)[use], y[use]
     return np.vstack([features(nodes)[use], features(nodes, masked=True)[use]]), np.concatenate([y[use], y[use]])
 
 
@@ -216,7 +218,8 @@ def train(pages: DataFrame) -> Model:
     xs = [np.frombuffer(bytes(r.x), dtype=np.float32).reshape(-1, WIDTH) for r in rows]
     ys = [np.frombuffer(bytes(r.y), dtype=np.int8) for r in rows]
     made = [training_rows(training_page(seed)) for seed in range(LAYOUT_PAGES)]
-    bare = [training_rows(bare_page(seed)) for seed in range(LAYOUT_PAGES)]
+    # an advert directly in the body is told from a short article by its name alone
+    bare = [training_rows(bare_page(seed), masked=False) for seed in range(LAYOUT_PAGES)]
     is_run = [x[:, -1] > 0 for x in xs]
     runs = _fit([x[k] for x, k in zip(xs, is_run)] + [x[x[:, -1] > 0] for x, _ in bare],
                 [y[k] for y, k in zip(ys, is_run)] + [y[x[:, -1] > 0] for x, y in bare])

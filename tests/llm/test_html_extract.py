@@ -139,6 +139,12 @@ def test_text_directly_in_the_body_is_judged(model):
         story, story, f"{story}\n\n{story}"]
 
 
+def test_articles_in_bare_spans_are_kept_and_named_adverts_are_not(model):
+    story = "The town has a new bridge, and many came to see it. It was built in a year."
+    spans = "<hr>".join(f"<span>{story}</span>" for _ in range(3))
+    assert x.extract([f"<body>{spans}", f"<body>{spans}<hr><span class='advert'>{story}</span>"], model) == ["\n\n".join([story] * 3)] * 2
+
+
 def test_runs_of_unseen_pages(model):
     right = n = 0
     for seed in range(10_000, 10_200):
